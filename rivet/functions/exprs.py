@@ -23,9 +23,20 @@ def epoch_us(c) -> Column:
     return F.unix_micros(col(c).cast("timestamp"))
 
 
-def r6(c) -> Column:
-    """Oracle hygiene: round to 6 digits, folding -0.0 into 0.0."""
-    return F.round(col(c), 6) + F.lit(0.0)
+def r6(c, digits: int = 6, nudge: float = 1e-12) -> Column:
+    """Oracle hygiene: round to ``digits``, folding -0.0 into 0.0.
+
+    Engines sum in different orders, so a value whose exact decimal sits on
+    a rounding tie (a mean over 32 or 64 rows) can land one ulp either side.
+    A relative nudge far below the rounding quantum (and far above the
+    summation error) sends both sides the same way.
+    """
+    return F.round(col(c) * F.lit(1.0 + nudge), digits) + F.lit(0.0)
+
+
+def r2big(c) -> Column:
+    """Rounding for large sums of squares (spectral energy), 2 digits."""
+    return r6(c, 2, 1e-9)
 
 
 def nan_to_null(c) -> Column:

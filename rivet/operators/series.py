@@ -40,7 +40,8 @@ def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestam
                  tie: str = "reading_id", failures: DataFrame | None = None,
                  failure_ts: str = "failure_date", work_orders: DataFrame | None = None,
                  order_ts: str = "work_order_date", chunk_us: int = US_PER_DAY) -> DataFrame:
-    """Readings plus ``_us``, ``rn`` (1..n per asset by (ts, tie)) and, when the
+    """Readings plus ``_us``, ``rn`` (1..n per asset by (ts, tie)), ``n_rows``
+    (readings of the asset) and, when the
     logs are given, ``next_failure_us`` (first failure strictly after the
     reading), ``last_order_us`` (last order strictly before) and
     ``first_order_us`` (the asset's first order)."""
@@ -77,7 +78,8 @@ def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestam
     wk = Window.partitionBy(key).orderBy("_chunk")
     cols = [F.col(key), F.col("_chunk"),
             F.coalesce(F.sum("_cnt").over(wk.rowsBetween(Window.unboundedPreceding, -1)),
-                       F.lit(0)).alias("_off")]
+                       F.lit(0)).alias("_off"),
+            F.sum("_cnt").over(Window.partitionBy(key)).alias("n_rows")]
     if failures is not None:
         cols.append(F.min("_fmin").over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_nf_later"))
     if work_orders is not None:

@@ -82,7 +82,7 @@ def sliding_sequences(df: DataFrame, features: list[str], target: str, length: i
     w = _w(part, order).rowsBetween(-(length - 1), 0)
     seq = F.collect_list(F.array(*[F.col(f).cast("float") for f in features])).over(w)
     keep = (F.col(rn) >= length) & (((F.col(rn) - length) % stride) == 0)
-    return df.withColumn("sequence", seq).filter(keep).select(*part, rn, target, "sequence")
+    return df.withColumn("sequence", seq).filter(keep)
 
 
 def latest_n(df: DataFrame, key: str, rn: str, n_col: str, n: int, features: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rivet.functions.exprs import r6
+from rivet.functions.exprs import r2big, r6
 from rivet.operators.rootcause import root_cause_report
 from rivet.sources import testdata as td
 
@@ -40,3 +40,131 @@ def q_root_cause_report(spark, sf):
         r6(F.try_element_at(vals, F.lit(1))).alias("z_1"),
         F.try_element_at(keys, F.lit(2)).alias("signal_2"),
         r6(F.try_element_at(vals, F.lit(2))).alias("z_2"))
+
+
+# --- feature pipeline (K8) and its parts ------------------------------------
+from rivet.plans import features as FT  # noqa: E402
+from rivet.operators.windows import latest_per_key  # noqa: E402
+
+# 14 / 30 day labels saturate on a 30-day table with failures every ~2 days
+TD_HORIZONS = [1, 3, 7]
+TD_SEQ_LEN, TD_SEQ_STRIDE = 20, 6
+
+
+def _series(spark, sf, with_orders=True):
+    return FT.labelled_series(td.readings(spark, sf), td.failures(spark, sf),
+                              td.work_orders(spark, sf) if with_orders else None,
+                              td.TESTDATA_SENSORS, horizons=TD_HORIZONS)
+
+
+def _features(spark, sf):
+    return FT.feature_frame(td.readings(spark, sf), td.failures(spark, sf),
+                            td.work_orders(spark, sf), td.TESTDATA_SENSORS,
+                            horizons=TD_HORIZONS)
+
+
+ROLL_COLS = [f"{s}_roll_{m}_{k}h" for s in td.TESTDATA_SENSORS for k in (6, 24, 72)
+             for m in ("mean", "std")]
+LAG_COLS = [f"{s}_{m}_24h" for s in td.TESTDATA_SENSORS for m in ("lag", "trend")]
+LABEL_COLS = [f"failure_within_{h}d" for h in TD_HORIZONS]
+
+
+@query("failure_labels")
+def q_failure_labels(spark, sf):
+    """label_h = a failure F exists with F - h <= ts < F."""
+    return _series(spark, sf, with_orders=False).select("asset_id", "timestamp", "reading_id", *LABEL_COLS)
+
+
+@query("rul_labels")
+def q_rul_labels(spark, sf):
+    """C1 + B9 + B13: hours to the next failure strictly after, rows after the
+    last failure dropped, capped at 3000 h."""
+    rul = FT.rul_labels(_series(spark, sf, with_orders=False))
+    return rul.select("asset_id", "timestamp", "reading_id", r6("rul_hours").alias("rul_hours"))
+
+
+@query("days_since_maintenance")
+def q_days_since_maintenance(spark, sf):
+    """Days since the last order strictly before, first order before it, 0 without orders."""
+    s = _series(spark, sf)
+    return s.select("asset_id", "timestamp", "reading_id",
+                    r6("days_since_maintenance").alias("days_since_maintenance"))
+
+
+@query("rolling_features")
+def q_rolling_features(spark, sf):
+    """Rolling mean / sample std over 6/24/72 rows per asset."""
+    f = _features(spark, sf)
+    return f.select("asset_id", "reading_id", *[r6(c).alias(c) for c in ROLL_COLS])
+
+
+@query("lag_trend_features")
+def q_lag_trend_features(spark, sf):
+    """24-row lag and trend per sensor."""
+    f = _features(spark, sf)
+    return f.select("asset_id", "reading_id", *[r6(c).alias(c) for c in LAG_COLS])
+
+
+@query("spectral_energy")
+def q_spectral_energy(spark, sf):
+    """Rolling 24-row half-spectrum energy of vibration."""
+    f = _features(spark, sf)
+    return f.select("asset_id", "reading_id",
+                    r2big("vibration_fft_energy").alias("vibration_fft_energy"))
+
+
+@query("feature_table")
+def q_feature_table(spark, sf):
+    """K8: the whole feature table, one row per reading."""
+    f = _features(spark, sf)
+    return f.select("asset_id", "timestamp", "reading_id", "operating_mode",
+                    *[r6(c).alias(c) for c in td.TESTDATA_SENSORS], *LABEL_COLS,
+                    *[r6(c).alias(c) for c in ROLL_COLS + LAG_COLS],
+                    r2big("vibration_fft_energy").alias("vibration_fft_energy"),
+                    r6("days_since_maintenance").alias("days_since_maintenance"))
+
+
+@query("label_summary")
+def q_label_summary(spark, sf):
+    """Positives and positive rate (%) per horizon."""
+    s = _series(spark, sf, with_orders=False)
+    return FT.label_summary(s, TD_HORIZONS).select(
+        "horizon_days", "positives", r6("positive_rate_pct").alias("positive_rate_pct"))
+
+
+@query("rul_summary")
+def q_rul_summary(spark, sf):
+    """Kept / dropped / capped counts and min / max / mean RUL."""
+    s = _series(spark, sf, with_orders=False)
+    out = FT.rul_summary(s)
+    return out.select("rows_kept", "rows_dropped", "rows_capped",
+                      *[r6(c).alias(c) for c in ("rul_min", "rul_max", "rul_mean")])
+
+
+def _flatten(seq: DataFrame, keys: list[str]) -> DataFrame:
+    x = seq.select(*keys, F.posexplode("sequence").alias("step", "v"))
+    return x.select(*keys, "step",
+                    *[r6(F.col("v")[i].cast("double")).alias(s) for i, s in enumerate(td.TESTDATA_SENSORS)])
+
+
+@query("sliding_sequences")
+def q_sliding_sequences(spark, sf):
+    """20-row windows every 6 rows over RUL-labelled readings (flattened)."""
+    rul = FT.rul_labels(_series(spark, sf, with_orders=False))
+    seq = FT.sequences(rul, td.TESTDATA_SENSORS, length=TD_SEQ_LEN, stride=TD_SEQ_STRIDE)
+    seq = seq.withColumn("target", r6("target"))
+    return _flatten(seq, ["asset_id", "end_rn", "target"])
+
+
+@query("latest_sequences")
+def q_latest_sequences(spark, sf):
+    """The last 60 readings of every asset with at least 60 (flattened)."""
+    s = _series(spark, sf, with_orders=False)
+    return _flatten(FT.latest_sequences(s, td.TESTDATA_SENSORS, length=60), ["asset_id"])
+
+
+@query("latest_reading")
+def q_latest_reading(spark, sf):
+    """E5: latest reading per asset (aggregate, no per-asset window)."""
+    r = td.readings(spark, sf)
+    return latest_per_key(r, "asset_id", ["timestamp", "reading_id"])

@@ -8,8 +8,8 @@ orders lineitem events ...); nothing here is generated from the Spark code.
 from __future__ import annotations
 
 
-def R6(x: str) -> str:
-    return f"(round({x}, 6) + 0.0)"
+def R6(x: str, digits: int = 6, nudge: str = "1e-12") -> str:
+    return f"(round(({x}) * (1.0 + {nudge}), {digits}) + 0.0)"
 
 
 # readings role projected from events (see rivet.sources.testdata)
@@ -44,3 +44,131 @@ SELECT asset_id, "timestamp",
        CASE WHEN zv > 1.5 AND zt > 1.0 THEN {R6("round_even(zt, 2)")} END AS z_2
 FROM z
 """
+
+
+# --- feature pipeline --------------------------------------------------------
+EVENTS_LOGS = """
+f AS (SELECT user_id AS asset_id, ts AS fts FROM events WHERE event_type = 'error'),
+w AS (SELECT user_id AS asset_id, ts AS wts FROM events WHERE event_type = 'signup')"""
+
+# next failure strictly after / last order strictly before, first order per asset
+ASOF = """
+nf AS (SELECT r.*, f.fts AS next_f
+       FROM r ASOF LEFT JOIN f ON r.asset_id = f.asset_id AND f.fts > r."timestamp"),
+lo AS (SELECT nf.*, w.wts AS last_w
+       FROM nf ASOF LEFT JOIN w ON nf.asset_id = w.asset_id AND w.wts < nf."timestamp"),
+fo AS (SELECT asset_id, min(wts) AS first_w FROM w GROUP BY asset_id),
+s AS (SELECT lo.*, fo.first_w,
+             (epoch_us(next_f) - epoch_us(lo."timestamp")) / 3600000000.0 AS hours_to_failure,
+             coalesce((epoch_us(lo."timestamp") - epoch_us(coalesce(last_w, first_w))) / 86400000000.0, 0.0)
+               AS days_since_maintenance,
+             row_number() OVER (PARTITION BY lo.asset_id ORDER BY lo."timestamp", lo.reading_id) AS rn
+      FROM lo LEFT JOIN fo ON lo.asset_id = fo.asset_id)"""
+
+BASE = f"WITH {READINGS},{EVENTS_LOGS},{ASOF}"
+
+
+def _label(h: int) -> str:
+    return (f"CAST(coalesce(epoch_us(next_f) - epoch_us(\"timestamp\") <= {h} * 86400000000, false) AS INTEGER)"
+            f" AS failure_within_{h}d")
+
+
+ORACLES["failure_labels"] = f"""{BASE}
+SELECT asset_id, "timestamp", reading_id, {_label(1)}, {_label(3)}, {_label(7)} FROM s"""
+
+ORACLES["rul_labels"] = f"""{BASE}
+SELECT asset_id, "timestamp", reading_id, {R6("least(hours_to_failure, 3000.0)")} AS rul_hours
+FROM s WHERE next_f IS NOT NULL"""
+
+ORACLES["days_since_maintenance"] = f"""{BASE}
+SELECT asset_id, "timestamp", reading_id, {R6("days_since_maintenance")} AS days_since_maintenance FROM s"""
+
+_SENS = ["vibration_mm", "temperature_f"]
+
+
+def _win(k: int) -> str:
+    return f"(PARTITION BY asset_id ORDER BY \"timestamp\", reading_id ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+
+
+def _roll_cols() -> list[str]:
+    out = []
+    for s in _SENS:
+        for k in (6, 24, 72):
+            out.append(f"{R6(f'avg({s}) OVER {_win(k)}')} AS {s}_roll_mean_{k}h")
+            out.append(f"{R6(f'coalesce(stddev_samp({s}) OVER {_win(k)}, 0.0)')} AS {s}_roll_std_{k}h")
+    return out
+
+
+def _lag_cols() -> list[str]:
+    out = []
+    for s in _SENS:
+        lg = f"lag({s}, 24) OVER (PARTITION BY asset_id ORDER BY \"timestamp\", reading_id)"
+        out.append(f"{R6(f'coalesce({lg}, 0.0)')} AS {s}_lag_24h")
+        out.append(f"{R6(f'coalesce({s} - {lg}, 0.0)')} AS {s}_trend_24h")
+    return out
+
+
+_ENERGY = f"""(round((1.0 + 1e-9) * CASE WHEN count(vibration_mm) OVER {_win(24)} < 4 THEN 0.0 ELSE
+   (count(vibration_mm) OVER {_win(24)} * count(vibration_mm) OVER {_win(24)} * var_pop(vibration_mm) OVER {_win(24)}
+    + CASE WHEN count(vibration_mm) OVER {_win(24)} % 2 = 0
+           THEN pow(sum(CASE WHEN rn % 2 = 0 THEN vibration_mm ELSE -vibration_mm END) OVER {_win(24)}, 2)
+           ELSE 0.0 END) / 2.0 END, 2) + 0.0)"""
+
+ORACLES["rolling_features"] = f"""{BASE}
+SELECT asset_id, reading_id, {", ".join(_roll_cols())} FROM s"""
+
+ORACLES["lag_trend_features"] = f"""{BASE}
+SELECT asset_id, reading_id, {", ".join(_lag_cols())} FROM s"""
+
+ORACLES["spectral_energy"] = f"""{BASE}
+SELECT asset_id, reading_id, {_ENERGY} AS vibration_fft_energy FROM s"""
+
+ORACLES["feature_table"] = f"""{BASE}
+SELECT asset_id, "timestamp", reading_id, operating_mode,
+       {R6("vibration_mm")} AS vibration_mm, {R6("temperature_f")} AS temperature_f,
+       {_label(1)}, {_label(3)}, {_label(7)},
+       {", ".join(_roll_cols())}, {", ".join(_lag_cols())},
+       {_ENERGY} AS vibration_fft_energy,
+       {R6("days_since_maintenance")} AS days_since_maintenance
+FROM s"""
+
+ORACLES["label_summary"] = f"""{BASE},
+l AS (SELECT {_label(1)}, {_label(3)}, {_label(7)} FROM s)
+SELECT 1 AS horizon_days, CAST(sum(failure_within_1d) AS BIGINT) AS positives,
+       {R6("avg(failure_within_1d) * 100.0")} AS positive_rate_pct FROM l
+UNION ALL
+SELECT 3, CAST(sum(failure_within_3d) AS BIGINT), {R6("avg(failure_within_3d) * 100.0")} FROM l
+UNION ALL
+SELECT 7, CAST(sum(failure_within_7d) AS BIGINT), {R6("avg(failure_within_7d) * 100.0")} FROM l"""
+
+ORACLES["rul_summary"] = f"""{BASE}
+SELECT count(hours_to_failure) AS rows_kept,
+       CAST(sum(CASE WHEN hours_to_failure IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_dropped,
+       CAST(sum(CASE WHEN hours_to_failure > 3000.0 THEN 1 ELSE 0 END) AS BIGINT) AS rows_capped,
+       {R6("min(least(hours_to_failure, 3000.0))")} AS rul_min,
+       {R6("max(least(hours_to_failure, 3000.0))")} AS rul_max,
+       {R6("avg(least(hours_to_failure, 3000.0))")} AS rul_mean
+FROM s"""
+
+ORACLES["sliding_sequences"] = f"""{BASE},
+k AS (SELECT asset_id, rn, least(hours_to_failure, 3000.0) AS target, vibration_mm, temperature_f
+      FROM s WHERE next_f IS NOT NULL),
+e AS (SELECT asset_id, rn AS end_rn, target FROM k WHERE rn >= 20 AND (rn - 20) % 6 = 0)
+SELECT e.asset_id, e.end_rn, {R6("e.target")} AS target, CAST(k.rn - e.end_rn + 19 AS INTEGER) AS step,
+       {R6("CAST(CAST(k.vibration_mm AS FLOAT) AS DOUBLE)")} AS vibration_mm,
+       {R6("CAST(CAST(k.temperature_f AS FLOAT) AS DOUBLE)")} AS temperature_f
+FROM e JOIN k ON k.asset_id = e.asset_id AND k.rn BETWEEN e.end_rn - 19 AND e.end_rn"""
+
+ORACLES["latest_sequences"] = f"""WITH {READINGS},
+k AS (SELECT asset_id, vibration_mm, temperature_f,
+             row_number() OVER (PARTITION BY asset_id ORDER BY "timestamp" DESC, reading_id DESC) AS back,
+             count(*) OVER (PARTITION BY asset_id) AS n
+      FROM r)
+SELECT asset_id, CAST(60 - back AS INTEGER) AS step,
+       {R6("CAST(CAST(vibration_mm AS FLOAT) AS DOUBLE)")} AS vibration_mm,
+       {R6("CAST(CAST(temperature_f AS FLOAT) AS DOUBLE)")} AS temperature_f
+FROM k WHERE n >= 60 AND back <= 60"""
+
+ORACLES["latest_reading"] = f"""WITH {READINGS}
+SELECT * FROM r
+QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY "timestamp" DESC, reading_id DESC) = 1"""
