@@ -168,3 +168,173 @@ def q_latest_reading(spark, sf):
     """E5: latest reading per asset (aggregate, no per-asset window)."""
     r = td.readings(spark, sf)
     return latest_per_key(r, "asset_id", ["timestamp", "reading_id"])
+
+
+# --- validation (K7) -----------------------------------------------------------
+from rivet.operators import validate as V  # noqa: E402
+
+
+@query("validation_violations")
+def q_validation_violations(spark, sf):
+    """B5 + D7: one row per failing cell of the sensor contract."""
+    r = td.readings(spark, sf)
+    return V.violations(r, V.sensor_contract(), ["asset_id", "reading_id"])
+
+
+@query("validation_summary")
+def q_validation_summary(spark, sf):
+    """Failures per (column, check)."""
+    r = td.readings(spark, sf)
+    return V.violation_summary(V.violations(r, V.sensor_contract(), ["asset_id", "reading_id"]))
+
+
+@query("missing_profile")
+def q_missing_profile(spark, sf):
+    """Percent missing per column, flag above 5 %."""
+    return V.missing_profile(td.table(spark, sf, "customer"))
+
+
+@query("duplicate_keys")
+def q_duplicate_keys(spark, sf):
+    """Rows beyond the first per (l_suppkey, l_shipdate)."""
+    return V.duplicate_count(td.table(spark, sf, "lineitem"), ["l_suppkey", "l_shipdate"])
+
+
+@query("validation_report")
+def q_validation_report(spark, sf):
+    """K7: status and counts of the sensor-contract validation."""
+    r = td.readings(spark, sf)
+    return V.validation_report(r, V.sensor_contract(), ["asset_id", "reading_id"])
+
+
+# --- metrics and monitoring (D10-D14, D17, D20-D23, E8, K12) ----------------------
+from rivet.operators import drift as DR  # noqa: E402
+from rivet.operators import metrics as M  # noqa: E402
+from rivet.operators.rank import ordered_split  # noqa: E402
+
+
+def _scored(spark, sf):
+    """Deterministic score vs actual failure, one row per event."""
+    ev = td.table(spark, sf, "events")
+    score = F.col("value") / (F.col("value") + F.lit(50.0))
+    return ev.select("event_id", "ts", "user_id", score.alias("score"),
+                     (F.col("event_type") == "error").cast("int").alias("label"),
+                     (score >= 0.5).cast("int").alias("pred"))
+
+
+def _r6all(df: DataFrame) -> DataFrame:
+    return df.select(*[r6(c).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@query("binary_metrics")
+def q_binary_metrics(spark, sf):
+    """Confusion counts, precision / recall / F1, mid-rank ROC-AUC."""
+    return _r6all(M.binary_metrics(_scored(spark, sf), "label", "pred", "score"))
+
+
+@query("anomaly_metrics")
+def q_anomaly_metrics(spark, sf):
+    """D10 (anomaly variant): flags vs non-normal operating mode."""
+    r = td.readings(spark, sf)
+    x = r.select((F.col("operating_mode") != "normal").cast("int").alias("anomaly"),
+                 (F.col("vibration_mm") > 80).cast("int").alias("flag"))
+    return _r6all(M.anomaly_metrics(x, "anomaly", "flag"))
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, sf):
+    """RMSE / MAE / MAPE of a deterministic RUL guess (5 h per unit of k)."""
+    rul = FT.rul_labels(_series(spark, sf, with_orders=False))
+    x = rul.select("rul_hours", (F.col("temperature_f") * 5.0).alias("pred"))
+    return _r6all(M.regression_metrics(x, "rul_hours", "pred"))
+
+
+def _asset_scores(spark, sf):
+    s = _scored(spark, sf)
+    latest = latest_per_key(s.select("user_id", "ts", "event_id", "score"), "user_id", ["ts", "event_id"])
+    return latest.select(F.col("user_id").alias("asset_id"), F.col("score").alias("failure_risk_score"))
+
+
+def _actuals(spark, sf):
+    ev = td.table(spark, sf, "events")
+    return (ev.groupBy(F.col("user_id").alias("asset_id"))
+              .agg((F.sum((F.col("event_type") == "error").cast("int")) >= 14).cast("int").alias("actual_failure")))
+
+
+@query("false_alarm_share")
+def q_false_alarm_share(spark, sf):
+    """FP share among high-risk predictions (inner join on asset)."""
+    return M.false_alarm_share(_asset_scores(spark, sf), _actuals(spark, sf))
+
+
+@query("best_row")
+def q_best_row(spark, sf):
+    """The highest-score event, first event id on ties."""
+    s = _scored(spark, sf).select("event_id", "user_id", "score")
+    return _r6all(M.best_row(s, "score", "event_id"))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    """Balanced class weights and neg/pos ratio for the 1-day label."""
+    s = _series(spark, sf, with_orders=False)
+    return _r6all(M.class_weights(s, "failure_within_1d"))
+
+
+@query("quality_gate")
+def q_quality_gate(spark, sf):
+    """Best F1 over three thresholds against the 0.70 gate."""
+    s = _scored(spark, sf)
+    rows = [M.binary_metrics(s.withColumn("pred", (F.col("score") >= t).cast("int")), "label", "pred")
+            .withColumn("threshold", F.lit(t)) for t in (0.3, 0.5, 0.7)]
+    allm = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    return _r6all(M.quality_gate(allm))
+
+
+def _drift_split(spark, sf):
+    return ordered_split(td.drift_sample(spark, sf), td.DRIFT_ORDER, 0.7)
+
+
+@query("temporal_split")
+def q_temporal_split(spark, sf):
+    """First 70 % of rows by (ship date, key) vs the rest, as a filter."""
+    ref, cur, _ = _drift_split(spark, sf)
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    return (ref.select(*cols, F.lit("reference").alias("period"))
+            .unionByName(cur.select(*cols, F.lit("current").alias("period"))))
+
+
+@query("data_drift")
+def q_data_drift(spark, sf):
+    """Two-sample KS per column with p-value and means."""
+    ref, cur, _ = _drift_split(spark, sf)
+    return DR.data_drift(ref, cur, td.DRIFT_COLUMNS)
+
+
+@query("prediction_drift")
+def q_prediction_drift(spark, sf):
+    """KS on scores of the first 70 % of events vs the rest."""
+    s = _scored(spark, sf)
+    ref, cur, _ = ordered_split(s, ["ts", "event_id"], 0.7)
+    return DR.prediction_drift(ref, cur, "score")
+
+
+@query("drift_rollup")
+def q_drift_rollup(spark, sf):
+    """Drifted columns of all and the advice."""
+    ref, cur, _ = _drift_split(spark, sf)
+    return DR.drift_rollup(DR.data_drift(ref, cur, td.DRIFT_COLUMNS))
+
+
+@query("period_summary")
+def q_period_summary(spark, sf):
+    """Start, end and rows of each period."""
+    ref, cur, _ = _drift_split(spark, sf)
+    return DR.period_summary(ref, cur, "l_shipdate")
+
+
+@query("monitoring_job")
+def q_monitoring_job(spark, sf):
+    """Split + KS report + roll-up in one table."""
+    _, _, report, roll = DR.monitoring_job(td.drift_sample(spark, sf), td.DRIFT_ORDER, td.DRIFT_COLUMNS)
+    return report.crossJoin(roll.select("n_drifted", "n_columns"))

@@ -172,3 +172,208 @@ FROM k WHERE n >= 60 AND back <= 60"""
 ORACLES["latest_reading"] = f"""WITH {READINGS}
 SELECT * FROM r
 QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY "timestamp" DESC, reading_id DESC) = 1"""
+
+
+# --- validation ------------------------------------------------------------------
+_VIOL = f"""WITH {READINGS},
+v AS (
+  SELECT asset_id, reading_id, 'vibration_mm' AS "column", 'in_range(0, 20)' AS "check",
+         CAST(vibration_mm AS VARCHAR) AS failure_case
+  FROM r WHERE vibration_mm < 0 OR vibration_mm > 20
+  UNION ALL
+  SELECT asset_id, reading_id, 'temperature_f', 'in_range(-20, 400)', CAST(temperature_f AS VARCHAR)
+  FROM r WHERE temperature_f < -20 OR temperature_f > 400
+  UNION ALL
+  SELECT asset_id, reading_id, 'operating_mode', 'isin([''normal'', ''degrading'', ''critical''])', operating_mode
+  FROM r WHERE operating_mode NOT IN ('normal', 'degrading', 'critical')
+  UNION ALL
+  SELECT asset_id, reading_id, c, 'not_nullable', CAST(NULL AS VARCHAR)
+  FROM (SELECT asset_id, reading_id,
+               unnest([CASE WHEN asset_id IS NULL THEN 'asset_id' END,
+                       CASE WHEN "timestamp" IS NULL THEN 'timestamp' END,
+                       CASE WHEN operating_mode IS NULL THEN 'operating_mode' END,
+                       CASE WHEN vibration_mm IS NULL THEN 'vibration_mm' END,
+                       CASE WHEN temperature_f IS NULL THEN 'temperature_f' END]) AS c FROM r)
+  WHERE c IS NOT NULL)"""
+
+ORACLES["validation_violations"] = f"""{_VIOL}
+SELECT * FROM v"""
+
+ORACLES["validation_summary"] = f"""{_VIOL}
+SELECT "column", "check", count(*) AS failures FROM v GROUP BY 1, 2"""
+
+ORACLES["missing_profile"] = """
+WITH p AS (
+  SELECT avg(CASE WHEN c_custkey IS NULL THEN 1.0 ELSE 0.0 END) * 100 AS c_custkey,
+         avg(CASE WHEN c_name IS NULL THEN 1.0 ELSE 0.0 END) * 100 AS c_name,
+         avg(CASE WHEN c_nationkey IS NULL THEN 1.0 ELSE 0.0 END) * 100 AS c_nationkey,
+         avg(CASE WHEN c_acctbal IS NULL OR isnan(c_acctbal) THEN 1.0 ELSE 0.0 END) * 100 AS c_acctbal,
+         avg(CASE WHEN c_mktsegment IS NULL THEN 1.0 ELSE 0.0 END) * 100 AS c_mktsegment
+  FROM customer)
+SELECT "column", round_even(missing_pct, 2) AS missing_pct, round_even(missing_pct, 2) > 5.0 AS reported
+FROM (UNPIVOT p ON c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment
+      INTO NAME "column" VALUE missing_pct)"""
+
+ORACLES["duplicate_keys"] = """
+SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_suppkey, l_shipdate)"""
+
+ORACLES["validation_report"] = f"""{_VIOL}
+SELECT CASE WHEN (SELECT count(*) FROM v) > 0 OR 8 > 0 THEN 'failed' ELSE 'passed' END AS status,
+       (SELECT count(*) FROM v) AS cell_violations,
+       (SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT)
+        FROM (SELECT count(*) AS n FROM r GROUP BY asset_id, "timestamp")) AS duplicate_rows,
+       CAST(0 AS BIGINT) AS columns_over_missing_limit,
+       CAST(8 AS BIGINT) AS schema_violations"""
+
+
+# --- metrics and monitoring ---------------------------------------------------------
+SCORED = """
+e AS (SELECT event_id, ts, user_id, value / (value + 50.0) AS score,
+             CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS label,
+             CASE WHEN value / (value + 50.0) >= 0.5 THEN 1 ELSE 0 END AS pred
+      FROM events)"""
+
+
+def _prf_sql(src: str) -> str:
+    return f"""
+  SELECT tp, fp, fn, tn,
+         CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+         CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall
+  FROM (SELECT CAST(sum(label * pred) AS BIGINT) AS tp, CAST(sum((1 - label) * pred) AS BIGINT) AS fp,
+               CAST(sum(label * (1 - pred)) AS BIGINT) AS fn,
+               CAST(sum((1 - label) * (1 - pred)) AS BIGINT) AS tn FROM {src})"""
+
+
+def _f1(p="precision", r="recall") -> str:
+    return f"CASE WHEN {p} + {r} > 0 THEN 2 * {p} * {r} / ({p} + {r}) ELSE 0.0 END"
+
+
+ORACLES["binary_metrics"] = f"""WITH {SCORED},
+c AS ({_prf_sql("e")}),
+per AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM e GROUP BY score),
+cum AS (SELECT pos, neg, sum(neg) OVER (ORDER BY score) - neg AS below FROM per),
+a AS (SELECT CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+                  THEN sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) END AS roc_auc FROM cum)
+SELECT tp, fp, fn, tn, {R6("precision")} AS precision, {R6("recall")} AS recall,
+       {R6(_f1())} AS f1, {R6("roc_auc")} AS roc_auc
+FROM c, a"""
+
+ORACLES["anomaly_metrics"] = f"""WITH {READINGS},
+x AS (SELECT CASE WHEN operating_mode <> 'normal' THEN 1 ELSE 0 END AS label,
+             CASE WHEN vibration_mm > 80 THEN 1 ELSE 0 END AS pred FROM r),
+c AS (SELECT CAST(sum(label * pred) AS BIGINT) AS tp, CAST(sum((1 - label) * pred) AS BIGINT) AS fp,
+             CAST(sum(label * (1 - pred)) AS BIGINT) AS fn, CAST(sum(pred) AS BIGINT) AS flagged,
+             count(*) AS readings, avg(label) AS rate FROM x),
+p AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+                CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall FROM c)
+SELECT {R6("precision")} AS precision, {R6("recall")} AS recall, {R6(_f1())} AS f1,
+       flagged, readings, {R6("rate")} AS true_anomaly_rate FROM p"""
+
+ORACLES["regression_metrics"] = f"""{BASE},
+x AS (SELECT least(hours_to_failure, 3000.0) AS y, temperature_f * 5.0 AS p FROM s WHERE next_f IS NOT NULL)
+SELECT {R6("sqrt(avg((y - p) * (y - p)))")} AS rmse, {R6("avg(abs(y - p))")} AS mae,
+       {R6("avg(abs(y - p) / greatest(y, 1.0)) * 100.0")} AS mape FROM x"""
+
+ORACLES["false_alarm_share"] = f"""WITH {SCORED},
+pr AS (SELECT user_id AS asset_id, score AS failure_risk_score FROM e
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+ac AS (SELECT user_id AS asset_id,
+              CASE WHEN sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) >= 14 THEN 1 ELSE 0 END
+                AS actual_failure
+       FROM events GROUP BY user_id),
+m AS (SELECT * FROM pr JOIN ac USING (asset_id)),
+c AS (SELECT CAST(sum(CASE WHEN failure_risk_score >= 0.5 AND actual_failure <> 1 THEN 1 ELSE 0 END) AS BIGINT)
+               AS false_positives,
+             CAST(sum(CASE WHEN failure_risk_score >= 0.5 THEN 1 ELSE 0 END) AS BIGINT)
+               AS total_high_risk_predictions FROM m)
+SELECT false_positives, total_high_risk_predictions,
+       round_even(CASE WHEN total_high_risk_predictions > 0
+                       THEN false_positives / total_high_risk_predictions ELSE 0.0 END, 4)
+         AS false_positive_rate
+FROM c"""
+
+ORACLES["best_row"] = f"""WITH {SCORED}
+SELECT event_id, user_id, {R6("score")} AS score FROM e ORDER BY score DESC, event_id ASC LIMIT 1"""
+
+ORACLES["class_weights"] = f"""{BASE},
+l AS (SELECT {_label(1)} FROM s),
+c AS (SELECT count(*) AS n, CAST(sum(failure_within_1d) AS BIGINT) AS n_pos,
+             CAST(sum(1 - failure_within_1d) AS BIGINT) AS n_neg FROM l)
+SELECT n, n_pos, n_neg, {R6("n / (2.0 * n_pos)")} AS weight_pos, {R6("n / (2.0 * n_neg)")} AS weight_neg,
+       {R6("n_neg / n_pos")} AS scale_pos_weight FROM c"""
+
+ORACLES["quality_gate"] = f"""WITH {SCORED},
+t AS (SELECT unnest([0.3, 0.5, 0.7]) AS thr),
+x AS (SELECT thr, label, CASE WHEN score >= thr THEN 1 ELSE 0 END AS pred FROM e, t),
+c AS (SELECT thr, sum(label * pred) AS tp, sum((1 - label) * pred) AS fp, sum(label * (1 - pred)) AS fn
+      FROM x GROUP BY thr),
+p AS (SELECT CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+             CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall FROM c),
+f AS (SELECT max({_f1()}) AS best_f1 FROM p)
+SELECT {R6("best_f1")} AS best_f1, best_f1 >= 0.70 AS passed FROM f"""
+
+SPLIT = """
+li AS (SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                                              l_extendedprice) AS rn,
+              count(*) OVER () AS n FROM lineitem),
+sp AS (SELECT *, CASE WHEN rn <= floor(0.7 * n) THEN 'reference' ELSE 'current' END AS period FROM li)"""
+
+ORACLES["temporal_split"] = f"""WITH {SPLIT}
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, period FROM sp"""
+
+
+def _ks_sql(long_src: str, col_name: str = "col") -> str:
+    return f"""
+per AS (SELECT {col_name} AS col, v, sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS c1,
+               sum(CASE WHEN side = 2 THEN 1 ELSE 0 END) AS c2 FROM {long_src}
+        WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY 1, 2),
+cum AS (SELECT col, sum(c1) OVER (PARTITION BY col ORDER BY v) AS cc1, sum(c2) OVER (PARTITION BY col ORDER BY v) AS cc2,
+               sum(c1) OVER (PARTITION BY col) AS n1, sum(c2) OVER (PARTITION BY col) AS n2 FROM per),
+d AS (SELECT col, max(abs(cc1 / n1 - cc2 / n2)) AS d, any_value(n1) AS n1, any_value(n2) AS n2
+      FROM cum GROUP BY col),
+lam AS (SELECT col, d, sqrt(n1 * n2 / (n1 + n2)) * d AS lam FROM d),
+pv AS (SELECT col, d, CASE WHEN lam <= 0 THEN 1.0
+                      ELSE least(1.0, greatest(0.0, 2 * sum(pow(-1.0, k - 1) * exp(-2.0 * k * k * lam * lam)))) END AS p
+       FROM lam, range(1, 101) t(k) GROUP BY col, d, lam),
+mu AS (SELECT {col_name} AS col, avg(CASE WHEN side = 1 THEN v END) AS m1, avg(CASE WHEN side = 2 THEN v END) AS m2
+       FROM {long_src} WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY 1)"""
+
+
+ORACLES["data_drift"] = f"""WITH {SPLIT},
+w AS (SELECT CASE WHEN period = 'reference' THEN 1 ELSE 2 END AS side,
+             l_quantity, l_extendedprice, l_discount, l_tax FROM sp),
+lg AS (UNPIVOT w ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME col VALUE v),{_ks_sql("lg")}
+SELECT pv.col AS "column", round_even(d, 4) AS ks_statistic, round_even(p, 4) AS p_value, p < 0.05 AS drifted,
+       round_even(m1, 3) AS reference_mean, round_even(m2, 3) AS current_mean
+FROM pv JOIN mu ON pv.col = mu.col"""
+
+ORACLES["prediction_drift"] = f"""WITH {SCORED},
+o AS (SELECT score AS v, row_number() OVER (ORDER BY ts, event_id) AS rn, count(*) OVER () AS n FROM e),
+lg AS (SELECT 'score' AS col, v, CASE WHEN rn <= floor(0.7 * n) THEN 1 ELSE 2 END AS side FROM o),{_ks_sql("lg")}
+SELECT round_even(d, 4) AS ks_statistic, round_even(p, 4) AS p_value, p < 0.05 AS drifted,
+       round_even(m1, 3) AS reference_mean_risk, round_even(m2, 3) AS current_mean_risk
+FROM pv JOIN mu ON pv.col = mu.col"""
+
+_DRIFT_REPORT = f"""{SPLIT},
+w AS (SELECT CASE WHEN period = 'reference' THEN 1 ELSE 2 END AS side,
+             l_quantity, l_extendedprice, l_discount, l_tax FROM sp),
+lg AS (UNPIVOT w ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME col VALUE v),{_ks_sql("lg")},
+rep AS (SELECT pv.col AS "column", round_even(d, 4) AS ks_statistic, round_even(p, 4) AS p_value,
+               p < 0.05 AS drifted, round_even(m1, 3) AS reference_mean, round_even(m2, 3) AS current_mean
+        FROM pv JOIN mu ON pv.col = mu.col),
+roll AS (SELECT CAST(sum(CASE WHEN drifted THEN 1 ELSE 0 END) AS BIGINT) AS n_drifted,
+                count(*) AS n_columns FROM rep)"""
+
+ORACLES["drift_rollup"] = f"""WITH {_DRIFT_REPORT}
+SELECT n_drifted, n_columns,
+       CASE WHEN n_drifted > 0
+            THEN 'investigate drifted sensors and consider retraining if drift persists across multiple monitoring cycles'
+            ELSE 'no significant drift detected - model remains valid' END AS recommendation
+FROM roll"""
+
+ORACLES["monitoring_job"] = f"""WITH {_DRIFT_REPORT}
+SELECT rep.*, n_drifted, n_columns FROM rep, roll"""
+
+ORACLES["period_summary"] = f"""WITH {SPLIT}
+SELECT period, min(l_shipdate) AS start, max(l_shipdate) AS "end", count(*) AS rows FROM sp GROUP BY period"""
