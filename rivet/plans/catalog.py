@@ -338,3 +338,117 @@ def q_monitoring_job(spark, sf):
     """Split + KS report + roll-up in one table."""
     _, _, report, roll = DR.monitoring_job(td.drift_sample(spark, sf), td.DRIFT_ORDER, td.DRIFT_COLUMNS)
     return report.crossJoin(roll.select("n_drifted", "n_columns"))
+
+
+# --- recommendations (K13) ----------------------------------------------------------
+from rivet.operators import recommend as RC  # noqa: E402
+
+
+def _long(spark, sf):
+    return RC.cooccurrence(td.work_order_actions(spark, sf))
+
+
+@query("cooccurrence_counts")
+def q_cooccurrence_counts(spark, sf):
+    """D2 (long form): count per (failure mode, action)."""
+    return _long(spark, sf)
+
+
+@query("cooccurrence_matrix")
+def q_cooccurrence_matrix(spark, sf):
+    """D2 (wide): mode x action matrix with zero cells."""
+    return RC.cooccurrence_matrix(_long(spark, sf))
+
+
+@query("distinct_counts")
+def q_distinct_counts(spark, sf):
+    """D3: distinct failure modes and actions."""
+    return RC.distinct_counts(_long(spark, sf))
+
+
+@query("action_sets")
+def q_action_sets(spark, sf):
+    """Sorted distinct actions per mode."""
+    return RC.action_sets(_long(spark, sf)).select(
+        "failure_mode", F.array_join("actions", "|").alias("actions"))
+
+
+@query("distinct_pairs")
+def q_distinct_pairs(spark, sf):
+    """Distinct (mode, action) pairs."""
+    return td.work_order_actions(spark, sf).select("failure_mode", "action").dropDuplicates()
+
+
+@query("top_actions")
+def q_top_actions(spark, sf):
+    """Top-5 actions per mode by count."""
+    return RC.top_actions(_long(spark, sf), 5)
+
+
+@query("similar_modes")
+def q_similar_modes(spark, sf):
+    """J8 + C12 + G3: top-3 cosine-similar other modes."""
+    return RC.similar_modes(_long(spark, sf), 3)
+
+
+def _flat_recs(df: DataFrame, keys: list[str]) -> DataFrame:
+    x = df.select(*keys, "method", "confidence", F.posexplode_outer("recommendations").alias("pos", "r"))
+    return x.select(*keys, "method", "confidence", (F.col("pos") + 1).alias("rank"),
+                    F.col("r.action").alias("action"), F.col("r.association_strength").alias("association_strength"))
+
+
+def _lookups(spark, sf):
+    brands = td.table(spark, sf, "part").select(F.col("p_brand").alias("failure_mode")).distinct()
+    rep = root_cause_report(td.readings(spark, sf), td.TESTDATA_SENSORS)
+    return brands.unionByName(RC.diagnosis_keys(rep).select("failure_mode"))
+
+
+@query("recommend_with_fallback")
+def q_recommend_with_fallback(spark, sf):
+    """Direct lookup, else first same-category mode with history, else none."""
+    out = RC.recommend_with_fallback(_long(spark, sf), _lookups(spark, sf), td.categories(spark), 5)
+    return _flat_recs(out, ["failure_mode"])
+
+
+@query("diagnosis_recommendations")
+def q_diagnosis_recommendations(spark, sf):
+    """Root-cause report -> key normalisation -> fallback recommendations."""
+    rep = root_cause_report(td.readings(spark, sf), td.TESTDATA_SENSORS)
+    keys = RC.diagnosis_keys(rep)
+    recs = RC.recommend_with_fallback(_long(spark, sf), keys.select("failure_mode"), td.categories(spark), 5)
+    return _flat_recs(keys.join(recs, "failure_mode"), ["asset_id", "likely_cause", "failure_mode"])
+
+
+@query("negative_pairs")
+def q_negative_pairs(spark, sf):
+    """J7 + C11: hashed random pairs not among the positives."""
+    return RC.negative_pairs(_long(spark, sf))
+
+
+@query("precision_at_k")
+def q_precision_at_k(spark, sf):
+    """D15 + G2: Precision@5 of the co-occurrence top-5 against actual sets."""
+    long = _long(spark, sf)
+    return _r6all(RC.precision_at_k(RC.top_actions(long, 5), long, 5))
+
+
+@query("vector_top_k")
+def q_vector_top_k(spark, sf):
+    """Cosine top-5 vectors for every label centroid of the embeddings."""
+    v = td.embedding_vectors(spark, sf)
+    cent = (v.select("label", F.posexplode("vector").alias("pos", "x"))
+             .groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
+             .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("pos", "x"))).alias("_c"))
+             .select("label", F.transform("_c", lambda s: s["x"]).alias("vector")))
+    out = RC.vector_top_k(cent, v, 5, "label", "vec_id")
+    return out.withColumn("score", r6("score"))
+
+
+@query("recommendation_job")
+def q_recommendation_job(spark, sf):
+    """Top-5 actions per mode beside its top-2 similar modes."""
+    long = _long(spark, sf)
+    top = RC.top_actions(long, 5)
+    sim = RC.similar_modes(long, 2)
+    return top.join(sim, ["failure_mode", "rank"], "left").select(
+        "failure_mode", "rank", "action", "association_strength", "similar_mode", "similarity")

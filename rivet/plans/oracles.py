@@ -377,3 +377,144 @@ SELECT rep.*, n_drifted, n_columns FROM rep, roll"""
 
 ORACLES["period_summary"] = f"""WITH {SPLIT}
 SELECT period, min(l_shipdate) AS start, max(l_shipdate) AS "end", count(*) AS rows FROM sp GROUP BY period"""
+
+
+# --- recommendations -----------------------------------------------------------------
+LONG = """
+wa AS (SELECT p_brand AS failure_mode, p_name AS action
+       FROM lineitem JOIN part ON l_partkey = p_partkey),
+lg AS (SELECT failure_mode, action, count(*) AS cnt FROM wa GROUP BY 1, 2)"""
+
+CATS = """
+cats AS (
+  SELECT * FROM (VALUES ('bearing_wear', 'mechanical', 1), ('shaft_misalignment', 'mechanical', 2),
+                        ('rotor_imbalance', 'mechanical', 3), ('lubrication_failure', 'mechanical', 4),
+                        ('seal_leakage', 'hydraulic', 5), ('cavitation', 'hydraulic', 6),
+                        ('impeller_erosion', 'hydraulic', 7), ('motor_winding_failure', 'electrical', 8))
+           t(failure_mode, category, ordinal)
+  UNION ALL
+  SELECT 'Brand#' || n, CASE WHEN n <= 10 THEN 'mechanical' WHEN n <= 20 THEN 'hydraulic' ELSE 'electrical' END,
+         CAST(100 + n AS INTEGER)
+  FROM range(1, 26) r(n))"""
+
+TOP = """
+top AS (SELECT failure_mode, CAST(row_number() OVER (PARTITION BY failure_mode ORDER BY cnt DESC, action) AS INTEGER)
+               AS rank, action, cnt AS association_strength
+        FROM lg WHERE cnt > 0
+        QUALIFY row_number() OVER (PARTITION BY failure_mode ORDER BY cnt DESC, action) <= 5)"""
+
+ORACLES["cooccurrence_counts"] = f"WITH {LONG} SELECT * FROM lg"
+
+ORACLES["cooccurrence_matrix"] = f"""WITH {LONG}
+PIVOT lg ON action USING CAST(coalesce(sum(cnt), 0) AS BIGINT) GROUP BY failure_mode"""
+
+ORACLES["distinct_counts"] = f"""WITH {LONG}
+SELECT count(DISTINCT failure_mode) AS n_failure_modes, count(DISTINCT action) AS n_actions FROM lg"""
+
+ORACLES["action_sets"] = f"""WITH {LONG}
+SELECT failure_mode, string_agg(DISTINCT action, '|' ORDER BY action) AS actions FROM lg GROUP BY 1"""
+
+ORACLES["distinct_pairs"] = f"WITH {LONG} SELECT DISTINCT failure_mode, action FROM wa"
+
+ORACLES["top_actions"] = f"WITH {LONG},{TOP} SELECT * FROM top"
+
+SIM = """
+nrm AS (SELECT failure_mode, sqrt(sum(cnt * cnt)) AS nrm FROM lg GROUP BY 1),
+modes AS (SELECT DISTINCT failure_mode FROM lg),
+allp AS (SELECT a.failure_mode, b.failure_mode AS similar_mode FROM modes a, modes b
+         WHERE a.failure_mode <> b.failure_mode),
+dots AS (SELECT a.failure_mode, b.failure_mode AS similar_mode, sum(a.cnt * b.cnt) AS dot
+         FROM lg a JOIN lg b ON a.action = b.action AND a.failure_mode <> b.failure_mode GROUP BY 1, 2),
+sims AS (SELECT allp.failure_mode, allp.similar_mode,
+                coalesce(dot / (n1.nrm * n2.nrm), 0.0) AS similarity
+         FROM allp LEFT JOIN dots USING (failure_mode, similar_mode)
+              JOIN nrm n1 ON n1.failure_mode = allp.failure_mode
+              JOIN nrm n2 ON n2.failure_mode = allp.similar_mode)"""
+
+
+def _sim_top(k: int) -> str:
+    return f"""
+simk AS (SELECT failure_mode, similar_mode, round_even(similarity, 3) AS similarity,
+                CAST(row_number() OVER (PARTITION BY failure_mode ORDER BY similarity DESC, similar_mode) AS INTEGER)
+                  AS rank
+         FROM sims QUALIFY rank <= {k})"""
+
+
+ORACLES["similar_modes"] = f"""WITH {LONG},{SIM},{_sim_top(3)}
+SELECT failure_mode, similar_mode, similarity, rank FROM simk"""
+
+FALLBACK = """
+known AS (SELECT DISTINCT failure_mode FROM lg),
+donors AS (SELECT category, arg_min(c.failure_mode, ordinal) AS borrowed_from
+           FROM cats c JOIN known k ON c.failure_mode = k.failure_mode GROUP BY category),
+res AS (SELECT l.failure_mode,
+               CASE WHEN k.failure_mode IS NOT NULL THEN l.failure_mode ELSE d.borrowed_from END AS src,
+               CASE WHEN k.failure_mode IS NOT NULL THEN 'direct_historical_match'
+                    WHEN c.category IS NULL THEN 'no_data_available'
+                    WHEN d.borrowed_from IS NULL THEN 'no_similar_category_data'
+                    ELSE 'category_fallback (borrowed from ' || d.borrowed_from || ')' END AS method,
+               CASE WHEN k.failure_mode IS NOT NULL THEN 'high'
+                    WHEN c.category IS NULL OR d.borrowed_from IS NULL THEN 'none'
+                    ELSE 'low - verify with engineer before acting' END AS confidence
+        FROM (SELECT DISTINCT failure_mode FROM lookups) l
+             LEFT JOIN known k ON k.failure_mode = l.failure_mode
+             LEFT JOIN cats c ON c.failure_mode = l.failure_mode
+             LEFT JOIN donors d ON d.category = c.category),
+flat AS (SELECT res.failure_mode, method, confidence, top.rank, top.action, top.association_strength
+         FROM res LEFT JOIN top ON top.failure_mode = res.src)"""
+
+DIAG_KEYS = f"""
+b AS (SELECT avg(vibration_mm) AS mv, stddev_samp(vibration_mm) AS sv,
+             avg(temperature_f) AS mt, stddev_samp(temperature_f) AS st
+      FROM r WHERE operating_mode = 'normal'),
+l AS (SELECT * FROM r
+      QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY "timestamp" DESC, reading_id DESC) = 1),
+z AS (SELECT l.asset_id, CASE WHEN sv > 0 THEN (vibration_mm - mv) / sv ELSE 0.0 END AS zv,
+             CASE WHEN st > 0 THEN (temperature_f - mt) / st ELSE 0.0 END AS zt FROM l CROSS JOIN b),
+dk AS (SELECT asset_id, 'Bearing wear' AS likely_cause, 'bearing_wear' AS failure_mode
+       FROM z WHERE zv > 1.5 AND zt > 1.0)"""
+
+ORACLES["recommend_with_fallback"] = f"""WITH {READINGS},{LONG},{CATS},{TOP},{DIAG_KEYS},
+lookups AS (SELECT DISTINCT p_brand AS failure_mode FROM part UNION ALL SELECT failure_mode FROM dk),{FALLBACK}
+SELECT failure_mode, method, confidence, CAST(rank AS INTEGER) AS rank, action, association_strength FROM flat"""
+
+ORACLES["diagnosis_recommendations"] = f"""WITH {READINGS},{LONG},{CATS},{TOP},{DIAG_KEYS},
+lookups AS (SELECT failure_mode FROM dk),{FALLBACK}
+SELECT dk.asset_id, dk.likely_cause, dk.failure_mode, method, confidence, CAST(rank AS INTEGER) AS rank,
+       action, association_strength
+FROM dk JOIN flat ON flat.failure_mode = dk.failure_mode"""
+
+ORACLES["negative_pairs"] = f"""WITH {LONG},
+pos AS (SELECT DISTINCT failure_mode, action FROM lg),
+mi AS (SELECT failure_mode, row_number() OVER (ORDER BY failure_mode) - 1 AS i FROM (SELECT DISTINCT failure_mode FROM pos)),
+ai AS (SELECT action, row_number() OVER (ORDER BY action) - 1 AS i FROM (SELECT DISTINCT action FROM pos)),
+h AS (SELECT md5(failure_mode || '|' || action || '|42') AS h FROM pos),
+dr AS (SELECT (('0x' || substr(h, 1, 15))::BIGINT) % (SELECT count(*) FROM mi) AS m,
+              (('0x' || substr(h, 16, 15))::BIGINT) % (SELECT count(*) FROM ai) AS a FROM h)
+SELECT mi.failure_mode, ai.action
+FROM dr JOIN mi ON mi.i = dr.m JOIN ai ON ai.i = dr.a
+WHERE NOT EXISTS (SELECT 1 FROM pos WHERE pos.failure_mode = mi.failure_mode AND pos.action = ai.action)"""
+
+ORACLES["precision_at_k"] = f"""WITH {LONG},{TOP},
+act AS (SELECT DISTINCT failure_mode, action FROM lg),
+hits AS (SELECT t.failure_mode, count(*) AS hits FROM top t JOIN act a USING (failure_mode, action) GROUP BY 1),
+per AS (SELECT m.failure_mode, coalesce(hits, 0) / 5.0 AS p
+        FROM (SELECT DISTINCT failure_mode FROM act) m LEFT JOIN hits USING (failure_mode))
+SELECT {R6("avg(p)")} AS precision_at_k, count(*) AS n_modes FROM per"""
+
+ORACLES["vector_top_k"] = """
+WITH v AS (SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+c AS (SELECT label, pos, avg(CAST(x AS DOUBLE)) AS x FROM v GROUP BY 1, 2),
+cn AS (SELECT label, sqrt(sum(x * x)) AS n FROM c GROUP BY 1),
+vn AS (SELECT vec_id, sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) AS n FROM v GROUP BY 1),
+dot AS (SELECT c.label, v.vec_id, sum(c.x * CAST(v.x AS DOUBLE)) AS d FROM c JOIN v ON c.pos = v.pos GROUP BY 1, 2),
+sc AS (SELECT dot.label, dot.vec_id,
+              CASE WHEN cn.n > 0 AND vn.n > 0 THEN d / (cn.n * vn.n) ELSE 0.0 END AS score
+       FROM dot JOIN cn ON cn.label = dot.label JOIN vn ON vn.vec_id = dot.vec_id)
+SELECT label, CAST(row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, (round(score * (1.0 + 1e-12), 6) + 0.0) AS score
+FROM sc QUALIFY rank <= 5"""
+
+ORACLES["recommendation_job"] = f"""WITH {LONG},{TOP},{SIM},{_sim_top(2)}
+SELECT top.failure_mode, top.rank, top.action, top.association_strength, simk.similar_mode, simk.similarity
+FROM top LEFT JOIN simk ON simk.failure_mode = top.failure_mode AND simk.rank = top.rank"""

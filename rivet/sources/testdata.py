@@ -96,3 +96,19 @@ def drift_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 DRIFT_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 DRIFT_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey",
                "l_suppkey", "l_extendedprice"]
+
+
+def categories(spark: SparkSession) -> DataFrame:
+    """Mode -> category with ordinals: the fixed failure modes first (listed
+    order), then the benchmark brands by rule (Brand#1-10 mechanical,
+    #11-20 hydraulic, #21-25 electrical)."""
+    from rivet import constants as K
+    rows = [(m, c, i + 1) for i, (m, c) in enumerate(K.FAILURE_MODE_CATEGORIES)]
+    for n in range(1, 26):
+        cat = "mechanical" if n <= 10 else ("hydraulic" if n <= 20 else "electrical")
+        rows.append((f"Brand#{n}", cat, 100 + n))
+    return spark.createDataFrame(rows, "failure_mode string, category string, ordinal int")
+
+
+def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").alias("vector"))
