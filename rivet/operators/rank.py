@@ -53,16 +53,22 @@ def bucketize(df: DataFrame, c: str, n_buckets: int = DEFAULT_BUCKETS,
     return b.transform(x).drop(tmp)
 
 
-def prefix_sums(df: DataFrame, key: str, cols: list[str], n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Add ``cum_<c>`` = sum of ``c`` over rows with key <= this key. ``key``
-    must be unique and non-null."""
-    b = bucketize(df, key, n_buckets)
-    tot = b.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    w_all = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_b", *[F.coalesce(F.sum(f"_t_{c}").over(w_all), F.lit(0)).alias(f"_o_{c}")
-                             for c in cols])
-    j = b.join(F.broadcast(off), "_b")
-    wb = Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
+def prefix_sums(df: DataFrame, key: str, cols: list[str], n_buckets: int = DEFAULT_BUCKETS,
+                part: list[str] | tuple = (), descending: bool = False) -> DataFrame:
+    """Add ``cum_<c>`` = sum of ``c`` over rows of the same ``part`` whose
+    key is <= this key (>= when ``descending``). ``key`` must be unique
+    within ``part``. With ``part`` the buckets are shared by all groups, so
+    a group holding most rows is still spread over every bucket."""
+    part = list(part)
+    x = df.withColumn("_pk", _numeric(df, key) * F.lit(-1.0 if descending else 1.0))
+    b = bucketize(x, "_pk", n_buckets)
+    tot = b.groupBy(*part, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    w_all = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(*part, "_b", *[F.coalesce(F.sum(f"_t_{c}").over(w_all), F.lit(0)).alias(f"_o_{c}")
+                                    for c in cols])
+    # without groups the offsets table has <= n_buckets + 1 rows: broadcast
+    j = b.join(F.broadcast(off) if not part else off, [*part, "_b"])
+    wb = Window.partitionBy(*part, "_b").orderBy("_pk").rowsBetween(Window.unboundedPreceding, 0)
     return j.select(*df.columns, *[(F.col(f"_o_{c}") + F.sum(c).over(wb)).alias(f"cum_{c}")
                                    for c in cols])
 

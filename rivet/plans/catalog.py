@@ -452,3 +452,89 @@ def q_recommendation_job(spark, sf):
     sim = RC.similar_modes(long, 2)
     return top.join(sim, ["failure_mode", "rank"], "left").select(
         "failure_mode", "rank", "action", "association_strength", "similar_mode", "similarity")
+
+
+# --- allocation and what-if (K1-K6) --------------------------------------------------
+from rivet.operators import allocate as AL  # noqa: E402
+
+FIELD = ["field_id"]
+
+
+def _asset_rul(spark, sf):
+    rul = FT.rul_labels(_series(spark, sf, with_orders=False))
+    last = latest_per_key(rul.select("asset_id", "timestamp", "reading_id", "rul_hours"),
+                          "asset_id", ["timestamp", "reading_id"])
+    return last.select("asset_id", F.col("rul_hours").alias("predicted_rul_hours"))
+
+
+def _health(spark, sf):
+    wells = td.wells(spark, sf).select("field_id", "well_id", "max_capacity_bpd")
+    risk = _asset_scores(spark, sf)
+    return AL.health_capacity(wells, risk, _asset_rul(spark, sf))
+
+
+def _limits(spark, sf):
+    w = td.wells(spark, sf)
+    tot = F.sum(F.col("max_capacity_bpd").cast(AL.DEC))
+    return w.groupBy("field_id").agg(
+        F.bround(tot * F.lit(0.55).cast("decimal(3,2)"), 0).alias("pipeline_capacity_bpd"),
+        F.bround(tot * F.lit(0.60).cast("decimal(3,2)"), 0).alias("compressor_capacity_bpd"))
+
+
+def _dbl(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) if t.startswith("decimal") else F.col(c)
+                       for c, t in df.dtypes])
+
+
+TD_SCENARIOS = [("Baseline", 0, None, None, None),
+                ("Pipeline +500 bpd", 1, 500.0, None, None),
+                ("Top well degrades 50%", 2, None, None, 0.5),
+                ("Compressor +300 bpd", 3, None, 300.0, None)]
+
+
+def _plans(spark, sf):
+    h = _health(spark, sf)
+    target = h.groupBy("field_id").agg(F.max("well_id").alias("well_id"))
+    return AL.what_if(h, _limits(spark, sf), AL.scenarios_table(spark, TD_SCENARIOS), FIELD, target)
+
+
+@query("health_capacity")
+def q_health_capacity(spark, sf):
+    """K6 + C6 + C8 + B6: derated safe capacity by positional asset-well pairing."""
+    return _dbl(_health(spark, sf)).select("field_id", "well_id", "max_capacity_bpd", "health_asset_id",
+                                           "safe_capacity_bpd", "health_status")
+
+
+@query("allocation_plan")
+def q_allocation_plan(spark, sf):
+    """K1 + K3 + E10: closed-form optimal allocation per field with utilisation."""
+    plan = AL.allocate(_health(spark, sf), _limits(spark, sf), FIELD)
+    return _dbl(plan).select("field_id", "well_id", "safe_capacity_bpd", "health_status",
+                             "allocated_production_bpd", "utilization_pct", "status")
+
+
+@query("binding_constraints")
+def q_binding_constraints(spark, sf):
+    """K2 + B19: binding shared limits and wells at full safe capacity."""
+    lim = _limits(spark, sf)
+    plan = AL.allocate(_health(spark, sf), lim, FIELD)
+    return AL.binding_constraints(plan, lim, FIELD)
+
+
+@query("allocation_kpis")
+def q_allocation_kpis(spark, sf):
+    """Total, wells at full capacity, wells at the fairness floor per field."""
+    return AL.kpis(AL.allocate(_health(spark, sf), _limits(spark, sf), FIELD), FIELD)
+
+
+@query("whatif_plans")
+def q_whatif_plans(spark, sf):
+    """K4 + B14: all scenarios solved in one pass by (field, scenario)."""
+    return _dbl(_plans(spark, sf)).select("field_id", "scenario", "well_id", "safe_capacity_bpd",
+                                          "health_status", "allocated_production_bpd", "utilization_pct")
+
+
+@query("scenario_comparison")
+def q_scenario_comparison(spark, sf):
+    """K5: delta and percent change of each scenario against the baseline."""
+    return AL.compare_scenarios(_plans(spark, sf), FIELD)

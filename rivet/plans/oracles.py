@@ -518,3 +518,112 @@ FROM sc QUALIFY rank <= 5"""
 ORACLES["recommendation_job"] = f"""WITH {LONG},{TOP},{SIM},{_sim_top(2)}
 SELECT top.failure_mode, top.rank, top.action, top.association_strength, simk.similar_mode, simk.similarity
 FROM top LEFT JOIN simk ON simk.failure_mode = top.failure_mode AND simk.rank = top.rank"""
+
+
+# --- allocation ------------------------------------------------------------------------
+HEALTH = f"""{BASE},
+{SCORED.strip()},
+risk AS (SELECT user_id AS asset_id, score AS risk FROM e
+         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+rul AS (SELECT asset_id, least(hours_to_failure, 3000.0) AS rul FROM s WHERE next_f IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY "timestamp" DESC, reading_id DESC) = 1),
+hr AS (SELECT risk.asset_id, risk.risk, rul.rul,
+              row_number() OVER (ORDER BY risk.risk DESC, risk.asset_id) AS i
+       FROM risk LEFT JOIN rul ON rul.asset_id = risk.asset_id),
+wl AS (SELECT p_brand AS field_id, p_partkey AS well_id, p_retailprice AS max_capacity_bpd,
+              row_number() OVER (ORDER BY p_partkey) AS i FROM part),
+hc AS (SELECT wl.field_id, wl.well_id, wl.max_capacity_bpd, hr.asset_id AS health_asset_id,
+              CASE WHEN hr.asset_id IS NULL
+                   THEN round_even(CAST(max_capacity_bpd AS DECIMAL(20,4)), 1)
+                   ELSE round_even(CAST(max_capacity_bpd AS DECIMAL(20,4)) *
+                        CASE WHEN coalesce(risk, 0.1) > 0.7 OR coalesce(rul, 1000.0) < 50 THEN 0.3
+                             WHEN coalesce(risk, 0.1) > 0.4 OR coalesce(rul, 1000.0) < 200 THEN 0.7
+                             ELSE 1.0 END, 1) END AS safe,
+              CASE WHEN hr.asset_id IS NULL THEN 'No health data - assumed healthy'
+                   WHEN coalesce(risk, 0.1) > 0.7 OR coalesce(rul, 1000.0) < 50 THEN 'CRITICAL - Derated'
+                   WHEN coalesce(risk, 0.1) > 0.4 OR coalesce(rul, 1000.0) < 200 THEN 'DEGRADED - Reduced'
+                   ELSE 'HEALTHY - Full capacity' END AS health_status
+       FROM wl LEFT JOIN hr ON hr.i = wl.i),
+lim AS (SELECT p_brand AS field_id,
+               round_even(sum(CAST(p_retailprice AS DECIMAL(20,4))) * 0.55, 0) AS pipe,
+               round_even(sum(CAST(p_retailprice AS DECIMAL(20,4))) * 0.60, 0) AS comp
+        FROM part GROUP BY 1)"""
+
+
+def _alloc_sql(src: str, part: str) -> str:
+    return f"""
+al0 AS (SELECT {src}.*, safe * 0.30 AS fl, safe - safe * 0.30 AS hd,
+               sum(safe - safe * 0.30) OVER (PARTITION BY {part} ORDER BY well_id DESC) AS cum_hd,
+               sum(safe * 0.30) OVER (PARTITION BY {part}) AS sfl,
+               least(lim2.pipe, lim2.comp) AS cap
+        FROM {src} JOIN lim2 USING ({part})),
+al AS (SELECT *, CASE WHEN sfl <= cap
+                      THEN round_even(fl + least(greatest(cap - sfl - (cum_hd - hd), 0), hd), 1) END AS x
+       FROM al0)"""
+
+
+ORACLES["health_capacity"] = f"""{HEALTH}
+SELECT field_id, well_id, max_capacity_bpd, health_asset_id, CAST(safe AS DOUBLE) AS safe_capacity_bpd,
+       health_status FROM hc"""
+
+PLAN = f"""{HEALTH},
+lim2 AS (SELECT * FROM lim),{_alloc_sql("hc", "field_id")}"""
+
+ORACLES["allocation_plan"] = f"""{PLAN}
+SELECT field_id, well_id, CAST(safe AS DOUBLE) AS safe_capacity_bpd, health_status,
+       CAST(x AS DOUBLE) AS allocated_production_bpd,
+       round_even(CAST(x AS DOUBLE) / CAST(safe AS DOUBLE) * 100.0, 1) AS utilization_pct,
+       CASE WHEN sfl <= cap THEN 'optimal' ELSE 'infeasible' END AS status
+FROM al"""
+
+ORACLES["binding_constraints"] = f"""{PLAN},
+tot AS (SELECT field_id, CAST(round_even(sum(x), 1) AS DOUBLE) AS total FROM al GROUP BY 1)
+SELECT field_id, 0 AS seq, CAST(NULL AS BIGINT) AS well_id,
+       'Pipeline capacity (' || CAST(CAST(pipe AS BIGINT) AS VARCHAR) ||
+       ' bpd) is FULLY UTILIZED - this is the limiting factor for total output' AS message
+FROM tot JOIN lim USING (field_id) WHERE abs(total - CAST(pipe AS DOUBLE)) < 0.5
+UNION ALL
+SELECT field_id, 1, NULL, 'Compressor capacity (' || CAST(CAST(comp AS BIGINT) AS VARCHAR) ||
+       ' bpd) is FULLY UTILIZED - this is the limiting factor for total output'
+FROM tot JOIN lim USING (field_id) WHERE abs(total - CAST(comp AS DOUBLE)) < 0.5
+UNION ALL
+SELECT field_id, 2, well_id, CAST(well_id AS VARCHAR) || ' is producing at its FULL safe capacity (' ||
+       CAST(CAST(round_even(safe, 0) AS BIGINT) AS VARCHAR) || ' bpd) - ' || health_status
+FROM al WHERE abs(CAST(x AS DOUBLE) - CAST(safe AS DOUBLE)) < 0.5"""
+
+ORACLES["allocation_kpis"] = f"""{PLAN}
+SELECT field_id, CAST(round_even(sum(x), 1) AS DOUBLE) AS total_production,
+       CAST(sum(CASE WHEN round_even(CAST(x AS DOUBLE) / CAST(safe AS DOUBLE) * 100.0, 1) >= 99 THEN 1 ELSE 0 END) AS BIGINT)
+         AS wells_at_full_capacity,
+       CAST(sum(CASE WHEN round_even(CAST(x AS DOUBLE) / CAST(safe AS DOUBLE) * 100.0, 1) <= 31 THEN 1 ELSE 0 END) AS BIGINT)
+         AS wells_at_fairness_floor
+FROM al GROUP BY 1"""
+
+WHATIF = f"""{HEALTH},
+sc AS (SELECT * FROM (VALUES ('Baseline', 0.0, 0.0, NULL), ('Pipeline +500 bpd', 500.0, 0.0, NULL),
+                              ('Top well degrades 50%', 0.0, 0.0, 0.5), ('Compressor +300 bpd', 0.0, 300.0, NULL))
+              t(scenario, dp, dc, f)),
+tg AS (SELECT field_id, max(well_id) AS tw FROM hc GROUP BY 1),
+hs AS (SELECT hc.field_id || '|' || sc.scenario AS fs, hc.field_id, sc.scenario, hc.well_id,
+              CASE WHEN sc.f IS NOT NULL AND hc.well_id = tg.tw
+                   THEN CAST(CAST(max_capacity_bpd AS DECIMAL(20,4)) * CAST(sc.f AS DECIMAL(4,2)) AS DECIMAL(20,4))
+                   ELSE safe END AS safe,
+              CASE WHEN sc.f IS NOT NULL AND hc.well_id = tg.tw THEN 'SIMULATED - Further Degraded'
+                   ELSE health_status END AS health_status
+       FROM hc JOIN tg USING (field_id) CROSS JOIN sc),
+lim2 AS (SELECT lim.field_id || '|' || sc.scenario AS fs, pipe + dp AS pipe, comp + dc AS comp FROM lim CROSS JOIN sc),
+{_alloc_sql("hs", "fs").strip()}"""
+
+ORACLES["whatif_plans"] = f"""{WHATIF}
+SELECT field_id, scenario, well_id, CAST(safe AS DOUBLE) AS safe_capacity_bpd, health_status,
+       CAST(x AS DOUBLE) AS allocated_production_bpd,
+       round_even(CAST(x AS DOUBLE) / CAST(safe AS DOUBLE) * 100.0, 1) AS utilization_pct
+FROM al"""
+
+ORACLES["scenario_comparison"] = f"""{WHATIF},
+tot AS (SELECT field_id, scenario, round_even(sum(x), 1) AS t FROM al GROUP BY 1, 2)
+SELECT s.field_id, s.scenario, CAST(b.t AS DOUBLE) AS baseline_production, CAST(s.t AS DOUBLE) AS scenario_production,
+       CAST(round_even(s.t - b.t, 1) AS DOUBLE) AS delta_bpd,
+       round_even(CAST(s.t - b.t AS DOUBLE) / CAST(b.t AS DOUBLE) * 100.0, 2) AS pct_change
+FROM tot s JOIN tot b ON b.field_id = s.field_id AND b.scenario = 'Baseline'
+WHERE s.scenario <> 'Baseline'"""
