@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,9 +42,14 @@ def _numeric(df: DataFrame, c: str) -> Column:
 
 def bucketize(df: DataFrame, c: str, n_buckets: int = DEFAULT_BUCKETS,
               rel_err: float = 1e-3, out: str = "_b") -> DataFrame:
-    """Add ``out``: a bucket id monotone in column ``c`` (quantile buckets)."""
+    """Add ``out``: a bucket id monotone in column ``c`` (quantile buckets).
+
+    The input is persisted (memory, spilling to disk) so the boundary pass
+    and the bucketing pass read it once; boundaries are literals afterwards,
+    so a partition recomputed after an executor loss buckets identically.
+    """
     tmp = "_bk_key"
-    x = df.withColumn(tmp, _numeric(df, c))
+    x = df.withColumn(tmp, _numeric(df, c)).persist(StorageLevel.MEMORY_AND_DISK)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     qs = [q for q in x.approxQuantile(tmp, probs, rel_err) if q is not None and math.isfinite(q)]
     splits = [-math.inf] + sorted(set(qs)) + [math.inf]
