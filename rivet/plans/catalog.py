@@ -538,3 +538,127 @@ def q_whatif_plans(spark, sf):
 def q_scenario_comparison(spark, sf):
     """K5: delta and percent change of each scenario against the baseline."""
     return AL.compare_scenarios(_plans(spark, sf), FIELD)
+
+
+# --- preparation, scoring jobs, fleet report (J1, J2, F3-F6, K9, K10, K14, K15, D18) ---
+from rivet.operators import prep as PR  # noqa: E402
+from rivet.plans import scoring as SC  # noqa: E402
+from rivet import constants as KC  # noqa: E402
+
+
+@query("asset_split")
+def q_asset_split(spark, sf):
+    """Assets ordered by seeded md5, first ceil(0.2 n) are test."""
+    return PR.asset_split(td.readings(spark, sf), rule="ceil")
+
+
+@query("scaled_test_features")
+def q_scaled_test_features(spark, sf):
+    """J2 + B2 + B3 + B4: scaler fit on normal rows of train assets, applied to test assets."""
+    r = td.readings(spark, sf)
+    split = PR.asset_split(r, rule="floor1")
+    train, test = PR.split_rows(r, split)
+    cols = td.TESTDATA_SENSORS
+    stats = PR.fit_scaler(train.filter(F.col("operating_mode") == "normal"), cols)
+    out = PR.apply_scaler(test, stats, cols)
+    return out.select("asset_id", "reading_id", *[r6(c).alias(c) for c in cols],
+                      (F.col("operating_mode") != "normal").cast("int").alias("true_anomaly"))
+
+
+@query("hash_sample")
+def q_hash_sample(spark, sf):
+    """500 readings with the smallest seeded hash of their id."""
+    return PR.hash_sample(td.readings(spark, sf), 500, ["reading_id"]).select("asset_id", "reading_id")
+
+
+@query("top_readings")
+def q_top_readings(spark, sf):
+    """global top-15 readings by vibration, ties by id."""
+    return PR.top_n(td.readings(spark, sf), F.col("vibration_mm").desc(), 15, "reading_id").select(
+        "asset_id", "reading_id", "vibration_mm")
+
+
+@query("top_deviations")
+def q_top_deviations(spark, sf):
+    """five latest readings with the largest |z| of vibration."""
+    from rivet.operators.rootcause import sensor_baselines, with_zscores
+    r = td.readings(spark, sf)
+    latest = latest_per_key(r, "asset_id", ["timestamp", "reading_id"])
+    z = with_zscores(latest, sensor_baselines(r, td.TESTDATA_SENSORS), td.TESTDATA_SENSORS)
+    top = PR.top_n(z, F.abs(F.col("z_vibration_mm")).desc(), 5, "asset_id")
+    return top.select("asset_id", r6("z_vibration_mm").alias("z_vibration_mm"))
+
+
+@query("head_rul_labels")
+def q_head_rul_labels(spark, sf):
+    """preview of the first 20 RUL rows by (asset, time)."""
+    rul = FT.rul_labels(_series(spark, sf, with_orders=False))
+    return (rul.orderBy("asset_id", "timestamp", "reading_id").limit(20)
+               .select("asset_id", "reading_id", r6("rul_hours").alias("rul_hours")))
+
+
+def _risk_report(spark, sf):
+    return SC.risk_report(_asset_scores(spark, sf))
+
+
+def _rul_pred(spark, sf):
+    s = _series(spark, sf, with_orders=False)
+    seq = FT.latest_sequences(s, td.TESTDATA_SENSORS, length=60)
+    mean_k = F.aggregate("sequence", F.lit(0.0), lambda acc, x: acc + x[1].cast("double")) / F.size("sequence")
+    return SC.rul_report(seq.select("asset_id", (mean_k * 10.0 - 100.0).alias("predicted_rul_hours")))
+
+
+@query("risk_scoring")
+def q_risk_scoring(spark, sf):
+    """K9 + B10 + E7: latest state of every asset, category and priority rank."""
+    return _risk_report(spark, sf).select(
+        "asset_id", r6("failure_risk_score").alias("failure_risk_score"), "risk_category",
+        F.col("maintenance_priority_rank").cast("long").alias("maintenance_priority_rank"))
+
+
+@query("rul_scoring")
+def q_rul_scoring(spark, sf):
+    """K10 + E6 + B9 + B16 + E7: RUL from the last 60 readings, clipped, ranked."""
+    p = _rul_pred(spark, sf)
+    return p.select("asset_id", r6("predicted_rul_hours").alias("predicted_rul_hours"),
+                    r6("predicted_rul_days").alias("predicted_rul_days"),
+                    F.col("maintenance_urgency_rank").cast("long").alias("maintenance_urgency_rank"))
+
+
+@query("fleet_report")
+def q_fleet_report(spark, sf):
+    """K14 + C5 + B11 + B18: risk left-join RUL, diagnosis and first action."""
+    risk = _risk_report(spark, sf)
+    rul = _rul_pred(spark, sf)
+    rep = root_cause_report(td.readings(spark, sf), td.TESTDATA_SENSORS)
+    keys = RC.diagnosis_keys(rep)
+    recs = RC.recommend_with_fallback(_long(spark, sf), keys.select("failure_mode"), td.categories(spark), 5)
+    first = keys.join(recs, "failure_mode").select(
+        "asset_id", "method", F.try_element_at("recommendations", F.lit(1))["action"].alias("first_action"))
+    out = SC.fleet_report(risk, rul, rep, first)
+    return out.select(F.col("asset_id").alias("Asset"), F.col("status").alias("Status"),
+                      r6("failure_risk_score").alias("Failure Risk"), F.col("risk_category").alias("Category"),
+                      F.col("maintenance_priority_rank").cast("long").alias("Priority Rank"),
+                      r6("predicted_rul_hours").alias("RUL (hours)"), "recommended_action", "likely_cause",
+                      "method", "first_action")
+
+
+@query("fleet_kpis")
+def q_fleet_kpis(spark, sf):
+    """Assets, high-risk assets, mean risk, most urgent RUL."""
+    return _r6all(SC.fleet_kpis(_risk_report(spark, sf), _rul_pred(spark, sf)))
+
+
+@query("work_orders")
+def q_work_orders(spark, sf):
+    """K15 + G1 + B19: corrective orders from failures, then preventive visits, WO-%05d ids."""
+    ev = td.table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    modes = F.array(*[F.lit(m) for m, _ in KC.FAILURE_MODE_CATEGORIES])
+    fail = ev.filter(F.col("event_type") == "error").select(
+        F.col("user_id").alias("asset_id"), F.col("ts").alias("failure_date"),
+        F.element_at(modes, (k % len(KC.FAILURE_MODE_CATEGORIES)) + 1).alias("failure_mode"),
+        k.alias("downtime_hours"), F.col("event_id").alias("_tie"))
+    prev = ev.filter(F.col("event_type") == "signup").select(
+        F.col("user_id").alias("asset_id"), F.col("ts").alias("work_order_date"), F.col("event_id").alias("_tie"))
+    return SC.work_orders(fail, prev)

@@ -627,3 +627,107 @@ SELECT s.field_id, s.scenario, CAST(b.t AS DOUBLE) AS baseline_production, CAST(
        round_even(CAST(s.t - b.t AS DOUBLE) / CAST(b.t AS DOUBLE) * 100.0, 2) AS pct_change
 FROM tot s JOIN tot b ON b.field_id = s.field_id AND b.scenario = 'Baseline'
 WHERE s.scenario <> 'Baseline'"""
+
+
+# --- preparation, scoring, fleet report ---------------------------------------------
+def _hash_sql(expr: str, seed: int = 42) -> str:
+    return f"(('0x' || substr(md5(CAST({expr} AS VARCHAR) || '|{seed}'), 1, 15))::BIGINT)"
+
+
+ORACLES["asset_split"] = f"""
+WITH a AS (SELECT DISTINCT user_id AS asset_id FROM events),
+h AS (SELECT asset_id, row_number() OVER (ORDER BY {_hash_sql("asset_id")}, asset_id) AS rn,
+             count(*) OVER () AS n FROM a)
+SELECT asset_id, CASE WHEN rn <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM h"""
+
+ORACLES["scaled_test_features"] = f"""WITH {READINGS},
+a AS (SELECT DISTINCT asset_id FROM r),
+h AS (SELECT asset_id, row_number() OVER (ORDER BY {_hash_sql("asset_id")}, asset_id) AS rn,
+             count(*) OVER () AS n FROM a),
+t AS (SELECT asset_id FROM h WHERE rn <= greatest(1, floor(0.2 * n))),
+st AS (SELECT avg(vibration_mm) AS mv, CASE WHEN stddev_pop(vibration_mm) > 0 THEN stddev_pop(vibration_mm) ELSE 1.0 END AS sv,
+              avg(temperature_f) AS mt, CASE WHEN stddev_pop(temperature_f) > 0 THEN stddev_pop(temperature_f) ELSE 1.0 END AS stt
+       FROM r WHERE asset_id NOT IN (SELECT asset_id FROM t) AND operating_mode = 'normal')
+SELECT asset_id, reading_id, {R6("(vibration_mm - mv) / sv")} AS vibration_mm,
+       {R6("(temperature_f - mt) / stt")} AS temperature_f,
+       CASE WHEN operating_mode <> 'normal' THEN 1 ELSE 0 END AS true_anomaly
+FROM r, st WHERE asset_id IN (SELECT asset_id FROM t)"""
+
+ORACLES["hash_sample"] = f"""WITH {READINGS}
+SELECT asset_id, reading_id FROM r ORDER BY {_hash_sql("reading_id")}, reading_id LIMIT 500"""
+
+ORACLES["top_readings"] = f"""WITH {READINGS}
+SELECT asset_id, reading_id, vibration_mm FROM r ORDER BY vibration_mm DESC, reading_id LIMIT 15"""
+
+ORACLES["top_deviations"] = f"""WITH {READINGS},
+b AS (SELECT avg(vibration_mm) AS mv, stddev_samp(vibration_mm) AS sv FROM r WHERE operating_mode = 'normal'),
+l AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY "timestamp" DESC, reading_id DESC) = 1),
+z AS (SELECT asset_id, CASE WHEN sv > 0 THEN (vibration_mm - mv) / sv ELSE 0.0 END AS z FROM l, b)
+SELECT asset_id, {R6("z")} AS z_vibration_mm FROM z ORDER BY abs(z) DESC, asset_id LIMIT 5"""
+
+ORACLES["head_rul_labels"] = f"""{BASE}
+SELECT asset_id, reading_id, {R6("least(hours_to_failure, 3000.0)")} AS rul_hours FROM s
+WHERE next_f IS NOT NULL ORDER BY asset_id, "timestamp", reading_id LIMIT 20"""
+
+RISK = f"""{SCORED.strip()},
+rk AS (SELECT user_id AS asset_id, score AS failure_risk_score FROM e
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+rr AS (SELECT asset_id, failure_risk_score,
+              CASE WHEN failure_risk_score > 0 AND failure_risk_score <= 0.3 THEN 'Low'
+                   WHEN failure_risk_score > 0.3 AND failure_risk_score <= 0.6 THEN 'Medium'
+                   WHEN failure_risk_score > 0.6 AND failure_risk_score <= 1.0 THEN 'High' END AS risk_category,
+              row_number() OVER (ORDER BY failure_risk_score DESC, asset_id) AS maintenance_priority_rank
+       FROM rk)"""
+
+RULP = f"""
+ls AS (SELECT asset_id, temperature_f,
+              row_number() OVER (PARTITION BY asset_id ORDER BY "timestamp" DESC, reading_id DESC) AS back,
+              count(*) OVER (PARTITION BY asset_id) AS n FROM r),
+rp AS (SELECT asset_id, greatest(avg(CAST(CAST(temperature_f AS FLOAT) AS DOUBLE)) * 10.0 - 100.0, 0.0) AS h
+       FROM ls WHERE n >= 60 AND back <= 60 GROUP BY asset_id),
+ru AS (SELECT asset_id, h AS predicted_rul_hours, h / 24.0 AS predicted_rul_days,
+              row_number() OVER (ORDER BY h, asset_id) AS maintenance_urgency_rank FROM rp)"""
+
+ORACLES["risk_scoring"] = f"""WITH {RISK}
+SELECT asset_id, {R6("failure_risk_score")} AS failure_risk_score, risk_category, maintenance_priority_rank FROM rr"""
+
+ORACLES["rul_scoring"] = f"""WITH {READINGS},{RULP}
+SELECT asset_id, {R6("predicted_rul_hours")} AS predicted_rul_hours, {R6("predicted_rul_days")} AS predicted_rul_days,
+       maintenance_urgency_rank FROM ru"""
+
+ORACLES["fleet_report"] = f"""WITH {READINGS},{LONG},{CATS},{TOP},{DIAG_KEYS},
+lookups AS (SELECT failure_mode FROM dk),{FALLBACK},
+{RISK.strip()},{RULP},
+zz AS (SELECT asset_id, CASE WHEN zv > 1.5 AND zt > 1.0 THEN 'Bearing wear' ELSE 'Unclassified anomaly' END AS likely_cause FROM z),
+fa AS (SELECT dk.asset_id, flat.method, flat.action AS first_action FROM dk JOIN flat ON flat.failure_mode = dk.failure_mode
+       WHERE flat.rank = 1 OR flat.rank IS NULL)
+SELECT rr.asset_id AS "Asset",
+       CASE risk_category WHEN 'High' THEN '🔴' WHEN 'Medium' THEN '🟡' WHEN 'Low' THEN '🟢' ELSE '⚪' END AS "Status",
+       {R6("failure_risk_score")} AS "Failure Risk", risk_category AS "Category",
+       maintenance_priority_rank AS "Priority Rank", {R6("predicted_rul_hours")} AS "RUL (hours)",
+       CASE WHEN failure_risk_score > 0.8 THEN 'URGENT' WHEN failure_risk_score > 0.5 THEN 'MODERATE' ELSE 'NORMAL' END
+         AS recommended_action,
+       zz.likely_cause, fa.method, fa.first_action
+FROM rr LEFT JOIN ru ON ru.asset_id = rr.asset_id LEFT JOIN zz ON zz.asset_id = rr.asset_id
+     LEFT JOIN fa ON fa.asset_id = rr.asset_id"""
+
+ORACLES["fleet_kpis"] = f"""WITH {READINGS},{RISK},{RULP}
+SELECT (SELECT count(*) FROM rr) AS total_assets,
+       (SELECT CAST(sum(CASE WHEN risk_category = 'High' THEN 1 ELSE 0 END) AS BIGINT) FROM rr) AS high_risk_assets,
+       (SELECT {R6("avg(failure_risk_score)")} FROM rr) AS avg_fleet_risk,
+       (SELECT {R6("min(predicted_rul_hours)")} FROM ru) AS min_rul_hours"""
+
+ORACLES["work_orders"] = """
+WITH f AS (SELECT user_id AS asset_id, ts AS d, event_id,
+                  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE event_type = 'error'),
+fm AS (SELECT *, (['bearing_wear', 'shaft_misalignment', 'rotor_imbalance', 'lubrication_failure', 'seal_leakage',
+                   'cavitation', 'impeller_erosion', 'motor_winding_failure'])[k % 8 + 1] AS mode,
+              row_number() OVER (ORDER BY d, asset_id, event_id) AS n FROM f),
+p AS (SELECT user_id AS asset_id, ts AS d, row_number() OVER (ORDER BY ts, user_id, event_id) AS n
+      FROM events WHERE event_type = 'signup')
+SELECT 'WO-' || lpad(CAST(n AS VARCHAR), 5, '0') AS work_order_id, asset_id, d AS work_order_date,
+       'corrective' AS work_order_type, 'Repair for ' || mode AS description,
+       'Addressed ' || mode || '. Downtime: ' || CAST(k AS VARCHAR) || ' hours.' AS technician_notes FROM fm
+UNION ALL
+SELECT 'WO-' || lpad(CAST(n + (SELECT count(*) FROM f) AS VARCHAR), 5, '0'), asset_id, d, 'preventive',
+       'Routine scheduled inspection', 'No issues found. Lubrication checked.' FROM p"""
