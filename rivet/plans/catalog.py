@@ -662,3 +662,39 @@ def q_work_orders(spark, sf):
     prev = ev.filter(F.col("event_type") == "signup").select(
         F.col("user_id").alias("asset_id"), F.col("ts").alias("work_order_date"), F.col("event_id").alias("_tie"))
     return SC.work_orders(fail, prev)
+
+
+# --- sources and sinks (A1-A8) -------------------------------------------------------
+from rivet.sources import io as IO  # noqa: E402
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    """A1 + A2 + A8: readings written as CSV, read back with a declared schema, timestamps parsed."""
+    r = td.readings(spark, sf)
+    path = IO.scratch_path(spark, "readings-csv")
+    IO.write_csv(r.withColumn("timestamp", IO.format_timestamp("timestamp")), path)
+    schema = ("asset_id bigint, timestamp string, reading_id bigint, operating_mode string, "
+              "vibration_mm double, temperature_f double")
+    back = IO.read_csv(spark, path, schema)
+    return back.withColumn("timestamp", IO.parse_timestamp("timestamp"))
+
+
+@query("json_limits")
+def q_json_limits(spark, sf):
+    """A3 + A4: per-field limits written as JSON and read back with a schema."""
+    path = IO.scratch_path(spark, "limits-json")
+    IO.write_json(_limits(spark, sf), path)
+    return IO.read_json_lines(spark, path, "field_id string, pipeline_capacity_bpd double, "
+                                           "compressor_capacity_bpd double")
+
+
+@query("snapshot_latest")
+def q_snapshot_latest(spark, sf):
+    """A5 + A6: two scoring runs appended as run_ts partitions; the latest is read back."""
+    cur = q_risk_scoring(spark, sf)
+    path = IO.scratch_path(spark, "risk-snapshots")
+    IO.write_snapshot(cur.withColumn("failure_risk_score", F.col("failure_risk_score") * 0.5),
+                      path, "20240101_000000")
+    IO.write_snapshot(cur, path, "20240102_000000")
+    return IO.latest_snapshot(spark, path)

@@ -731,3 +731,15 @@ SELECT 'WO-' || lpad(CAST(n AS VARCHAR), 5, '0') AS work_order_id, asset_id, d A
 UNION ALL
 SELECT 'WO-' || lpad(CAST(n + (SELECT count(*) FROM f) AS VARCHAR), 5, '0'), asset_id, d, 'preventive',
        'Routine scheduled inspection', 'No issues found. Lubrication checked.' FROM p"""
+
+
+# --- sources and sinks -------------------------------------------------------------------
+ORACLES["csv_roundtrip"] = f"WITH {READINGS} SELECT * FROM r"
+
+ORACLES["json_limits"] = """
+SELECT p_brand AS field_id,
+       CAST(round_even(sum(CAST(p_retailprice AS DECIMAL(20,4))) * 0.55, 0) AS DOUBLE) AS pipeline_capacity_bpd,
+       CAST(round_even(sum(CAST(p_retailprice AS DECIMAL(20,4))) * 0.60, 0) AS DOUBLE) AS compressor_capacity_bpd
+FROM part GROUP BY 1"""
+
+ORACLES["snapshot_latest"] = ORACLES["risk_scoring"]
