@@ -698,3 +698,104 @@ def q_snapshot_latest(spark, sf):
                       path, "20240101_000000")
     IO.write_snapshot(cur, path, "20240102_000000")
     return IO.latest_snapshot(spark, path)
+
+
+# --- models (J3, J5, J6, J12, J13, A7) --------------------------------------------------
+from pyspark import StorageLevel  # noqa: E402
+
+from rivet.plans import models as MD  # noqa: E402
+
+FEATURE_EXCLUDE = ["asset_id", "timestamp", "reading_id", "operating_mode", "_us", "rn", "n_rows",
+                   "next_failure_us", "last_order_us", "first_order_us", "hours_to_failure"]
+LABEL = "failure_within_1d"
+
+
+def _training_frames(spark, sf):
+    f = _features(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    cols = PR.feature_columns(f, FEATURE_EXCLUDE)
+    split = PR.asset_split(f, rule="ceil")
+    train, test = PR.split_rows(f, split)
+    return f, train, test, cols
+
+
+def _comparison(spark, sf):
+    _, train, test, cols = _training_frames(spark, sf)
+    models, metrics = MD.compare_classifiers(train, test, cols, LABEL, memo_key=(sf, "classifiers"))
+    return models, metrics, cols
+
+
+@query("classifier_comparison")
+def q_classifier_comparison(spark, sf):
+    """J3a-d + J12 + D10 + D20: RF and two boosted-tree configurations on
+    asset-split features, precision / recall / F1 / ROC-AUC on test assets."""
+    _, metrics, _ = _comparison(spark, sf)
+    return _r6all(metrics)
+
+
+@query("best_classifier")
+def q_best_classifier(spark, sf):
+    """D17 + D22: best model by F1 and the 0.70 quality gate."""
+    _, metrics, _ = _comparison(spark, sf)
+    best = MD.best_model(metrics, "f1")
+    return _r6all(best.withColumn("passed_gate", F.col("f1") >= F.lit(KC.QUALITY_GATE_F1)))
+
+
+@query("model_runs")
+def q_model_runs(spark, sf):
+    """J13 + A7: runs logged with version = max + 1, best promoted to Staging,
+    its artifact saved, loaded back by the registry row and used to score."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+    models, metrics, cols = _comparison(spark, sf)
+    runs = IO.scratch_path(spark, "model-runs")
+    for row in metrics.collect():  # one row per model: metadata only
+        path = IO.scratch_path(spark, "model")
+        m = models[row["model"]]
+        m.write().overwrite().save(path)
+        IO.log_run(spark, runs, "failure-risk", path, {"model": row["model"]},
+                   {k: row[k] for k in ("precision", "recall", "f1", "roc_auc") if row[k] is not None})
+    best = IO.promote(spark, runs, "failure-risk", "f1").first()
+    loader = {"Random Forest": RandomForestClassificationModel}.get(
+        spark.read.parquet(runs).filter(F.col("version") == best["version"]).first()["params"]["model"])
+    if loader is None:
+        from pyspark.ml.classification import GBTClassificationModel as loader
+    reloaded = loader.load(best["path"])
+    scored = MD.positive_probability(reloaded, _features(spark, sf), cols)
+    return (spark.read.parquet(runs)
+                 .select("name", "version", F.col("params")["model"].alias("model"),
+                         F.when(F.col("version") == best["version"], F.lit("Staging")).otherwise(F.lit("None"))
+                         .alias("stage"), r6(F.col("metrics")["f1"]).alias("f1"))
+                 .crossJoin(scored.agg(F.count("*").alias("scored_rows"))))
+
+
+@query("model_risk_scoring")
+def q_model_risk_scoring(spark, sf):
+    """K9 with the random forest: latest reading of every asset, class-1
+    probability, category and priority rank."""
+    models, _, cols = _comparison(spark, sf)
+    f = _features(spark, sf)
+    latest = latest_per_key(f, "asset_id", ["timestamp", "reading_id"])
+    p = MD.positive_probability(models["Random Forest"], latest, cols, "failure_risk_score")
+    return SC.risk_report(p.select("asset_id", "timestamp", "failure_risk_score")).select(
+        "asset_id", "timestamp", r6("failure_risk_score").alias("failure_risk_score"), "risk_category",
+        "maintenance_priority_rank")
+
+
+@query("rul_model_comparison")
+def q_rul_model_comparison(spark, sf):
+    """J5 + D11: tree regressors on flattened 20-step sequences, asset split."""
+    rul = FT.rul_labels(_series(spark, sf, with_orders=False))
+    seq = FT.sequences(rul, td.TESTDATA_SENSORS, length=TD_SEQ_LEN, stride=TD_SEQ_STRIDE)
+    flat, cols = MD.flatten_sequences(seq, len(td.TESTDATA_SENSORS), TD_SEQ_LEN)
+    flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
+    split = PR.asset_split(flat, rule="floor1")
+    train, test = PR.split_rows(flat, split)
+    return _r6all(MD.compare_regressors(train, test, cols, "target"))
+
+
+@query("als_recommendations")
+def q_als_recommendations(spark, sf):
+    """J6 + J9 + D15: implicit ALS factors, cosine top-5 actions per mode, Precision@5."""
+    long = _long(spark, sf)
+    uf, itf = MD.als_embeddings(long)
+    top = RC.vector_top_k(uf, itf, 5, "failure_mode", "action")
+    return _r6all(RC.precision_at_k(top, long, 5))
