@@ -799,3 +799,98 @@ def q_als_recommendations(spark, sf):
     uf, itf = MD.als_embeddings(long)
     top = RC.vector_top_k(uf, itf, 5, "failure_mode", "action")
     return _r6all(RC.precision_at_k(top, long, 5))
+
+
+# --- isolation forest (J4, K16) ----------------------------------------------------------
+from rivet.plans import iforest as IF  # noqa: E402
+
+
+def _anomaly_frames(spark, sf):
+    f = _features(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    cols = PR.feature_columns(f, FEATURE_EXCLUDE)
+    split = PR.asset_split(f, rule="floor1")
+    train, test = PR.split_rows(f, split)
+    normal = train.filter(F.col("operating_mode") == "normal")
+    stats = PR.fit_scaler(normal, cols)
+    return PR.apply_scaler(normal, stats, cols), PR.apply_scaler(test, stats, cols), cols
+
+
+@query("isolation_forest_train_flags")
+def q_isolation_forest_train_flags(spark, sf):
+    """Forest fit on normal rows of train assets; flag rate on them is the contamination."""
+    train, _, cols = _anomaly_frames(spark, sf)
+    nodes = IF.fit(train, cols, ["reading_id"])
+    s = IF.score(train, nodes, cols, ["reading_id"])
+    thr = IF.threshold(s)
+    return s.agg(F.count("*").alias("train_rows"),
+                 F.round(F.avg((F.col("anomaly_score") > F.lit(thr)).cast("double")), 2).alias("flag_rate"))
+
+
+@query("anomaly_job")
+def q_anomaly_job(spark, sf):
+    """Split -> normal rows -> scaler -> isolation forest -> metrics on test assets."""
+    train, test, cols = _anomaly_frames(spark, sf)
+    nodes = IF.fit(train, cols, ["reading_id"])
+    thr = IF.threshold(IF.score(train, nodes, cols, ["reading_id"]))
+    s = IF.score(test, nodes, cols, ["reading_id", "operating_mode"])
+    x = s.select((F.col("operating_mode") != "normal").cast("int").alias("anomaly"),
+                 (F.col("anomaly_score") > F.lit(thr)).cast("int").alias("flag"))
+    return _r6all(M.anomaly_metrics(x, "anomaly", "flag").select(F.lit("Isolation Forest").alias("model"), "*"))
+
+
+# --- explanations (J10, J11, D16) ----------------------------------------------------------
+from rivet.plans import explain as EX  # noqa: E402
+
+
+_SHAP_MEMO: dict = {}
+
+
+def _shap(spark, sf):
+    key = (id(spark), sf)
+    if key not in _SHAP_MEMO:
+        _SHAP_MEMO[key] = _shap_compute(spark, sf)
+    return _SHAP_MEMO[key]
+
+
+def _shap_compute(spark, sf):
+    f, train, test, cols = _training_frames(spark, sf)
+    rf = MD.fit_classifier(MD.CLASSIFIERS[0], train, cols, LABEL, memo_key=(sf, "classifiers"))
+    path = IO.scratch_path(spark, "rf-model")
+    rf.write().overwrite().save(path)
+    sample = PR.hash_sample(test, 500, ["reading_id"]).select("reading_id", *cols)
+    scored = MD.positive_probability(rf, sample, cols).select("reading_id", "score", *cols)
+    pdf = scored.toPandas()  # bounded: the 500-row sample
+    shap = EX.shap_values(EX.tree_nodes(spark, path), pdf, cols, "reading_id", rf.getNumTrees)
+    shap = IO.materialise(spark, shap, "shap-values")
+    return shap, scored, cols
+
+
+@query("shap_global_importance")
+def q_shap_global_importance(spark, sf):
+    """J10 + D16: mean |SHAP| per feature of the random forest, top 15."""
+    shap, _, _ = _shap(spark, sf)
+    return EX.global_importance(shap, 15).select("feature", r6("mean_abs_shap").alias("mean_abs_shap"))
+
+
+@query("shap_local_explanation")
+def q_shap_local_explanation(spark, sf):
+    """J11 + D17: top-5 contributions of the highest-risk sampled reading."""
+    shap, scored, cols = _shap(spark, sf)
+    top = M.best_row(scored.select("reading_id", "score"), "score", "reading_id").select("reading_id")
+    vals = scored.join(top, "reading_id").select(
+        "reading_id", F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in cols]),
+                                                  F.array(*[F.col(c).cast("double") for c in cols])))
+        .alias("feature", "value"))
+    out = EX.local_explanation(shap.join(top, "reading_id"), vals, "reading_id", 5)
+    return out.select("reading_id", "rank", "feature", r6("value").alias("value"),
+                      r6("shap").alias("shap_contribution"), "direction")
+
+
+@query("shap_additivity")
+def q_shap_additivity(spark, sf):
+    """J10 guard: base value + sum of contributions = class-1 probability."""
+    shap, scored, _ = _shap(spark, sf)
+    tot = shap.groupBy("reading_id").agg(F.sum("shap").alias("explained"))
+    j = tot.join(scored.select("reading_id", "score"), "reading_id")
+    return j.agg(F.count("*").alias("rows"),
+                 (F.max(F.abs(F.col("explained") - F.col("score"))) < 1e-6).alias("additive"))

@@ -100,3 +100,11 @@ def promote(spark: SparkSession, runs_path: str, name: str, metric: str, stage:
     key = F.struct(m if maximize else -m, -F.col("version"))
     best = runs.agg(F.max_by(F.struct("name", "version", "path"), key).alias("b")).select("b.*")
     return best.withColumn("stage", F.lit(stage))
+
+
+def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write an expensive intermediate once to the shared folder and read it
+    back: cuts lineage and survives executor loss (unlike a local checkpoint)."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
