@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,16 +29,8 @@ def kolmogorov_p(lam: Column) -> Column:
     return F.when(lam <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * s)))
 
 
-def ks_column(ref: DataFrame, cur: DataFrame, c: str, alpha: float = K.KS_ALPHA) -> DataFrame:
-    """One row: column, ks_statistic, p_value, drifted, reference_mean,
-    current_mean (statistics rounded half-even 4/4/3; drift on unrounded p)."""
-    a = ref.select(F.col(c).alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    b = cur.select(F.col(c).alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    both = (a.select("v", F.lit(1).alias("_s")).unionByName(b.select("v", F.lit(2).alias("_s"))))
-    per = both.groupBy("v").agg(F.sum((F.col("_s") == 1).cast("long")).alias("c1"),
-                                F.sum((F.col("_s") == 2).cast("long")).alias("c2"),
-                                F.sum(F.when(F.col("_s") == 1, F.col("v"))).alias("s1"),
-                                F.sum(F.when(F.col("_s") == 2, F.col("v"))).alias("s2"))
+def _ks_from_counts(per: DataFrame, c: str, alpha: float) -> DataFrame:
+    """KS row from per-value counts (v, c1, c2, s1, s2) of one column."""
     tot = per.agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"),
                   F.sum("s1").alias("t1"), F.sum("s2").alias("t2"))
     pref = prefix_sums(per, "v", ["c1", "c2"]).crossJoin(F.broadcast(tot))
@@ -54,9 +47,33 @@ def ks_column(ref: DataFrame, cur: DataFrame, c: str, alpha: float = K.KS_ALPHA)
                     F.bround(F.col("t2") / F.col("n2"), 3).alias("current_mean"))
 
 
+def value_counts(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, v, c1, c2, s1, s2): per-side counts and sums of every
+    distinct value of every column, in one pass over both samples (nulls
+    and NaN dropped per column). A hot value becomes one row."""
+    def long(df, side):
+        x = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "v")
+        return x.filter(F.col("v").isNotNull() & ~F.isnan("v")).withColumn("_s", F.lit(side))
+    both = long(ref, 1).unionByName(long(cur, 2))
+    return both.groupBy("column", "v").agg(F.sum((F.col("_s") == 1).cast("long")).alias("c1"),
+                                           F.sum((F.col("_s") == 2).cast("long")).alias("c2"),
+                                           F.sum(F.when(F.col("_s") == 1, F.col("v"))).alias("s1"),
+                                           F.sum(F.when(F.col("_s") == 2, F.col("v"))).alias("s2"))
+
+
+def ks_column(ref: DataFrame, cur: DataFrame, c: str, alpha: float = K.KS_ALPHA) -> DataFrame:
+    """One row: column, ks_statistic, p_value, drifted, reference_mean,
+    current_mean (statistics rounded half-even 4/4/3; drift on unrounded p)."""
+    return data_drift(ref, cur, [c], alpha)
+
+
 def data_drift(ref: DataFrame, cur: DataFrame, columns: list[str], alpha: float = K.KS_ALPHA) -> DataFrame:
-    """KS report for every column (D13); one distributed job per column."""
-    return reduce(lambda x, y: x.unionByName(y), [ks_column(ref, cur, c, alpha) for c in columns])
+    """KS report for every column (D13). The samples are read once; the
+    per-value table (bounded by distinct values) is persisted and each
+    column's ECDF comes from bucketed prefix sums over it."""
+    per = value_counts(ref, cur, columns).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = [_ks_from_counts(per.filter(F.col("column") == c).drop("column"), c, alpha) for c in columns]
+    return reduce(lambda x, y: x.unionByName(y), rows)
 
 
 def prediction_drift(ref: DataFrame, cur: DataFrame, score: str, alpha: float = K.KS_ALPHA) -> DataFrame:

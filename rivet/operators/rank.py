@@ -130,12 +130,24 @@ def kth_cut(df: DataFrame, order: list[str], k: int, n_buckets: int = DEFAULT_BU
             return None
         cut.append((key, v))
         r -= before
-        cond = cond & (key == F.lit(v))
+        # equality on the raw column with a typed literal, so the next level's
+        # scan can use parquet filter pushdown
+        cond = cond & (F.col(c) == _literal(df, c, v))
         if n == 1:
             break
     return cut
 
 
+def _literal(df: DataFrame, c: str, v: float) -> Column:
+    t = dict(df.dtypes)[c]
+    if t.startswith("timestamp"):
+        lit = F.timestamp_micros(F.lit(int(v)))
+        return lit.cast("timestamp_ntz") if t == "timestamp_ntz" else lit
+    if t == "date":
+        return F.timestamp_micros(F.lit(int(v))).cast("date")
+    return F.lit(v).cast(t)
+
+
 def before_cut(cut) -> Column:
     """Lexicographic ``key < cut`` as a plain predicate."""
     if cut is None:

@@ -1 +1,7 @@
+"""Streaming operators.
 
+The original application is batch-only (scheduled scoring runs; no
+watermark, event-time window, stateful or late-data operator), so there is
+nothing to map here. Batch jobs already write append-only run snapshots
+(``rivet.sources.io.write_snapshot``) that a downstream stream can read.
+"""
