@@ -12,6 +12,7 @@ distinct modes per action (a dimension size), never raw rows.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,15 @@ from rivet.functions.exprs import normalise_key
 from rivet.operators.windows import top_k_per_group
 
 DIRECT = ("direct_historical_match", "high")
+
+
+def shared(long: DataFrame) -> DataFrame:
+    """Persist the distinct (mode, action, cnt) table for operators that read
+    it several times, so the raw action log is scanned and aggregated once.
+    Its size is bounded by distinct pairs, not by the log."""
+    return long.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 NO_DATA = ("no_data_available", "none")
 NO_CATEGORY_DATA = ("no_similar_category_data", "none")
 FALLBACK_CONFIDENCE = "low - verify with engineer before acting"
@@ -75,6 +85,7 @@ def similar_modes(long: DataFrame, k: int = 3) -> DataFrame:
     """Top-k most similar other modes, similarity rounded half-even to 3
     digits; modes with no shared action count as 0 and fill the list in
     name order (J8, C12, G3)."""
+    long = shared(long)
     sims = mode_similarity(long)
     modes = long.select("failure_mode").distinct()
     # zero-similarity candidates: the first 2k+1 modes by name suffice for any
@@ -102,6 +113,7 @@ def recommend_with_fallback(long: DataFrame, lookups: DataFrame, categories: Dat
     unknown category -> ``no_data_available``.
     ``categories``: (failure_mode, category, ordinal). ``lookups``: (failure_mode).
     """
+    long = shared(long)
     known = long.select("failure_mode").distinct().withColumn("_known", F.lit(True))
     # first mode with history per category, by ordinal
     donors = (categories.join(known, "failure_mode")
@@ -154,7 +166,7 @@ def negative_pairs(long: DataFrame, seed: int = 42) -> DataFrame:
     the sample is deterministic, needs no driver loop and is reproducible
     in any engine with md5.
     """
-    pos = long.select("failure_mode", "action").distinct()
+    pos = shared(long).select("failure_mode", "action").distinct()
     modes = pos.select("failure_mode").distinct()
     acts = pos.select("action").distinct()
     # dense indexes over the distinct modes / actions (dimension tables)
@@ -172,7 +184,7 @@ def negative_pairs(long: DataFrame, seed: int = 42) -> DataFrame:
 
 def precision_at_k(recs: DataFrame, long: DataFrame, k: int = 5) -> DataFrame:
     """mean over modes of |top-k recommended & actual| / k."""
-    actual = long.select("failure_mode", "action").distinct()
+    actual = shared(long).select("failure_mode", "action").distinct()
     hits = (recs.select("failure_mode", "action").distinct()
                 .join(actual, ["failure_mode", "action"], "left_semi")
                 .groupBy("failure_mode").agg(F.count("*").alias("hits")))

@@ -345,7 +345,7 @@ from rivet.operators import recommend as RC  # noqa: E402
 
 
 def _long(spark, sf):
-    return RC.cooccurrence(td.work_order_actions(spark, sf))
+    return RC.shared(RC.cooccurrence(td.work_order_actions(spark, sf)))
 
 
 @query("cooccurrence_counts")
