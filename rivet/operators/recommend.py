@@ -194,10 +194,19 @@ def precision_at_k(recs: DataFrame, long: DataFrame, k: int = 5) -> DataFrame:
     return per.agg(F.avg("precision").alias("precision_at_k"), F.count("*").alias("n_modes"))
 
 
+MAX_BROADCAST_QUERIES = 100_000
+
+
 def vector_top_k(queries: DataFrame, items: DataFrame, k: int, qkey: str, ikey: str,
-                 qvec: str = "vector", ivec: str = "vector") -> DataFrame:
-    """Cosine top-k items per query vector (J9). ``queries`` must be a
-    small table (checked by the caller); it is broadcast to the items."""
+                 qvec: str = "vector", ivec: str = "vector",
+                 max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+    """Cosine top-k items per query vector (J9). The query table (modes,
+    label centroids: a dimension) is broadcast to the items after its size
+    is checked; each task keeps k rows per query before the shuffle
+    (WindowGroupLimit)."""
+    n_q = queries.count()
+    if n_q > max_queries:
+        raise ValueError(f"{n_q} query vectors exceed the broadcast bound {max_queries}")
     def norm(v):
         return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     q = queries.select(F.col(qkey).alias("_q"), F.col(qvec).alias("_qv"), norm(F.col(qvec)).alias("_qn"))
