@@ -141,3 +141,11 @@ def validation_report(df: DataFrame, contract: Contract, id_cols: list[str]) ->
     return out.select(F.when(bad, F.lit("failed")).otherwise(F.lit("passed")).alias("status"),
                       "cell_violations", "duplicate_rows", "columns_over_missing_limit",
                       F.lit(schema_bad).cast("long").alias("schema_violations"))
+
+
+def quarantine(df: DataFrame, contract: Contract, id_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(clean rows, rows with at least one violation), split by a semi / anti
+    join on the row ids of the violation report. The original passes all
+    rows on; the split is an addition for callers that want it."""
+    bad = violations(df, contract, id_cols).select(*id_cols).distinct()
+    return df.join(bad, id_cols, "left_anti"), df.join(bad, id_cols, "left_semi")

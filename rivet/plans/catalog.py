@@ -200,6 +200,16 @@ def q_duplicate_keys(spark, sf):
     return V.duplicate_count(td.table(spark, sf, "lineitem"), ["l_suppkey", "l_shipdate"])
 
 
+@query("validation_quarantine")
+def q_validation_quarantine(spark, sf):
+    """K7 (addition): clean and quarantined readings per operating mode."""
+    r = td.readings(spark, sf)
+    clean, bad = V.quarantine(r, V.sensor_contract(), ["reading_id"])
+    return (clean.withColumn("partition", F.lit("clean"))
+            .unionByName(bad.withColumn("partition", F.lit("quarantine")))
+            .groupBy("partition", "operating_mode").agg(F.count("*").alias("readings")))
+
+
 @query("validation_report")
 def q_validation_report(spark, sf):
     """K7: status and counts of the sensor-contract validation."""

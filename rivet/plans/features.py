@@ -29,9 +29,13 @@ def clean_sensors(df: DataFrame, sensors: list[str]) -> DataFrame:
 def labelled_series(readings: DataFrame, failures: DataFrame, work_orders: DataFrame | None,
                     sensors: list[str], key: str = "asset_id", ts: str = "timestamp",
                     tie: str = "reading_id", horizons=K.HORIZONS_DAYS,
-                    chunk_us: int = US_PER_DAY) -> DataFrame:
+                    chunk_us: int = US_PER_DAY, strict_recency: bool = False) -> DataFrame:
     """Readings + rn + failure labels per horizon (C2) + next-failure hours
-    (C1, null after the last failure) + days since maintenance (C3)."""
+    (C1, null after the last failure) + days since maintenance (C3).
+
+    Before an asset's first work order the original measures from that
+    first (future) order, giving negative days; ``strict_recency=True``
+    reports 999 there instead. Assets without orders get 0 either way."""
     r = clean_sensors(readings, sensors)
     idx = index_series(r, key, ts, tie, failures=failures, work_orders=work_orders,
                        chunk_us=chunk_us)
@@ -41,8 +45,11 @@ def labelled_series(readings: DataFrame, failures: DataFrame, work_orders: DataF
     cols.append((gap / F.lit(float(US_PER_HOUR))).alias("hours_to_failure"))
     if work_orders is not None:
         ref = F.coalesce(F.col("last_order_us"), F.col("first_order_us"))
-        cols.append(F.coalesce((F.col("_us") - ref) / F.lit(float(US_PER_DAY)), F.lit(0.0))
-                    .alias("days_since_maintenance"))
+        days = F.coalesce((F.col("_us") - ref) / F.lit(float(US_PER_DAY)), F.lit(0.0))
+        if strict_recency:
+            days = F.when(F.col("last_order_us").isNull() & F.col("first_order_us").isNotNull(),
+                          F.lit(999.0)).otherwise(days)
+        cols.append(days.alias("days_since_maintenance"))
     return idx.select("*", *cols)
 
 

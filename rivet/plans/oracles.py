@@ -743,3 +743,10 @@ SELECT p_brand AS field_id,
 FROM part GROUP BY 1"""
 
 ORACLES["snapshot_latest"] = ORACLES["risk_scoring"]
+
+
+ORACLES["validation_quarantine"] = f"""{_VIOL},
+bad AS (SELECT DISTINCT reading_id FROM v)
+SELECT CASE WHEN reading_id IN (SELECT reading_id FROM bad) THEN 'quarantine' ELSE 'clean' END AS "partition",
+       operating_mode, count(*) AS readings
+FROM r GROUP BY 1, 2"""

@@ -155,3 +155,12 @@ def test_index_series_without_logs(spark):
     r, *_ = _fixture(spark, n=90)
     s = index_series(r, chunk_us=3_600_000_000 * 7)
     assert s.count() == 4 * 90 and "next_failure_us" not in s.columns
+
+
+def test_strict_recency_option(spark):
+    r, f, o, *_ = _fixture(spark)
+    a = {x["reading_id"]: x["days_since_maintenance"] for x in FT.labelled_series(r, f, o, SENS).collect()}
+    b = {x["reading_id"]: x["days_since_maintenance"]
+         for x in FT.labelled_series(r, f, o, SENS, strict_recency=True).collect()}
+    changed = [k for k in a if a[k] != b[k]]
+    assert changed and all(a[k] <= 0 and b[k] == 999.0 for k in changed)
