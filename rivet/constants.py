@@ -95,3 +95,25 @@ ADVICE_DEFAULT = "NORMAL"
 RISK_MARKERS = {"High": "🔴", "Medium": "🟡", "Low": "🟢"}
 RISK_MARKER_DEFAULT = "⚪"
 QUALITY_GATE_F1 = 0.70
+
+# --- FIXED VALUES: messages, labels and formats of the outputs ---------------
+CHECK_NOT_NULL = "not_nullable"
+CHECK_ISIN = "isin([{values}])"
+CHECK_IN_RANGE = "in_range({lo}, {hi})"
+METHOD_DIRECT = "direct_historical_match"
+METHOD_NO_DATA = "no_data_available"
+METHOD_NO_CATEGORY_DATA = "no_similar_category_data"
+METHOD_FALLBACK = "category_fallback (borrowed from {mode})"
+CONFIDENCE_DIRECT = "high"
+CONFIDENCE_NONE = "none"
+CONFIDENCE_FALLBACK = "low - verify with engineer before acting"
+UNCLASSIFIED_KEY = "unclassified_anomaly"
+LIMIT_MESSAGE = "{limit} capacity ({capacity} bpd) is FULLY UTILIZED - this is the limiting factor for total output"
+LIMIT_NAMES = ["Pipeline", "Compressor"]
+WELL_MESSAGE = "{well} is producing at its FULL safe capacity ({capacity} bpd) - {status}"
+SIMULATED_STATUS = "SIMULATED - Further Degraded"
+WORK_ORDER_ID = "WO-%05d"
+CORRECTIVE = ("corrective", "Repair for {mode}", "Addressed {mode}. Downtime: {hours} hours.")
+PREVENTIVE = ("preventive", "Routine scheduled inspection", "No issues found. Lubrication checked.")
+DRIFT_ADVICE = "investigate drifted sensors and consider retraining if drift persists across multiple monitoring cycles"
+NO_DRIFT_ADVICE = "no significant drift detected - model remains valid"

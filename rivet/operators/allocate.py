@@ -105,19 +105,25 @@ def binding_constraints(plan: DataFrame, limits: DataFrame, part: list[str], wel
     t = totals(plan, part).join(limits, part)
     wtype = plan.schema[well].dataType
     msgs = []
-    for i, (col, name) in enumerate([("pipeline_capacity_bpd", "Pipeline"),
-                                     ("compressor_capacity_bpd", "Compressor")]):
+    def fmt(template: str, **cols):
+        # fixed message template -> format_string with %s slots in order
+        names = [n for n in ("limit", "capacity", "well", "status") if "{" + n + "}" in template]
+        names.sort(key=lambda n: template.index("{" + n + "}"))
+        pattern = template
+        for n in names:
+            pattern = pattern.replace("{" + n + "}", "%s")
+        return F.format_string(pattern, *[cols[n] for n in names])
+
+    for i, (col, name) in enumerate(zip(["pipeline_capacity_bpd", "compressor_capacity_bpd"], K.LIMIT_NAMES)):
         msgs.append(t.filter(F.abs(F.col("total_production") - F.col(col)) < tol).select(
             *part, F.lit(i).alias("seq"), F.lit(None).cast(wtype).alias(well),
-            F.format_string(f"{name} capacity (%s bpd) is FULLY UTILIZED - this is the limiting "
-                            "factor for total output",
-                            F.bround(F.col(col).cast(DEC), 0).cast("long").cast("string")).alias("message")))
+            fmt(K.LIMIT_MESSAGE, limit=F.lit(name),
+                capacity=F.bround(F.col(col).cast(DEC), 0).cast("long").cast("string")).alias("message")))
     msgs.append(plan.filter(F.abs(F.col("allocated_production_bpd") - F.col(safe).cast("double")) < tol).select(
         *part, F.lit(2).alias("seq"), F.col(well),
-        F.format_string("%s is producing at its FULL safe capacity (%s bpd) - %s",
-                        F.col(label).cast("string"),
-                        F.bround(F.col(safe).cast(DEC), 0).cast("long").cast("string"),
-                        F.col("health_status")).alias("message")))
+        fmt(K.WELL_MESSAGE, well=F.col(label).cast("string"),
+            capacity=F.bround(F.col(safe).cast(DEC), 0).cast("long").cast("string"),
+            status=F.col("health_status")).alias("message")))
     return msgs[0].unionByName(msgs[1]).unionByName(msgs[2])
 
 
@@ -153,7 +159,7 @@ def what_if(wells: DataFrame, limits: DataFrame, scenarios: DataFrame, part: lis
                    "scenario", "seq",
                    F.when(hit, F.col(max_cap).cast(DEC) * F.col("degrade_factor").cast("decimal(4,2)"))
                     .otherwise(F.col(safe).cast(DEC)).cast(DEC).alias(safe),
-                   F.when(hit, F.lit("SIMULATED - Further Degraded")).otherwise(F.col("health_status"))
+                   F.when(hit, F.lit(K.SIMULATED_STATUS)).otherwise(F.col("health_status"))
                     .alias("health_status"))
     lim = (limits.crossJoin(F.broadcast(scenarios))
                  .select(*part, "scenario",

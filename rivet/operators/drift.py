@@ -117,10 +117,8 @@ def drift_rollup(report: DataFrame) -> DataFrame:
     agg = report.agg(F.sum(F.col("drifted").cast("long")).alias("n_drifted"),
                      F.count("*").alias("n_columns"))
     return agg.select("n_drifted", "n_columns",
-                      F.when(F.col("n_drifted") > 0,
-                             F.lit("investigate drifted sensors and consider retraining if drift "
-                                   "persists across multiple monitoring cycles"))
-                      .otherwise(F.lit("no significant drift detected - model remains valid"))
+                      F.when(F.col("n_drifted") > 0, F.lit(K.DRIFT_ADVICE))
+                      .otherwise(F.lit(K.NO_DRIFT_ADVICE))
                       .alias("recommendation"))
 
 

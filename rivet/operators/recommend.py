@@ -16,10 +16,11 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rivet import constants as K
 from rivet.functions.exprs import normalise_key
 from rivet.operators.windows import top_k_per_group
 
-DIRECT = ("direct_historical_match", "high")
+DIRECT = (K.METHOD_DIRECT, K.CONFIDENCE_DIRECT)
 
 
 def shared(long: DataFrame) -> DataFrame:
@@ -29,9 +30,9 @@ def shared(long: DataFrame) -> DataFrame:
     return long.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-NO_DATA = ("no_data_available", "none")
-NO_CATEGORY_DATA = ("no_similar_category_data", "none")
-FALLBACK_CONFIDENCE = "low - verify with engineer before acting"
+NO_DATA = (K.METHOD_NO_DATA, K.CONFIDENCE_NONE)
+NO_CATEGORY_DATA = (K.METHOD_NO_CATEGORY_DATA, K.CONFIDENCE_NONE)
+FALLBACK_CONFIDENCE = K.CONFIDENCE_FALLBACK
 
 
 def cooccurrence(actions: DataFrame, mode: str = "failure_mode", action: str = "action") -> DataFrame:
@@ -128,9 +129,10 @@ def recommend_with_fallback(long: DataFrame, lookups: DataFrame, categories: Dat
     method = (F.when(is_direct, F.lit(DIRECT[0]))
                .when(F.col("category").isNull(), F.lit(NO_DATA[0]))
                .when(F.col("borrowed_from").isNull(), F.lit(NO_CATEGORY_DATA[0]))
-               .otherwise(F.concat(F.lit("category_fallback (borrowed from "), F.col("borrowed_from"), F.lit(")"))))
+               .otherwise(F.concat(F.lit(K.METHOD_FALLBACK.split("{mode}")[0]), F.col("borrowed_from"),
+                                   F.lit(K.METHOD_FALLBACK.split("{mode}")[1]))))
     confidence = (F.when(is_direct, F.lit(DIRECT[1]))
-                   .when(F.col("category").isNull() | F.col("borrowed_from").isNull(), F.lit("none"))
+                   .when(F.col("category").isNull() | F.col("borrowed_from").isNull(), F.lit(K.CONFIDENCE_NONE))
                    .otherwise(F.lit(FALLBACK_CONFIDENCE)))
     lk = lk.select("failure_mode", source.alias("_src"), method.alias("method"), confidence.alias("confidence"))
     top = top_actions(long, k)
@@ -150,7 +152,7 @@ def recommend_with_fallback(long: DataFrame, lookups: DataFrame, categories: Dat
 def diagnosis_keys(report: DataFrame) -> DataFrame:
     """Diagnosis names -> recommender keys, unclassified rows skipped."""
     k = report.select("asset_id", "likely_cause", normalise_key("likely_cause").alias("failure_mode"))
-    return k.filter(F.col("failure_mode") != "unclassified_anomaly")
+    return k.filter(F.col("failure_mode") != K.UNCLASSIFIED_KEY)
 
 
 def _hex_int(hexstr):

@@ -40,12 +40,12 @@ def _num(v) -> str:
 
 def check_name(rule: ColumnRule, kind: str) -> str:
     if kind == "not_nullable":
-        return "not_nullable"
+        return K.CHECK_NOT_NULL
     if kind == "isin":
-        return "isin([" + ", ".join(repr(v) for v in rule.isin) + "])"
+        return K.CHECK_ISIN.format(values=", ".join(repr(v) for v in rule.isin))
     if kind == "in_range":
         lo, hi = rule.in_range
-        return f"in_range({_num(lo)}, {_num(hi)})"
+        return K.CHECK_IN_RANGE.format(lo=_num(lo), hi=_num(hi))
     raise ValueError(kind)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivet import constants as K
 from rivet.functions.exprs import advice, clip, risk_category, risk_marker
 from rivet.operators.rank import global_row_number
 
@@ -64,14 +65,15 @@ def work_orders(failures: DataFrame, preventive: DataFrame, key: str = "asset_id
     n_cor = failures.count()
     p = preventive.withColumn("_d", F.unix_micros(F.col("work_order_date").cast("timestamp")))
     pre = global_row_number(p, "_d", [F.col("_d"), F.col(key), F.col("_tie")], out="_n")
-    a = cor.select(F.format_string("WO-%05d", F.col("_n")).alias("work_order_id"), key,
+    ctype, cdesc, cnotes = K.CORRECTIVE
+    ptype, pdesc, pnotes = K.PREVENTIVE
+    a = cor.select(F.format_string(K.WORK_ORDER_ID, F.col("_n")).alias("work_order_id"), key,
                    F.col("failure_date").alias("work_order_date"),
-                   F.lit("corrective").alias("work_order_type"),
-                   F.concat(F.lit("Repair for "), F.col("failure_mode")).alias("description"),
-                   F.format_string("Addressed %s. Downtime: %d hours.", F.col("failure_mode"),
-                                   F.col("downtime_hours")).alias("technician_notes"))
-    b = pre.select(F.format_string("WO-%05d", F.col("_n") + F.lit(n_cor)).alias("work_order_id"), key,
-                   "work_order_date", F.lit("preventive").alias("work_order_type"),
-                   F.lit("Routine scheduled inspection").alias("description"),
-                   F.lit("No issues found. Lubrication checked.").alias("technician_notes"))
+                   F.lit(ctype).alias("work_order_type"),
+                   F.format_string(cdesc.replace("{mode}", "%s"), F.col("failure_mode")).alias("description"),
+                   F.format_string(cnotes.replace("{mode}", "%s").replace("{hours}", "%d"),
+                                   F.col("failure_mode"), F.col("downtime_hours")).alias("technician_notes"))
+    b = pre.select(F.format_string(K.WORK_ORDER_ID, F.col("_n") + F.lit(n_cor)).alias("work_order_id"), key,
+                   "work_order_date", F.lit(ptype).alias("work_order_type"),
+                   F.lit(pdesc).alias("description"), F.lit(pnotes).alias("technician_notes"))
     return a.unionByName(b)
