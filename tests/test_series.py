@@ -164,3 +164,19 @@ def test_strict_recency_option(spark):
          for x in FT.labelled_series(r, f, o, SENS, strict_recency=True).collect()}
     changed = [k for k in a if a[k] != b[k]]
     assert changed and all(a[k] <= 0 and b[k] == 999.0 for k in changed)
+
+
+def test_label_bounds_exact(spark):
+    """Reading at F - h -> 1 (inclusive); at F -> refers to the next failure;
+    after the last failure -> 0 and no RUL."""
+    F1, F2 = T0 + dt.timedelta(days=3), T0 + dt.timedelta(days=10)
+    hours = [0, 48, 72, 96, 240, 250]  # F1 - 1d, F1, between, F2, after
+    rows = [("A", T0 + dt.timedelta(hours=h), i, "normal", 1.0, 1.0) for i, h in enumerate(hours)]
+    r = spark.createDataFrame(rows, "asset_id string, timestamp timestamp, reading_id long, operating_mode string, "
+                                    "vibration_mm double, temperature_f double")
+    f = spark.createDataFrame([("A", F1), ("A", F2)], "asset_id string, failure_date timestamp")
+    s = {x["reading_id"]: x for x in FT.labelled_series(r, f, None, SENS, horizons=[1]).collect()}
+    assert s[0]["failure_within_1d"] == 0 and s[1]["failure_within_1d"] == 1   # 72 h before / exactly F1 - 1d
+    assert s[2]["failure_within_1d"] == 0 and s[2]["hours_to_failure"] == 168.0  # at F1 -> next is F2
+    assert s[4]["hours_to_failure"] is None and s[4]["failure_within_1d"] == 0   # at F2, no later failure
+    assert s[5]["hours_to_failure"] is None
