@@ -33,6 +33,15 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKETS = 512
 
 
+NUMERIC_TYPES = ("bigint", "int", "smallint", "tinyint", "double", "float", "date")
+
+
+def numeric_or_none(df: DataFrame, c: str) -> str | None:
+    """``c`` if it can serve as a bucketing key (numeric or time), else None."""
+    t = dict(df.dtypes)[c]
+    return c if (t in NUMERIC_TYPES or t.startswith("timestamp") or t.startswith("decimal")) else None
+
+
 def _numeric(df: DataFrame, c: str) -> Column:
     t = dict(df.dtypes)[c]
     if t.startswith("timestamp") or t == "date":
@@ -40,23 +49,38 @@ def _numeric(df: DataFrame, c: str) -> Column:
     return F.col(c).cast("double")
 
 
+def _splits(values, isolate_hot: bool):
+    """Sorted Bucketizer splits from quantiles, and the hot values: a value
+    returned for two or more quantiles holds at least 1/n of the rows. With
+    ``isolate_hot`` each hot value v gets its own bucket [v, nextafter(v))."""
+    qs = sorted(float(q) for q in values if q is not None and math.isfinite(q))
+    hot = sorted({q for q in qs if qs.count(q) > 1}) if isolate_hot else []
+    pts = set(qs)
+    for v in hot:
+        pts.add(math.nextafter(v, math.inf))
+    splits = [-math.inf] + sorted(pts) + [math.inf]
+    if len(splits) < 3:
+        splits = [-math.inf, 0.0, math.inf]
+    return splits, [splits.index(v) for v in hot]
+
+
 def bucketize(df: DataFrame, c: str, n_buckets: int = DEFAULT_BUCKETS,
-              rel_err: float = 1e-3, out: str = "_b") -> DataFrame:
+              rel_err: float = 1e-3, out: str = "_b", isolate_hot: bool = False,
+              with_hot: bool = False):
     """Add ``out``: a bucket id monotone in column ``c`` (quantile buckets).
 
     The input is persisted (memory, spilling to disk) so the boundary pass
     and the bucketing pass read it once; boundaries are literals afterwards,
     so a partition recomputed after an executor loss buckets identically.
+    With ``with_hot`` also returns the ids of single-value hot buckets.
     """
     tmp = "_bk_key"
     x = df.withColumn(tmp, _numeric(df, c)).persist(StorageLevel.MEMORY_AND_DISK)
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = [q for q in x.approxQuantile(tmp, probs, rel_err) if q is not None and math.isfinite(q)]
-    splits = [-math.inf] + sorted(set(qs)) + [math.inf]
-    if len(splits) < 3:
-        splits = [-math.inf, 0.0, math.inf]
+    splits, hot = _splits(x.approxQuantile(tmp, probs, rel_err), isolate_hot)
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    return b.transform(x).drop(tmp)
+    res = b.transform(x).drop(tmp)
+    return (res, hot) if with_hot else res
 
 
 def prefix_sums(df: DataFrame, key: str, cols: list[str], n_buckets: int = DEFAULT_BUCKETS,
@@ -80,15 +104,33 @@ def prefix_sums(df: DataFrame, key: str, cols: list[str], n_buckets: int = DEFAU
 
 
 def global_row_number(df: DataFrame, first: str, order: list[Column],
-                      n_buckets: int = DEFAULT_BUCKETS, out: str = "row_number") -> DataFrame:
+                      n_buckets: int = DEFAULT_BUCKETS, out: str = "row_number",
+                      second: str | None = None) -> DataFrame:
     """1-based position under ``order``; ``first`` is a numeric column whose
-    ascending order agrees with the first element of ``order``."""
-    b = bucketize(df, first, n_buckets)
-    tot = b.groupBy("_b").agg(F.count("*").alias("_t"))
-    w_all = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_b", F.coalesce(F.sum("_t").over(w_all), F.lit(0)).alias("_o"))
-    j = b.join(F.broadcast(off), "_b")
-    wb = Window.partitionBy("_b").orderBy(*order)
+    ascending order agrees with the first element of ``order``.
+
+    A value of ``first`` holding a large share of rows gets a bucket of its
+    own; when ``second`` (numeric, ascending, the next element of ``order``)
+    is given, such buckets are split again by quantiles of ``second`` taken
+    over the hot rows, so a tie group is spread over many tasks. Buckets are
+    ordered by (bucket, sub-bucket), which is the lexicographic order."""
+    b, hot = bucketize(df, first, n_buckets, isolate_hot=second is not None, with_hot=True)
+    if second is not None and hot:
+        in_hot = F.col("_b").isin(hot)
+        tmp = "_sk_key"
+        hb = b.withColumn(tmp, _numeric(b, second))
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        sub_splits, _ = _splits(hb.filter(in_hot).approxQuantile(tmp, probs, 1e-3), False)
+        sb = Bucketizer(splits=sub_splits, inputCol=tmp, outputCol="_sbk", handleInvalid="keep")
+        b = (sb.transform(hb).withColumn("_sb", F.when(in_hot, F.col("_sbk")).otherwise(F.lit(0.0)))
+               .drop(tmp, "_sbk"))
+    else:
+        b = b.withColumn("_sb", F.lit(0.0))
+    tot = b.groupBy("_b", "_sb").agg(F.count("*").alias("_t"))
+    w_all = Window.orderBy("_b", "_sb").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("_b", "_sb", F.coalesce(F.sum("_t").over(w_all), F.lit(0)).alias("_o"))
+    j = b.join(F.broadcast(off), ["_b", "_sb"])  # <= buckets x sub-buckets rows
+    wb = Window.partitionBy("_b", "_sb").orderBy(*order)
     return j.select(*df.columns, (F.col("_o") + F.row_number().over(wb)).alias(out))
 
 

@@ -158,3 +158,17 @@ def test_scaler_population_std(spark):
     df = spark.createDataFrame([(1.0, 3.0), (3.0, 3.0)], "a double, b double")
     st = PR.fit_scaler(df, ["a", "b"]).first()
     assert st["a_std"] == 1.0 and st["b_std"] == 1.0  # pop std of (1,3) is 1; zero std -> 1
+
+
+def test_global_row_number_hot_tie_split(spark):
+    """Half the rows share one first-key value: they get their own bucket,
+    split by the second key, and the numbering stays exact."""
+    rows = [(0.5 if i % 2 == 0 else float(i), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "s double, k long")
+    got = global_row_number(df, "s", [F.col("s"), F.col("k")], n_buckets=32, second="k")
+    exp = {k: i + 1 for i, (s, k) in enumerate(sorted(rows))}
+    res = {r["k"]: r["row_number"] for r in got.collect()}
+    assert res == exp
+    from rivet.operators.rank import bucketize
+    b, hot = bucketize(df, "s", 32, isolate_hot=True, with_hot=True)
+    assert len(hot) == 1 and b.filter(F.col("_b") == hot[0]).count() == 2000
