@@ -36,16 +36,40 @@ from rivet.functions.exprs import US_PER_DAY, epoch_us
 KIND_READING, KIND_FAILURE, KIND_ORDER = 0, 1, 2
 
 
+CHUNK_ROWS = 2_000_000
+MAX_BROADCAST_ASSETS = 2_000_000
+
+
+def chunk_widths(readings_us: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Per-asset chunk width (microseconds) so that a chunk holds about
+    ``chunk_rows`` readings on average: span / ceil(rows / chunk_rows).
+    One aggregate, one row per asset."""
+    st = readings_us.groupBy(key).agg(F.count("*").alias("_n"), F.min("_us").alias("_lo"),
+                                      F.max("_us").alias("_hi"))
+    pieces = F.ceil(F.col("_n") / F.lit(chunk_rows))
+    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces)).cast("long")
+    return st.select(key, width.alias("_w"))
+
+
 def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestamp",
                  tie: str = "reading_id", failures: DataFrame | None = None,
                  failure_ts: str = "failure_date", work_orders: DataFrame | None = None,
-                 order_ts: str = "work_order_date", chunk_us: int = US_PER_DAY) -> DataFrame:
+                 order_ts: str = "work_order_date", chunk_us: int | None = None,
+                 chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Readings plus ``_us``, ``rn`` (1..n per asset by (ts, tie)), ``n_rows``
     (readings of the asset) and, when the
     logs are given, ``next_failure_us`` (first failure strictly after the
     reading), ``last_order_us`` (last order strictly before) and
-    ``first_order_us`` (the asset's first order)."""
-    parts = [readings.withColumn("_us", epoch_us(ts)).withColumn("_kind", F.lit(KIND_READING))]
+    ``first_order_us`` (the asset's first order).
+
+    ``chunk_us`` fixes the chunk width; by default each asset gets its own
+    width from ``chunk_widths`` so a dense (hot) asset is cut into many
+    chunks and a sparse one into few. The widths table has one row per
+    asset and is broadcast when the asset count is within
+    ``MAX_BROADCAST_ASSETS`` (checked); otherwise it is a regular join,
+    where AQE's skew handling splits a hot asset."""
+    r_us = readings.withColumn("_us", epoch_us(ts))
+    parts = [r_us.withColumn("_kind", F.lit(KIND_READING))]
     if failures is not None:
         parts.append(failures.select(F.col(key), epoch_us(failure_ts).alias("_us"),
                                      F.lit(KIND_FAILURE).alias("_kind")))
@@ -53,7 +77,16 @@ def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestam
         parts.append(work_orders.select(F.col(key), epoch_us(order_ts).alias("_us"),
                                         F.lit(KIND_ORDER).alias("_kind")))
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    u = u.withColumn("_chunk", F.floor(F.col("_us") / F.lit(chunk_us)))
+    if chunk_us is not None:
+        u = u.withColumn("_chunk", F.floor(F.col("_us") / F.lit(chunk_us)))
+    else:
+        widths = chunk_widths(r_us.select(key, "_us"), key, chunk_rows)
+        n_assets = widths.count()
+        widths = F.broadcast(widths) if n_assets <= MAX_BROADCAST_ASSETS else widths
+        # events of assets without readings fall back to one-day chunks
+        u = (u.join(widths, key, "left")
+              .withColumn("_chunk", F.floor(F.col("_us") / F.coalesce(F.col("_w"), F.lit(US_PER_DAY))))
+              .drop("_w"))
 
     is_r = F.col("_kind") == KIND_READING
     w_rows = (Window.partitionBy(key, "_chunk").orderBy("_us", "_kind", tie)

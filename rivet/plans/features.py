@@ -29,7 +29,7 @@ def clean_sensors(df: DataFrame, sensors: list[str]) -> DataFrame:
 def labelled_series(readings: DataFrame, failures: DataFrame, work_orders: DataFrame | None,
                     sensors: list[str], key: str = "asset_id", ts: str = "timestamp",
                     tie: str = "reading_id", horizons=K.HORIZONS_DAYS,
-                    chunk_us: int = US_PER_DAY, strict_recency: bool = False) -> DataFrame:
+                    chunk_us: int | None = None, strict_recency: bool = False) -> DataFrame:
     """Readings + rn + failure labels per horizon (C2) + next-failure hours
     (C1, null after the last failure) + days since maintenance (C3).
 
@@ -63,7 +63,7 @@ def feature_frame(readings: DataFrame, failures: DataFrame, work_orders: DataFra
                   sensors: list[str], key: str = "asset_id", ts: str = "timestamp",
                   tie: str = "reading_id", horizons=K.HORIZONS_DAYS, windows=K.ROLL_WINDOWS,
                   lag: int = K.LAG_ROWS, fft_col: str = "vibration_mm",
-                  fft_window: int = K.FFT_WINDOW, chunk_us: int = US_PER_DAY,
+                  fft_window: int = K.FFT_WINDOW, chunk_us: int | None = None,
                   block_rows: int = 1_000_000) -> DataFrame:
     """The full feature table (K8): labels, rolling mean/std, lag/trend,
     spectral energy and days since maintenance, one row per reading."""
