@@ -37,18 +37,22 @@ KIND_READING, KIND_FAILURE, KIND_ORDER = 0, 1, 2
 
 
 CHUNK_ROWS = 2_000_000
-MAX_BROADCAST_ASSETS = 2_000_000
+UNBOUNDED_CHUNK_US = 100 * 366 * US_PER_DAY
 
 
-def chunk_widths(readings_us: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Per-asset chunk width (microseconds) so that a chunk holds about
-    ``chunk_rows`` readings on average: span / ceil(rows / chunk_rows).
-    One aggregate, one row per asset."""
+def chunk_width(readings_us: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS) -> int:
+    """Chunk width (microseconds) so the densest asset holding more than
+    ``chunk_rows`` readings is cut into chunks of about ``chunk_rows``.
+    Assets below that size never need cutting; when no asset exceeds it
+    the width is effectively unbounded. One aggregate; one number reaches
+    the driver."""
     st = readings_us.groupBy(key).agg(F.count("*").alias("_n"), F.min("_us").alias("_lo"),
                                       F.max("_us").alias("_hi"))
-    pieces = F.ceil(F.col("_n") / F.lit(chunk_rows))
-    width = F.greatest(F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces)).cast("long")
-    return st.select(key, width.alias("_w"))
+    dens = (st.filter(F.col("_n") > chunk_rows)
+              .agg(F.max(F.col("_n") / (F.col("_hi") - F.col("_lo") + 1))).first()[0])
+    if dens is None:
+        return UNBOUNDED_CHUNK_US
+    return max(1, int(chunk_rows / dens))
 
 
 def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestamp",
@@ -62,12 +66,10 @@ def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestam
     reading), ``last_order_us`` (last order strictly before) and
     ``first_order_us`` (the asset's first order).
 
-    ``chunk_us`` fixes the chunk width; by default each asset gets its own
-    width from ``chunk_widths`` so a dense (hot) asset is cut into many
-    chunks and a sparse one into few. The widths table has one row per
-    asset and is broadcast when the asset count is within
-    ``MAX_BROADCAST_ASSETS`` (checked); otherwise it is a regular join,
-    where AQE's skew handling splits a hot asset."""
+    ``chunk_us`` fixes the chunk width; by default it comes from
+    ``chunk_width``: the densest asset above ``chunk_rows`` readings is cut
+    into chunks of about ``chunk_rows``, smaller assets fall into one or a
+    few chunks. The width is a literal, so no join is added to the plan."""
     r_us = readings.withColumn("_us", epoch_us(ts))
     parts = [r_us.withColumn("_kind", F.lit(KIND_READING))]
     if failures is not None:
@@ -77,16 +79,9 @@ def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestam
         parts.append(work_orders.select(F.col(key), epoch_us(order_ts).alias("_us"),
                                         F.lit(KIND_ORDER).alias("_kind")))
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    if chunk_us is not None:
-        u = u.withColumn("_chunk", F.floor(F.col("_us") / F.lit(chunk_us)))
-    else:
-        widths = chunk_widths(r_us.select(key, "_us"), key, chunk_rows)
-        n_assets = widths.count()
-        widths = F.broadcast(widths) if n_assets <= MAX_BROADCAST_ASSETS else widths
-        # events of assets without readings fall back to one-day chunks
-        u = (u.join(widths, key, "left")
-              .withColumn("_chunk", F.floor(F.col("_us") / F.coalesce(F.col("_w"), F.lit(US_PER_DAY))))
-              .drop("_w"))
+    if chunk_us is None:
+        chunk_us = chunk_width(r_us.select(key, "_us"), key, chunk_rows)
+    u = u.withColumn("_chunk", F.floor(F.col("_us") / F.lit(chunk_us)))
 
     is_r = F.col("_kind") == KIND_READING
     w_rows = (Window.partitionBy(key, "_chunk").orderBy("_us", "_kind", tie)
