@@ -51,10 +51,14 @@ def _numeric(df: DataFrame, c: str) -> Column:
 
 def _splits(values, isolate_hot: bool):
     """Sorted Bucketizer splits from quantiles, and the hot values: a value
-    returned for two or more quantiles holds at least 1/n of the rows. With
-    ``isolate_hot`` each hot value v gets its own bucket [v, nextafter(v))."""
+    returned for at least 1/64 of the quantiles holds at least that share of
+    the rows. With ``isolate_hot`` each hot value v gets its own bucket
+    [v, nextafter(v))."""
     qs = sorted(float(q) for q in values if q is not None and math.isfinite(q))
-    hot = sorted({q for q in qs if qs.count(q) > 1}) if isolate_hot else []
+    # a value hit by >= 1/64 of the quantiles holds >= ~1.5 % of the rows;
+    # tables with fewer rows than buckets hit every value a few times only
+    need = max(2, (len(qs) + 1) // 64)
+    hot = sorted({q for q in qs if qs.count(q) >= need}) if isolate_hot else []
     pts = set(qs)
     for v in hot:
         pts.add(math.nextafter(v, math.inf))
