@@ -43,7 +43,7 @@ def health_capacity(wells: DataFrame, risk: DataFrame, rul: DataFrame | None,
     else:
         h = h.withColumn(rul_col, F.lit(None).cast("double"))
     h = h.withColumn("_neg_risk", -F.col(risk_col))
-    h = global_row_number(h, "_neg_risk", [F.col("_neg_risk"), F.col(asset)], out="_i",
+    h = global_row_number(h, "_neg_risk", [F.col("_neg_risk").asc_nulls_last(), F.col(asset)], out="_i",
                           second=numeric_or_none(h, asset))
     w = global_row_number(wells, well, [F.col(well)], out="_i")
     j = w.join(h.select("_i", asset, risk_col, rul_col), "_i", "left")

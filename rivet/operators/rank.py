@@ -79,7 +79,9 @@ def bucketize(df: DataFrame, c: str, n_buckets: int = DEFAULT_BUCKETS,
     With ``with_hot`` also returns the ids of single-value hot buckets.
     """
     tmp = "_bk_key"
-    x = df.withColumn(tmp, _numeric(df, c)).persist(StorageLevel.MEMORY_AND_DISK)
+    # null keys sort last (the last bucket), matching ``asc_nulls_last`` orders
+    x = (df.withColumn(tmp, F.coalesce(_numeric(df, c), F.lit(math.inf)))
+           .persist(StorageLevel.MEMORY_AND_DISK))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     splits, hot = _splits(x.approxQuantile(tmp, probs, rel_err), isolate_hot)
     b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
@@ -111,7 +113,8 @@ def global_row_number(df: DataFrame, first: str, order: list[Column],
                       n_buckets: int = DEFAULT_BUCKETS, out: str = "row_number",
                       second: str | None = None) -> DataFrame:
     """1-based position under ``order``; ``first`` is a numeric column whose
-    ascending order agrees with the first element of ``order``.
+    ascending order, nulls last, agrees with the first element of ``order``
+    (use ``asc_nulls_last``).
 
     A value of ``first`` holding a large share of rows gets a bucket of its
     own; when ``second`` (numeric, ascending, the next element of ``order``)
@@ -122,7 +125,7 @@ def global_row_number(df: DataFrame, first: str, order: list[Column],
     if second is not None and hot:
         in_hot = F.col("_b").isin(hot)
         tmp = "_sk_key"
-        hb = b.withColumn(tmp, _numeric(b, second))
+        hb = b.withColumn(tmp, F.coalesce(_numeric(b, second), F.lit(math.inf)))
         probs = [i / n_buckets for i in range(1, n_buckets)]
         sub_splits, _ = _splits(hb.filter(in_hot).approxQuantile(tmp, probs, 1e-3), False)
         sb = Bucketizer(splits=sub_splits, inputCol=tmp, outputCol="_sbk", handleInvalid="keep")

@@ -18,7 +18,7 @@ def risk_report(scores: DataFrame, key: str = "asset_id", score: str = "failure_
     """Category (half-open bins, 0 -> null) and 1..n priority by score desc,
     ties by asset (K9 tail: B10 + E7)."""
     s = scores.withColumn("risk_category", risk_category(score)).withColumn("_neg", -F.col(score))
-    r = global_row_number(s, "_neg", [F.col("_neg"), F.col(key)], out="maintenance_priority_rank",
+    r = global_row_number(s, "_neg", [F.col("_neg").asc_nulls_last(), F.col(key)], out="maintenance_priority_rank",
                           second=numeric_or_none(s, key))
     return r.drop("_neg")
 
@@ -26,7 +26,7 @@ def risk_report(scores: DataFrame, key: str = "asset_id", score: str = "failure_
 def rul_report(pred: DataFrame, key: str = "asset_id", hours: str = "predicted_rul_hours") -> DataFrame:
     """Clip at 0, days = hours / 24, urgency 1..n by hours asc (K10 tail: B9, B16, E7)."""
     p = pred.withColumn(hours, clip(hours, lower=0.0)).withColumn("predicted_rul_days", F.col(hours) / 24.0)
-    return global_row_number(p, hours, [F.col(hours), F.col(key)], out="maintenance_urgency_rank",
+    return global_row_number(p, hours, [F.col(hours).asc_nulls_last(), F.col(key)], out="maintenance_urgency_rank",
                              second=numeric_or_none(p, key))
 
 

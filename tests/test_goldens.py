@@ -159,3 +159,21 @@ def test_precision_ceiling(spark):
     long = _long(spark)
     p = R.precision_at_k(R.top_actions(long, 5), long, 5).first()["precision_at_k"]
     assert abs(p - 31 / 40) < 1e-12
+
+
+def test_health_capacity_pairing_and_defaults(spark):
+    """i-th asset by risk (desc) pairs with the i-th well by id; wells beyond
+    the assets keep full capacity; in-row defaults risk 0.1 / RUL 1000 h;
+    RUL only for assets that have a risk row."""
+    wells = spark.createDataFrame([(1, 100.0), (2, 200.0), (3, 300.0), (4, 400.0)],
+                                  "well_id long, max_capacity_bpd double")
+    risk = spark.createDataFrame([("a", 0.9), ("b", None), ("c", 0.5)], "asset_id string, failure_risk_score double")
+    rul = spark.createDataFrame([("b", 40.0), ("z", 10.0)], "asset_id string, predicted_rul_hours double")
+    out = {r["well_id"]: r for r in A.health_capacity(wells, risk, rul).collect()}
+    assert out[1]["health_asset_id"] == "a" and float(out[1]["safe_capacity_bpd"]) == 30.0
+    assert out[1]["health_status"] == "CRITICAL - Derated"
+    assert out[2]["health_asset_id"] == "c" and float(out[2]["safe_capacity_bpd"]) == 140.0
+    # null risk sorts last (desc); its RUL of 40 h derates it to 0.3
+    assert out[3]["health_asset_id"] == "b" and float(out[3]["safe_capacity_bpd"]) == 90.0
+    assert out[4]["health_asset_id"] is None and float(out[4]["safe_capacity_bpd"]) == 400.0
+    assert out[4]["health_status"] == "No health data - assumed healthy"
