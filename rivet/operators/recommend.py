@@ -149,10 +149,20 @@ def recommend_with_fallback(long: DataFrame, lookups: DataFrame, categories: Dat
                       "method", "confidence")
 
 
-def diagnosis_keys(report: DataFrame) -> DataFrame:
-    """Diagnosis names -> recommender keys, unclassified rows skipped."""
+def diagnosis_keys(report: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Diagnosis names -> recommender keys, unclassified rows skipped.
+
+    By default the normalised name is the key, as in the original, so four
+    of the seven diagnosis names find no history. ``aliases``
+    (diagnosis_key, failure_mode) optionally maps normalised names onto
+    recommender modes; names without an alias keep their own key."""
     k = report.select("asset_id", "likely_cause", normalise_key("likely_cause").alias("failure_mode"))
-    return k.filter(F.col("failure_mode") != K.UNCLASSIFIED_KEY)
+    k = k.filter(F.col("failure_mode") != K.UNCLASSIFIED_KEY)
+    if aliases is None:
+        return k
+    a = aliases.select(F.col("diagnosis_key").alias("_dk"), F.col("failure_mode").alias("_alias"))
+    return (k.join(F.broadcast(a), k.failure_mode == a._dk, "left")  # alias table: a handful of rows
+             .select("asset_id", "likely_cause", F.coalesce("_alias", "failure_mode").alias("failure_mode")))
 
 
 def _hex_int(hexstr):

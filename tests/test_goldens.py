@@ -177,3 +177,13 @@ def test_health_capacity_pairing_and_defaults(spark):
     assert out[3]["health_asset_id"] == "b" and float(out[3]["safe_capacity_bpd"]) == 90.0
     assert out[4]["health_asset_id"] is None and float(out[4]["safe_capacity_bpd"]) == 400.0
     assert out[4]["health_status"] == "No health data - assumed healthy"
+
+
+def test_diagnosis_key_aliases(spark):
+    rep = spark.createDataFrame([(1, "Seal leakage / cavitation"), (2, "Bearing wear"), (3, "Unclassified anomaly")],
+                                "asset_id long, likely_cause string")
+    plain = {r["asset_id"]: r["failure_mode"] for r in R.diagnosis_keys(rep).collect()}
+    assert plain == {1: "seal_leakage_/_cavitation", 2: "bearing_wear"}
+    al = spark.createDataFrame([("seal_leakage_/_cavitation", "seal_leakage")], "diagnosis_key string, failure_mode string")
+    mapped = {r["asset_id"]: r["failure_mode"] for r in R.diagnosis_keys(rep, al).collect()}
+    assert mapped == {1: "seal_leakage", 2: "bearing_wear"}
