@@ -1,4 +1,4 @@
-"""Spark session and lineage helpers.
+"""Spark session helpers.
 
 Everything in ``rivet`` takes an existing ``SparkSession``; this module only
 builds one for tests, the bench and local runs, and resolves the shared
@@ -8,9 +8,11 @@ checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import os
+import re
+import shutil
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Session settings the library relies on: UTC for timestamp arithmetic,
 # AQE for runtime re-planning (coalescing, skew-join splitting), ANSI on.
@@ -54,7 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder.
 
     A cluster names it in ``spark.checkpoint.dir`` and we use that as is.
-    Only when it is unset (local tests) do we create a scratch folder.
+    Where it is unset, only a single-machine session (tests, the bench) gets
+    a scratch folder; on a cluster that would be a folder per machine, so it
+    is an error there.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -65,18 +69,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if current is not None:
         return current
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="rivet-ckpt-", dir=os.environ.get("RIVET_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Used where a plan would otherwise be recomputed with a different result
-    (sampled range boundaries) or where lineage grows across iterations.
-    Survives executor loss, unlike a local checkpoint.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per Spark context, so
+    that functions defined in it load on executors started elsewhere."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rivet_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="rivet-zip-")
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "rivet_package"), "zip",
+                                     os.path.dirname(root), os.path.basename(root)))
+    sc._rivet_shipped = True
