@@ -6,13 +6,19 @@ parameters and derives the digest columns from the operator's real output.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivet.llm.bpe import encode
 from rivet.llm.exact_dedup import exact_dedup
+from rivet.llm.html_extract import extract
 from rivet.llm.line_dedup import deduplicated
 from rivet.llm.mixing import mix_sources
 from rivet.llm.quality import quality_rules
+from rivet.llm.secrets import BASE_RULES, scan_secrets
+from rivet.llm.setsketch import near_dedup
+from rivet.llm.toxicity import THRESHOLD, fit, score
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +30,29 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts and digest of the base kinds, all spans."""
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in BASE_RULES]
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select(
+        "doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
+                    for k in kinds],
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document and what they decode to."""
+    out = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                 public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines repeated in three or more documents, kept in the largest id only."""
     out = deduplicated(table(spark, sf_dir, "documents"), keep="last")
@@ -31,6 +60,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies by five-word shingles at similarity 0.75: set sizes and components."""
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed to source weights 5, 2, 1 with at most three copies each."""
     out = mix_sources(table(spark, sf_dir, "documents"))
@@ -38,6 +72,17 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a model trained on two thirds of the labels."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    labels = (table(spark, sf_dir, "labels").filter(~held_out)
+              .select(F.col("doc_id").alias("l_id"), F.col("toxic").alias("label")))
+    model = fit(docs.join(labels, docs["doc_id"] == labels["l_id"]).select("doc_id", "text", "label"))
+    return score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
+                                     (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality counts and verdicts of every document, judged with its source."""
     out = quality_rules(table(spark, sf_dir, "documents"))
@@ -45,9 +90,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept")
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_secret_scan": op2_secret_scan,
+    "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op6_near_dedup": op6_near_dedup,
     "op7_mix_sources": op7_mix_sources,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
+    "op10_html_extract": op10_html_extract,
 }
