@@ -7,11 +7,15 @@ next one's docs. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rivet.llm.bpe import encode
 from rivet.llm.exact_dedup import exact_dedup
 from rivet.llm.mixing import emit, mix_sources
 from rivet.llm.quality import quality_rules
+from rivet.llm.setsketch import near_dedup
 from rivet.llm.text import keep_rows, written
 
 
@@ -25,15 +29,30 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_rows(docs, exact_dedup(docs, keep="largest").filter("kept"), "doc_id")
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the smallest id."""
+    return keep_rows(docs, near_dedup(docs).filter("kept"), "doc_id")
+
+
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix to target weights takes them."""
     return emit(docs, mix_sources(docs))
 
 
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every emitted document, with digests of the ids and of the bytes
+    they decode to. A document that the mix repeats is encoded as often."""
+    out = encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_tokens", "ids", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 STAGES = [
     ("quality rules", quality_stage),
     ("exact dedup", exact_stage),
+    ("near dedup", near_stage),
     ("mix sources", mix_stage),
+    ("byte bpe", encode_stage),
 ]
 
 # Near-dedup and encoding are not SQL; tests hold run() against brute force.

@@ -16,6 +16,7 @@ from rivet.llm.html_extract import extract
 from rivet.llm.line_dedup import deduplicated
 from rivet.llm.mixing import mix_sources
 from rivet.llm.quality import quality_rules
+from rivet.llm.runindex import repeated_spans
 from rivet.llm.secrets import BASE_RULES, scan_secrets
 from rivet.llm.setsketch import near_dedup
 from rivet.llm.toxicity import THRESHOLD, fit, score
@@ -45,6 +46,14 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op3_repeat_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes under 50-byte strings that a smaller document id has too."""
+    out = repeated_spans(table(spark, sf_dir, "documents"), length=50)
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document and what they decode to."""
     out = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -98,6 +107,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
+    "op3_repeat_dedup": op3_repeat_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op6_near_dedup": op6_near_dedup,
