@@ -7,7 +7,7 @@ x_i = floor_i + clip(rem - headroom_before_i, 0, headroom_i) with
 rem = min(pipeline, compressor) - sum floor and wells filled from the
 highest well id down (the plan the original solver produced; the optimum
 is not unique). That is a running sum per field and scenario, done with
-the grouped bucketed prefix sums, so no field sits in one task.
+grouped prefix sums, so no field sits in one task.
 
 Capacities are exact decimals, so half-even rounding to 0.1 bpd is the
 same in every engine; rounded values feed totals and tolerance tests.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from rivet import constants as K
 from rivet.functions.exprs import derate
-from rivet.operators.rank import global_row_number, numeric_or_none, prefix_sums
+from rivet.operators.rank import global_row_number, prefix_sums
 
 DEC = "decimal(20,4)"
 
@@ -42,10 +42,8 @@ def health_capacity(wells: DataFrame, risk: DataFrame, rul: DataFrame | None,
         h = h.join(rul.select(asset, rul_col), asset, "left")
     else:
         h = h.withColumn(rul_col, F.lit(None).cast("double"))
-    h = h.withColumn("_neg_risk", -F.col(risk_col))
-    h = global_row_number(h, "_neg_risk", [F.col("_neg_risk").asc_nulls_last(), F.col(asset)], out="_i",
-                          second=numeric_or_none(h, asset))
-    w = global_row_number(wells, well, [F.col(well)], out="_i")
+    h = global_row_number(h, [F.col(risk_col).desc_nulls_last(), F.col(asset)], out="_i")
+    w = global_row_number(wells, [F.col(well)], out="_i")
     j = w.join(h.select("_i", asset, risk_col, rul_col), "_i", "left")
     factor, status = derate(risk_col, rul_col)
     has = F.col(asset).isNotNull()

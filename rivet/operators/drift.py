@@ -2,7 +2,7 @@
 
 Two-sample Kolmogorov-Smirnov per column: values are aggregated to
 distinct values with per-side counts (a hot value becomes one row), the
-two ECDFs come from bucketed prefix sums, and D = max |F1 - F2| is one
+two ECDFs come from grouped prefix sums, and D = max |F1 - F2| is one
 aggregate. The p-value is the Kolmogorov limit series
 p = 2 sum_k (-1)^(k-1) exp(-2 k^2 lambda^2), lambda = sqrt(n m / (n + m)) D,
 clamped to [0, 1]; the small-sample exact distribution is not reproduced.
@@ -10,60 +10,37 @@ clamped to [0, 1]; the small-sample exact distribution is not reproduced.
 
 from __future__ import annotations
 
-import math
-from functools import reduce
-
-from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivet import constants as K
-from rivet.operators.rank import ordered_split
+from rivet.operators.rank import ordered_split, prefix_sums
+from rivet.session import materialize
 
 KS_TERMS = 100
+KS_SMALL = 0.2
 
 
 def kolmogorov_p(lam: Column) -> Column:
+    """Tail of the Kolmogorov distribution. Below ``KS_SMALL`` it is 1 to more
+    digits than a double prints, and the alternating series would need ever
+    more terms there."""
     terms = F.sequence(F.lit(1), F.lit(KS_TERMS))
     s = F.aggregate(terms, F.lit(0.0),
                     lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1) * F.exp(-2.0 * k * k * lam * lam))
-    return F.when(lam <= 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * s)))
+    return F.when(lam < KS_SMALL, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * s)))
 
 
-def _ks_from_counts(per: DataFrame, alpha: float, n_buckets: int = 512) -> DataFrame:
+def _ks_from_counts(per: DataFrame, alpha: float) -> DataFrame:
     """KS rows from per-value counts (column, v, c1, c2, s1, s2).
 
-    ECDFs by grouped bucketed prefix sums: the quantile boundaries of every
-    column come from one grouped ``percentile_approx`` (columns x buckets
-    numbers reach the driver), rows are bucketed per column with a
-    Bucketizer, bucket offsets (columns x buckets rows, broadcast) are
-    summed by a window over the small table, and each (column, bucket)
-    finishes its own running sum.
+    Both ECDFs of all columns are one grouped prefix sum over the distinct
+    values; D is one aggregate of it.
     """
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = per.groupBy("column").agg(F.percentile_approx("v", probs, 10000).alias("q")).collect()
-    parts = []
-    for row in qs:
-        splits = [-math.inf] + sorted({float(x) for x in row["q"] if x is not None and math.isfinite(x)}) + [math.inf]
-        if len(splits) < 3:
-            splits = [-math.inf, 0.0, math.inf]
-        parts.append(Bucketizer(splits=splits, inputCol="v", outputCol="_b")
-                     .transform(per.filter(F.col("column") == row["column"])))
-    b = reduce(lambda x, y: x.unionByName(y), parts)
-    tot = b.groupBy("column", "_b").agg(F.sum("c1").alias("t1"), F.sum("c2").alias("t2"))
-    w_all = Window.partitionBy("column").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("column", "_b", F.coalesce(F.sum("t1").over(w_all), F.lit(0)).alias("o1"),
-                     F.coalesce(F.sum("t2").over(w_all), F.lit(0)).alias("o2"),
-                     F.sum("t1").over(Window.partitionBy("column")).alias("n1"),
-                     F.sum("t2").over(Window.partitionBy("column")).alias("n2"))
-    wb = Window.partitionBy("column", "_b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (b.join(F.broadcast(off), ["column", "_b"])
-            .select("column", "s1", "s2", "n1", "n2",
-                    (F.col("o1") + F.sum("c1").over(wb)).alias("cum1"),
-                    (F.col("o2") + F.sum("c2").over(wb)).alias("cum2")))
-    d = cum.groupBy("column").agg(
-        F.max(F.abs(F.col("cum1") / F.col("n1") - F.col("cum2") / F.col("n2"))).alias("d"),
+    cum = prefix_sums(per, "v", ["c1", "c2"], part=["column"])
+    n = per.groupBy("column").agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"))  # one row per column
+    d = cum.join(F.broadcast(n), "column").groupBy("column").agg(
+        F.max(F.abs(F.col("cum_c1") / F.col("n1") - F.col("cum_c2") / F.col("n2"))).alias("d"),
         F.first("n1").alias("n1"), F.first("n2").alias("n2"),
         F.sum("s1").alias("t1"), F.sum("s2").alias("t2"))
     lam = F.sqrt(F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))) * F.col("d")
@@ -98,10 +75,9 @@ def ks_column(ref: DataFrame, cur: DataFrame, c: str, alpha: float = K.KS_ALPHA)
 
 def data_drift(ref: DataFrame, cur: DataFrame, columns: list[str], alpha: float = K.KS_ALPHA) -> DataFrame:
     """KS report for every column (D13). The samples are read once; the
-    per-value table (bounded by distinct values) is persisted and each
-    column's ECDF comes from bucketed prefix sums over it."""
-    per = value_counts(ref, cur, columns).persist(StorageLevel.MEMORY_AND_DISK)
-    return _ks_from_counts(per, alpha)
+    per-value table is written once and every column's ECDF comes from one
+    grouped prefix sum over it."""
+    return _ks_from_counts(materialize(value_counts(ref, cur, columns), "ks-values"), alpha)
 
 
 def prediction_drift(ref: DataFrame, cur: DataFrame, score: str, alpha: float = K.KS_ALPHA) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Every metric is one aggregation over the scored rows (partial aggregation
 per task); ROC-AUC aggregates to distinct scores first and uses the
-bucketed prefix sums of ``rivet.operators.rank``, never a single-task sort.
+prefix sums of ``rivet.operators.rank``, never a single-task sort.
 """
 
 from __future__ import annotations

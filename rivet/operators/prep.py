@@ -16,6 +16,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rivet.functions.exprs import nan_to_null
 from rivet.operators.rank import global_row_number
 
 EXCLUDED = ["asset_id", "timestamp", "operating_mode", "reading_id"]
@@ -39,7 +40,7 @@ def asset_split(df: DataFrame, key: str = "asset_id", test_size: float = 0.2, se
     assets = df.select(key).distinct().withColumn("_h", seeded_hash(key, seed=seed))
     n = assets.count()
     k = math.ceil(test_size * n) if rule == "ceil" else max(1, int(test_size * n))
-    ranked = global_row_number(assets, "_h", [F.col("_h"), F.col(key)], out="_r")
+    ranked = global_row_number(assets, [F.col("_h"), F.col(key)], out="_r")
     return ranked.select(key, F.when(F.col("_r") <= k, F.lit("test")).otherwise(F.lit("train")).alias("split"))
 
 
@@ -76,3 +77,8 @@ def hash_sample(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFr
 def top_n(df: DataFrame, by, n: int, tie: str) -> DataFrame:
     """Global top-n by a column or expression, ties by ``tie``."""
     return df.orderBy(by, F.col(tie)).limit(n)
+
+
+def clean_sensors(df: DataFrame, sensors: list[str]) -> DataFrame:
+    """NaN and null alike -> 0 on the raw sensors."""
+    return df.withColumns({c: F.coalesce(nan_to_null(F.col(c)), F.lit(0.0)) for c in sensors})

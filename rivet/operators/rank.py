@@ -1,219 +1,108 @@
 """Global order without a single-task window (E7, E8, D10, D13 helpers).
 
 ``Window.orderBy(...)`` with no partition moves every row into one task.
-Instead:
-
-* ``prefix_sums`` -- for a table with a unique numeric key (typically the
-  distinct values of a column, with counts), cut the key range into
-  ``n_buckets`` quantile buckets (``approxQuantile``: only the boundaries
-  reach the driver), bucket rows with ``Bucketizer`` (a JVM binary search),
-  total each bucket (<= n_buckets+1 rows, broadcast: a proven bound), and
-  finish with a running sum inside each bucket. Equal keys always share a
-  bucket, so the result is exact; aggregating to distinct values first
-  means a hot value is one row.
-* ``global_row_number`` -- the same bucketing on the first sort column and
-  ``row_number`` inside each bucket plus the bucket offset.
-* ``kth_cut`` -- the exact key of the k-th row under a composite order,
-  found column by column from value counts (each level one aggregate and
-  one bounded window), so an ordered split becomes a plain filter.
-
-The boundaries are computed once and then used as literals, so a
-recomputed partition after an executor loss lands in the same bucket.
+Here a global order is Spark's own range-partitioned sort, written once:
+
+* ``ordered`` sorts by the full order and writes the rows with the task they
+  fell into and their place in it. Keys keep their own types (strings,
+  64-bit integers, decimals), nulls go where the order says, and a tie group
+  of the first key is cut by the next ones. The number of tasks follows the
+  data (adaptive coalescing). As the written table is what later steps read,
+  a lost executor cannot move a row.
+* ``global_row_number`` adds the number of rows in earlier tasks.
+* ``prefix_sums`` adds the sums of earlier tasks to a running sum inside the
+  task; one row per task (and group) crosses tasks.
+* ``ordered_split`` finds the row at the cut by its number, over the key
+  columns only; the split itself is then a plain filter on the input.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
-from pyspark import StorageLevel
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 512
-
-
-NUMERIC_TYPES = ("bigint", "int", "smallint", "tinyint", "double", "float", "date")
-
-
-def numeric_or_none(df: DataFrame, c: str) -> str | None:
-    """``c`` if it can serve as a bucketing key (numeric or time), else None."""
-    t = dict(df.dtypes)[c]
-    return c if (t in NUMERIC_TYPES or t.startswith("timestamp") or t.startswith("decimal")) else None
-
-
-def _numeric(df: DataFrame, c: str) -> Column:
-    t = dict(df.dtypes)[c]
-    if t.startswith("timestamp") or t == "date":
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-    return F.col(c).cast("double")
-
-
-def _splits(values, isolate_hot: bool):
-    """Sorted Bucketizer splits from quantiles, and the hot values: a value
-    returned for at least 1/64 of the quantiles holds at least that share of
-    the rows. With ``isolate_hot`` each hot value v gets its own bucket
-    [v, nextafter(v))."""
-    qs = sorted(float(q) for q in values if q is not None and math.isfinite(q))
-    # a value hit by >= 1/64 of the quantiles holds >= ~1.5 % of the rows;
-    # tables with fewer rows than buckets hit every value a few times only
-    need = max(2, (len(qs) + 1) // 64)
-    hot = sorted({q for q in qs if qs.count(q) >= need}) if isolate_hot else []
-    pts = set(qs)
-    for v in hot:
-        pts.add(math.nextafter(v, math.inf))
-    splits = [-math.inf] + sorted(pts) + [math.inf]
-    if len(splits) < 3:
-        splits = [-math.inf, 0.0, math.inf]
-    return splits, [splits.index(v) for v in hot]
-
-
-def bucketize(df: DataFrame, c: str, n_buckets: int = DEFAULT_BUCKETS,
-              rel_err: float = 1e-3, out: str = "_b", isolate_hot: bool = False,
-              with_hot: bool = False):
-    """Add ``out``: a bucket id monotone in column ``c`` (quantile buckets).
-
-    The input is persisted (memory, spilling to disk) so the boundary pass
-    and the bucketing pass read it once; boundaries are literals afterwards,
-    so a partition recomputed after an executor loss buckets identically.
-    With ``with_hot`` also returns the ids of single-value hot buckets.
-    """
-    tmp = "_bk_key"
-    # null keys sort last (the last bucket), matching ``asc_nulls_last`` orders
-    x = (df.withColumn(tmp, F.coalesce(_numeric(df, c), F.lit(math.inf)))
-           .persist(StorageLevel.MEMORY_AND_DISK))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    splits, hot = _splits(x.approxQuantile(tmp, probs, rel_err), isolate_hot)
-    b = Bucketizer(splits=splits, inputCol=tmp, outputCol=out, handleInvalid="keep")
-    res = b.transform(x).drop(tmp)
-    return (res, hot) if with_hot else res
-
-
-def prefix_sums(df: DataFrame, key: str, cols: list[str], n_buckets: int = DEFAULT_BUCKETS,
-                part: list[str] | tuple = (), descending: bool = False) -> DataFrame:
+from rivet.session import materialize
+
+_PLACE_BITS = 33  # of monotonically_increasing_id
+
+
+def ordered(df: DataFrame, order: list[Column]) -> DataFrame:
+    """``df`` written in ``order``, with ``_task`` and ``_at`` (0-based inside the task)."""
+    rows = materialize(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "order")
+    return (rows.withColumn("_task", F.shiftright("_place", _PLACE_BITS))
+            .withColumn("_at", F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))).drop("_place"))
+
+
+def _match(a: DataFrame, b: DataFrame, cols: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
+
+
+def global_row_number(df: DataFrame, order: list[Column], out: str = "row_number") -> DataFrame:
+    """1-based position under ``order``."""
+    rows = ordered(df, order)
+    before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_task").agg(F.count("*").alias("_n"))  # one row per task
+    offsets = counts.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (rows.join(F.broadcast(offsets), "_task")
+            .select(*df.columns, (F.col("_before") + F.col("_at") + 1).alias(out)))
+
+
+def prefix_sums(df: DataFrame, key: str, cols: list[str], part: list[str] | tuple = (),
+                descending: bool = False) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows of the same ``part`` whose
-    key is <= this key (>= when ``descending``). ``key`` must be unique
-    within ``part``. With ``part`` the buckets are shared by all groups, so
-    a group holding most rows is still spread over every bucket."""
+    key is <= this key (>= when ``descending``); nulls last. ``key`` must be
+    unique within ``part``. A group holding most rows spans many tasks."""
     part = list(part)
-    x = df.withColumn("_pk", _numeric(df, key) * F.lit(-1.0 if descending else 1.0))
-    b = bucketize(x, "_pk", n_buckets)
-    tot = b.groupBy(*part, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
-    w_all = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(*part, "_b", *[F.coalesce(F.sum(f"_t_{c}").over(w_all), F.lit(0)).alias(f"_o_{c}")
-                                    for c in cols])
-    # without groups the offsets table has <= n_buckets + 1 rows: broadcast
-    j = b.join(F.broadcast(off) if not part else off, [*part, "_b"])
-    wb = Window.partitionBy(*part, "_b").orderBy("_pk").rowsBetween(Window.unboundedPreceding, 0)
-    return j.select(*df.columns, *[(F.col(f"_o_{c}") + F.sum(c).over(wb)).alias(f"cum_{c}")
-                                   for c in cols])
-
-
-def global_row_number(df: DataFrame, first: str, order: list[Column],
-                      n_buckets: int = DEFAULT_BUCKETS, out: str = "row_number",
-                      second: str | None = None) -> DataFrame:
-    """1-based position under ``order``; ``first`` is a numeric column whose
-    ascending order, nulls last, agrees with the first element of ``order``
-    (use ``asc_nulls_last``).
-
-    A value of ``first`` holding a large share of rows gets a bucket of its
-    own; when ``second`` (numeric, ascending, the next element of ``order``)
-    is given, such buckets are split again by quantiles of ``second`` taken
-    over the hot rows, so a tie group is spread over many tasks. Buckets are
-    ordered by (bucket, sub-bucket), which is the lexicographic order."""
-    b, hot = bucketize(df, first, n_buckets, isolate_hot=second is not None, with_hot=True)
-    if second is not None and hot:
-        in_hot = F.col("_b").isin(hot)
-        tmp = "_sk_key"
-        hb = b.withColumn(tmp, F.coalesce(_numeric(b, second), F.lit(math.inf)))
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        sub_splits, _ = _splits(hb.filter(in_hot).approxQuantile(tmp, probs, 1e-3), False)
-        sb = Bucketizer(splits=sub_splits, inputCol=tmp, outputCol="_sbk", handleInvalid="keep")
-        b = (sb.transform(hb).withColumn("_sb", F.when(in_hot, F.col("_sbk")).otherwise(F.lit(0.0)))
-               .drop(tmp, "_sbk"))
+    last = F.col(key).desc_nulls_last() if descending else F.col(key).asc_nulls_last()
+    rows = ordered(df, [*[F.col(p) for p in part], last])
+    before = Window.partitionBy(*part).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    totals = rows.groupBy(*part, "_task").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
+    offsets = totals.select(*part, "_task", *[
+        F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in cols])
+    # without groups the offsets are one row per task; with groups their size is Spark's to judge
+    j = rows.join(offsets if part else F.broadcast(offsets), _match(rows, offsets, [*part, "_task"]))
+    inside = (Window.partitionBy(*[rows[c] for c in [*part, "_task"]]).orderBy(rows["_at"])
+              .rowsBetween(Window.unboundedPreceding, 0))
+    return j.select(*[rows[c] for c in df.columns],
+                    *[(F.col(f"_o_{c}") + F.sum(rows[c]).over(inside)).alias(f"cum_{c}") for c in cols])
+
+
+def _equal_and_before(c: str, value, dtype: str) -> tuple[Column, Column]:
+    """(column equals the cut's value, column sorts before it); nulls last."""
+    if value is None:
+        return F.col(c).isNull(), F.col(c).isNotNull()
+    if dtype == "date" or dtype.startswith("timestamp"):
+        lit = F.timestamp_micros(F.lit(value))  # epoch microseconds: no time zone in the literal
+        lit = lit if dtype == "timestamp" else lit.cast(dtype)
     else:
-        b = b.withColumn("_sb", F.lit(0.0))
-    tot = b.groupBy("_b", "_sb").agg(F.count("*").alias("_t"))
-    w_all = Window.orderBy("_b", "_sb").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_b", "_sb", F.coalesce(F.sum("_t").over(w_all), F.lit(0)).alias("_o"))
-    j = b.join(F.broadcast(off), ["_b", "_sb"])  # <= buckets x sub-buckets rows
-    wb = Window.partitionBy("_b", "_sb").orderBy(*order)
-    return j.select(*df.columns, (F.col("_o") + F.row_number().over(wb)).alias(out))
-
-
-def _kth_value(sub: DataFrame, key: Column, r: int, n_buckets: int):
-    """(value v, rows before v, rows equal v) for the distinct value of the
-    numeric ``key`` holding 0-based position ``r`` of ``sub`` ordered by it."""
-    counts = sub.groupBy(key.alias("_kv")).agg(F.count("*").alias("_n"))
-    b = bucketize(counts, "_kv", n_buckets)
-    tots = sorted((row["_b"], row["_t"]) for row in
-                  b.groupBy("_b").agg(F.sum("_n").alias("_t")).collect())  # <= n_buckets rows
-    before = 0
-    target = None
-    for bid, t in tots:
-        if before + t > r:
-            target = bid
-            break
-        before += t
-    if target is None:
-        return None, before, 0
-    w = Window.orderBy("_kv").rowsBetween(Window.unboundedPreceding, -1)
-    inb = (b.filter(F.col("_b") == target)  # one bucket: ~distinct/n_buckets rows
-            .withColumn("_pre", F.coalesce(F.sum("_n").over(w), F.lit(0)) + F.lit(before)))
-    row = inb.filter((F.col("_pre") <= r) & (F.col("_pre") + F.col("_n") > r)).first()
-    return row["_kv"], row["_pre"], row["_n"]
-
-
-def kth_cut(df: DataFrame, order: list[str], k: int, n_buckets: int = DEFAULT_BUCKETS):
-    """Key prefix [(numeric key expr, value)] of the row at 0-based position
-    ``k`` under ascending ``order`` (a unique composite key); None when k is
-    past the end. Columns are compared through a monotone numeric mapping
-    (timestamps as epoch microseconds) so no literal depends on a time zone."""
-    cut = []
-    cond = F.lit(True)
-    r = k
-    for c in order:
-        key = _numeric(df, c)
-        v, before, n = _kth_value(df.filter(cond), key, r, n_buckets)
-        if v is None:
-            return None
-        cut.append((key, v))
-        r -= before
-        # equality on the raw column with a typed literal, so the next level's
-        # scan can use parquet filter pushdown
-        cond = cond & (F.col(c) == _literal(df, c, v))
-        if n == 1:
-            break
-    return cut
-
-
-def _literal(df: DataFrame, c: str, v: float) -> Column:
-    t = dict(df.dtypes)[c]
-    if t.startswith("timestamp"):
-        lit = F.timestamp_micros(F.lit(int(v)))
-        return lit.cast("timestamp_ntz") if t == "timestamp_ntz" else lit
-    if t == "date":
-        return F.timestamp_micros(F.lit(int(v))).cast("date")
-    return F.lit(v).cast(t)
-
-
-def before_cut(cut) -> Column:
-    """Lexicographic ``key < cut`` as a plain predicate."""
-    if cut is None:
-        return F.lit(True)
-    expr = None
-    for key, v in reversed(cut):
-        lt = key < F.lit(v)
-        expr = lt if expr is None else (lt | ((key == F.lit(v)) & expr))
-    return expr
-
-
-def ordered_split(df: DataFrame, order: list[str], share: float,
-                  n_buckets: int = DEFAULT_BUCKETS) -> tuple[DataFrame, DataFrame, int]:
+        lit = F.lit(value).cast(dtype)
+    return F.col(c).eqNullSafe(lit), F.coalesce(F.col(c) < lit, F.lit(False))
+
+
+def before_cut(df: DataFrame, order: list[str], k: int) -> Column:
+    """Predicate of the first ``k`` rows under ascending ``order``, nulls
+    last. ``order`` must be a unique composite key; 0 <= k < rows."""
+    types = dict(df.dtypes)
+    exact = [F.unix_micros(F.col(c).cast("timestamp")).alias(c)
+             if types[c] == "date" or types[c].startswith("timestamp") else F.col(c) for c in order]
+    ranked = global_row_number(df.select(*order), [F.col(c).asc_nulls_last() for c in order])
+    row = ranked.filter(F.col("row_number") == k + 1).select(*exact).first()
+    if row is None:
+        raise ValueError(f"no row at position {k} under {order}")
+    pred = F.lit(False)
+    for c in reversed(order):
+        equal, before = _equal_and_before(c, row[c], types[c])
+        pred = before | (equal & pred)
+    return pred
+
+
+def ordered_split(df: DataFrame, order: list[str], share: float) -> tuple[DataFrame, DataFrame, int]:
     """First ``int(n*share)`` rows under ``order`` vs the rest (E8); returns
-    (reference, current, n). Both sides are filters on the input."""
+    (reference, current, n). Both sides are filters on the input and every
+    row, with or without null keys, is on exactly one of them."""
     n = df.count()
     k = int(n * share)
-    cut = kth_cut(df, order, k, n_buckets) if k < n else None
-    pred = before_cut(cut)
+    pred = before_cut(df, order, k) if k < n else F.lit(True)
     return df.filter(pred), df.filter(~pred), n

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rivet import constants as K
 from rivet.functions.exprs import zscore
+from rivet.operators.prep import clean_sensors
 from rivet.operators.windows import latest_per_key
 
 
@@ -77,7 +78,9 @@ def diagnosis(sensors: list[str], rules=K.DIAGNOSIS_RULES) -> Column:
 def root_cause_report(readings: DataFrame, sensors: list[str],
                       key: str = "asset_id", ts: str = "timestamp",
                       tie: str | None = "reading_id") -> DataFrame:
-    """Latest reading of every asset diagnosed against normal baselines."""
+    """Latest reading of every asset diagnosed against normal baselines.
+    Missing readings (null or NaN) count as 0 in both."""
+    readings = clean_sensors(readings, sensors)
     base = sensor_baselines(readings, sensors)
     order = [ts] + ([tie] if tie else [])
     latest = latest_per_key(readings.select(key, *order, *sensors), key, order)

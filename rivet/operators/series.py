@@ -6,7 +6,7 @@ job. The two layouts below split every asset and stay exact:
 
 1. ``index_series`` -- time chunks. Rows (readings plus failure and
    work-order events) are partitioned by ``(asset, chunk)`` where ``chunk``
-   is a fixed-width time bucket. Inside a chunk we compute the reading's
+   is a stretch of time holding about ``CHUNK_ROWS`` rows. Inside a chunk we compute the reading's
    running index and the strict as-of answers (next failure after the
    reading, last work order before it). A small per-chunk table
    (one row per asset-chunk) carries counts and first/last events across
@@ -20,8 +20,8 @@ job. The two layouts below split every asset and stay exact:
    ``(asset, block)`` and ordered by ``rn``. Each row is copied at most
    once (``block_rows >= halo``).
 
-Both are deterministic (no sampling), so a lost executor recomputes the
-same partitions.
+Chunk boundaries are written once, so a lost executor recomputes the same
+partitions.
 """
 
 from __future__ import annotations
@@ -31,28 +31,42 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivet.functions.exprs import US_PER_DAY, epoch_us
+from rivet.functions.exprs import epoch_us
+from rivet.session import materialize
 
 KIND_READING, KIND_FAILURE, KIND_ORDER = 0, 1, 2
 
 
 CHUNK_ROWS = 2_000_000
-UNBOUNDED_CHUNK_US = 100 * 366 * US_PER_DAY
+MAX_CUTS = 1000
 
 
-def chunk_width(readings_us: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS) -> int:
-    """Chunk width (microseconds) so the densest asset holding more than
-    ``chunk_rows`` readings is cut into chunks of about ``chunk_rows``.
-    Assets below that size never need cutting; when no asset exceeds it
-    the width is effectively unbounded. One aggregate; one number reaches
-    the driver."""
-    st = readings_us.groupBy(key).agg(F.count("*").alias("_n"), F.min("_us").alias("_lo"),
-                                      F.max("_us").alias("_hi"))
-    dens = (st.filter(F.col("_n") > chunk_rows)
-              .agg(F.max(F.col("_n") / (F.col("_hi") - F.col("_lo") + 1))).first()[0])
-    if dens is None:
-        return UNBOUNDED_CHUNK_US
-    return max(1, int(chunk_rows / dens))
+def with_chunks(rows: DataFrame, key: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Add ``_chunk``, ascending in ``_us`` within an asset, so that no chunk
+    of an asset holds many more than ``chunk_rows`` rows.
+
+    Chunks are cut by row count, per asset and over readings and events
+    alike: an asset above ``chunk_rows`` gets boundaries from quantiles of
+    its own times (so a burst is cut as finely as it is dense), any other
+    asset is one chunk. Rows of one instant stay together. The only number
+    that reaches the driver is the size of the largest asset; boundaries are
+    one row per large asset.
+    """
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    most = sizes.agg(F.max("_n")).first()[0] or 0
+    if most <= chunk_rows:
+        return rows.withColumn("_chunk", F.lit(0).cast("long"))
+    cuts = min(MAX_CUTS, -(-most // chunk_rows))
+    large = sizes.filter(F.col("_n") > chunk_rows)
+    quantiles = F.percentile_approx("_us", [i / cuts for i in range(1, cuts)], F.lit(100 * max(cuts, 100)))
+    stride = F.greatest(F.lit(1), F.floor(F.lit(cuts) * chunk_rows / F.first("_n"))).cast("int")
+    bounds = materialize(
+        rows.join(large, key).groupBy(key).agg(quantiles.alias("_q"), stride.alias("_s"))
+        .select(key, F.array_distinct(F.filter("_q", lambda x, i: (i + 1) % F.col("_s") == 0)).alias("_q")),
+        "chunk-bounds")
+    place = F.size(F.filter("_q", lambda q: q <= F.col("_us")))
+    return (rows.join(bounds, key, "left")
+            .withColumn("_chunk", F.when(F.col("_q").isNull(), F.lit(0)).otherwise(place).cast("long")).drop("_q"))
 
 
 def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestamp",
@@ -66,12 +80,9 @@ def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestam
     reading), ``last_order_us`` (last order strictly before) and
     ``first_order_us`` (the asset's first order).
 
-    ``chunk_us`` fixes the chunk width; by default it comes from
-    ``chunk_width``: the densest asset above ``chunk_rows`` readings is cut
-    into chunks of about ``chunk_rows``, smaller assets fall into one or a
-    few chunks. The width is a literal, so no join is added to the plan."""
-    r_us = readings.withColumn("_us", epoch_us(ts))
-    parts = [r_us.withColumn("_kind", F.lit(KIND_READING))]
+    ``chunk_us`` fixes a chunk width in time; by default ``with_chunks`` cuts
+    each asset by row count."""
+    parts = [readings.withColumn("_us", epoch_us(ts)).withColumn("_kind", F.lit(KIND_READING))]
     if failures is not None:
         parts.append(failures.select(F.col(key), epoch_us(failure_ts).alias("_us"),
                                      F.lit(KIND_FAILURE).alias("_kind")))
@@ -80,20 +91,24 @@ def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestam
                                         F.lit(KIND_ORDER).alias("_kind")))
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if chunk_us is None:
-        chunk_us = chunk_width(r_us.select(key, "_us"), key, chunk_rows)
-    u = u.withColumn("_chunk", F.floor(F.col("_us") / F.lit(chunk_us)))
+        u = with_chunks(u, key, chunk_rows)
+    else:
+        u = u.withColumn("_chunk", F.floor(F.col("_us") / F.lit(chunk_us)))
 
     is_r = F.col("_kind") == KIND_READING
     w_rows = (Window.partitionBy(key, "_chunk").orderBy("_us", "_kind", tie)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    w_range = Window.partitionBy(key, "_chunk").orderBy("_us")
+    # frames that look ahead run over the reversed order: Spark extends an
+    # unbounded-preceding frame row by row but rebuilds an unbounded-following one
+    earlier = Window.partitionBy(key, "_chunk").orderBy("_us").rangeBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(key, "_chunk").orderBy(F.col("_us").desc()).rangeBetween(Window.unboundedPreceding, -1)
     u = u.withColumn("_rn_in", F.sum(is_r.cast("long")).over(w_rows))
     if failures is not None:
         u = u.withColumn("_nf_in", F.min(F.when(F.col("_kind") == KIND_FAILURE, F.col("_us")))
-                         .over(w_range.rangeBetween(1, Window.unboundedFollowing)))
+                         .over(later))
     if work_orders is not None:
         u = u.withColumn("_lo_in", F.max(F.when(F.col("_kind") == KIND_ORDER, F.col("_us")))
-                         .over(w_range.rangeBetween(Window.unboundedPreceding, -1)))
+                         .over(earlier))
 
     # one row per (asset, chunk): carries counts and events across chunks.
     # Column pruning reduces this branch to the key and time columns, so its
@@ -111,7 +126,8 @@ def index_series(readings: DataFrame, key: str = "asset_id", ts: str = "timestam
                        F.lit(0)).alias("_off"),
             F.sum("_cnt").over(Window.partitionBy(key)).alias("n_rows")]
     if failures is not None:
-        cols.append(F.min("_fmin").over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_nf_later"))
+        cols.append(F.min("_fmin").over(Window.partitionBy(key).orderBy(F.col("_chunk").desc())
+                                       .rowsBetween(Window.unboundedPreceding, -1)).alias("_nf_later"))
     if work_orders is not None:
         cols.append(F.max("_omax").over(wk.rowsBetween(Window.unboundedPreceding, -1)).alias("_lo_earlier"))
         cols.append(F.min("_omin").over(Window.partitionBy(key)).alias("first_order_us"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rivet import constants as K
+from rivet.functions.exprs import nan_to_null
 
 
 @dataclass
@@ -60,8 +61,10 @@ def sensor_contract() -> Contract:
     return Contract(cols, key=["asset_id", "timestamp"])
 
 
-def _violations(rule: ColumnRule) -> list[Column]:
+def _violations(rule: ColumnRule, dtype: T.DataType) -> list[Column]:
     c = F.col(rule.name)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        c = nan_to_null(c)  # NaN is a missing value, not one out of range
     txt = c.cast("string")
     out = []
 
@@ -81,8 +84,8 @@ def _violations(rule: ColumnRule) -> list[Column]:
 
 def violations(df: DataFrame, contract: Contract, id_cols: list[str]) -> DataFrame:
     """One row per failing cell: id columns, column, check, failure_case."""
-    present = set(df.columns)
-    checks = [x for r in contract.columns if r.name in present for x in _violations(r)]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    checks = [x for r in contract.columns if r.name in types for x in _violations(r, types[r.name])]
     arr = F.filter(F.array(*checks), lambda x: x.isNotNull())
     return (df.select(*id_cols, F.explode(arr).alias("v"))
               .select(*id_cols, "v.column", "v.check", "v.failure_case"))

@@ -31,14 +31,15 @@ def latest_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 def rolling_stats(df: DataFrame, sensors: list[str], windows: list[int],
                   part: list[str], order: str) -> DataFrame:
-    """Rolling mean and sample std over the last k rows, min 1 row; the
-    one-row std is 0 (E1)."""
+    """Rolling mean and sample std over the last k rows (E1). Missing readings
+    are skipped; a frame without any reading has mean 0, one with fewer than
+    two has std 0."""
     base = _w(part, order)
     cols = []
     for s in sensors:
         for k in windows:
             w = base.rowsBetween(-(k - 1), 0)
-            cols.append(F.avg(s).over(w).alias(f"{s}_roll_mean_{k}h"))
+            cols.append(F.coalesce(F.avg(s).over(w), F.lit(0.0)).alias(f"{s}_roll_mean_{k}h"))
             cols.append(F.coalesce(F.stddev_samp(s).over(w), F.lit(0.0)).alias(f"{s}_roll_std_{k}h"))
     return df.select("*", *cols)
 

@@ -15,28 +15,26 @@ from pyspark.sql import functions as F
 
 from rivet import constants as K
 from rivet.functions.exprs import US_PER_DAY, US_PER_HOUR, clip, nan_to_null
+from rivet.operators.prep import clean_sensors
 from rivet.operators.series import blocked, index_series
 from rivet.operators.windows import lag_trend, latest_n, rolling_stats, sliding_sequences, spectral_energy
 
 
-def clean_sensors(df: DataFrame, sensors: list[str]) -> DataFrame:
-    """NaN and null alike -> 0 on the raw sensors (B13; the original zero-fills
-    raw channels before lag features see them)."""
-    return df.select(*[F.coalesce(nan_to_null(F.col(c)), F.lit(0.0)).alias(c) if c in sensors
-                       else F.col(c) for c in df.columns])
-
-
 def labelled_series(readings: DataFrame, failures: DataFrame, work_orders: DataFrame | None,
                     sensors: list[str], key: str = "asset_id", ts: str = "timestamp",
                     tie: str = "reading_id", horizons=K.HORIZONS_DAYS,
-                    chunk_us: int | None = None, strict_recency: bool = False) -> DataFrame:
+                    chunk_us: int | None = None, strict_recency: bool = False,
+                    fill: bool = True) -> DataFrame:
     """Readings + rn + failure labels per horizon (C2) + next-failure hours
     (C1, null after the last failure) + days since maintenance (C3).
 
     Before an asset's first work order the original measures from that
     first (future) order, giving negative days; ``strict_recency=True``
     reports 999 there instead. Assets without orders get 0 either way."""
-    r = clean_sensors(readings, sensors)
+    if fill:
+        r = clean_sensors(readings, sensors)
+    else:  # rolling statistics skip missing readings, so they come before the zero-fill
+        r = readings.withColumns({c: nan_to_null(F.col(c)) for c in sensors})
     idx = index_series(r, key, ts, tie, failures=failures, work_orders=work_orders,
                        chunk_us=chunk_us)
     gap = F.col("next_failure_us") - F.col("_us")
@@ -67,11 +65,11 @@ def feature_frame(readings: DataFrame, failures: DataFrame, work_orders: DataFra
                   block_rows: int = 1_000_000) -> DataFrame:
     """The full feature table (K8): labels, rolling mean/std, lag/trend,
     spectral energy and days since maintenance, one row per reading."""
-    s = labelled_series(readings, failures, work_orders, sensors, key, ts, tie, horizons, chunk_us)
+    s = labelled_series(readings, failures, work_orders, sensors, key, ts, tie, horizons, chunk_us, fill=False)
     halo = max(max(windows) - 1, lag, fft_window - 1)
     b = blocked(s, key, "rn", halo=halo, block_rows=block_rows)
     part = [key, "_blk"]
-    b = rolling_stats(b, sensors, windows, part, "rn")
+    b = clean_sensors(rolling_stats(b, sensors, windows, part, "rn"), sensors)
     b = lag_trend(b, sensors, lag, part, "rn")
     b = spectral_energy(b, fft_col, fft_window, K.FFT_MIN_ROWS, part, "rn", "rn",
                         f"{fft_col.split('_')[0]}_fft_energy")

@@ -1,7 +1,7 @@
 """Scoring jobs and the fleet report.
 
 Each job ends in a one-row-per-asset table; the global ranks use the
-bucketed ``global_row_number`` rather than an unpartitioned window.
+range-partitioned ``global_row_number`` rather than an unpartitioned window.
 """
 
 from __future__ import annotations
@@ -11,23 +11,20 @@ from pyspark.sql import functions as F
 
 from rivet import constants as K
 from rivet.functions.exprs import advice, clip, risk_category, risk_marker
-from rivet.operators.rank import global_row_number, numeric_or_none
+from rivet.operators.rank import global_row_number
 
 
 def risk_report(scores: DataFrame, key: str = "asset_id", score: str = "failure_risk_score") -> DataFrame:
     """Category (half-open bins, 0 -> null) and 1..n priority by score desc,
     ties by asset (K9 tail: B10 + E7)."""
-    s = scores.withColumn("risk_category", risk_category(score)).withColumn("_neg", -F.col(score))
-    r = global_row_number(s, "_neg", [F.col("_neg").asc_nulls_last(), F.col(key)], out="maintenance_priority_rank",
-                          second=numeric_or_none(s, key))
-    return r.drop("_neg")
+    s = scores.withColumn("risk_category", risk_category(score))
+    return global_row_number(s, [F.col(score).desc_nulls_last(), F.col(key)], out="maintenance_priority_rank")
 
 
 def rul_report(pred: DataFrame, key: str = "asset_id", hours: str = "predicted_rul_hours") -> DataFrame:
     """Clip at 0, days = hours / 24, urgency 1..n by hours asc (K10 tail: B9, B16, E7)."""
     p = pred.withColumn(hours, clip(hours, lower=0.0)).withColumn("predicted_rul_days", F.col(hours) / 24.0)
-    return global_row_number(p, hours, [F.col(hours).asc_nulls_last(), F.col(key)], out="maintenance_urgency_rank",
-                             second=numeric_or_none(p, key))
+    return global_row_number(p, [F.col(hours).asc_nulls_last(), F.col(key)], out="maintenance_urgency_rank")
 
 
 def fleet_report(risk: DataFrame, rul: DataFrame | None, causes: DataFrame | None,
@@ -62,13 +59,9 @@ def work_orders(failures: DataFrame, preventive: DataFrame, key: str = "asset_id
     ``failures``: key, failure_date, failure_mode, downtime_hours, _tie;
     ``preventive``: key, work_order_date, _tie.
     """
-    f = failures.withColumn("_d", F.unix_micros(F.col("failure_date").cast("timestamp")))
-    cor = global_row_number(f, "_d", [F.col("_d"), F.col(key), F.col("_tie")], out="_n",
-                            second=numeric_or_none(f, key))
+    cor = global_row_number(failures, [F.col("failure_date"), F.col(key), F.col("_tie")], out="_n")
     n_cor = failures.count()
-    p = preventive.withColumn("_d", F.unix_micros(F.col("work_order_date").cast("timestamp")))
-    pre = global_row_number(p, "_d", [F.col("_d"), F.col(key), F.col("_tie")], out="_n",
-                            second=numeric_or_none(p, key))
+    pre = global_row_number(preventive, [F.col("work_order_date"), F.col(key), F.col("_tie")], out="_n")
     ctype, cdesc, cnotes = K.CORRECTIVE
     ptype, pdesc, pnotes = K.PREVENTIVE
     a = cor.select(F.format_string(K.WORK_ORDER_ID, F.col("_n")).alias("work_order_id"), key,

@@ -11,8 +11,9 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Session settings the library relies on: UTC for timestamp arithmetic,
 # AQE for runtime re-planning (coalescing, skew-join splitting), ANSI on.
@@ -77,6 +78,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` under the shared checkpoint folder and
+    read it back. Survives lost executors; its size is known to the planner."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivet/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per Spark context, so
     that functions defined in it load on executors started elsewhere."""

@@ -87,9 +87,9 @@ def test_prefix_sums_and_row_number(spark):
     rng = np.random.default_rng(1)
     vals = rng.permutation(3000)
     df = spark.createDataFrame([(int(v), 1) for v in vals], "k long, c long")
-    got = {r["k"]: r["cum_c"] for r in prefix_sums(df, "k", ["c"], n_buckets=16).collect()}
+    got = {r["k"]: r["cum_c"] for r in prefix_sums(df, "k", ["c"]).collect()}
     assert all(got[k] == k + 1 for k in got)
-    rn = {r["k"]: r["row_number"] for r in global_row_number(df, "k", [F.col("k")], n_buckets=16).collect()}
+    rn = {r["k"]: r["row_number"] for r in global_row_number(df, [F.col("k")]).collect()}
     assert all(rn[k] == k + 1 for k in rn)
 
 
@@ -161,14 +161,96 @@ def test_scaler_population_std(spark):
 
 
 def test_global_row_number_hot_tie_split(spark):
-    """Half the rows share one first-key value: they get their own bucket,
-    split by the second key, and the numbering stays exact."""
-    rows = [(0.5 if i % 2 == 0 else float(i), i) for i in range(4000)]
-    df = spark.createDataFrame(rows, "s double, k long")
-    got = global_row_number(df, "s", [F.col("s"), F.col("k")], n_buckets=32, second="k")
+    """Half the rows share one first-key value: the sort cuts them by the
+    second key, and the numbering stays exact."""
+    from rivet.operators.rank import ordered
+    rows = [(0.5 if i % 2 == 0 else float(i), f"k{i:04d}") for i in range(4000)]
+    df = spark.createDataFrame(rows, "s double, k string")
+    got = global_row_number(df, [F.col("s"), F.col("k")])
     exp = {k: i + 1 for i, (s, k) in enumerate(sorted(rows))}
-    res = {r["k"]: r["row_number"] for r in got.collect()}
-    assert res == exp
-    from rivet.operators.rank import bucketize
-    b, hot = bucketize(df, "s", 32, isolate_hot=True, with_hot=True)
-    assert len(hot) == 1 and b.filter(F.col("_b") == hot[0]).count() == 2000
+    assert {r["k"]: r["row_number"] for r in got.collect()} == exp
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = ordered(df, [F.col("s"), F.col("k")]).filter("s = 0.5").groupBy("_task").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks) >= 2
+
+
+def test_ordered_split_keeps_null_keys_last(spark):
+    rows = [(T0 + dt.timedelta(days=i) if i % 10 else None, i) for i in range(100)]
+    df = spark.createDataFrame(rows, "ts timestamp, i long")
+    ref, cur, n = ordered_split(df, ["ts", "i"], 0.7)
+    exp = [i for _, i in sorted(rows, key=lambda r: (r[0] is None, r[0] or T0, r[1]))]
+    assert n == 100
+    assert sorted(r["i"] for r in ref.collect()) == sorted(exp[:70])
+    assert sorted(r["i"] for r in cur.collect()) == sorted(exp[70:])
+
+
+def test_ordered_split_cut_inside_null_keys(spark):
+    df = spark.createDataFrame([(None if i >= 50 else i, i) for i in range(100)], "k int, i long")
+    ref, cur, _ = ordered_split(df, ["k", "i"], 0.8)
+    assert sorted(r["i"] for r in ref.collect()) == list(range(80))
+    assert cur.count() == 20
+
+
+def test_ordered_split_beyond_double_precision(spark):
+    base = 2 ** 53 + 1
+    df = spark.createDataFrame([(base + i,) for i in range(100)], "id long")
+    for share in (0.70, 0.71):
+        ref, cur, _ = ordered_split(df, ["id"], share)
+        assert (ref.count(), cur.count()) == (int(100 * share), 100 - int(100 * share))
+    assert ref.agg(F.max("id")).first()[0] == base + 70
+
+
+def test_prefix_sums_string_keys_and_groups(spark):
+    df = spark.createDataFrame([(g, f"w{i:03d}", i) for g in ("a", "b") for i in range(200)],
+                               "g string, w string, c long")
+    got = {(r["g"], r["w"]): r["cum_c"] for r in prefix_sums(df, "w", ["c"], part=["g"], descending=True).collect()}
+    assert got == {(g, f"w{i:03d}"): sum(range(i, 200)) for g in ("a", "b") for i in range(200)}
+
+
+def test_kolmogorov_p_near_zero(spark):
+    lam = [0.0, 0.001, 0.005, 0.01, 0.19, 0.2, 0.5, 1.0]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in lam], "l double")
+           .select(DR.kolmogorov_p(F.col("l"))).collect()]
+    assert got[:5] == [1.0] * 5 and abs(got[5] - 1.0) < 1e-9
+    assert abs(got[6] - 0.9639) < 1e-3 and abs(got[7] - 0.27) < 1e-3
+
+
+def test_nan_is_missing_not_out_of_range(spark):
+    from rivet.operators import validate as V
+    rule = V.ColumnRule("x", V.T.DoubleType(), nullable=False, in_range=(0, 20))
+    df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 25.0), (4, 5.0)], "id int, x double")
+    got = {(r["id"], r["check"]) for r in V.violations(df, V.Contract([rule], key=["id"]), ["id"]).collect()}
+    assert {i for i, c in got if "not_nullable" in c} == {1, 2}
+    assert {i for i, c in got if "in_range" in c} == {3}
+
+
+def test_root_cause_with_missing_readings(spark):
+    """NaN and null count as 0 in the baseline and in the diagnosed reading."""
+    from rivet.operators.rootcause import root_cause_report
+    rows = [("A", T0 + dt.timedelta(hours=i), i, "normal", v)
+            for i, v in enumerate([2.0, float("nan"), 4.0, None, 6.0])]
+    df = spark.createDataFrame(rows, "asset_id string, timestamp timestamp, reading_id int, "
+                                     "operating_mode string, vibration_mm double")
+    filled = df.fillna(0.0).replace(float("nan"), 0.0)
+    got, exp = (root_cause_report(x, ["vibration_mm"]).first() for x in (df, filled))
+    assert got == exp and got["contributing_signals"]
+
+
+def test_diagnosis_rules_by_number(spark):
+    """Every rule of the table is reached by readings that satisfy it."""
+    from rivet import constants as K
+    from rivet.operators.rootcause import diagnosis
+    sensors = sorted({s for _, _, conds in K.DIAGNOSIS_RULES for s, _, _ in conds}
+                     | {s for _, signals, _ in K.DIAGNOSIS_RULES for s in signals})
+    for name, _, conds in K.DIAGNOSIS_RULES:
+        z = dict.fromkeys(sensors, 0.0)
+        for s, op, v in conds:
+            z[s] = {">": v + 0.5, "<": v - 0.5, "abs>": -(v + 0.5)}[op]
+        df = spark.createDataFrame([tuple(z.values())], ", ".join(f"z_{s} double" for s in z))
+        found = df.select(diagnosis(sensors)["likely_cause"]).first()[0]
+        earlier = [n for n, _, c in K.DIAGNOSIS_RULES[:[r[0] for r in K.DIAGNOSIS_RULES].index(name)]
+                   if all({">": z[s] > v, "<": z[s] < v, "abs>": abs(z[s]) > v}[op] for s, op, v in c)]
+        assert found == (earlier[0] if earlier else name), name

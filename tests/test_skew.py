@@ -58,15 +58,54 @@ def test_hot_asset_results_independent_of_layout(spark):
                 assert x[c] == y[c], (k, c)
 
 
+def _chunks(spark, rows, chunk_rows):
+    from rivet.operators.series import with_chunks
+    df = spark.createDataFrame(rows, "asset_id string, _us long")
+    return {(r["asset_id"], r["_chunk"]): r["count"]
+            for r in with_chunks(df, "asset_id", chunk_rows).groupBy("asset_id", "_chunk").count().collect()}
+
+
+def test_chunks_follow_row_counts(spark):
+    """A bursty asset is cut inside its burst; sparse assets beside it are not cut."""
+    bursty = [("B", i * 1_000_000) for i in range(50)] + [("B", 10 ** 12 + i) for i in range(1000)]
+    sparse = [(f"S{k}", i * 3_600_000_000) for k in range(20) for i in range(60)]
+    got = _chunks(spark, bursty + sparse, 100)
+    assert max(got.values()) <= 130
+    assert len([k for k in got if k[0] == "B"]) >= 8
+    assert len([k for k in got if k[0] != "B"]) == 20
+
+
+def test_chunks_of_one_instant_stay_together(spark):
+    assert list(_chunks(spark, [("A", 5)] * 300, 100).values()) == [300]
+
+
 def test_adaptive_chunks_split_hot_asset(spark):
+    from rivet.operators.series import index_series
     r, f, o = _skewed(spark)
-    from rivet.operators.series import chunk_width
-    from rivet.functions.exprs import epoch_us
-    w = chunk_width(r.withColumn("_us", epoch_us("timestamp")), "asset_id", 250)
-    span_hot = 7 * 60 * 1_000_000 * 2999
-    assert 11 <= (span_hot + 1) / w <= 13                # 3000 rows / 250 per chunk
-    assert chunk_width(r.withColumn("_us", epoch_us("timestamp")), "asset_id", 10_000) > span_hot
-    a = FT.labelled_series(r, f, o, SENS, horizons=[1], chunk_us=None)
-    b = FT.labelled_series(r, f, o, SENS, horizons=[1], chunk_us=3_600_000_000 * 24 * 365)
-    cols = ["reading_id", "rn", "failure_within_1d", "hours_to_failure", "days_since_maintenance"]
-    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+    a = index_series(r, failures=f, work_orders=o, chunk_rows=250)
+    b = index_series(r, failures=f, work_orders=o, chunk_us=3_600_000_000 * 24 * 365)
+    cols = ["reading_id", "rn", "n_rows", "next_failure_us", "last_order_us", "first_order_us"]
+    assert sorted(map(str, map(tuple, a.select(cols).collect()))) == sorted(map(str, map(tuple, b.select(cols).collect())))
+
+
+def test_as_of_is_linear_in_one_chunk(spark):
+    """200,000 readings of one asset in one chunk: minutes if the look-ahead frame were rebuilt per row."""
+    import time
+    r = spark.range(200_000).select(F.lit("A").alias("asset_id"), F.timestamp_seconds(F.col("id") * 60).alias("timestamp"),
+                                    F.col("id").alias("reading_id"))
+    f = r.filter("reading_id % 1000 = 999").select("asset_id", F.col("timestamp").alias("failure_date"))
+    t = time.time()
+    row = index_series(r, failures=f).agg(F.count("next_failure_us"), F.max("rn")).first()
+    assert tuple(row) == (199_999, 200_000)
+    assert time.time() - t < 60
+
+
+def test_rolling_skips_missing_readings(spark):
+    rows = [("A", T0 + dt.timedelta(hours=i), i, "normal", v, 1.0) for i, v in enumerate([10.0, None, 20.0])]
+    r = spark.createDataFrame(rows, "asset_id string, timestamp timestamp, reading_id long, "
+                                    "operating_mode string, vibration_mm double, temperature_f double")
+    f = spark.createDataFrame([], "asset_id string, failure_date timestamp")
+    o = spark.createDataFrame([], "asset_id string, work_order_date timestamp")
+    out = FT.feature_frame(r, f, o, SENS, horizons=[1], windows=[6]).orderBy("rn").collect()
+    assert [x["vibration_mm_roll_mean_6h"] for x in out] == [10.0, 10.0, 15.0]
+    assert [x["vibration_mm"] for x in out] == [10.0, 0.0, 20.0]
