@@ -104,10 +104,3 @@ def derate(risk, rul) -> tuple[Column, Column]:
         factor = F.when(cond, F.lit(f)) if factor is None else factor.when(cond, F.lit(f))
         status = F.when(cond, F.lit(st)) if status is None else status.when(cond, F.lit(st))
     return factor.otherwise(F.lit(K.DERATE_HEALTHY[0])), status.otherwise(F.lit(K.DERATE_HEALTHY[1]))
-
-
-def mid_rank_auc_expr(pos_rank_sum, n_pos, n_neg) -> Column:
-    """Mann-Whitney AUC from the rank sum of positives (null if a class is empty)."""
-    return F.when((col(n_pos) > 0) & (col(n_neg) > 0),
-                  (col(pos_rank_sum) - col(n_pos) * (col(n_pos) + 1) / 2.0)
-                  / (col(n_pos) * col(n_neg)))

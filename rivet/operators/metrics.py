@@ -55,6 +55,26 @@ def binary_metrics(df: DataFrame, label: str, pred: str, score: str | None = Non
     return out
 
 
+def grouped_binary_metrics(df: DataFrame, group: str, label: str, pred: str, score: str) -> DataFrame:
+    """precision / recall / F1 and mid-rank ROC-AUC for every ``group`` (the
+    models of a comparison) over one table of scored rows."""
+    per = (df.groupBy(group, F.col(score).alias("_s"))
+             .agg(F.sum((F.col(label) == 1).cast("long")).alias("_pos"),
+                  F.sum((F.col(label) != 1).cast("long")).alias("_neg")))
+    ranked = prefix_sums(per, "_s", ["_neg"], part=[group])
+    below = F.col("cum__neg") - F.col("_neg")
+    auc = ranked.groupBy(group).agg(
+        F.sum(F.col("_pos") * (below + 0.5 * F.col("_neg"))).alias("_u"),
+        F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
+    y, p = F.col(label) == 1, F.col(pred) == 1
+    c = df.groupBy(group).agg(*[F.sum(x.cast("long")).alias(n) for n, x in
+                                (("tp", y & p), ("fp", ~y & p), ("fn", y & ~p), ("tn", ~y & ~p))])
+    precision, recall, f1 = _prf(F.col("tp"), F.col("fp"), F.col("fn"))
+    return c.join(auc, group).select(
+        group, "tp", "fp", "fn", "tn", precision.alias("precision"), recall.alias("recall"), f1.alias("f1"),
+        F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_u") / (F.col("_p") * F.col("_n"))).alias("roc_auc"))
+
+
 def anomaly_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     """Anomaly-detector variant: P/R/F1, flagged count, total and true anomaly rate."""
     c = df.agg(F.sum(((F.col(label) == 1) & (F.col(pred) == 1)).cast("long")).alias("tp"),
@@ -91,9 +111,10 @@ def false_alarm_share(predictions: DataFrame, actuals: DataFrame, key: str = "as
 
 
 def best_row(df: DataFrame, by: str, ordinal: str, maximize: bool = True) -> DataFrame:
-    """Arg-max (or arg-min) row, first by ``ordinal`` on ties."""
-    key = F.struct(F.col(by) if maximize else -F.col(by), -F.col(ordinal))
-    return df.agg(F.max_by(F.struct(*[F.col(c) for c in df.columns]), key).alias("_r")).select("_r.*")
+    """Arg-max (or arg-min) row, first by ``ordinal`` (of any type) on ties
+    (D17). A top-1: each task keeps one row."""
+    best = F.col(by).desc_nulls_last() if maximize else F.col(by).asc_nulls_last()
+    return df.orderBy(best, F.col(ordinal).asc_nulls_last()).limit(1)
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
@@ -107,14 +128,6 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
                     F.try_divide(F.col("n_neg").cast("double"), F.col("n_pos")).alias("scale_pos_weight"))
 
 
-def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Attach the balanced weight per row (one-row broadcast)."""
-    w = class_weights(df, label).select("weight_pos", "weight_neg")
-    return (df.crossJoin(F.broadcast(w))
-              .withColumn(out, F.when(F.col(label) == 1, F.col("weight_pos")).otherwise(F.col("weight_neg")))
-              .drop("weight_pos", "weight_neg"))
-
-
 def quality_gate(metrics: DataFrame, f1: str = "f1", threshold: float = K.QUALITY_GATE_F1) -> DataFrame:
     """best F1 and whether it clears the gate."""
     return metrics.agg(F.max(f1).alias("best_f1")).select(

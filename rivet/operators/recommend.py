@@ -12,22 +12,24 @@ distinct modes per action (a dimension size), never raw rows.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rivet import constants as K
 from rivet.functions.exprs import normalise_key
 from rivet.operators.windows import top_k_per_group
+from rivet.session import materialize
 
 DIRECT = (K.METHOD_DIRECT, K.CONFIDENCE_DIRECT)
 
 
 def shared(long: DataFrame) -> DataFrame:
-    """Persist the distinct (mode, action, cnt) table for operators that read
-    it several times, so the raw action log is scanned and aggregated once.
-    Its size is bounded by distinct pairs, not by the log."""
-    return long.persist(StorageLevel.MEMORY_AND_DISK)
+    """Write the distinct (mode, action, cnt) table for operators that read it
+    several times, so the raw action log is scanned and aggregated once. Its
+    size is bounded by distinct pairs, not by the log."""
+    return materialize(long, "cooccurrence")
 
 
 NO_DATA = (K.METHOD_NO_DATA, K.CONFIDENCE_NONE)
@@ -42,9 +44,16 @@ def cooccurrence(actions: DataFrame, mode: str = "failure_mode", action: str = "
 
 
 def cooccurrence_matrix(long: DataFrame) -> DataFrame:
-    """Wide mode x action matrix with zero cells, for output only.
-    Pivot values are the distinct actions (bounded by spark.sql.pivotMaxValues)."""
-    return long.groupBy("failure_mode").pivot("action").agg(F.sum("cnt")).na.fill(0)
+    """(failure_mode, counts): the mode x action matrix with zero cells, one
+    row per mode, ``counts`` in the order of all actions (D2). A row is as
+    wide as the output it stands for; only the action names, a dimension,
+    are brought together."""
+    names = long.agg(F.array_sort(F.collect_set("action")).alias("_names"))
+    own = long.groupBy("failure_mode").agg(
+        F.map_from_entries(F.collect_list(F.struct("action", "cnt"))).alias("_own"))
+    return own.crossJoin(F.broadcast(names)).select(  # one row
+        "failure_mode", F.transform("_names", lambda a: F.coalesce(
+            F.try_element_at("_own", a), F.lit(0).cast("long"))).alias("counts"))
 
 
 def distinct_counts(long: DataFrame) -> DataFrame:
@@ -206,28 +215,33 @@ def precision_at_k(recs: DataFrame, long: DataFrame, k: int = 5) -> DataFrame:
     return per.agg(F.avg("precision").alias("precision_at_k"), F.count("*").alias("n_modes"))
 
 
-MAX_BROADCAST_QUERIES = 100_000
+BLOCK_BYTES = 64 << 20  # of query vectors that are broadcast at once
 
 
 def vector_top_k(queries: DataFrame, items: DataFrame, k: int, qkey: str, ikey: str,
-                 qvec: str = "vector", ivec: str = "vector",
-                 max_queries: int = MAX_BROADCAST_QUERIES) -> DataFrame:
-    """Cosine top-k items per query vector (J9). The query table (modes,
-    label centroids: a dimension) is broadcast to the items after its size
-    is checked; each task keeps k rows per query before the shuffle
-    (WindowGroupLimit)."""
-    n_q = queries.count()
-    if n_q > max_queries:
-        raise ValueError(f"{n_q} query vectors exceed the broadcast bound {max_queries}")
+                 qvec: str = "vector", ivec: str = "vector", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Cosine top-k items per query vector.
+
+    The stated queries (modes, label centroids) are cut by hash into blocks
+    of about ``block_bytes``; each block in turn is broadcast to all items,
+    and each task keeps k rows per query before the shuffle
+    (WindowGroupLimit). More queries mean more blocks, never a larger one."""
+    total = queries.agg(F.sum(F.size(qvec) * 8 + 64)).first()[0] or 0
+    blocks = max(1, -(-total // block_bytes))
+
     def norm(v):
         return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
     q = queries.select(F.col(qkey).alias("_q"), F.col(qvec).alias("_qv"), norm(F.col(qvec)).alias("_qn"))
     i = items.select(F.col(ikey).alias("_i"), F.col(ivec).alias("_iv"), norm(F.col(ivec)).alias("_in"))
     dot = F.aggregate(F.zip_with("_qv", "_iv", lambda a, b: a.cast("double") * b.cast("double")),
                       F.lit(0.0), lambda acc, x: acc + x)
-    pairs = i.crossJoin(F.broadcast(q)).select(
-        "_q", "_i", F.when((F.col("_qn") > 0) & (F.col("_in") > 0),
-                           dot / (F.col("_qn") * F.col("_in"))).otherwise(F.lit(0.0)).alias("score"))
     w = Window.partitionBy("_q").orderBy(F.col("score").desc(), F.col("_i"))
-    return (pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-                 .select(F.col("_q").alias(qkey), "rank", F.col("_i").alias(ikey), "score"))
+
+    def best(block):
+        pairs = i.crossJoin(F.broadcast(block)).select(
+            "_q", "_i", F.when((F.col("_qn") > 0) & (F.col("_in") > 0),
+                               dot / (F.col("_qn") * F.col("_in"))).otherwise(F.lit(0.0)).alias("score"))
+        return pairs.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    found = [best(q.filter(F.pmod(F.xxhash64("_q"), F.lit(blocks)) == b)) for b in range(blocks)]
+    return reduce(DataFrame.unionByName, found).select(
+        F.col("_q").alias(qkey), "rank", F.col("_i").alias(ikey), "score")

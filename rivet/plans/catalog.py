@@ -9,6 +9,8 @@ first where the original rounds.
 
 from __future__ import annotations
 
+import hashlib
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -366,8 +368,9 @@ def q_cooccurrence_counts(spark, sf):
 
 @query("cooccurrence_matrix")
 def q_cooccurrence_matrix(spark, sf):
-    """D2 (wide): mode x action matrix with zero cells."""
-    return RC.cooccurrence_matrix(_long(spark, sf))
+    """D2 with zero cells: one row per mode, counts in the order of all actions."""
+    return RC.cooccurrence_matrix(_long(spark, sf)).select(
+        "failure_mode", F.array_join(F.transform("counts", lambda n: n.cast("string")), "|").alias("counts"))
 
 
 @query("distinct_counts")
@@ -711,9 +714,8 @@ def q_snapshot_latest(spark, sf):
 
 
 # --- models (J3, J5, J6, J12, J13, A7) --------------------------------------------------
-from pyspark import StorageLevel  # noqa: E402
-
 from rivet.plans import models as MD  # noqa: E402
+from rivet.session import ensure_checkpoint_dir, materialize  # noqa: E402
 
 FEATURE_EXCLUDE = ["asset_id", "timestamp", "reading_id", "operating_mode", "_us", "rn", "n_rows",
                    "next_failure_us", "last_order_us", "first_order_us", "hours_to_failure"]
@@ -721,85 +723,124 @@ LABEL = "failure_within_1d"
 
 
 def _training_frames(spark, sf):
-    f = _features(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    f = materialize(_features(spark, sf), "features")
     cols = PR.feature_columns(f, FEATURE_EXCLUDE)
     split = PR.asset_split(f, rule="ceil")
     train, test = PR.split_rows(f, split)
     return f, train, test, cols
 
 
-def _comparison(spark, sf):
-    _, train, test, cols = _training_frames(spark, sf)
-    models, metrics = MD.compare_classifiers(train, test, cols, LABEL, memo_key=(sf, "classifiers"))
-    return models, metrics, cols
+def _runs_path(spark, sf, job):
+    """The run table of one application, job and data folder."""
+    data = hashlib.md5(sf.encode()).hexdigest()[:12]
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivet-io/runs-{spark.sparkContext.applicationId}-{job}-{data}"
+
+
+def _classifier_runs(spark, sf):
+    """Run table of the classifier comparison; fitted where it is not there yet."""
+    path = _runs_path(spark, sf, "risk")
+    if IO.read_runs(spark, path) is None:
+        _, train, test, cols = _training_frames(spark, sf)
+        models, metrics = MD.compare_classifiers(train, test, cols, LABEL)
+        MD.register(spark, path, "failure-risk", models, metrics, "f1", maximize=True)
+    return path
+
+
+def _run_metrics(spark, path, names):
+    return IO.read_runs(spark, path).select(
+        "version", F.col("params")["model"].alias("model"), *[F.col("metrics")[n].alias(n) for n in names])
+
+
+CLASSIFIER_METRICS = ("precision", "recall", "f1", "roc_auc")
 
 
 @query("classifier_comparison")
 def q_classifier_comparison(spark, sf):
     """J3a-d + J12 + D10 + D20: RF and two boosted-tree configurations on
     asset-split features, precision / recall / F1 / ROC-AUC on test assets."""
-    _, metrics, _ = _comparison(spark, sf)
-    return _r6all(metrics)
+    return _r6all(_run_metrics(spark, _classifier_runs(spark, sf), CLASSIFIER_METRICS).drop("version"))
 
 
 @query("best_classifier")
 def q_best_classifier(spark, sf):
     """D17 + D22: best model by F1 and the 0.70 quality gate."""
-    _, metrics, _ = _comparison(spark, sf)
-    best = MD.best_model(metrics, "f1")
+    runs = _run_metrics(spark, _classifier_runs(spark, sf), CLASSIFIER_METRICS)
+    best = M.best_row(runs, "f1", "version").drop("version")
     return _r6all(best.withColumn("passed_gate", F.col("f1") >= F.lit(KC.QUALITY_GATE_F1)))
 
 
 @query("model_runs")
 def q_model_runs(spark, sf):
-    """J13 + A7: runs logged with version = max + 1, best promoted to Staging,
-    its artifact saved, loaded back by the registry row and used to score."""
-    from pyspark.ml.classification import RandomForestClassificationModel
-    models, metrics, cols = _comparison(spark, sf)
-    runs = IO.scratch_path(spark, "model-runs")
-    for row in metrics.collect():  # one row per model: metadata only
-        path = IO.scratch_path(spark, "model")
-        m = models[row["model"]]
-        m.write().overwrite().save(path)
-        IO.log_run(spark, runs, "failure-risk", path, {"model": row["model"]},
-                   {k: row[k] for k in ("precision", "recall", "f1", "roc_auc") if row[k] is not None})
-    best = IO.promote(spark, runs, "failure-risk", "f1").first()
-    loader = {"Random Forest": RandomForestClassificationModel}.get(
-        spark.read.parquet(runs).filter(F.col("version") == best["version"]).first()["params"]["model"])
-    if loader is None:
-        from pyspark.ml.classification import GBTClassificationModel as loader
-    reloaded = loader.load(best["path"])
-    scored = MD.positive_probability(reloaded, _features(spark, sf), cols)
-    return (spark.read.parquet(runs)
-                 .select("name", "version", F.col("params")["model"].alias("model"),
-                         F.when(F.col("version") == best["version"], F.lit("Staging")).otherwise(F.lit("None"))
-                         .alias("stage"), r6(F.col("metrics")["f1"]).alias("f1"))
-                 .crossJoin(scored.agg(F.count("*").alias("scored_rows"))))
+    """J13 + A7: the run table (version = max + 1, best run in Staging); the
+    staged model is loaded by name and stage and scores every reading."""
+    path = _classifier_runs(spark, sf)
+    f = materialize(_features(spark, sf), "features")
+    model = IO.load_model(spark, path, "failure-risk", "Staging")
+    scored = MD.positive_probability(model, f, PR.feature_columns(f, FEATURE_EXCLUDE))
+    return (IO.read_runs(spark, path)
+            .select("name", "version", F.col("params")["model"].alias("model"), "stage",
+                    r6(F.col("metrics")["f1"]).alias("f1"))
+            .crossJoin(F.broadcast(scored.agg(F.count("score").alias("scored_rows")))))  # one row
 
 
 @query("model_risk_scoring")
 def q_model_risk_scoring(spark, sf):
-    """K9 with the random forest: latest reading of every asset, class-1
+    """K9 with the staged model: latest reading of every asset, class-1
     probability, category and priority rank."""
-    models, _, cols = _comparison(spark, sf)
+    model = IO.load_model(spark, _classifier_runs(spark, sf), "failure-risk", "Staging")
     f = _features(spark, sf)
+    cols = PR.feature_columns(f, FEATURE_EXCLUDE)
     latest = latest_per_key(f, "asset_id", ["timestamp", "reading_id"])
-    p = MD.positive_probability(models["Random Forest"], latest, cols, "failure_risk_score")
+    p = MD.positive_probability(model, latest, cols, "failure_risk_score")
     return SC.risk_report(p.select("asset_id", "timestamp", "failure_risk_score")).select(
         "asset_id", "timestamp", r6("failure_risk_score").alias("failure_risk_score"), "risk_category",
         "maintenance_priority_rank")
 
 
+@query("run_table")
+def q_run_table(spark, sf):
+    """J13 + D17 on deterministic metrics: three threshold rules logged as
+    runs, the best F1 (lowest version on ties) stored as Staging."""
+    path = IO.scratch_path(spark, "runs")
+    s = materialize(_scored(spark, sf), "run-scores")
+    for t in (0.3, 0.5, 0.7):
+        m = M.binary_metrics(s.withColumn("pred", (F.col("score") >= t).cast("int")), "label", "pred").first()
+        IO.log_run(spark, path, "threshold-rule", f"threshold/{t}", {"threshold": t},
+                   {k: m[k] for k in ("precision", "recall", "f1")})
+    IO.promote(spark, path, "threshold-rule", "f1")
+    return IO.read_runs(spark, path).select("name", "version", "stage", "path", r6(F.col("metrics")["f1"]).alias("f1"))
+
+
+def _rul_runs(spark, sf):
+    """Run table of the RUL regressors; the least RMSE is staged."""
+    path = _runs_path(spark, sf, "rul")
+    if IO.read_runs(spark, path) is None:
+        rul = FT.rul_labels(_series(spark, sf, with_orders=False))
+        seq = FT.sequences(rul, td.TESTDATA_SENSORS, length=TD_SEQ_LEN, stride=TD_SEQ_STRIDE)
+        flat, cols = MD.flatten_sequences(seq, len(td.TESTDATA_SENSORS), TD_SEQ_LEN)
+        flat = materialize(flat, "rul-sequences")
+        train, test = PR.split_rows(flat, PR.asset_split(flat, rule="floor1"))
+        models, metrics = MD.compare_regressors(train, test, cols, "target")
+        MD.register(spark, path, "remaining-life", models, metrics, "rmse", maximize=False)
+    return path
+
+
 @query("rul_model_comparison")
 def q_rul_model_comparison(spark, sf):
     """J5 + D11: tree regressors on flattened 20-step sequences, asset split."""
-    rul = FT.rul_labels(_series(spark, sf, with_orders=False))
-    seq = FT.sequences(rul, td.TESTDATA_SENSORS, length=TD_SEQ_LEN, stride=TD_SEQ_STRIDE)
+    return _r6all(_run_metrics(spark, _rul_runs(spark, sf), ("rmse", "mae", "mape")).drop("version"))
+
+
+@query("rul_model_scoring")
+def q_rul_model_scoring(spark, sf):
+    """K10 with the regressor of least RMSE, loaded by name and stage: the
+    latest sequence of every asset, predicted hours and urgency rank."""
+    model = IO.load_model(spark, _rul_runs(spark, sf), "remaining-life", "Staging")
+    seq = FT.latest_sequences(_series(spark, sf, with_orders=False), td.TESTDATA_SENSORS, length=TD_SEQ_LEN)
     flat, cols = MD.flatten_sequences(seq, len(td.TESTDATA_SENSORS), TD_SEQ_LEN)
-    flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
-    split = PR.asset_split(flat, rule="floor1")
-    train, test = PR.split_rows(flat, split)
-    return _r6all(MD.compare_regressors(train, test, cols, "target"))
+    pred = model.transform(MD.assemble(flat, cols)).select(
+        "asset_id", F.col("prediction").alias("predicted_rul_hours"))
+    return _r6all(SC.rul_report(pred))
 
 
 @query("als_recommendations")
@@ -816,7 +857,7 @@ from rivet.plans import iforest as IF  # noqa: E402
 
 
 def _anomaly_frames(spark, sf):
-    f = _features(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    f = materialize(_features(spark, sf), "features")
     cols = PR.feature_columns(f, FEATURE_EXCLUDE)
     split = PR.asset_split(f, rule="floor1")
     train, test = PR.split_rows(f, split)
@@ -849,30 +890,31 @@ def q_anomaly_job(spark, sf):
 
 
 # --- explanations (J10, J11, D16) ----------------------------------------------------------
-from rivet.plans import explain as EX  # noqa: E402
+from pyspark.ml.classification import RandomForestClassificationModel  # noqa: E402
 
-
-_SHAP_MEMO: dict = {}
+from rivet.plans import explain as EX  # noqa: E402
 
 
 def _shap(spark, sf):
-    key = (id(spark), sf)
-    if key not in _SHAP_MEMO:
-        _SHAP_MEMO[key] = _shap_compute(spark, sf)
-    return _SHAP_MEMO[key]
-
-
-def _shap_compute(spark, sf):
-    f, train, test, cols = _training_frames(spark, sf)
-    rf = MD.fit_classifier(MD.CLASSIFIERS[0], train, cols, LABEL, memo_key=(sf, "classifiers"))
-    path = IO.scratch_path(spark, "rf-model")
-    rf.write().overwrite().save(path)
-    sample = PR.hash_sample(test, 500, ["reading_id"]).select("reading_id", *cols)
-    scored = MD.positive_probability(rf, sample, cols).select("reading_id", "score", *cols)
-    pdf = scored.toPandas()  # bounded: the 500-row sample
-    shap = EX.shap_values(EX.tree_nodes(spark, path), pdf, cols, "reading_id", rf.getNumTrees)
-    shap = IO.materialise(spark, shap, "shap-values")
-    return shap, scored, cols
+    """SHAP values of every test row under the logged random forest; values
+    and scores are tables of the application, computed where not there yet."""
+    path = _runs_path(spark, sf, "shap")
+    runs = IO.read_runs(spark, _classifier_runs(spark, sf))
+    forest = runs.filter(F.col("params")["model"] == MD.CLASSIFIERS[0].name).orderBy(F.col("version").desc()).first()
+    done = IO.read_runs(spark, path)
+    if done is None:
+        _, _, test, cols = _training_frames(spark, sf)
+        rf = RandomForestClassificationModel.load(forest["path"])
+        scored = materialize(MD.positive_probability(rf, test, cols).select("reading_id", "score", *cols), "shap-rows")
+        shap = EX.shap_values(EX.tree_nodes(spark, forest["path"]), scored, cols, "reading_id", rf.getNumTrees)
+        shap_path, rows_path = IO.scratch_path(spark, "shap-values"), IO.scratch_path(spark, "shap-scores")
+        shap.write.parquet(shap_path)
+        scored.write.parquet(rows_path)
+        IO.log_run(spark, path, "shap", shap_path, {"rows": rows_path}, {})
+        done = IO.read_runs(spark, path)
+    row = done.first()
+    shap, scored = spark.read.parquet(row["path"]), spark.read.parquet(row["params"]["rows"])
+    return shap, scored, [c for c in scored.columns if c not in ("reading_id", "score")]
 
 
 @query("shap_global_importance")

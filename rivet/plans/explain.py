@@ -1,12 +1,12 @@
 """Tree SHAP for MLlib random forests.
 
 Path-dependent Tree SHAP (Lundberg, Erion & Lee, 2018, Algorithm 2) with
-node covers taken from the forest's own weighted class counts. The forest
-average is additive over trees, so the work is distributed by tree:
-``groupBy(treeID).applyInPandas`` explains the (bounded, broadcast) row
-sample against one tree per call, vectorised over the rows, and a final
-aggregate averages over trees. Guard: base value + sum of contributions
-equals the class-1 probability of every row.
+node covers taken from the forest's own weighted class counts. The forest is
+broadcast (its size is bounded by its tree count and depth) and the rows are
+distributed: a task explains its batches against one group of trees after
+the other, vectorised over the rows, and a final aggregate adds the groups
+up. Guard: base value + sum of contributions equals the class-1 probability
+of every row.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from rivet.operators.prep import hash_sample
+
 
 def tree_nodes(spark, model_path: str) -> DataFrame:
     """Node table of a saved random forest: one row per (tree, node)."""
@@ -113,26 +115,41 @@ def _explain_tree(nodes: pd.DataFrame, X: np.ndarray, n_features: int):
     return phi, expected
 
 
-def shap_values(nodes: DataFrame, sample: pd.DataFrame, cols: list[str], row_key: str,
-                n_trees: int) -> DataFrame:
-    """Long table (row key, feature, shap) averaged over trees, plus a
-    ``__base__`` pseudo-feature holding the forest's expected value."""
-    spark = nodes.sparkSession
-    bc = spark.sparkContext.broadcast((sample[row_key].to_numpy(), sample[cols].to_numpy(dtype=float)))
-    names = list(cols)
+TREE_GROUPS = 8
+
 
-    def per_tree(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys, X = bc.value
-        phi, base = _explain_tree(pdf, X, len(names))
-        out = pd.DataFrame(phi, columns=names)
-        out["__base__"] = base
-        out[row_key] = keys
-        long = out.melt(id_vars=[row_key], var_name="feature", value_name="shap")
-        return long
-
-    key_type = dict(spark.createDataFrame(sample[[row_key]]).dtypes)[row_key]
-    per = nodes.groupBy("tree_id").applyInPandas(per_tree, f"{row_key} {key_type}, feature string, shap double")
-    return per.groupBy(row_key, "feature").agg((F.sum("shap") / F.lit(float(n_trees))).alias("shap"))
+def shap_values(nodes: DataFrame, rows: DataFrame, cols: list[str], row_key: str, n_trees: int,
+                sample: int | None = None, tree_groups: int = TREE_GROUPS) -> DataFrame:
+    """Long table (row key, feature, shap) of every row, averaged over trees,
+    plus a ``__base__`` pseudo-feature holding the forest's expected value.
+
+    ``sample`` explains only that many rows, those of smallest key hash. A
+    row is copied once per group of trees, so that few rows and many trees
+    still fill a cluster."""
+    if sample is not None:
+        rows = hash_sample(rows, sample, [row_key])
+    trees = [t.drop(columns="tree_id") for _, t in nodes.toPandas().groupby("tree_id")]  # bounded by the forest
+    forest = nodes.sparkSession.sparkContext.broadcast(trees)
+    names = list(cols)
+    key_type = dict(rows.dtypes)[row_key]
+
+    def explain(batches):
+        for pdf in batches:
+            for g, part in pdf.groupby("_group"):
+                X = part[names].to_numpy(dtype=float)
+                phi, base = np.zeros((len(part), len(names))), 0.0
+                for tree in forest.value[g::tree_groups]:
+                    p, b = _explain_tree(tree, X, len(names))
+                    phi += p
+                    base += b
+                out = pd.DataFrame(phi / n_trees, columns=names)
+                out["__base__"] = base / n_trees
+                out[row_key] = part[row_key].to_numpy()
+                yield out.melt(id_vars=[row_key], var_name="feature", value_name="shap")[[row_key, "feature", "shap"]]
+    spread = (rows.select(row_key, *names).withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(tree_groups - 1))))
+              .repartition("_group", F.pmod(F.xxhash64(row_key), F.lit(64))))
+    per = spread.mapInPandas(explain, f"{row_key} {key_type}, feature string, shap double")
+    return per.groupBy(row_key, "feature").agg(F.sum("shap").alias("shap"))
 
 
 def global_importance(shap: DataFrame, top: int = 15) -> DataFrame:

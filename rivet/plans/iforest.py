@@ -1,20 +1,18 @@
 """Isolation forest as a Spark job.
 
-Fit: about ``4 * n_trees * max_samples`` rows are kept by a seeded hash
-(no ``rand()``, so a retried task keeps the same rows), each kept row is
-hashed to one tree, and ``groupBy(tree).applyInPandas`` takes the
-``max_samples`` rows with the smallest hash and grows one isolation tree
-(random feature, uniform split between min and max, depth limit
-ceil(log2(max_samples))). The result is a node table of at most
-``n_trees * (2 * max_samples - 1)`` rows.
+Fit: a pool of about ``POOL`` rows is kept by a seeded hash (no ``rand()``,
+so a retried task keeps the same rows). Every tree draws its own
+``max_samples`` rows from the pool, those with the smallest hash of (row,
+tree), independently of the other trees; a hash bound set well above that
+number keeps all other (row, tree) pairs out of the shuffle.
+``groupBy(tree).applyInPandas`` grows the tree (random feature, uniform split
+between min and max, depth limit ceil(log2(max_samples))). The node table, at
+most ``n_trees * (2 * max_samples - 1)`` rows, is written once.
 
 Score: the node table is broadcast (that bound is its proof of size) and
 ``mapInPandas`` walks all trees for a whole Arrow batch at once with numpy;
-s = 2 ** (-E[h(x)] / c(max_samples)). The anomaly threshold is the
+s = 2 ** (-E[h(x)] / c(samples per tree)). The anomaly threshold is the
 (1 - contamination) quantile of the training scores.
-
-Per-tree samples are disjoint here (rows are hashed to one tree), where
-the original library draws each tree's sample independently.
 """
 
 from __future__ import annotations
@@ -27,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rivet.operators.prep import seeded_hash
+from rivet.session import materialize
 
 NODE_SCHEMA = ("tree_id int, node_id int, feature int, threshold double, "
                "left_child int, right_child int, size int")
 EULER_GAMMA = 0.5772156649015329
+POOL = 8192  # rows that the trees' samples are drawn from, at least where there are as many
 
 
 def avg_path(n):
@@ -74,12 +74,16 @@ def fit(df: DataFrame, cols: list[str], key: list[str], n_trees: int = 200, max_
     """Node table of the forest (one row per node)."""
     n = df.count()
     m = min(max_samples, n)
-    keep = min(1.0, 4.0 * n_trees * m / max(n, 1))
-    h = seeded_hash(*key, seed=seed)
-    cand = (df.filter(h < F.lit(int(keep * (2 ** 60))))
-              .select(F.pmod(seeded_hash(*key, seed=seed + 1), F.lit(n_trees)).cast("int").alias("tree_id"),
-                      seeded_hash(*key, seed=seed + 2).alias("_o"),
-                      *[F.col(c).cast("double").alias(c) for c in cols]))
+    if m == 0:
+        raise ValueError("an isolation forest needs at least one row")
+    whole = 1 << 60  # range of seeded_hash
+    in_pool = seeded_hash(*key, seed=seed) < F.lit(min(whole - 1, whole * 2 * POOL // n))
+    pool = df.filter(in_pool).select(*key, *[F.col(c).cast("double").alias(c) for c in cols])
+    size = min(n, 2 * POOL)
+    draw = seeded_hash(*key, "tree_id", seed=seed + 1)
+    cand = (pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+            .withColumn("_o", draw).filter(F.col("_o") < F.lit(min(whole - 1, whole * (2 * m + 64) // size)))
+            .select("tree_id", "_o", *cols))
     max_depth = int(math.ceil(math.log2(max(m, 2))))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -94,10 +98,10 @@ def fit(df: DataFrame, cols: list[str], key: list[str], n_trees: int = 200, max_
                              "left_child": a[:, 2].astype(np.int32), "right_child": a[:, 3].astype(np.int32),
                              "size": a[:, 4].astype(np.int32)})
 
-    return cand.groupBy("tree_id").applyInPandas(build, NODE_SCHEMA)
+    return materialize(cand.groupBy("tree_id").applyInPandas(build, NODE_SCHEMA), "forest")
 
 
-def score(df: DataFrame, nodes: DataFrame, cols: list[str], keep: list[str], max_samples: int = 256,
+def score(df: DataFrame, nodes: DataFrame, cols: list[str], keep: list[str],
           out: str = "anomaly_score") -> DataFrame:
     """Anomaly score per row; higher is more anomalous."""
     nd = nodes.orderBy("tree_id", "node_id").toPandas()  # bounded: n_trees * (2 * max_samples - 1) rows
@@ -106,7 +110,7 @@ def score(df: DataFrame, nodes: DataFrame, cols: list[str], keep: list[str], max
     for _, g in nd.groupby("tree_id", sort=True):
         trees.append(tuple(g[c].to_numpy() for c in ("feature", "threshold", "left_child", "right_child", "size")))
     bc = spark.sparkContext.broadcast(trees)
-    c_norm = float(avg_path([max_samples])[0])
+    c_norm = float(avg_path([max(2, max(int(t[4][0]) for t in trees))])[0])  # a tree's root counts its sample
 
     def run(batches):
         forest = bc.value

@@ -313,6 +313,17 @@ p AS (SELECT CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision
 f AS (SELECT max({_f1()}) AS best_f1 FROM p)
 SELECT {R6("best_f1")} AS best_f1, best_f1 >= 0.70 AS passed FROM f"""
 
+ORACLES["run_table"] = f"""WITH {SCORED},
+t AS (SELECT unnest([0.3, 0.5, 0.7]) AS thr, unnest([1, 2, 3]) AS version),
+x AS (SELECT version, thr, label, CASE WHEN score >= thr THEN 1 ELSE 0 END AS pred FROM e, t),
+c AS (SELECT version, thr, sum(label * pred) AS tp, sum((1 - label) * pred) AS fp,
+             sum(label * (1 - pred)) AS fn FROM x GROUP BY version, thr),
+p AS (SELECT version, thr, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS precision,
+             CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall FROM c),
+f AS (SELECT version, thr, {_f1()} AS f1 FROM p)
+SELECT 'threshold-rule' AS name, version, CASE WHEN row_number() OVER (ORDER BY f1 DESC, version) = 1
+       THEN 'Staging' ELSE 'None' END AS stage, 'threshold/' || thr AS path, {R6("f1")} AS f1 FROM f"""
+
 SPLIT = """
 li AS (SELECT *, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
                                               l_extendedprice) AS rn,
@@ -405,8 +416,11 @@ top AS (SELECT failure_mode, CAST(row_number() OVER (PARTITION BY failure_mode O
 
 ORACLES["cooccurrence_counts"] = f"WITH {LONG} SELECT * FROM lg"
 
-ORACLES["cooccurrence_matrix"] = f"""WITH {LONG}
-PIVOT lg ON action USING CAST(coalesce(sum(cnt), 0) AS BIGINT) GROUP BY failure_mode"""
+ORACLES["cooccurrence_matrix"] = f"""WITH {LONG},
+cell AS (SELECT m.failure_mode, a.action FROM (SELECT DISTINCT failure_mode FROM lg) m,
+         (SELECT DISTINCT action FROM lg) a)
+SELECT cell.failure_mode, string_agg(coalesce(lg.cnt, 0)::BIGINT::VARCHAR, '|' ORDER BY cell.action) AS counts
+FROM cell LEFT JOIN lg ON lg.failure_mode = cell.failure_mode AND lg.action = cell.action GROUP BY 1"""
 
 ORACLES["distinct_counts"] = f"""WITH {LONG}
 SELECT count(DISTINCT failure_mode) AS n_failure_modes, count(DISTINCT action) AS n_actions FROM lg"""

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -67,39 +67,69 @@ def write_snapshot(df: DataFrame, path: str, run_ts: str) -> None:
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest run (A6): max ``run_ts`` from the partition column, then a
-    literal filter that prunes every other partition."""
-    all_runs = spark.read.parquet(path)
-    latest = all_runs.agg(F.max("run_ts")).first()[0]
-    return all_runs.filter(F.col("run_ts") == F.lit(latest)).drop("run_ts")
+    """The newest run (A6): the greatest ``run_ts`` folder name, listed from
+    the path's file system without reading data, then a literal filter that
+    prunes every other partition."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [f.getPath().getName() for f in found]
+    latest = max(n.removeprefix("run_ts=") for n in names if n.startswith("run_ts="))
+    return spark.read.parquet(path).filter(F.col("run_ts") == F.lit(latest)).drop("run_ts")
 
 
 RUNS_SCHEMA = ("name string, version int, stage string, path string, "
                "params map<string,string>, metrics map<string,double>, logged_at timestamp")
 
 
+def read_runs(spark: SparkSession, runs_path: str) -> DataFrame | None:
+    """Current state of the run table: of each (name, version) the row logged
+    last; None where nothing was logged yet. Any other read failure raises."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(runs_path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    rows = spark.read.schema(RUNS_SCHEMA).parquet(runs_path)
+    last = F.max_by(F.struct("stage", "path", "params", "metrics", "logged_at"), "logged_at")
+    return rows.groupBy("name", "version").agg(last.alias("r")).select("name", "version", "r.*")
+
+
+def _append_run(spark: SparkSession, runs_path: str, row: tuple) -> None:
+    df = spark.createDataFrame([row], RUNS_SCHEMA.rpartition(", ")[0])
+    df.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(runs_path)
+
+
 def log_run(spark: SparkSession, runs_path: str, name: str, path: str, params: dict,
-            metrics: dict, stage: str = "None") -> None:
+            metrics: dict, stage: str = "None") -> int:
     """Append a run row; version = max(version) + 1 for the name."""
-    try:
-        prev = spark.read.parquet(runs_path).filter(F.col("name") == name).agg(F.max("version")).first()[0]
-    except Exception:  # noqa: BLE001 - first run: no table yet
-        prev = None
-    row = [(name, (prev or 0) + 1, stage, path, {k: str(v) for k, v in params.items()},
-            {k: float(v) for k, v in metrics.items()})]
-    df = spark.createDataFrame(row, "name string, version int, stage string, path string, "
-                                    "params map<string,string>, metrics map<string,double>")
-    df.withColumn("logged_at", F.current_timestamp()).write.mode("append").parquet(runs_path)
+    runs = read_runs(spark, runs_path)
+    prev = runs.filter(F.col("name") == name).agg(F.max("version")).first()[0] if runs is not None else None
+    version = (prev or 0) + 1
+    _append_run(spark, runs_path, (name, version, stage, path, {k: str(v) for k, v in params.items()},
+                                   {k: float(v) for k, v in metrics.items()}))
+    return version
 
 
 def promote(spark: SparkSession, runs_path: str, name: str, metric: str, stage: str = "Staging",
-            maximize: bool = True) -> DataFrame:
-    """Best run of ``name`` by ``metric`` (ties: lowest version) marked with ``stage``."""
-    runs = spark.read.parquet(runs_path).filter(F.col("name") == name)
+            maximize: bool = True) -> Row:
+    """Store ``stage`` on the best run of ``name`` by ``metric`` (ties: lowest
+    version) and return that run. The table only grows: a stage change is a
+    later row of the same version."""
+    runs = read_runs(spark, runs_path).filter(F.col("name") == name)
     m = F.col("metrics")[metric]
     key = F.struct(m if maximize else -m, -F.col("version"))
-    best = runs.agg(F.max_by(F.struct("name", "version", "path"), key).alias("b")).select("b.*")
-    return best.withColumn("stage", F.lit(stage))
+    best = runs.agg(F.max_by(F.struct("name", "version", "path", "params", "metrics"), key).alias("b")).select("b.*").first()
+    _append_run(spark, runs_path, (best["name"], best["version"], stage, best["path"], best["params"], best["metrics"]))
+    return best
+
+
+def load_model(spark: SparkSession, runs_path: str, name: str, stage: str):
+    """The newest version of ``name`` in ``stage``, loaded from its artifact."""
+    from pyspark.ml.util import DefaultParamsReader
+    runs = read_runs(spark, runs_path)
+    row = None if runs is None else (runs.filter((F.col("name") == name) & (F.col("stage") == stage))
+                                     .orderBy(F.col("version").desc()).first())
+    if row is None:
+        raise LookupError(f"no run of {name!r} in stage {stage!r}")
+    return DefaultParamsReader.loadParamsInstance(row["path"], spark)
 
 
 def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

@@ -39,10 +39,108 @@ def test_tree_shap_additivity(spark):
         assemble(df, cols).withColumn("label", F.col("label").cast("double")))
     path = scratch_path(spark, "test-rf")
     rf.write().overwrite().save(path)
-    sample = positive_probability(rf, df.limit(60), cols).select("id", "score", *cols).toPandas()
-    shap = EX.shap_values(EX.tree_nodes(spark, path), sample, cols, "id", rf.getNumTrees)
+    rows = positive_probability(rf, df, cols).select("id", "score", *cols)
+    shap = EX.shap_values(EX.tree_nodes(spark, path), rows, cols, "id", rf.getNumTrees)
     tot = {r["id"]: r["s"] for r in shap.groupBy("id").agg(F.sum("shap").alias("s")).collect()}
-    for _, r in sample.iterrows():
-        assert abs(tot[int(r["id"])] - r["score"]) < 1e-9
+    assert len(tot) == 600
+    for r in rows.collect():
+        assert abs(tot[r["id"]] - r["score"]) < 1e-9
+    few = EX.shap_values(EX.tree_nodes(spark, path), rows, cols, "id", rf.getNumTrees, sample=7)
+    assert few.select("id").distinct().count() == 7
     imp = {r["feature"]: r["mean_abs_shap"] for r in EX.global_importance(shap, 4).collect()}
     assert max(imp, key=imp.get) == "a"
+
+
+def test_every_tree_has_its_own_full_sample(spark):
+    """Roots count 256 rows each, also where rows are fewer than trees times 256."""
+    for n, size in ((5000, 256), (100, 100)):
+        df = spark.range(n).select("id", (F.col("id") * 7 % 101).cast("double").alias("a"))
+        roots = IF.fit(df, ["a"], ["id"], n_trees=40).filter("node_id = 0")
+        assert [r["size"] for r in roots.collect()] == [size] * 40
+
+
+def _labelled(spark, n=400):
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, (n, 2))
+    return spark.createDataFrame([(i, int(a + 0.3 * b > 0), float(a), float(b)) for i, (a, b) in enumerate(x)],
+                                 "id long, label int, a double, b double")
+
+
+def test_compare_register_promote_and_load(spark):
+    from rivet.plans import models as MD
+    from rivet.sources import io as IO
+    df = _labelled(spark)
+    train, test = df.filter("id < 300"), df.filter("id >= 300")
+    specs = [MD.ModelSpec("stump", "rf", {"numTrees": 1, "maxDepth": 1, "seed": 1}),
+             MD.ModelSpec("forest", "rf", {"numTrees": 10, "maxDepth": 6, "seed": 1}),
+             MD.ModelSpec("boosted", "gbt", {"maxIter": 5, "maxDepth": 3, "seed": 1}, "pos_ratio")]
+    models, metrics = MD.compare_classifiers(train, test, ["a", "b"], "label", specs)
+    got = {r["model"]: r for r in metrics.collect()}
+    assert list(models) == ["stump", "forest", "boosted"] and set(got) == set(models)
+    from rivet.operators import metrics as M
+    for name, m in models.items():  # the grouped pass agrees with one model at a time
+        one = M.binary_metrics(MD.positive_probability(m, test, ["a", "b"]), "label", "pred", "score").first()
+        for c in ("precision", "recall", "f1", "roc_auc"):
+            assert abs(one[c] - got[name][c]) < 1e-12
+    runs = scratch_path(spark, "runs")
+    assert IO.read_runs(spark, runs) is None
+    MD.register(spark, runs, "risk", models, metrics, "f1", maximize=True)
+    table = {r["version"]: r for r in IO.read_runs(spark, runs).collect()}
+    assert [table[v]["params"]["model"] for v in (1, 2, 3)] == list(models)
+    staged = [r for r in table.values() if r["stage"] == "Staging"]
+    assert len(staged) == 1 and staged[0]["metrics"]["f1"] == max(r["metrics"]["f1"] for r in table.values())
+    loaded = IO.load_model(spark, runs, "risk", "Staging")
+    a, b = (sorted(map(tuple, MD.positive_probability(m, test, ["a", "b"]).select("id", "score").collect()))
+            for m in (loaded, models[staged[0]["params"]["model"]]))
+    assert a == b
+    try:
+        IO.load_model(spark, runs, "risk", "Production")
+        raise AssertionError("no run is in Production")
+    except LookupError:
+        pass
+
+
+def test_compare_regressors_stages_least_rmse(spark):
+    from rivet.plans import models as MD
+    from rivet.sources import io as IO
+    df = _labelled(spark).withColumn("y", 3 * F.col("a") + 10)
+    specs = [MD.ModelSpec("flat", "rf", {"numTrees": 1, "maxDepth": 1, "seed": 1}, "none"),
+             MD.ModelSpec("deep", "rf", {"numTrees": 10, "maxDepth": 8, "seed": 1}, "none")]
+    models, metrics = MD.compare_regressors(df.filter("id < 300"), df.filter("id >= 300"), ["a", "b"], "y", specs)
+    runs = scratch_path(spark, "rul-runs")
+    MD.register(spark, runs, "life", models, metrics, "rmse", maximize=False)
+    assert IO.read_runs(spark, runs).filter("stage = 'Staging'").first()["params"]["model"] == "deep"
+    pred = IO.load_model(spark, runs, "life", "Staging").transform(MD.assemble(df, ["a", "b"]))
+    assert pred.agg(F.avg(F.abs(F.col("prediction") - F.col("y")))).first()[0] < 1.0
+
+
+def test_als_embeddings_rank_seen_actions_first(spark):
+    from rivet.operators.recommend import vector_top_k
+    from rivet.plans.models import als_embeddings
+    long = spark.createDataFrame([(f"m{i % 2}", f"a{i % 2}{j}", 20) for i in range(2) for j in range(3)],
+                                 "failure_mode string, action string, cnt long")
+    uf, itf = als_embeddings(long, rank=4)
+    top = vector_top_k(uf, itf, 3, "failure_mode", "action").collect()
+    assert {(r["failure_mode"], r["action"][1]) for r in top} == {("m0", "0"), ("m1", "1")}
+
+
+def test_vector_top_k_in_blocks(spark):
+    from rivet.operators.recommend import vector_top_k
+    rng = np.random.default_rng(3)
+    q = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(40)], "q int, vector array<double>")
+    v = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=4)]) for i in range(100)], "i int, vector array<double>")
+    one, many = (sorted(map(tuple, vector_top_k(q, v, 3, "q", "i", block_bytes=b).collect())) for b in (1 << 20, 500))
+    assert one == many and len(one) == 120
+
+
+def test_newest_snapshot_and_json_object(spark):
+    from rivet.sources import io as IO
+    path = scratch_path(spark, "snap")
+    for ts, n in (("20240101_000000", 3), ("20240203_000000", 5)):
+        IO.write_snapshot(spark.range(n), path, ts)
+    assert IO.latest_snapshot(spark, path).count() == 5
+    obj = scratch_path(spark, "limits")
+    spark.createDataFrame([('{\n "pipeline_capacity_bpd": 5.5,\n "compressor_capacity_bpd": 4.0\n}',)], "value string"
+                          ).coalesce(1).write.text(obj, lineSep="\n")
+    got = IO.read_json_object(spark, obj, "pipeline_capacity_bpd double, compressor_capacity_bpd double").collect()
+    assert [tuple(r) for r in got] == [(5.5, 4.0)]
