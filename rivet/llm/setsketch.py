@@ -8,15 +8,16 @@ their similarity, and the register-wise maximum is the sketch of a union.
 
 1. One map writes (id, set size, 128-bit set digest, registers); texts go no
    further. Equal sets collapse to a class with its smallest id.
-2. Bands of register values name buckets. In each bucket, the members are
-   paired with the bucket's smallest class first (a star, never all pairs).
+2. Bands of register values name buckets. In each bucket, all members are
+   paired with one centre (a star, never all pairs): the member that shares
+   the most bands with others, which is the likeliest to be linked to them.
 3. Pairs are estimated from both sketches by maximum likelihood; those that
    may reach the threshold are verified on the full sets.
-4. Verified links give components. Buckets whose members are not all in one
-   component go on: small ones pair the members of different components, the
-   rest repeat the star without its centre. At the end every candidate pair
-   was verified or lies inside one component, so no link between components
-   is lost.
+4. Verified links give components. The members of buckets that then still
+   hold several components go through an exact filter: two sets can reach the
+   threshold only if they share one of their rarest shingles. The pairs that
+   do, and lie in different components, are estimated and verified too. So no
+   link between two members of a bucket is lost that joins components.
 
 A hot bucket (a third of all documents, near copies of one another) costs one
 star of one pair per member.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +41,6 @@ SHINGLE = 5
 REGISTERS = 128
 BASE = 1.001
 BAND = 4  # registers in a band
-SMALL = 32  # members of a bucket that are paired across components at once
 BLOCK_BYTES = 2 << 20
 #: the estimate may fall short of the threshold by this many standard errors
 MARGIN = 4.5
@@ -231,15 +231,18 @@ def _likely(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "r_a", "r_b", "n_a", "n_b").mapInArrow(run, "a binary, b binary")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
-    nodes = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cls")
+def _class_texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cls, text) of the classes in ``nodes``, one text of each."""
     wanted = nodes.join(classes.select("cls", "id", "part"), "cls").select(
         "cls", F.col("id").alias("w_id"), F.col("part").alias("w_part"))
     # ids only on that side: hash it rather than sort the texts
-    texts = written(docs.join(wanted.hint("shuffle_hash"), docs["id"].eqNullSafe(F.col("w_id"))
-                              & (docs["part"] == F.col("w_part")))
-                    .groupBy("cls").agg(F.first("text").alias("text")), "near-texts")
+    return written(docs.join(wanted.hint("shuffle_hash"), docs["id"].eqNullSafe(F.col("w_id"))
+                             & (docs["part"] == F.col("w_part")))
+                   .groupBy("cls").agg(F.first("text").alias("text")), "near-texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
     for side in ("a", "b"):
         pairs = pairs.join(texts.select(F.col("cls").alias(side), F.col("text").alias(f"t_{side}")), side)
 
@@ -261,6 +264,43 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
     return pairs.select("a", "b", "t_a", "t_b").mapInArrow(run, "a binary, b binary")
 
 
+def _prefix_pairs(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of (cls, root, text) that may reach the threshold, roots
+    apart: an exact filter for buckets that hold several components.
+
+    Sets of sizes x and y reach it only if they share a shingle among the
+    x - ceil(percent * x) + 1 rarest of the one and as many of the other, in
+    any common order. Rarest first, documents that have only a frequent
+    passage in common do not meet, however many they are; and what follows
+    the first common shingle must leave room for the overlap that is needed.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            for a, b in blocks(texts, BLOCK_BYTES):
+                own, value = shingles(texts[a:b])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own + a)),
+                                                  pa.array(value.view(np.int64))], ["cls", "shingle"])
+    rows = written(nodes.select("cls", "text").mapInArrow(run, "cls binary, shingle long"), "near-shingles")
+    count = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("f"))
+    own = Window.partitionBy("cls")
+    n = F.count(F.lit(1)).over(own)
+    # after: how many shingles are left from this one on, in the common order
+    after = n - F.row_number().over(own.orderBy("f", "shingle")) + 1
+    prefix = (rows.join(count, "shingle").withColumn("after", after).withColumn("n", n)
+              .filter((F.col("f") > 1) & (F.col("after") >= F.ceil(F.col("n") * percent / 100)))
+              .join(nodes.select("cls", "root"), "cls"))
+    prefix = written(prefix.select("cls", "root", "n", "after", "shingle"), "near-prefix")
+    other = prefix.select(F.col("cls").alias("c"), F.col("root").alias("r"), F.col("n").alias("m"),
+                          F.col("after").alias("rest"), "shingle")
+    sizes = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
+    # the first shingle that two sets share leaves room for the overlap that the threshold asks of their sizes
+    room = (100 + percent) * F.least("after", "rest") >= percent * (F.col("n") + F.col("m"))
+    return (prefix.join(other, "shingle")
+            .filter((F.col("cls") < F.col("c")) & (F.col("root") != F.col("r")) & sizes & room)
+            .select(F.col("cls").alias("a"), F.col("c").alias("b")).distinct())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): root is the least node reachable over ``edges`` (a, b).
 
@@ -281,10 +321,8 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _merge(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+def _merge(labels: DataFrame, edges: DataFrame) -> DataFrame:
     """Labels after further links between nodes or their roots."""
-    if labels is None:
-        return components(edges)
     for side in ("a", "b"):
         old = labels.select(F.col("node").alias(side), "root")
         edges = edges.join(old, side, "left").withColumn(side, F.coalesce("root", side)).drop("root")
@@ -317,46 +355,38 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     bands = F.array(*[F.xxhash64(F.slice("registers", i + 1, BAND), F.lit(i)) for i in range(0, REGISTERS, BAND)])
     member = classes.select("cls", "n", F.explode(bands).alias("bucket"))
-    heads = written(member.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"),
-                                                 F.min(F.struct("cls", "n")).alias("head"))
-                    .filter("k > 1").select("bucket", F.col("head.cls").alias("a"), F.col("head.n").alias("n_a")),
-                    "near-heads")
-    buckets = written(member.join(heads, "bucket").filter("cls <> a"), "near-buckets")
+    sizes = written(member.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "near-sizes")
+    shared = written(member.join(sizes, "bucket"), "near-shared")
+    # who shares its bands with many others is the likeliest to be linked with them: it goes first
+    fame = shared.groupBy("cls").agg(F.sum("k").alias("fame"))
+    buckets = written(shared.join(fame, "cls").select("bucket", "cls", "n", "fame"), "near-buckets")
 
     def candidates(found: DataFrame) -> DataFrame:
         sizes = F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent
         return (found.filter(sizes).select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
                 .distinct())
 
+    # whoever shares a bucket may be compared: their texts are fetched once for all rounds
+    texts = _class_texts(fame.select("cls"), classes, own)
+
     def verified(pairs: DataFrame) -> DataFrame:
         likely = written(_likely(pairs, classes, percent), "near-likely")
-        return written(_verified(likely, classes, own, percent), "near-links")
-
-    labels = _merge(None, verified(candidates(buckets)))
-    tried = candidates(buckets)
-    buckets = buckets.select("bucket", "cls", "n")
-    turn = 0
-    while True:
-        placed = buckets.join(labels, buckets["cls"] == labels["node"], "left").select(
-            "bucket", "cls", "n", F.coalesce("root", "cls").alias("root"))
-        open_ = (placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.min("root").alias("lo"),
-                                              F.max("root").alias("hi"))
-                 .filter("lo <> hi").select("bucket", "k"))
-        buckets = written(placed.join(open_, "bucket"), "near-open")
-        if buckets.isEmpty():
-            break
-        # about SMALL * 2^turn members of each bucket are tried against all others; all of a small one
-        centre = F.pmod(F.xxhash64("cls", F.lit(turn)), F.lit(1 << 20)) * F.col("k") < F.lit(SMALL << (20 + turn))
-        centre = centre | (F.col("k") <= SMALL)
-        centres = buckets.filter(centre).select("bucket", F.col("cls").alias("a"), F.col("n").alias("n_a"),
-                                                F.col("root").alias("root_a"))
-        pairs = written(candidates(buckets.join(centres, "bucket").filter("root <> root_a"))
-                        .join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        links = verified(pairs)
+        return written(_verified(likely, texts, percent), "near-links")
+
+    heads = written(buckets.groupBy("bucket").agg(F.max(F.struct("fame", "cls", "n")).alias("head"))
+                    .select("bucket", F.col("head.cls").alias("a"), F.col("head.n").alias("n_a")), "near-heads")
+    tried = written(candidates(buckets.join(heads, "bucket").filter("cls <> a")), "near-pairs")
+    labels = components(verified(tried))
+    # buckets that the star has not brought into one component: the members but for their centres
+    placed = buckets.join(labels, buckets["cls"] == labels["node"], "left").select(
+        "bucket", "cls", F.coalesce("root", "cls").alias("root"))
+    open_ = (placed.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+             .filter("lo <> hi").select("bucket"))
+    left = written(placed.join(open_, "bucket").select("cls", "root").distinct(), "near-left")
+    rest = written(_prefix_pairs(left.join(texts, "cls"), percent).join(tried, ["a", "b"], "left_anti"), "near-pairs")
+    links = verified(rest)
+    if not links.isEmpty():
         labels = _merge(labels, links)
-        tried = tried.union(pairs)
-        buckets = buckets.filter(~centre).select("bucket", "cls", "n")
-        turn += 1
 
     named = classes.select("cls", "id").join(labels, F.col("cls") == F.col("node"), "left").select(
         "cls", "id", F.coalesce("root", "cls").alias("root"))
