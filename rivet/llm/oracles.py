@@ -85,9 +85,48 @@ SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source
 """
 
+OP3 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+g AS (SELECT doc_id, unnest(range(length(h) // 2 - 49)) AS p,
+             unnest(list_transform(range(length(h) // 2 - 49), lambda i: substr(h, 2 * i + 1, 100))) AS s FROM d),
+o AS (SELECT s, min(doc_id) AS first FROM g GROUP BY s),
+hit AS (SELECT g.doc_id, g.p FROM g JOIN o USING (s) WHERE o.first < g.doc_id),
+i AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS new FROM hit),
+r AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM i),
+s AS (SELECT doc_id, run, min(p) AS a, max(p) + 50 AS b FROM r GROUP BY doc_id, run),
+t AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM s),
+k AS (SELECT t.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+             string_agg(substr(d.h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM t JOIN d USING (doc_id) GROUP BY t.doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+OP6 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+                     FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                     ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS sh
+      FROM d),
+n AS (SELECT doc_id, len(sh)::BIGINT AS n FROM s),
+e AS (SELECT doc_id, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 75 * (na.n + nb.n - common)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a AS doc_id, min(b) AS low FROM r GROUP BY a)
+SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(low, n.doc_id)) AS component_id,
+       n.doc_id <= coalesce(low, n.doc_id) AS kept
+FROM n LEFT JOIN c USING (doc_id)
+"""
+
 LLM_ORACLES = {
     "op1_exact_dedup": OP1,
+    "op3_repeat_dedup": OP3,
     "op5_line_dedup": OP5,
+    "op6_near_dedup": OP6,
     "op7_mix_sources": OP7,
     "op9_quality_rules": OP9,
 }
