@@ -169,45 +169,63 @@ def block_text(node: Node) -> str:
     return " ".join(html.unescape("".join(node.text)).split())
 
 
-def looks(node: Node, parent: Node) -> tuple[str, ...]:
-    """What the node potentials see."""
+def looks(node: Node, parent: Node) -> tuple[tuple[str, str], ...]:
+    """What the node potentials see, as (kind, value). A tag is judged among
+    the children of its parent's tag: below a list, an item says nothing."""
     if node.tag:
-        return ("tag " + node.tag + "+" * bool(node.names), *("name " + n for n in node.names))
+        tag = node.tag + "+" * bool(node.names)
+        return ((f"below {parent.tag}", tag), *(("name", n) for n in node.names))
     size = sum(map(len, node.text))
-    return (f"size {min(size, 4095).bit_length() // 2}", f"links {4 * node.linked // max(size, 1)}",
-            "in " + parent.tag)
+    return (("size", str(min(size, 4095).bit_length() // 2)), ("links", str(4 * node.linked // max(size, 1))))
+
+
+Edge = tuple[tuple[float, float], tuple[float, float]]
 
 
 @dataclass(frozen=True)
 class Model:
-    """Log potentials: ``edge[parent label][child label]`` for elements and
-    texts, ``seen[look]`` the log ratio of content to the rest."""
+    """Log potentials. ``edges`` has [parent label][child label] for elements
+    and texts, by the parent's tag and, for other tags, over all parents;
+    ``seen`` has the log ratio of content to the rest of each look."""
+
+    edges: dict[tuple[bool, str], Edge]
+    seen: dict[tuple[str, str], float]
+
+    def edge(self, node: Node, parent: Node) -> Edge:
+        return self.edges.get((not node.tag, parent.tag)) or self.edges[not node.tag, ""]
 
-    edge: dict[bool, tuple[tuple[float, float], tuple[float, float]]]
-    seen: dict[str, float]
+    def ratio(self, node: Node, parent: Node) -> float:
+        return sum(self.seen.get(x, 0.0) for x in looks(node, parent))
+
+
+LEAST_SEEN = 20  # edges below a tag for potentials of its own
 
 
 def train(pages: list[tuple[list[Node], list[int]]]) -> Model:
     """Smoothed counts over (nodes, labels); the root is content."""
-    edges = {leaf: [[0.5, 0.5], [0.5, 0.5]] for leaf in (False, True)}
+    edges: dict[tuple[bool, str], Counter] = defaultdict(Counter)
     looks_of = {0: Counter(), 1: Counter()}
-    kinds: dict[str, set[str]] = defaultdict(set)
-    total = {0: Counter(), 1: Counter()}
+    kinds: dict[str, set] = defaultdict(set)
     for nodes, labels in pages:
         for node, label in zip(nodes[1:], labels[1:], strict=True):
-            edges[not node.tag][labels[node.parent]][label] += 1
-            for look in looks(node, nodes[node.parent]):
-                kind = look.split(" ")[0]
+            parent = nodes[node.parent]
+            for tag in (parent.tag, ""):
+                edges[not node.tag, tag][labels[node.parent], label] += 1
+            for look in looks(node, parent):
                 looks_of[label][look] += 1
-                total[label][kind] += 1
-                kinds[kind].add(look)
+                kinds[look[0]].add(look)
     seen = {}
-    for kind, names in kinds.items():
+    for names in kinds.values():
+        total = [sum(looks_of[y][look] for look in names) for y in (0, 1)]
         for look in names:
-            p = [(looks_of[y][look] + 0.5) / (total[y][kind] + 0.5 * len(names)) for y in (0, 1)]
+            p = [(looks_of[y][look] + 0.5) / (total[y] + 0.5 * len(names)) for y in (0, 1)]
             seen[look] = math.log(p[1] / p[0])
-    log = {leaf: tuple(tuple(math.log(n / sum(row)) for n in row) for row in rows) for leaf, rows in edges.items()}
-    return Model(log, seen)
+    logs = {}
+    for key, n in edges.items():
+        if n.total() >= LEAST_SEEN or not key[1]:
+            rows = [[n[a, b] + 0.5 for b in (0, 1)] for a in (0, 1)]
+            logs[key] = tuple(tuple(math.log(x / sum(row)) for x in row) for row in rows)
+    return Model(logs, seen)
 
 
 def marginals(nodes: list[Node], model: Model) -> list[float]:
@@ -219,20 +237,20 @@ def marginals(nodes: list[Node], model: Model) -> list[float]:
     def soft(a: float, b: float) -> float:
         return a + math.log1p(math.exp(b - a)) if a > b else b + math.log1p(math.exp(a - b))
 
+    edges = [model.edge(n, nodes[n.parent]) for n in nodes]
     own = [0.0] * len(nodes)  # log ratio of the node's potential and the messages from below
     up = [0.0] * len(nodes)
     own[0] = 50.0  # the root is content
     for i in range(len(nodes) - 1, 0, -1):
         node = nodes[i]
-        own[i] += sum(model.seen.get(x, 0.0) for x in looks(node, nodes[node.parent]))
-        (a00, a01), (a10, a11) = model.edge[not node.tag]
+        own[i] += model.ratio(node, nodes[node.parent])
+        (a00, a01), (a10, a11) = edges[i]
         up[i] = soft(a10, a11 + own[i]) - soft(a00, a01 + own[i])
         own[node.parent] += up[i]
     belief = own[:]
     for i in range(1, len(nodes)):
-        node = nodes[i]
-        above = belief[node.parent] - up[i]  # the parent without this child
-        (a00, a01), (a10, a11) = model.edge[not node.tag]
+        above = belief[nodes[i].parent] - up[i]  # the parent without this child
+        (a00, a01), (a10, a11) = edges[i]
         belief[i] = own[i] + soft(a01, a11 + above) - soft(a00, a10 + above)
     return [1 / (1 + math.exp(-max(-700.0, b))) for b in belief]
 

@@ -104,13 +104,12 @@ def test_marginals_are_exact():
     import itertools
     import math
 
-    from rivet.llm.html_extract import looks
     model = train(labelled_pages(60))
     nodes = parse("<body><nav><a href='/'>x</a></nav><article><p>some words here</p></article></body>")
     total, on = 0.0, [0.0] * len(nodes)
     for y in itertools.product((0, 1), repeat=len(nodes) - 1):
         y = (1, *y)
-        p = sum(model.edge[not n.tag][y[n.parent]][y[i]] + y[i] * sum(model.seen.get(x, 0.0) for x in looks(n, nodes[n.parent]))
+        p = sum(model.edge(n, nodes[n.parent])[y[n.parent]][y[i]] + y[i] * model.ratio(n, nodes[n.parent])
                 for i, n in enumerate(nodes) if i)
         total += math.exp(p)
         for i, v in enumerate(y):
