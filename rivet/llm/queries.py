@@ -85,9 +85,8 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document by a model trained on two thirds of the labels."""
     docs = table(spark, sf_dir, "documents")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
-    labels = (table(spark, sf_dir, "labels").filter(~held_out)
-              .select(F.col("doc_id").alias("l_id"), F.col("toxic").alias("label")))
-    model = fit(docs.join(labels, docs["doc_id"] == labels["l_id"]).select("doc_id", "text", "label"))
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    model = fit(docs, labels)
     return score(docs, model).select("doc_id", held_out.alias("held_out"), "score",
                                      (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 

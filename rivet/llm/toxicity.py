@@ -5,8 +5,8 @@ buckets. Their embeddings are averaged and a two-class softmax reads the mean;
 embeddings and softmax are trained jointly with AdaGrad in numpy. A
 misspelling that training never saw shares most n-grams with its word.
 
-Training runs in one task on a bounded sample of the labelled rows; the
-sample is the smallest ``max_rows`` rows by a hash of their id. Scoring is one
+Training runs in one task on a bounded sample of the labelled rows, the
+``max_rows`` with the smallest hash of their id. Scoring is one
 map over all rows and whole texts. As mean and softmax are linear up to the
 logit, a bucket's embedding enters it as one number, computed once per task.
 """
@@ -101,16 +101,22 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: list[int], seed: in
     return e, w
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "label",
-        max_rows: int = MAX_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Train on at most ``max_rows`` labelled rows, chosen by a hash of their
-    id. Rows without an id or label are left out; null text is empty. The
-    model has the same few megabytes at every size of the table. Without any
-    row the model scores everything alike."""
-    sample = (labelled.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-              .select(F.xxhash64(F.col(id_col)).alias("h"), F.col(label_col).cast("int").alias("label"),
-                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-              .orderBy("h", "label", "text").limit(max_rows).coalesce(1))
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+        label_col: str = "label", max_rows: int = MAX_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Train on the texts of at most ``max_rows`` rows of ``labels`` (id,
+    label), those with the smallest hash of their id.
+
+    The sample is drawn from the labels alone and is broadcast (``max_rows``
+    ids at most), so only the sampled texts move. Rows without an id or label
+    are left out; null text is empty. The model has the same few megabytes at
+    every size of the tables. Without any row it scores everything alike."""
+    chosen = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+              .select(F.col(id_col).alias("s_id"), F.xxhash64(F.col(id_col)).alias("h"),
+                      F.col(label_col).cast("int").alias("label"))
+              .orderBy("h", "s_id", "label").limit(max_rows))
+    sample = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+              .join(F.broadcast(chosen), F.col("id") == F.col("s_id")).select("h", "label", "text").repartition(1)
+              .sortWithinPartitions("h", "label", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bags, labels = [], []

@@ -65,7 +65,7 @@ def toxic_rows(n, seed):
 def test_toxicity_held_out_and_misspelt(spark):
     rows = toxic_rows(700, 3)
     df = spark.createDataFrame([(i, t, y, 1.0) for i, t, y in rows], "doc_id long, text string, label int, score double")
-    model = toxicity.fit(df.filter("doc_id < 500"))
+    model = toxicity.fit(df, df.filter("doc_id < 500"))
     got = {r["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
     hits = [(got[i] >= 0.5) == bool(y) for i, _, y in rows if i >= 500]
     assert sum(hits) / len(hits) >= 0.95
@@ -78,10 +78,10 @@ def test_toxicity_held_out_and_misspelt(spark):
 def test_toxicity_edge_rows(spark):
     df = documents(spark, odd_rows())
     labelled = df.withColumn("label", (F.col("doc_id") % 2).cast("int"))
-    out = toxicity.score(df, toxicity.fit(labelled, max_rows=10)).collect()
+    out = toxicity.score(df, toxicity.fit(df, labelled, max_rows=10)).collect()
     assert len(out) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in out)
     empty = df.filter("false")
-    assert toxicity.score(empty, toxicity.fit(labelled.filter("false"))).collect() == []
+    assert toxicity.score(empty, toxicity.fit(df, labelled.filter("false"))).collect() == []
 
 
 def test_features_do_not_depend_on_pieces(monkeypatch):
