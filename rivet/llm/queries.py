@@ -39,11 +39,12 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(
             ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+
+    def of(*wanted: str) -> Column:
+        return F.filter("spans", lambda s: s["kind"].isin(*wanted))
     return found.select(
-        "doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
-                    for k in kinds],
-        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in kinds],
+        F.sha2(listed(of(*kinds)).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
 def op3_repeat_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
