@@ -5,18 +5,16 @@ its weight, and rate = target / size. Every document is emitted floor(rate)
 times, plus one hash-seeded Bernoulli copy with probability equal to the
 fraction.
 
-The Bernoulli draws of one stratum (source, size class, split) share a seeded
-offset: with documents in order of size, the i-th gets its copy when
-floor(f * (i + 1) + offset) steps over floor(f * i + offset). Each document's
-probability is exactly f, while a source's total stays within a fraction of a
-document per stratum of its target. Independent draws would miss the target
-of a source of a few hundred documents by ten per cent or more.
-
-Plan. One scan of the texts writes (id, source, size, order). One aggregate
-per (source, size class) gives source sizes and stratum counts. Strata are
-split by hash into pieces of about ``split_rows`` rows, so no window holds a
-hot source. Only sums and the sources' ranks' offsets, one row per task, are
-gathered.
+The Bernoulli draws of one stratum, about ``split_rows`` documents of one
+source, share a seeded offset: with documents in order of size, the i-th gets
+its copy when floor(f * (i + 1) + offset) steps over floor(f * i + offset).
+Each document's probability is exactly f, while long and short documents are
+drawn in proportion, so a source's words come near its target.
+
+Plan. One scan of the texts writes (id, source, size). One aggregate gives
+source sizes and counts. A source is split into strata by hash, so no window
+holds a hot source. Only sums and the offsets of the sources' ranks, one row
+per task, are gathered.
 """
 
 from __future__ import annotations
@@ -34,12 +32,6 @@ def _hex(text: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, digits), 16, 10).cast("long")
 
 
-def _size_class(size: Column) -> Column:
-    """Four classes per doubling, from the leading binary digits of size + 1."""
-    b = F.bin(size + 1)
-    return F.concat_ws(".", F.length(b).cast("string"), F.substring(F.rpad(b, 3, "0"), 2, 2))
-
-
 def source_targets(totals: DataFrame, weights: tuple[int, ...], cap: float) -> DataFrame:
     """Targets for (source, source_size), one row per source.
 
@@ -87,25 +79,23 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies. An empty table gives an empty result.
     """
     sized = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                                n_words(whole(docs[text_col])).alias("size"))
-                    .withColumn("class", _size_class(F.col("size"))), "mix-sizes")
-    strata = written(sized.groupBy("source", "class").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "mix-strata")
-    targets = source_targets(strata.groupBy("source").agg(F.sum("words").alias("source_size")),
-                             weights, cap)
-    plan = (strata.withColumnRenamed("source", "s").join(targets, F.col("s").eqNullSafe(targets["source"]))
-            .select(targets["source"].alias("s"), F.col("class").alias("c"), "source_size", "target",
-                    F.ceil(F.col("n") / split_rows).alias("splits")))
+                                n_words(whole(docs[text_col])).alias("size")), "mix-sizes")
+    totals = written(sized.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size")), "mix-totals")
+    targets = source_targets(totals.select("source", "source_size"), weights, cap)
+    plan = (totals.select(F.col("source").alias("s"), F.ceil(F.col("n") / split_rows).alias("splits"))
+            .join(targets, F.col("s").eqNullSafe(targets["source"]))
+            .select("s", "splits", "source_size", "target"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("null")))
-    rows = (sized.join(plan, sized["source"].eqNullSafe(plan["s"]) & (sized["class"] == plan["c"]))
-            .select("id", "source", "class", "size", "source_size", "target", rate.alias("rate"),
+    rows = (sized.join(plan, sized["source"].eqNullSafe(plan["s"]))
+            .select("id", "source", "size", "source_size", "target", rate.alias("rate"),
                     F.md5(key.cast("binary")).alias("draw"),
                     (_hex(key, 7) % F.col("splits")).alias("split")))
-    place = F.row_number().over(Window.partitionBy("source", "class", "split")
+    place = F.row_number().over(Window.partitionBy("source", "split")
                                 .orderBy("size", "draw", "id"))
     offset = _hex(F.concat_ws(":", F.lit(str(seed)), F.coalesce("source", F.lit("null")),
-                              "class", F.col("split").cast("string")), 13) / F.lit(float(1 << 52))
+                              F.col("split").cast("string")), 13) / F.lit(float(1 << 52))
     fraction = F.col("rate") - F.floor("rate")
     rows = rows.withColumn("place", place).withColumn("offset", offset)
     extra = F.floor(fraction * F.col("place") + F.col("offset")) - F.floor(

@@ -30,8 +30,7 @@ FROM m GROUP BY doc_id
 
 OP7 = f"""
 WITH RECURSIVE d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size FROM documents),
-c AS (SELECT *, length(bin(size + 1))::VARCHAR || '.' || substr(rpad(bin(size + 1), 3, '0'), 2, 2) AS class,
-             md5('0:' || coalesce(doc_id::VARCHAR, 'null')) AS draw FROM d),
+c AS (SELECT *, md5('0:' || coalesce(doc_id::VARCHAR, 'null')) AS draw FROM d),
 s AS (SELECT source, sum(size)::BIGINT AS source_size,
              CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
                WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM d GROUP BY source),
@@ -44,14 +43,14 @@ r AS (SELECT 0 AS round, 0.0::DOUBLE AS share
                   / sum(weight) FILTER (WHERE NOT source_size * 3 < weight * r.share) FROM s) AS new
         FROM r) WHERE new > share),
 t AS (SELECT s.*, least(source_size * 3.0::DOUBLE, weight * (SELECT max(share) FROM r)) AS target FROM s),
-n AS (SELECT source, class, ceil(count(*) / 512)::BIGINT AS splits FROM c GROUP BY source, class),
+n AS (SELECT source, ceil(count(*) / 512)::BIGINT AS splits FROM c GROUP BY source),
 x AS (SELECT c.*, t.source_size, t.target,
              CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
              ('0x' || substr(draw, 1, 7))::BIGINT % n.splits AS split
       FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
-      JOIN n ON c.source IS NOT DISTINCT FROM n.source AND c.class = n.class),
-p AS (SELECT *, row_number() OVER (PARTITION BY source, class, split ORDER BY size, draw, doc_id) AS place,
-             ('0x' || substr(md5('0:' || coalesce(source, 'null') || ':' || class || ':' || split), 1, 13))::BIGINT
+      JOIN n ON c.source IS NOT DISTINCT FROM n.source),
+p AS (SELECT *, row_number() OVER (PARTITION BY source, split ORDER BY size, draw, doc_id) AS place,
+             ('0x' || substr(md5('0:' || coalesce(source, 'null') || ':' || split), 1, 13))::BIGINT
                / 4503599627370496.0::DOUBLE AS off FROM x)
 SELECT doc_id, size, source_size, target,
        (size * (floor(rate) + floor((rate - floor(rate)) * place + off)
