@@ -55,6 +55,18 @@ def binary_metrics(df: DataFrame, label: str, pred: str, score: str | None = Non
     return out
 
 
+def _grouped_confusion(df: DataFrame, group: str, label: str, pred: str) -> DataFrame:
+    y, p = F.col(label) == 1, F.col(pred) == 1
+    return df.groupBy(group).agg(*[F.sum(x.cast("long")).alias(n) for n, x in
+                                   (("tp", y & p), ("fp", ~y & p), ("fn", y & ~p), ("tn", ~y & ~p))])
+
+
+def grouped_f1(df: DataFrame, group: str, label: str, pred: str) -> DataFrame:
+    """F1 for every ``group`` in one pass."""
+    _, _, f1 = _prf(F.col("tp"), F.col("fp"), F.col("fn"))
+    return _grouped_confusion(df, group, label, pred).select(group, f1.alias("f1"))
+
+
 def grouped_binary_metrics(df: DataFrame, group: str, label: str, pred: str, score: str) -> DataFrame:
     """precision / recall / F1 and mid-rank ROC-AUC for every ``group`` (the
     models of a comparison) over one table of scored rows."""
@@ -66,9 +78,7 @@ def grouped_binary_metrics(df: DataFrame, group: str, label: str, pred: str, sco
     auc = ranked.groupBy(group).agg(
         F.sum(F.col("_pos") * (below + 0.5 * F.col("_neg"))).alias("_u"),
         F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"))
-    y, p = F.col(label) == 1, F.col(pred) == 1
-    c = df.groupBy(group).agg(*[F.sum(x.cast("long")).alias(n) for n, x in
-                                (("tp", y & p), ("fp", ~y & p), ("fn", y & ~p), ("tn", ~y & ~p))])
+    c = _grouped_confusion(df, group, label, pred)
     precision, recall, f1 = _prf(F.col("tp"), F.col("fp"), F.col("fn"))
     return c.join(auc, group).select(
         group, "tp", "fp", "fn", "tn", precision.alias("precision"), recall.alias("recall"), f1.alias("f1"),

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from rivet import constants as K
 from rivet.functions.exprs import normalise_key
+from rivet.operators.rank import global_row_number
 from rivet.operators.windows import top_k_per_group
 from rivet.session import materialize
 
@@ -190,9 +191,9 @@ def negative_pairs(long: DataFrame, seed: int = 42) -> DataFrame:
     pos = shared(long).select("failure_mode", "action").distinct()
     modes = pos.select("failure_mode").distinct()
     acts = pos.select("action").distinct()
-    # dense indexes over the distinct modes / actions (dimension tables)
-    mi = modes.withColumn("_mi", F.row_number().over(Window.orderBy("failure_mode")) - 1)
-    ai = acts.withColumn("_ai", F.row_number().over(Window.orderBy("action")) - 1)
+    # dense indexes over the distinct modes / actions
+    mi = global_row_number(modes, [F.col("failure_mode")], out="_mi").withColumn("_mi", F.col("_mi") - 1)
+    ai = global_row_number(acts, [F.col("action")], out="_ai").withColumn("_ai", F.col("_ai") - 1)
     n_m = mi.agg(F.count("*").alias("_nm"))
     n_a = ai.agg(F.count("*").alias("_na"))
     h = F.md5(F.concat_ws("|", F.col("failure_mode"), F.col("action"), F.lit(str(seed))))

@@ -86,12 +86,16 @@ def sliding_sequences(df: DataFrame, features: list[str], target: str, length: i
     return df.withColumn("sequence", seq).filter(keep)
 
 
-def latest_n(df: DataFrame, key: str, rn: str, n_col: str, n: int, features: list[str]) -> DataFrame:
-    """The last ``n`` rows of each asset as one sequence; assets with fewer
-    rows are dropped (E6). Each group is bounded by ``n`` rows."""
-    tail = df.filter(F.col(rn) > F.col(n_col) - n)
+def latest_n(df: DataFrame, key: str, order: list[str], n: int, features: list[str]) -> DataFrame:
+    """The last ``n`` rows of each asset by ``order`` as one sequence; assets
+    with fewer rows are dropped (E6).
+
+    The rank limit lets Spark keep ``n`` rows per asset in every task before
+    the shuffle (WindowGroupLimit), so an asset's history never moves."""
+    newest = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    tail = df.select(key, *order, *features).withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") <= n)
     return (tail.groupBy(key)
-                .agg(F.array_sort(F.collect_list(F.struct(F.col(rn).alias("rn"),
+                .agg(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("_at"),
                                                           *[F.col(f) for f in features]))).alias("_s"))
                 .filter(F.size("_s") == n)
                 .select(key, F.transform("_s", lambda s: F.array(*[s[f].cast("float") for f in features]))

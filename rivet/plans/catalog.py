@@ -161,8 +161,7 @@ def q_sliding_sequences(spark, sf):
 @query("latest_sequences")
 def q_latest_sequences(spark, sf):
     """The last 60 readings of every asset with at least 60 (flattened)."""
-    s = _series(spark, sf, with_orders=False)
-    return _flatten(FT.latest_sequences(s, td.TESTDATA_SENSORS, length=60), ["asset_id"])
+    return _flatten(FT.latest_sequences(td.readings(spark, sf), td.TESTDATA_SENSORS, length=60), ["asset_id"])
 
 
 @query("latest_reading")
@@ -296,11 +295,10 @@ def q_class_weights(spark, sf):
 @query("quality_gate")
 def q_quality_gate(spark, sf):
     """Best F1 over three thresholds against the 0.70 gate."""
-    s = _scored(spark, sf)
-    rows = [M.binary_metrics(s.withColumn("pred", (F.col("score") >= t).cast("int")), "label", "pred")
-            .withColumn("threshold", F.lit(t)) for t in (0.3, 0.5, 0.7)]
-    allm = rows[0].unionByName(rows[1]).unionByName(rows[2])
-    return _r6all(M.quality_gate(allm))
+    t = F.explode(F.array(*[F.lit(x) for x in (0.3, 0.5, 0.7)]))  # one pass for all thresholds
+    s = (_scored(spark, sf).withColumn("threshold", t)
+         .withColumn("pred", (F.col("score") >= F.col("threshold")).cast("int")))
+    return _r6all(M.quality_gate(M.grouped_f1(s, "threshold", "label", "pred")))
 
 
 def _drift_split(spark, sf):
@@ -615,8 +613,7 @@ def _risk_report(spark, sf):
 
 
 def _rul_pred(spark, sf):
-    s = _series(spark, sf, with_orders=False)
-    seq = FT.latest_sequences(s, td.TESTDATA_SENSORS, length=60)
+    seq = FT.latest_sequences(td.readings(spark, sf), td.TESTDATA_SENSORS, length=60)
     mean_k = F.aggregate("sequence", F.lit(0.0), lambda acc, x: acc + x[1].cast("double")) / F.size("sequence")
     return SC.rul_report(seq.select("asset_id", (mean_k * 10.0 - 100.0).alias("predicted_rul_hours")))
 
@@ -836,7 +833,7 @@ def q_rul_model_scoring(spark, sf):
     """K10 with the regressor of least RMSE, loaded by name and stage: the
     latest sequence of every asset, predicted hours and urgency rank."""
     model = IO.load_model(spark, _rul_runs(spark, sf), "remaining-life", "Staging")
-    seq = FT.latest_sequences(_series(spark, sf, with_orders=False), td.TESTDATA_SENSORS, length=TD_SEQ_LEN)
+    seq = FT.latest_sequences(td.readings(spark, sf), td.TESTDATA_SENSORS, length=TD_SEQ_LEN)
     flat, cols = MD.flatten_sequences(seq, len(td.TESTDATA_SENSORS), TD_SEQ_LEN)
     pred = model.transform(MD.assemble(flat, cols)).select(
         "asset_id", F.col("prediction").alias("predicted_rul_hours"))

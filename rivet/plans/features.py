@@ -88,10 +88,10 @@ def sequences(rul: DataFrame, features: list[str], key: str = "asset_id",
                                               F.col("rul_hours").alias("target"), "sequence")
 
 
-def latest_sequences(series: DataFrame, features: list[str], key: str = "asset_id",
-                     length: int = K.SEQUENCE_LENGTH) -> DataFrame:
-    """The most recent ``length`` readings of every asset."""
-    return latest_n(series, key, "rn", "n_rows", length, features)
+def latest_sequences(readings: DataFrame, features: list[str], key: str = "asset_id",
+                     length: int = K.SEQUENCE_LENGTH, ts: str = "timestamp", tie: str = "reading_id") -> DataFrame:
+    """The most recent ``length`` readings of every asset, zero-filled."""
+    return latest_n(clean_sensors(readings, features), key, [ts, tie], length, features)
 
 
 def label_summary(series: DataFrame, horizons) -> DataFrame:

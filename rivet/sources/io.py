@@ -130,11 +130,3 @@ def load_model(spark: SparkSession, runs_path: str, name: str, stage: str):
     if row is None:
         raise LookupError(f"no run of {name!r} in stage {stage!r}")
     return DefaultParamsReader.loadParamsInstance(row["path"], spark)
-
-
-def materialise(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write an expensive intermediate once to the shared folder and read it
-    back: cuts lineage and survives executor loss (unlike a local checkpoint)."""
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
