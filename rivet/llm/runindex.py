@@ -5,10 +5,11 @@ a document with a smaller id.
 
 Finding what may repeat. Every window of ``length`` bytes has an anchor, the
 leftmost least hash among its 16-byte grams, so equal windows have equal
-anchors at equal places. A map packs each block's distinct anchors into one
-small array per anchor bucket; a bucket returns the anchors that two or more
-documents share. Only around shared anchors are the bytes looked at: a piece
-is the stretch of all consecutive windows that have one anchor.
+anchors at equal places, and the same 17 bytes before or after them. A map
+packs the hashes of each block's anchors with those bytes into one small array
+per bucket; a bucket returns what two or more documents share. Only around
+shared anchors are the bytes looked at: a piece is the stretch of all
+consecutive windows that have one anchor.
 
 Deciding what repeats. Pieces meet by anchor. Equal pieces collapse to one
 with its smallest id before they meet, so a passage that a third of all
@@ -39,9 +40,9 @@ from rivet.llm.setsketch import mix
 from rivet.llm.text import written
 
 GRAM = 16
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20  # of text for each anchor bucket
-INDEX_BYTES = 2 << 20  # of different pieces for each index
+INDEX_BYTES = 1 << 20  # of different pieces for each index
 HOT_PIECES = 2048  # different pieces of one anchor beyond which it is split by windows
 
 
@@ -54,12 +55,17 @@ def _grams(data: np.ndarray) -> np.ndarray:
     return mix(mix(x[:len(data) - GRAM + 1]) * np.uint64(31) + x[8:8 + len(data) - GRAM + 1])
 
 
-def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first window, last window) of the runs of windows of one
-    anchor place, in order; together they cover all windows of the text."""
+def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor hash, first window, last window, left, right) of the runs of
+    windows of one anchor place, in order; together they cover all windows.
+
+    ``left`` and ``right`` hash the anchor's gram with the bytes before and
+    after it, so many that every window holds the one or the other whole; 0
+    where the text ends before. Equal windows have one of them in common.
+    """
     n = len(text) - length + 1
     if n <= 0:
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 2)
+        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, np.uint64),) * 2)
     h = _grams(np.frombuffer(text, np.uint8))
     width = length - GRAM + 1
     least, step = h, 1
@@ -72,7 +78,23 @@ def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     new = np.ones(n, bool)
     new[1:] = (least[1:] != least[:-1]) | (h[:n - 1] == least[:-1])
     first = np.flatnonzero(new)
-    return least[first], first, np.append(first[1:], n) - 1
+    value = least[first]
+    place = first + (h[first[:, None] + np.arange(width)] == value[:, None]).argmax(axis=1)
+    reach = width // 2
+    contexts = []
+    for offsets in ([-o for o in range(reach, 0, -GRAM)], [*range(GRAM, reach, GRAM), reach]):
+        there = (place + offsets[0] >= 0) & (place + offsets[-1] < len(h))
+        context = value[there]
+        for o in offsets:
+            context = mix(context * np.uint64(31) + h[place[there] + o])
+        contexts.append(np.zeros(len(value), np.uint64))
+        contexts[-1][there] = context | np.uint64(1)
+    return value, first, np.append(first[1:], n) - 1, contexts[0], contexts[1]
+
+
+def _contexts(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    both = np.unique(np.concatenate((left, right)))
+    return both[both > 0]
 
 
 def anchor_rows(docs: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -91,7 +113,7 @@ def anchor_rows(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 ids = batch.column(0).slice(a, b - a)
                 parts = batch.column(1).slice(a, b - a)
                 block = hashlib.blake2b(repr((ids.to_pylist(), parts.to_pylist())).encode(), digest_size=16).digest()
-                found = [np.unique(anchors(t, length)[0]) for t in raw]
+                found = [_contexts(*anchors(t, length)[3:]) for t in raw]
                 own = np.repeat(np.arange(b - a, dtype=np.uint32), [len(f) for f in found])
                 value = np.concatenate(found)
                 bucket = (value >> np.uint64(32)).astype(np.int64) % buckets
@@ -159,17 +181,21 @@ def piece_rows(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, parts = batch.column(0), batch.column(1)
-            texts, shared = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            texts = batch.column(2).to_pylist()
             for a, b in blocks(texts, BLOCK_BYTES):
                 row, start, anchor, piece = [], [], [], []
+                shared = batch.column(3).slice(a, b - a).to_pylist()
                 for i in range(a, b):
                     raw = texts[i].encode("utf-8", "surrogatepass")
-                    value, first, last = anchors(raw, length)
-                    # (bucket, low 32 bits) of a shared anchor as one number
+                    value, first, last, left, right = anchors(raw, length)
+                    # (bucket, low 32 bits) of a shared context as one number
                     known = np.concatenate([np.frombuffer(x["anchors"], np.uint32).astype(np.uint64)
-                                            | np.uint64(x["bucket"] << 32) for x in shared[i]])
-                    own = (value & np.uint64(0xFFFFFFFF)) | ((value >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32))
-                    hit = np.flatnonzero(np.isin(own, known))
+                                            | np.uint64(x["bucket"] << 32) for x in shared[i - a]])
+                    hit = np.zeros(len(value), bool)
+                    for own in (left, right):
+                        number = (own & np.uint64(0xFFFFFFFF)) | ((own >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32))
+                        hit |= np.isin(number, known) & (own > 0)
+                    hit = np.flatnonzero(hit)
                     row += [i] * len(hit)
                     start += first[hit].tolist()
                     anchor.append(value[hit].view(np.int64))
@@ -203,30 +229,40 @@ class RunIndex:
         stop = np.repeat(ends, size + 1)  # the terminator after each place
         n = len(self.text)
         place = np.arange(n)
-        # prefix doubling over ranks; a terminator is less than any byte, in order of its string
-        rank = self.text + n
-        rank[ends] = np.arange(len(strings))
-        rank = np.unique(rank, return_inverse=True)[1]
-        half, window = 1, None
+        # prefix doubling from the first few symbols; a suffix ends with its string
+        def ranks(key: np.ndarray) -> np.ndarray:
+            order = np.argsort(key)
+            key = key[order]
+            rank = np.empty(n, np.int64)
+            rank[order] = np.cumsum(np.append(False, key[1:] != key[:-1]))
+            return rank
+
+        half, window = min(6, length), None
+        key = np.zeros(n, np.int64)
+        for j in range(half):
+            at = np.minimum(place + j, n - 1)
+            key = key << 9 | np.where(place + j <= stop, self.text[at], 0)
+        rank = ranks(key)
         while True:
-            if half * 2 > self.length and window is None:
+            if half * 2 > length and window is None:
                 # two overlapping halves tell windows of exactly ``length`` bytes apart
-                far = np.minimum(place + self.length - half, n - 1)
-                window = rank * (n + 1) + rank[far]
-            if rank.max() == n - 1:
+                window = rank * (n + 1) + rank[np.minimum(place + length - half, n - 1)]
+            if half > size.max():
                 break
-            key = rank * (n + 1) + np.append(rank[half:], np.zeros(min(half, n), np.int64))[:n]
-            rank = np.unique(key, return_inverse=True)[1]
+            far = np.minimum(place + half, n - 1)
+            rank = ranks(rank * (n + 1) + np.where(place + half <= stop, rank[far] + 1, 0))
             half *= 2
+        # suffixes alike to their end: in order of their strings
+        rank = ranks(rank * (len(strings) + 1) + np.repeat(np.arange(len(strings)), size + 1))
         sa = np.empty(n, np.int64)
         sa[rank] = place
-        window = rank if window is None else window  # no two places alike: no two windows
         rows = np.where(place + length <= stop, window, -1)[sa]
         self.class_of_row = np.cumsum(np.append(True, rows[1:] != rows[:-1])) - 1
         before = np.where(sa > 0, self.text[sa - 1], 0)
         head = np.flatnonzero(np.append(True, before[1:] != before[:-1]))
         self.n, self.head, self.byte = n, head, before[head]
         tail = np.append(head[1:], n)
+        self.run_of = np.repeat(np.arange(len(head), dtype=np.int32), tail - head)
         self.first, self.last = sa[head], sa[tail - 1]  # the sampled run ends
         # runs by byte, in order: rank before each run and where a byte's runs begin
         self.order = np.argsort(self.byte, kind="stable")
@@ -238,9 +274,6 @@ class RunIndex:
         self.to_row[self.order] = total
         self.key = by * n + head[self.order]
 
-    def runs_of(self, row: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.head, row, side="right") - 1
-
     def common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Length of the common prefix of two text places each, up to ``most``."""
         out = np.zeros(len(a), np.int64)
@@ -277,7 +310,7 @@ class RunIndex:
             live = order[:np.searchsorted(-size[order], -back, side="right")]
             c = text[at[live] + size[live] - back]
             r, s, k = row[live], sample[live], length[live]
-            run = self.runs_of(r)
+            run = self.run_of[r].astype(np.int64)
             hit = self.byte[run] == c
             if not hit.all():
                 miss = np.flatnonzero(~hit)
