@@ -2,7 +2,9 @@
 
 ``STAGES`` are (name, function) pairs; each function takes (spark, docs,
 sf_dir) and returns a DataFrame, which is written as Parquet and reread as the
-next one's docs. All but the last return the columns of ``documents``.
+next one's docs. All but the last return the columns of ``documents``. The
+decisions of a stage are carried back by a digest of the whole row, as ids may
+be null or repeat.
 """
 
 from __future__ import annotations
@@ -16,22 +18,28 @@ from rivet.llm.exact_dedup import exact_dedup
 from rivet.llm.mixing import emit, mix_sources
 from rivet.llm.quality import quality_rules
 from rivet.llm.setsketch import near_dedup
-from rivet.llm.text import keep_rows, written
+from rivet.llm.text import keep_one, keep_rows, row_key, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    return keep_rows(docs, quality_rules(docs).filter("kept"), "doc_id")
+    """Documents that the quality rules keep; each row is judged by itself."""
+    rows = docs.select(row_key(docs).alias("row_key"), "text", "source")
+    return keep_rows(docs, quality_rules(rows, id_col="row_key").filter("kept").select("row_key"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts, the largest id."""
-    return keep_rows(docs, exact_dedup(docs, keep="largest").filter("kept"), "doc_id")
+    """One document of each group of equal texts, the largest id. A null id
+    stays only where no other is; rows that repeat become one."""
+    rows = docs.select(F.struct("doc_id", row_key(docs).alias("row_key")).alias("row"), "text")
+    return keep_one(docs, exact_dedup(rows, id_col="row", keep="largest").filter("kept").select("row.row_key"))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the smallest id."""
-    return keep_rows(docs, near_dedup(docs).filter("kept"), "doc_id")
+    """One document of each group of near copies, the smallest id. A null id
+    stays only where no other is; rows that repeat become one."""
+    row = F.struct(docs["doc_id"].isNull().alias("none"), "doc_id", row_key(docs).alias("row_key"))
+    rows = docs.select(row.alias("row"), "text")
+    return keep_one(docs, near_dedup(rows, id_col="row").filter("kept").select("row.row_key"))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ its copy when floor(f * (i + 1) + offset) steps over floor(f * i + offset).
 Each document's probability is exactly f, while long and short documents are
 drawn in proportion, so a source's words come near its target.
 
-Plan. One scan of the texts writes (id, source, size). One aggregate gives
+Plan. One scan of the texts writes (id, source, size, row key). One aggregate gives
 source sizes and counts. A source is split into strata by hash, so no window
 holds a hot source. Only sums and the offsets of the sources' ranks, one row
 per task, are gathered.
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rivet.llm.text import n_words, whole, written
+from rivet.llm.text import n_words, one_of_each, row_key, whole, written
 
 SPLIT_ROWS = 512
 
@@ -70,16 +70,17 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...], cap: float) -> D
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1),
                 cap: int = 3, seed: int = 0, split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """One row per input row: ``id_col``, source, size, source_size, target, copies.
+    """One row per input row: ``id_col``, source, size, source_size, target, copies, row_key.
 
     Size is the number of words; null text has none. Null is a source of its
     own, last in order. A source without words has target 0 and no copies.
-    Ids may be null or repeat: rows of equal id, source and size are
-    interchangeable, so reruns agree. No document gets more than ``cap``
-    copies. An empty table gives an empty result.
+    Ids may be null or repeat: row_key, a digest of the whole row, tells such
+    rows apart, so reruns agree. No row gets more than ``cap`` copies. An
+    empty table gives an empty result.
     """
     sized = written(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                                n_words(whole(docs[text_col])).alias("size")), "mix-sizes")
+                                n_words(whole(docs[text_col])).alias("size"), row_key(docs, text_col).alias("row_key")),
+                    "mix-sizes")
     totals = written(sized.groupBy("source").agg(
         F.count(F.lit(1)).alias("n"), F.sum("size").alias("source_size")), "mix-totals")
     targets = source_targets(totals.select("source", "source_size"), weights, cap)
@@ -89,11 +90,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("null")))
     rows = (sized.join(plan, sized["source"].eqNullSafe(plan["s"]))
-            .select("id", "source", "size", "source_size", "target", rate.alias("rate"),
+            .select("id", "source", "size", "row_key", "source_size", "target", rate.alias("rate"),
                     F.md5(key.cast("binary")).alias("draw"),
                     (_hex(key, 7) % F.col("splits")).alias("split")))
     place = F.row_number().over(Window.partitionBy("source", "split")
-                                .orderBy("size", "draw", "id"))
+                                .orderBy("size", "draw", "id", "row_key"))
     offset = _hex(F.concat_ws(":", F.lit(str(seed)), F.coalesce("source", F.lit("null")),
                               F.col("split").cast("string")), 13) / F.lit(float(1 << 52))
     fraction = F.col("rate") - F.floor("rate")
@@ -101,15 +102,15 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     extra = F.floor(fraction * F.col("place") + F.col("offset")) - F.floor(
         fraction * (F.col("place") - 1) + F.col("offset"))
     return rows.select(F.col("id").alias(id_col), "source", "size", "source_size", "target",
-                       (F.floor("rate") + extra).cast("long").alias("copies"))
-
-
-def emit(docs: DataFrame, mix: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The mixed corpus: each row of ``docs`` as often as ``mix`` says, with
-    its own columns. Rows that repeat an id are emitted as often as any of
-    them is told."""
-    told = (mix.groupBy(F.col(id_col).alias("__mix_id")).agg(F.max("copies").alias("__copies"))
-            .filter("__copies > 0"))
-    joined = docs.join(told, docs[id_col].eqNullSafe(told["__mix_id"]))
-    return (joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-            .select(*[docs[c] for c in docs.columns]))
+                       (F.floor("rate") + extra).cast("long").alias("copies"), "row_key")
+
+
+def emit(docs: DataFrame, mix: DataFrame, text_col: str = "text") -> DataFrame:
+    """The mixed corpus: each row of ``docs`` as often as ``mix``, made from
+    the same columns, says, with its own columns. Rows that are equal in all
+    columns are emitted together, as often as they are told in sum."""
+    told = written(mix.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("__copies"))
+                   .filter("__copies > 0"), "mix-copies")
+    return (one_of_each(docs, told, text_col)
+            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+            .select(*docs.columns))

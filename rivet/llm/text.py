@@ -69,8 +69,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keep_rows(docs: DataFrame, decisions: DataFrame, id_col: str) -> DataFrame:
-    """Rows of ``docs`` whose id is among ``decisions`` (one id column); a
-    null id matches a null id."""
-    ids = decisions.select(F.col(id_col).alias("__keep_id"))
-    return docs.join(ids, docs[id_col].eqNullSafe(ids["__keep_id"]), "left_semi")
+def row_key(docs: DataFrame, text_col: str = "text") -> Column:
+    """128-bit digest of a whole row: the raw text and every other column,
+    null told from empty. Rows with one key are equal in all columns."""
+    others = F.to_json(F.struct(*[docs[c] for c in docs.columns if c != text_col]))
+    return digest128(F.concat(others, F.when(docs[text_col].isNull(), "0").otherwise(F.concat(F.lit("1"), docs[text_col]))))
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose row key is in ``keys`` (one column, row_key).
+    Rows that repeat stay as often as they are."""
+    keyed = docs.withColumn("__row_key", row_key(docs, text_col))
+    return keyed.join(keys.select(F.col("row_key").alias("__row_key")), "__row_key", "left_semi").drop("__row_key")
+
+
+def one_of_each(docs: DataFrame, wanted: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` whose row key is in ``wanted`` (row_key, n, other
+    columns), joined with its other columns. Rows that repeat, n of a key,
+    become one; only theirs are the texts that are grouped."""
+    keyed = docs.withColumn("__row_key", row_key(docs, text_col))
+    told = wanted.withColumnsRenamed({"row_key": "__row_key", "n": "__n"})
+    out = keyed.join(told, "__row_key")
+    if not told.filter("__n > 1").isEmpty():
+        out = out.filter("__n = 1").unionByName(out.filter("__n > 1").dropDuplicates(["__row_key"]))
+    return out.drop("__row_key", "__n")
+
+
+def keep_one(docs: DataFrame, keys: DataFrame, text_col: str = "text") -> DataFrame:
+    """``keep_rows``, but rows that repeat are reduced to one."""
+    wanted = written(keys.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")), "kept-keys")
+    return one_of_each(docs, wanted, text_col)
