@@ -34,11 +34,14 @@ BLOCKS = frozenset("""address article aside blockquote body button caption cente
 fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu
 nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math object".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg".split())
 #: an element that starts closes an open one of these kinds, up to the limit given
 CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}),
-          "tr": ("tr", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}),
-          "option": ("option", {"select"})}
+          "tr": ("tr caption colgroup", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}),
+          **dict.fromkeys(("tbody", "thead", "tfoot"), ("tbody thead tfoot caption colgroup", {"table"})),
+          "colgroup": ("caption colgroup", {"table"}), "option": ("option", {"select"}),
+          "optgroup": ("option optgroup", {"select"}), "rt": ("rt rp", {"ruby"}), "rp": ("rt rp", {"ruby"}),
+          "body": ("head", {"body"})}
 P_CLOSERS = BLOCKS - {"html", "head", "body", "title", "button", "caption", "td", "th", "tr", "tbody", "thead", "tfoot",
                       "option", "optgroup", "legend", "select"}
 
@@ -46,7 +49,9 @@ TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"""
     r"""|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S)
 NAMES = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
-HIDDEN = re.compile(r"""\shidden(?=[\s/=]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?""")
+MAY_HIDE = re.compile("hidden|none", re.I)
+NOT_SHOWN = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 WORD = re.compile("[a-z]+")
 
 
@@ -59,30 +64,44 @@ class Node:
     linked: int = 0  # characters inside links
 
 
+def hides(given: str) -> bool:
+    """Whether a start tag's attributes hide the element; values are read only
+    of the attributes ``style`` and ``aria-hidden``."""
+    if not MAY_HIDE.search(given):
+        return False
+    for name, value in ATTRIBUTE.findall(given):
+        name, value = name.lower(), value.strip("\"'")
+        if (name == "hidden" or name == "style" and NOT_SHOWN.search(value)
+                or name == "aria-hidden" and value.strip().lower() == "true"):
+            return True
+    return False
+
+
 def parse(page: str) -> list[Node]:
     """Nodes in page order, parents first; inline markup dissolves into text.
 
-    Unclosed and misnested elements end where the standard ends them: a block
-    start ends an open paragraph, an end tag ends what is open inside it, and
-    an end tag without a start is ignored. Raw-text elements, comments and
-    hidden elements have no text.
+    Unclosed and misnested elements, hidden ones too, end where the standard
+    ends them: a block start ends an open paragraph, an end tag ends what is
+    open inside it, and an end tag without a start is ignored. Raw-text
+    elements, comments and hidden elements have no text.
     """
     nodes = [Node(-1, "root")]
-    open_: list[tuple[str, int]] = [("root", 0)]  # (tag, node); inline elements have their block's node
-    links = 0
+    open_: list[tuple[str, int, bool]] = [("root", 0, False)]  # (tag, node, hidden); inline ones have their block's node
+    links = concealed = 0  # open links and hidden elements
     at, block = 0, None  # block: the text block being filled
 
     def end(n: int) -> None:
-        nonlocal links, block
+        nonlocal links, concealed, block
         while len(open_) > n:
-            tag, _ = open_.pop()
+            tag, _, hidden = open_.pop()
             links -= tag == "a"
+            concealed -= hidden
             if tag in BLOCKS:
                 block = None
 
     def add(text: str) -> None:
         nonlocal block
-        if not text:
+        if not text or concealed:
             return
         if block is None:
             if text.isspace():
@@ -106,18 +125,17 @@ def parse(page: str) -> list[Node]:
                 if open_[i][0] == tag:
                     end(i)
                     break
-                if tag not in BLOCKS and open_[i][0] in BLOCKS:
+                if tag not in BLOCKS and tag != "object" and open_[i][0] in BLOCKS:
                     break  # an inline end tag does not reach out of its block
             continue
         if not m[2]:
             continue
         tag, given = m[2].lower(), m[3] or ""
-        hidden = bool(given) and bool(HIDDEN.search(" " + given))
-        if tag in RAW or (hidden and tag not in VOID and not given.endswith("/")):
-            close = _end_of(page, at, tag, nested=tag not in RAW)
+        hidden = tag not in VOID and not given.endswith("/") and hides(given)
+        if tag in RAW:
+            at = _end_of(page, at, tag)
             if tag in BLOCKS or hidden:
                 block = None
-            at = close
             continue
         if tag in P_CLOSERS:
             for i in range(len(open_) - 1, 0, -1):
@@ -128,40 +146,42 @@ def parse(page: str) -> list[Node]:
                     break
         if tag in CLOSES:
             kinds, limit = CLOSES[tag]
+            outer = len(open_)  # an option is closed with its group
             for i in range(len(open_) - 1, 0, -1):
                 if open_[i][0] in kinds.split():
-                    end(i)
-                    break
+                    outer = i
+                    if tag != "optgroup":
+                        break
                 if open_[i][0] in limit:
                     break
+            end(outer)
         if tag in VOID:
             if tag in BLOCKS:
                 block = None
             elif tag == "br":
                 add(" ")
             continue
-        if tag in BLOCKS:
+        concealed += hidden
+        if concealed:
+            if tag in BLOCKS or hidden:
+                block = None
+            links += tag == "a"
+            open_.append((tag, open_[-1][1], hidden))
+        elif tag in BLOCKS:
             block = None
             names = tuple(sorted({w for n in NAMES.findall(given) for w in WORD.findall(n.lower())}))
             nodes.append(Node(open_[-1][1], tag, names))
-            open_.append((tag, len(nodes) - 1))
+            open_.append((tag, len(nodes) - 1, False))
         else:
             links += tag == "a"
-            open_.append((tag, open_[-1][1]))
+            open_.append((tag, open_[-1][1], False))
     return nodes
 
 
-def _end_of(page: str, at: int, tag: str, nested: bool) -> int:
-    """The place after the end tag of an element whose content starts at ``at``."""
-    depth = 1
-    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(page, at):
-        if m[1]:
-            depth -= 1
-        elif nested:
-            depth += 1
-        if depth == 0:
-            return m.end()
-    return len(page)
+def _end_of(page: str, at: int, tag: str) -> int:
+    """The place after the end tag of a raw element whose content starts at ``at``."""
+    m = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
+    return m.end() if m else len(page)
 
 
 def block_text(node: Node) -> str:

@@ -13,7 +13,7 @@ from helpers import documents, odd_rows, words
 from pyspark.sql import functions as F
 
 from rivet.llm import bpe, toxicity
-from rivet.llm.html_extract import extract, main_text, marginals, parse, train
+from rivet.llm.html_extract import block_text, extract, main_text, marginals, parse, train
 from rivet.llm.html_training import labelled_pages
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -132,6 +132,42 @@ def test_html_pages(spark):
     assert extract(df.filter("false")).collect() == []
 
 
+def texts_of(page):
+    return [t for t in (block_text(n) for n in parse(page) if not n.tag) if t]
+
+
+def test_html_hidden_is_an_attribute():
+    for given in ('data-title="the hidden cost"', 'class="md:block hidden lg:flex"', "title='is hidden'",
+                  'data-css="display:none"', 'title="aria-hidden=true"', 'aria-hidden="false"', "data-hidden"):
+        assert texts_of(f"<article {given}><p>shown</article>") == ["shown"], given
+    for given in ("hidden", 'class="x" HIDDEN', "hidden=''", "hidden=until-found", "style='color:red; display : none'",
+                  'aria-hidden="true"', "aria-hidden=true id=x"):
+        assert texts_of(f"<div {given}>not <p>this</p></div><p>shown</p>") == ["shown"], given
+
+
+def test_html_hidden_ends_where_implied():
+    """An end tag left out ends the hidden element, not the page."""
+    after = "<article><p>one</p><p>two</p></article>"
+    assert texts_of("<p hidden>x<div>y</div>" + after) == ["y", "one", "two"]
+    assert texts_of("<p hidden>x<p>y</p>" + after) == ["y", "one", "two"]
+    assert texts_of("<ul><li hidden>x<li>y<li hidden>z</ul>" + after) == ["y", "one", "two"]
+    assert texts_of("<ul><li hidden>x<ul><li>z</li></ul><li>y</ul>" + after) == ["y", "one", "two"]
+    assert texts_of("<dl><dt hidden>x<dd>y</dl>" + after) == ["y", "one", "two"]
+    assert texts_of("<table><caption hidden>c<thead hidden><tr><th>h<tbody><tr hidden><td>x<tr><td hidden>x<td>y</table>"
+                    + after) == ["y", "one", "two"]
+    assert texts_of("<select><optgroup hidden><option>x<optgroup><option>y</select>" + after) == ["y", "one", "two"]
+    assert texts_of("<div hidden>a<div>b</div>c<span hidden>d</span></div>" + after) == ["one", "two"]
+    assert texts_of("<section><span hidden>x</section>" + after) == ["one", "two"]
+
+
+def test_html_math_and_object_are_judged():
+    assert texts_of("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+    assert texts_of("<article><object data=a><p>instead</object><p>two</article>") == ["instead", "two"]
+    model = train(labelled_pages())
+    page = "<article><h1>A title</h1>" + "<p>where <math><mi>abc</mi></math> is a number of some size, as shown</p>" * 3
+    assert main_text(page + "</article>", model).count("abc") == 3
+
+
 def test_html_very_deep_and_long():
     model = train(labelled_pages(60))
     deep = "<div>" * 3000 + "<article><p>inside</p></article>" + "</div>" * 3000
