@@ -23,8 +23,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-# A window's place takes the low bits of its number: texts of up to 2^24 words.
-PLACE_BITS = 24
+# A window's place takes the low bits of its number, as many as any array has places.
+PLACE_BITS = 31
 PLACE = (1 << PLACE_BITS) - 1
 
 # Limits of the rules that count on failing hosts only.
@@ -41,11 +41,13 @@ def place(number: Column) -> Column:
 def measures(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """(id, host, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words).
 
-    Repeats: each 3-word window becomes one number, a hash above and its
-    place below, and the numbers are sorted. Equal windows are then
-    neighbours; their words are compared, so a hash collision counts nothing.
-    The words that repeated windows cover follow from the gaps between their
-    places. All of it is array work inside the row, n log n in its words.
+    Repeats: each 3-word window becomes one number, the upper bits of its hash
+    above and its place below, and the numbers are sorted. Windows that share
+    these bits with a neighbour are sorted again by whole hash and words, and
+    those with the words of a neighbour repeat: neither the length of a text
+    nor a hash collision, interleaved or not, changes the count. The words
+    that repeated windows cover follow from the gaps between their places. All
+    of it is array work inside the row, n log n in its words.
     """
     text = F.col("text")
     d = docs.select(F.col(id_col).alias("id"), F.col(host_col).alias("host"),
@@ -60,13 +62,13 @@ def measures(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Data
     d = d.withColumn("numbers", F.when(F.size(F.array_distinct("hashes")) < F.size("hashes"), F.sort_array(
         F.transform("hashes", lambda h, i: h.bitwiseAND(F.lit(~PLACE)).bitwiseOR(i.cast("long"))))).otherwise(none))
 
-    def near(x, y):
-        return F.shiftrightunsigned(x.bitwiseXOR(y), PLACE_BITS) == 0
-    for column, equal in (("numbers", near), ("numbers", lambda x, y: near(x, y) & (
-            F.struct(*window(place(x))) == F.struct(*window(place(y)))))):
-        d = d.withColumn(column, F.filter(column, lambda x, i: (
-            equal(x, F.get("numbers", i - 1)) | equal(x, F.get("numbers", i + 1)))))  # noqa: B023
-    d = d.withColumn("repeats", F.sort_array(F.transform("numbers", place)))
+    def kept(column, equal):
+        return F.filter(column, lambda x, i: equal(x, F.get(column, i - 1)) | equal(x, F.get(column, i + 1)))
+    d = d.withColumn("numbers", kept("numbers", lambda x, y: F.shiftrightunsigned(x.bitwiseXOR(y), PLACE_BITS) == 0))
+    d = d.withColumn("found", F.sort_array(F.transform("numbers", lambda x: F.struct(
+        F.get("hashes", place(x)).alias("hash"), F.struct(*window(place(x))).alias("words"), place(x).alias("place")))))
+    d = d.withColumn("found", kept("found", lambda x, y: (x["hash"] == y["hash"]) & (x["words"] == y["words"])))
+    d = d.withColumn("repeats", F.sort_array(F.transform("found", lambda x: x["place"])))
     lines = F.filter(F.split(text, "\n", -1), lambda line: strip(line) != "")
     d = d.withColumn("lines", lines)
     covered = F.aggregate(

@@ -12,6 +12,7 @@ import pytest
 from helpers import documents, odd_rows
 from pyspark.sql import functions as F
 
+from rivet.llm import quality
 from rivet.llm.exact_dedup import exact_dedup
 from rivet.llm.line_dedup import deduplicated, line_dedup
 from rivet.llm.mixing import emit, mix_sources
@@ -159,6 +160,19 @@ def test_measures(spark):
     assert got == Counter(measured_by_hand(t) for _, t, *_ in rows)
 
 
+def test_measures_with_interleaved_collisions(spark):
+    """The first windows of these pairs share 40 bits of their hashes; each
+    text has one of them before and after the other."""
+    pairs = [(630076, 995378), (1045777, 1498020), (279699, 1902338)]
+    rows = [(i, f"w{a} x y one w{b} x y two w{a} x y three") for i, (a, b) in enumerate(pairs)]
+    got = {r["id"]: r["n_repeat_words"] for r in measures(documents(spark, rows), "doc_id", "text", "source").collect()}
+    assert got == {0: 6, 1: 6, 2: 6}
+
+
+def test_window_places_have_room_for_any_text():
+    assert quality.PLACE >= (1 << 31) - 1 and quality.PLACE_BITS == quality.PLACE.bit_length()
+
+
 def test_host_verdicts(spark):
     """A symbol-ridden document passes on a clean host and fails on a bad one;
     a clean document stays on either."""
