@@ -50,6 +50,7 @@ def get_session(master: str | None = None, app: str = "rivet",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
