@@ -121,6 +121,114 @@ SELECT n.doc_id, n.n AS n_shingles, least(n.doc_id, coalesce(low, n.doc_id)) AS
 FROM n LEFT JOIN c USING (doc_id)
 """
 
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    return (f"xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({text}, ''), "
+            "lambda ch: ascii(ch)::UBIGINT)), lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], "
+            "lambda d, e: xor(d >> 1, 3988292384::UBIGINT * (d & 1)))), 4294967295::UBIGINT)")
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+
+_HEAD = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
+OP11 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, sha256({_HEAD} || {_field("text")}) AS leaf, sha256({_HEAD} || {_field("shown")}) AS shown_leaf
+  FROM (SELECT *, CASE WHEN doc_id IS NOT NULL AND {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN replace(text, chr(10), '')
+                       ELSE text END AS shown FROM documents)),
+l AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+t AS (SELECT g, 0 AS lvl, pos AS i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM l
+      UNION ALL
+      SELECT g, lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM t WHERE n > 1 GROUP BY g, lvl, i // 3, n),
+u AS (SELECT 0 AS lvl, g AS i, h, (SELECT count(DISTINCT g) FROM l) AS n FROM t WHERE n = 1
+      UNION ALL
+      SELECT lvl + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), (n + 2) // 3 FROM u WHERE n > 1 GROUP BY lvl, i // 3, n),
+runs AS (SELECT g AS tree, 0 AS part, lvl, i // 3 AS run, i, h FROM t WHERE n > 1
+         UNION ALL SELECT -1, 1, lvl, i // 3, i, h FROM u WHERE n > 1),
+depth AS (SELECT g, lvl FROM t WHERE n > 1 GROUP BY g, lvl),
+way AS (SELECT l.g, l.pos, l.g AS tree, 0 AS part, lvl, l.pos // (3 ** lvl)::BIGINT AS own FROM l JOIN depth ON l.g = depth.g
+        UNION ALL
+        SELECT l.g, l.pos, -1, 1, lvl, l.g // (3 ** lvl)::BIGINT FROM l, (SELECT DISTINCT lvl FROM u WHERE n > 1)),
+st AS (SELECT w.g, w.pos, row_number() OVER (PARTITION BY w.g, w.pos ORDER BY w.part, w.lvl) AS k,
+              coalesce(string_agg(h, '' ORDER BY r.i) FILTER (WHERE r.i < own), '') AS lefts,
+              coalesce(string_agg(h, '' ORDER BY r.i) FILTER (WHERE r.i > own), '') AS rights
+       FROM way w JOIN runs r ON r.tree = w.tree AND r.part = w.part AND r.lvl = w.lvl AND r.run = own // 3
+       GROUP BY w.g, w.pos, w.part, w.lvl),
+f AS (SELECT g, pos, 0::BIGINT AS k, shown_leaf AS h FROM l
+      UNION ALL SELECT f.g, f.pos, f.k + 1, sha256(lefts || f.h || rights) FROM f JOIN st ON st.g = f.g AND st.pos = f.pos AND st.k = f.k + 1),
+e AS (SELECT g, pos, arg_max(h, k) AS folded_root FROM f GROUP BY g, pos),
+p AS (SELECT g, pos, sha256(string_agg(lefts || rights, '' ORDER BY k)) AS proof_sha256 FROM st GROUP BY g, pos),
+s AS (SELECT g, h AS subroot FROM t WHERE n = 1),
+r AS (SELECT h AS root FROM u WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN s USING (g) CROSS JOIN r JOIN e USING (g, pos) LEFT JOIN p USING (g, pos)
+"""
+
+
+def _put(cost: str, letter: str, path: str) -> str:
+    return f"{{'c': {path}.c + {cost}, 'a': '{letter}' || {path}.a}}"
+
+
+_NEXT = (2, 2, 3, 2)  # places in the pattern: start, after s, after u, after a
+_KEEPS = ({"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2})
+
+
+def _row_edit(place: int) -> str:
+    keeps = [f"CASE WHEN NOT gone AND ini = '{k}' THEN {_put('late', 'K', f'v{to}')} END" for k, to in _KEEPS[place].items()]
+    rerole = f"CASE WHEN NOT gone THEN {_put('3 + late', 'R', f'v{_NEXT[place]}')} END"
+    return f"list_min([{_put('4', 'D', f'v{place}')}, {rerole}, {', '.join(keeps)}]) AS w{place}"
+
+
+def _with_inserts(place: int) -> str:
+    one = _put("3", "I", f"w{_NEXT[place]}")
+    two = f"{{'c': w{_NEXT[_NEXT[place]]}.c + 6, 'a': 'II' || w{_NEXT[_NEXT[place]]}.a}}"
+    return f"list_min([w{place}, {one}, {two}]) AS v{place}"
+
+
+OP12 = f"""
+WITH RECURSIVE o AS (SELECT conv_id, dense_rank() OVER (ORDER BY conv_id) AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS hit FROM conversations),
+d AS (SELECT c, turn, CASE hit WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM (SELECT *, unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM o)),
+r AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+             rtrim(text, {_SPACE}) AS bare, substr(role, 1, 1) AS ini FROM d),
+q AS (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS again, lag(ini) OVER (PARTITION BY c ORDER BY i) AS before FROM r),
+x AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' END AS fault FROM q),
+y AS (SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS gone,
+             CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS late FROM x),
+g AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+             count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+             count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+             count(*) FILTER (WHERE before IS NOT NULL AND (before || ':' || ini) NOT IN ('s:u', 'u:a', 'a:u')) AS illegal
+      FROM y GROUP BY c),
+dp AS (SELECT c, n AS i, {{'c': 0, 'a': ''}} AS v0, {{'c': 6, 'a': 'II'}} AS v1, {{'c': 3, 'a': 'I'}} AS v2, {{'c': 0, 'a': ''}} AS v3 FROM g
+       UNION ALL
+       SELECT c, i, {", ".join(map(_with_inserts, range(4)))}
+       FROM (SELECT dp.c, dp.i - 1 AS i, {", ".join(map(_row_edit, range(4)))} FROM dp JOIN y ON y.c = dp.c AND y.i = dp.i)),
+a AS (SELECT c, v0.c::BIGINT AS cost, v0.a AS audit FROM dp WHERE i = 0),
+w AS (SELECT c, audit, 0 AS k, 0::BIGINT AS i, 0 AS place, ''::VARCHAR AS told, false AS begun FROM a
+      UNION ALL
+      SELECT c, audit, k + 1, CASE WHEN e = 'I' THEN i ELSE i + 1 END, CASE WHEN e = 'D' THEN place ELSE goes END,
+             CASE WHEN e = 'D' THEN told ELSE told || CASE WHEN begun THEN chr(10) ELSE '' END
+               || CASE WHEN e = 'K' THEN role WHEN goes = 2 THEN 'user' ELSE 'assistant' END || ':'
+               || CASE WHEN e = 'I' THEN '' ELSE text END END, begun OR e <> 'D'
+      FROM (SELECT w.*, y.role, y.text, substr(audit, k + 1, 1) AS e,
+                   CASE WHEN substr(audit, k + 1, 1) = 'K' AND y.ini = 's' THEN 1 WHEN place = 2 THEN 3 ELSE 2 END AS goes
+            FROM w LEFT JOIN y ON y.c = w.c AND y.i = w.i + 1 WHERE k < length(audit))),
+z AS (SELECT c, arg_max(told, k) AS told FROM w GROUP BY c)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(told, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, c FROM o) o LEFT JOIN g ON g.c = o.c LEFT JOIN a ON a.c = o.c LEFT JOIN z ON z.c = o.c
+"""
+
 LLM_ORACLES = {
     "op1_exact_dedup": OP1,
     "op3_repeat_dedup": OP3,
@@ -128,4 +236,6 @@ LLM_ORACLES = {
     "op6_near_dedup": OP6,
     "op7_mix_sources": OP7,
     "op9_quality_rules": OP9,
+    "op11_merkle_manifest": OP11,
+    "op12_conversation_repair": OP12,
 }

@@ -10,10 +10,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivet.llm.automaton import encode_words
 from rivet.llm.bpe import encode
+from rivet.llm.conversations import damage, repair_report
 from rivet.llm.exact_dedup import exact_dedup
 from rivet.llm.html_extract import extract
 from rivet.llm.line_dedup import deduplicated
+from rivet.llm.merkle import hexed, merkle_manifest
 from rivet.llm.mixing import mix_sources
 from rivet.llm.quality import quality_rules
 from rivet.llm.runindex import repeated_spans
@@ -104,6 +107,36 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of every document; half of them are
+    presented without their newlines, and the proof shows it."""
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    shown = F.when(tampered, F.replace(docs["text"], F.lit("\n"), F.lit(""))).otherwise(docs["text"])
+    out = merkle_manifest(docs, presented={"text": shown})
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(hexed(F.col("siblings")).cast("binary"), 256).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the test damage."""
+    rows = table(spark, sf_dir, "conversations")
+    found = repair_report(damage(rows))
+    ids = rows.select("conv_id").distinct()
+    joined = ids.join(found, ids["conv_id"].eqNullSafe(found["conv_id"]), "left")
+    return joined.select(ids["conv_id"], *[F.coalesce(c, F.lit(0).cast("long")).alias(c)
+                                           for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")],
+                         F.coalesce("audit", F.lit("")).alias("audit"),
+                         F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word BPE ids of every document and what they decode to."""
+    out = encode_words(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 LLM_QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -115,4 +148,7 @@ LLM_QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_html_extract": op10_html_extract,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_word_bpe": op13_word_bpe,
 }
