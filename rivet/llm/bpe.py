@@ -7,17 +7,26 @@ table and contracts each word's leftmost pair of minimum rank until no pair
 of any word can merge; ordered aggregation then writes the word's ids and,
 joined with the vocabulary, the bytes they decode to.
 
-The plan is one map without a shuffle. A worker keeps the words it has
-encoded, at most ``CACHE_WORDS``, and encodes new ones in bounded batches, so
-memory does not grow with the table.
+A long word is first cut where no token of the vocabulary that occurs in it
+spans the cut: no merge can ever cross there, so the pieces are encoded as
+words of their own. That keeps the work on long words in proportion to their
+length.
+
+The plan is one map without a shuffle. A task keeps the words it has encoded,
+at most ``CACHE_WORDS``, and encodes new ones in bounded batches; it gives
+words and database back when it ends, so memory grows neither with the table
+nor with the number of tasks a worker has run.
 """
 
 from __future__ import annotations
 
 import base64
+import contextlib
+import ctypes
 import re
 from collections.abc import Iterator
 
+import ahocorasick
 import duckdb
 import numpy as np
 import pyarrow as pa
@@ -26,9 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 BATCH_BYTES = 400_000  # of new words in one recursive query
-LONG_WORD = 128  # bytes; longer words take the query that contracts several pairs a step
+LONG_WORD = 128  # bytes; longer words are cut, and pieces still longer take the query that contracts several pairs a step
 BLOCK_BYTES = 4 << 20
 
 # One step: of each word still changing, the leftmost pair of minimum rank is
@@ -121,7 +130,7 @@ class Encoder:
         self.words = Words(pattern)
         self.ids: dict[str, str] = {}
         self.decoded: dict[str, bytes] = {}
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        self.db, self.finder, self.vocabulary = None, None, list(ranks)
         ends: dict[int, int] = {}  # lowest rank of a longer token that starts or ends with a token
         merges = []
         for token, rank in ranks.items():
@@ -134,34 +143,70 @@ class Encoder:
                     merges.append((left, right, rank))
         self.one = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         l, r, rank = (pa.array(x, pa.int32()) for x in zip(*merges, strict=True))
-        self._table("merges", {"l": l, "r": r, "rank": rank,
-                               "safe": pa.array([ends.get(m[2], 1 << 30) > m[2] for m in merges])})
-        self._table("tokens", {"id": pa.array(list(ranks.values()), pa.int32()),
-                               "hex": pa.array([t.hex() for t in ranks])})
-
-    def _table(self, name: str, columns: dict) -> None:
-        self.db.register("given", pa.table(columns))
+        safe = pa.array([ends.get(m[2], 1 << 30) > m[2] for m in merges])
+        self.fixed = {"merges": pa.table({"l": l, "r": r, "rank": rank, "safe": safe}),
+                      "tokens": pa.table({"id": pa.array(list(ranks.values()), pa.int32()),
+                                          "hex": pa.array([t.hex() for t in ranks])})}
+
+    def close(self) -> None:
+        """Forget the words and give the database's memory back."""
+        self.ids.clear()
+        self.decoded.clear()
+        self.finder = None
+        if self.db is not None:
+            self.db.close()
+            self.db = None
+        with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    def _table(self, name: str, given: pa.Table) -> None:
+        self.db.register("given", given)
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
         self.db.unregister("given")
 
+    def _pieces(self, word: str) -> list[str]:
+        """Parts of a long word, cut between characters where no token that
+        occurs in its bytes spans the cut."""
+        if self.finder is None:
+            self.finder = ahocorasick.Automaton()
+            for token in self.vocabulary:
+                if len(token) > 1:
+                    self.finder.add_word(token.decode("latin-1"), len(token))
+            self.finder.make_automaton()
+        raw = word.encode()
+        spans = np.array([(end + 1 - n, end) for end, n in self.finder.iter(raw.decode("latin-1"))], np.int64).reshape(-1, 2)
+        change = np.bincount(spans[:, 0] + 1, minlength=len(raw) + 2)[:len(raw) + 2] \
+            - np.bincount(spans[:, 1] + 1, minlength=len(raw) + 2)[:len(raw) + 2]
+        free = np.cumsum(change)[1:len(raw)] == 0  # of the cut before byte 1, 2, ...
+        starts = (np.frombuffer(raw, np.uint8)[1:] & 0xC0) != 0x80
+        cuts = [0, *(np.flatnonzero(free & starts) + 1).tolist(), len(raw)]
+        return [raw[a:b].decode() for a, b in zip(cuts, cuts[1:], strict=False)]
+
     def _encode(self, words: list[str], query: str) -> None:
+        if self.db is None:
+            self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
+            for name, given in self.fixed.items():
+                self._table(name, given)
         raw = [w.encode() for w in words]
         length = np.array([len(w) for w in raw])
         word = np.repeat(np.arange(len(raw), dtype=np.int32), length)
         start = np.repeat(np.cumsum(length) - length, length)
-        self._table("bytes_in", {"word": word, "pos": np.arange(len(word)) - start,
-                                 "tok": self.one[np.frombuffer(b"".join(raw), np.uint8)]})
+        self._table("bytes_in", pa.table({"word": word, "pos": np.arange(len(word)) - start,
+                                          "tok": self.one[np.frombuffer(b"".join(raw), np.uint8)]}))
         found = self.db.sql(ENCODED.format(query)).to_arrow_table()
         for i, ids, hexes in zip(*(found.column(c).to_pylist() for c in range(3)), strict=True):
             self.ids[words[i]], self.decoded[words[i]] = ids, bytes.fromhex(hexes)
 
     def learn(self, words: set[str]) -> None:
-        """Encode words not met before; the oldest make room."""
+        """Encode words not met before; the oldest make room. Pieces of long
+        words count as words."""
         over = len(self.ids) + len(words) - CACHE_WORDS
         if over > 0:
             for w in [w for w in self.ids if w not in words][:over]:
                 del self.ids[w], self.decoded[w]
         new = sorted(words.difference(self.ids))
+        cut = {w: self._pieces(w) for w in new if len(w.encode()) > LONG_WORD}
+        new = sorted({*(w for w in new if w not in cut), *(p for parts in cut.values() for p in parts)}.difference(self.ids))
         for query, group in ((SHORT_WORDS, [w for w in new if len(w.encode()) <= LONG_WORD]),
                              (LONG_WORDS, [w for w in new if len(w.encode()) > LONG_WORD])):
             batch, size = [], 0
@@ -173,6 +218,9 @@ class Encoder:
                     batch, size = [], 0
             if batch:
                 self._encode(batch, query)
+        for w, parts in cut.items():
+            ids, decoded = " ".join([self.ids[p] for p in parts]), b"".join([self.decoded[p] for p in parts])
+            self.ids[w], self.decoded[w] = ids, decoded
 
     def encode(self, texts: list[str]) -> Iterator[tuple[int, str, bytes]]:
         """(number of ids, ids joined by one space, their bytes) of each text."""
@@ -183,7 +231,7 @@ class Encoder:
             yield ids.count(" ") + bool(ids), ids, b"".join(map(self.decoded.__getitem__, words))
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}  # of this Python worker, by vocabulary and pattern
+_ENCODERS: dict[tuple[str, str], Encoder] = {}  # of this Python worker, by vocabulary and pattern; without words
 
 
 def encoder(path: str, pattern: str) -> Encoder:
@@ -211,11 +259,14 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
         from rivet.llm.secrets import blocks
 
         own = encoder(vocabulary, pattern)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in blocks(texts, BLOCK_BYTES):
-                n, ids, decoded = zip(*own.encode(texts[a:b]), strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
-                     pa.array(decoded, pa.binary())], schema.fieldNames())
+        try:
+            for batch in batches:
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                for a, b in blocks(texts, BLOCK_BYTES):
+                    n, ids, decoded = zip(*own.encode(texts[a:b]), strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
+                         pa.array(decoded, pa.binary())], schema.fieldNames())
+        finally:
+            own.close()
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)

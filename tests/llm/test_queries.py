@@ -44,7 +44,7 @@ def test_query_matches_oracle(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(LLM_QUERIES) - set(LLM_ORACLES)))
 def test_query_covers_its_table(spark, name):
     df = LLM_QUERIES[name](spark, SF)
-    source, key = ("pages", "page_id") if name.startswith("op10") else ("documents", "doc_id")
+    source, key = ("pages", "page_id") if name.startswith("op10_") else ("documents", "doc_id")
     ids = [r[0] for r in df.select(key).collect()]
     want = [r[0] for r in spark.read.parquet(f"{SF}/{source}.parquet").select(key).collect()]
     assert sorted(ids) == sorted(want)
