@@ -733,16 +733,31 @@ def _runs_path(spark, sf, job):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivet-io/runs-{spark.sparkContext.applicationId}-{job}-{data}"
 
 
-def _classifier_runs(spark, sf):
-    """Run table of the classifier comparison; fitted where it is not there yet."""
+def _logged(spark, sf, specs) -> str:
+    """Run table of the classifiers, fitted and logged where they are not there yet."""
     path = _runs_path(spark, sf, "risk")
-    if IO.read_runs(spark, path) is None:
+    runs = IO.read_runs(spark, path)
+    there = set() if runs is None else {r[0] for r in runs.select(F.col("params")["model"]).collect()}  # one row per model
+    missing = [s for s in specs if s.name not in there]
+    if missing:
         _, train, test, cols = _training_frames(spark, sf)
-        models, metrics = MD.compare_classifiers(train, test, cols, LABEL)
-        MD.register(spark, path, "failure-risk", models, metrics, "f1", maximize=True)
+        MD.log_classifiers(spark, path, "failure-risk", missing, train, test, cols, LABEL, "reading_id")
+    return path
+
+
+def _classifier_runs(spark, sf):
+    """Run table of the classifier comparison, the best F1 in Staging."""
+    path = _logged(spark, sf, MD.CLASSIFIERS)
+    if IO.read_runs(spark, path).filter("stage = 'Staging'").isEmpty():
+        IO.promote(spark, path, "failure-risk", "f1")
     return path
 
 
+def _staged_classifier(spark, sf):
+    run = IO.staged(spark, _classifier_runs(spark, sf), "failure-risk", "Staging")
+    return MD.load_classifier(spark, run["path"], run["params"]["kind"])
+
+
 def _run_metrics(spark, path, names):
     return IO.read_runs(spark, path).select(
         "version", F.col("params")["model"].alias("model"), *[F.col("metrics")[n].alias(n) for n in names])
@@ -753,8 +768,8 @@ CLASSIFIER_METRICS = ("precision", "recall", "f1", "roc_auc")
 
 @query("classifier_comparison")
 def q_classifier_comparison(spark, sf):
-    """J3a-d + J12 + D10 + D20: RF and two boosted-tree configurations on
-    asset-split features, precision / recall / F1 / ROC-AUC on test assets."""
+    """J3a-d + J12 + D10 + D20: a forest, level-wise and leaf-wise boosted trees
+    on asset-split features, precision / recall / F1 / ROC-AUC on test assets."""
     return _r6all(_run_metrics(spark, _classifier_runs(spark, sf), CLASSIFIER_METRICS).drop("version"))
 
 
@@ -772,7 +787,7 @@ def q_model_runs(spark, sf):
     staged model is loaded by name and stage and scores every reading."""
     path = _classifier_runs(spark, sf)
     f = materialize(_features(spark, sf), "features")
-    model = IO.load_model(spark, path, "failure-risk", "Staging")
+    model = _staged_classifier(spark, sf)
     scored = MD.positive_probability(model, f, PR.feature_columns(f, FEATURE_EXCLUDE))
     return (IO.read_runs(spark, path)
             .select("name", "version", F.col("params")["model"].alias("model"), "stage",
@@ -784,7 +799,7 @@ def q_model_runs(spark, sf):
 def q_model_risk_scoring(spark, sf):
     """K9 with the staged model: latest reading of every asset, class-1
     probability, category and priority rank."""
-    model = IO.load_model(spark, _classifier_runs(spark, sf), "failure-risk", "Staging")
+    model = _staged_classifier(spark, sf)
     f = _features(spark, sf)
     cols = PR.feature_columns(f, FEATURE_EXCLUDE)
     latest = latest_per_key(f, "asset_id", ["timestamp", "reading_id"])
@@ -896,10 +911,11 @@ def _shap(spark, sf):
     """SHAP values of every test row under the logged random forest; values
     and scores are tables of the application, computed where not there yet."""
     path = _runs_path(spark, sf, "shap")
-    runs = IO.read_runs(spark, _classifier_runs(spark, sf))
-    forest = runs.filter(F.col("params")["model"] == MD.CLASSIFIERS[0].name).orderBy(F.col("version").desc()).first()
     done = IO.read_runs(spark, path)
     if done is None:
+        spec = MD.CLASSIFIERS[0]
+        runs = IO.read_runs(spark, _logged(spark, sf, [spec]))
+        forest = runs.filter(F.col("params")["model"] == spec.name).orderBy(F.col("version").desc()).first()
         _, _, test, cols = _training_frames(spark, sf)
         rf = RandomForestClassificationModel.load(forest["path"])
         scored = materialize(MD.positive_probability(rf, test, cols).select("reading_id", "score", *cols), "shap-rows")

@@ -1,12 +1,14 @@
-"""Tree SHAP for MLlib random forests.
-
-Path-dependent Tree SHAP (Lundberg, Erion & Lee, 2018, Algorithm 2) with
-node covers taken from the forest's own weighted class counts. The forest is
-broadcast (its size is bounded by its tree count and depth) and the rows are
-distributed: a task explains its batches against one group of trees after
-the other, vectorised over the rows, and a final aggregate adds the groups
-up. Guard: base value + sum of contributions equals the class-1 probability
-of every row.
+"""Tree SHAP for MLlib random forests over a table of paths.
+
+Path-dependent Tree SHAP (Lundberg, Erion & Lee, 2018) with node covers taken
+from the forest's own weighted class counts. Each root-to-leaf path becomes one
+row: merged intervals and cover ratios per feature. A row's contributions are
+sums over paths, computed for a batch of rows against a block of paths of one
+length. The packed path table is broadcast (its size is bounded by the number
+of trees and their depth) and the rows are distributed: a task explains its
+batches against one group of trees, and a final aggregate adds the groups up.
+Guard: base value + sum of contributions equals the class-1 probability of
+every row.
 """
 
 from __future__ import annotations
@@ -30,92 +32,139 @@ def tree_nodes(spark, model_path: str) -> DataFrame:
                     F.col("nodeData.impurityStats").alias("stats"))
 
 
-def _explain_tree(nodes: pd.DataFrame, X: np.ndarray, n_features: int):
-    """phi (rows x features) and the expected value of one tree."""
-    nodes = nodes.sort_values("node_id")
-    idx = {int(n): i for i, n in enumerate(nodes["node_id"])}
-    left = nodes["left"].to_numpy()
-    right = nodes["right"].to_numpy()
-    feat = nodes["feature"].to_numpy()
-    thr = nodes["threshold"].to_numpy()
-    stats = [np.asarray(s, dtype=float) for s in nodes["stats"]]
-    cover = np.array([s.sum() for s in stats])
-    value = np.array([(s[1] / s.sum()) if s.sum() > 0 and len(s) > 1 else 0.0 for s in stats])
-    n = X.shape[0]
-    phi = np.zeros((n, n_features))
-    root = idx[0] if 0 in idx else 0
-
-    def is_leaf(j):
-        return left[j] < 0
-
-    leaves = [j for j in range(len(nodes)) if is_leaf(j)]
-    expected = float(sum(cover[j] * value[j] for j in leaves) / cover[root]) if cover[root] > 0 else 0.0
-
-    # path: list of [d, z, o(vector), w(vector)]
-    def extend(m, pz, po, pi):
-        ln = len(m)
-        m = [[e[0], e[1], e[2], e[3].copy()] for e in m]
-        m.append([pi, pz, po, np.full(n, 1.0 if ln == 0 else 0.0)])
-        for i in range(ln - 1, -1, -1):
-            m[i + 1][3] = m[i + 1][3] + po * m[i][3] * (i + 1) / (ln + 1)
-            m[i][3] = pz * m[i][3] * (ln - i) / (ln + 1)
-        return m
-
-    def unwind(m, i):
-        ln = len(m) - 1
-        nxt = m[ln][3].copy()
-        out = [[e[0], e[1], e[2], e[3].copy()] for e in m]
-        o_i, z_i = m[i][2], m[i][1]
-        nz = o_i != 0
-        safe_o = np.where(nz, o_i, 1.0)
-        for j in range(ln - 1, -1, -1):
-            t = out[j][3].copy()
-            w_nz = nxt * (ln + 1) / ((j + 1) * safe_o)
-            w_z = (out[j][3] * (ln + 1)) / (z_i * (ln - j)) if z_i != 0 else np.zeros(n)
-            out[j][3] = np.where(nz, w_nz, w_z)
-            nxt = np.where(nz, t - out[j][3] * z_i * (ln - j) / (ln + 1), nxt)
-        for j in range(i, ln):
-            out[j][0], out[j][1], out[j][2] = out[j + 1][0], out[j + 1][1], out[j + 1][2]
-        return out[:ln]
-
-    def unwound_sum(m, i):
-        ln = len(m) - 1
-        o_i, z_i = m[i][2], m[i][1]
-        nz = o_i != 0
-        safe_o = np.where(nz, o_i, 1.0)
-        nxt = m[ln][3].copy()
-        total = np.zeros(n)
-        for j in range(ln - 1, -1, -1):
-            tmp_nz = nxt / ((j + 1) * safe_o)
-            nxt_nz = m[j][3] - tmp_nz * z_i * (ln - j)
-            tmp_z = (m[j][3] / (z_i * (ln - j))) if z_i != 0 else np.zeros(n)
-            total = total + np.where(nz, tmp_nz, tmp_z)
-            nxt = np.where(nz, nxt_nz, nxt)
-        return total * (ln + 1)
-
-    def recurse(j, m, pz, po, pi):
-        m = extend(m, pz, po, pi)
-        if is_leaf(j):
-            for i in range(1, len(m)):
-                w = unwound_sum(m, i)
-                phi[:, m[i][0]] += w * (m[i][2] - m[i][1]) * value[j]
-            return
-        d = int(feat[j])
-        go_left = X[:, d] <= thr[j]
-        iz, io = 1.0, np.ones(n)
-        k = next((q for q in range(1, len(m)) if m[q][0] == d), None)
-        if k is not None:
-            iz, io = m[k][1], m[k][2]
-            m = unwind(m, k)
-        a, b = idx[int(left[j])], idx[int(right[j])]
-        recurse(a, m, iz * cover[a] / cover[j], np.where(go_left, io, 0.0), d)
-        recurse(b, m, iz * cover[b] / cover[j], np.where(go_left, 0.0, io), d)
-
-    recurse(root, [], 1.0, np.ones(n), -1)
-    return phi, expected
-
-
-TREE_GROUPS = 8
+_PACKED = "tree_id int, paths int, packed binary"
+
+
+def _pack(paths: list[tuple]) -> bytes:
+    """Paths as (value, [(feature, low, high, ratio), ...]) in one buffer:
+    all lengths, all values, then the conditions one after the other."""
+    lengths = np.array([len(c) for _, c in paths], np.float64)
+    values = np.array([v for v, _ in paths], np.float64)
+    conditions = np.array([x for _, c in paths for x in c], np.float64).reshape(-1)
+    return np.concatenate([lengths, values, conditions]).tobytes()
+
+
+def _tree_paths(pdf: pd.DataFrame) -> list[tuple]:
+    """Root-to-leaf paths of one tree. The conditions on one feature are merged
+    to one interval ``low < x <= high`` and one ratio: the share of the
+    training weight that goes down the path where the feature is unknown."""
+    at = {int(n): i for i, n in enumerate(pdf["node_id"])}
+    left, right = pdf["left"].to_numpy(), pdf["right"].to_numpy()
+    feature, threshold = pdf["feature"].to_numpy(), pdf["threshold"].to_numpy()
+    stats = [np.asarray(s, float) for s in pdf["stats"]]
+    cover = [float(s.sum()) for s in stats]
+    out, stack = [], [(at[0], {})]
+    while stack:
+        i, conditions = stack.pop()
+        if left[i] < 0:
+            value = stats[i][1] / cover[i] if cover[i] > 0 and len(stats[i]) > 1 else 0.0
+            out.append((value, [(f, *c) for f, c in conditions.items()]))
+            continue
+        f, t = int(feature[i]), float(threshold[i])
+        low, high, ratio = conditions.get(f, (-np.inf, np.inf, 1.0))
+        for child, lo, hi in ((at[int(left[i])], low, min(high, t)), (at[int(right[i])], max(low, t), high)):
+            share = cover[child] / cover[i] if cover[i] > 0 else 0.0
+            stack.append((child, {**conditions, f: (lo, hi, ratio * share)}))
+    return out
+
+
+def tree_paths(nodes: DataFrame) -> DataFrame:
+    """Path table of a forest, one packed row per tree, made where the trees are."""
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        paths = _tree_paths(pdf)
+        return pd.DataFrame({"tree_id": pdf["tree_id"].iloc[:1].astype("int32"), "paths": [len(paths)], "packed": [_pack(paths)]})
+    return nodes.groupBy("tree_id").applyInPandas(pack, _PACKED)
+
+
+def _unpack(packed: bytes, n: int) -> dict[int, tuple[np.ndarray, ...]]:
+    """By path length: values (paths) and feature, low, high, ratio (paths x length)."""
+    flat = np.frombuffer(packed)
+    lengths, values, rest = flat[:n].astype(int), flat[n:2 * n], flat[2 * n:].reshape(-1, 4)
+    starts = np.cumsum(lengths) - lengths
+    out = {}
+    for d in np.unique(lengths).tolist():
+        mine = np.flatnonzero(lengths == d)
+        c = rest[starts[mine][:, None] + np.arange(d)] if d else np.zeros((len(mine), 0, 4))
+        out[d] = (values[mine], c[..., 0].astype(int), c[..., 1], c[..., 2], c[..., 3])
+    return out
+
+
+def _points(d: int):
+    """Gauss points on (0, 1) that integrate polynomials of degree d - 1 exactly."""
+    points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
+    return zip((points + 1) / 2, weights / 2, strict=True)
+
+
+def _by_pattern(value: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """Contributions (paths x 2^d patterns x d) of paths of one length d.
+
+    A path pays its value if the row meets all conditions; a condition on an
+    unknown feature counts as met with its ratio z. The Shapley weight of a
+    set of k of the d - 1 other features is the integral of t^k (1 - t)^(d - 1 - k),
+    so the weighted sum over all sets is the integral of the product of
+    z (1 - t) + o t over the others, o = 1 where the row meets the condition. So
+    a row's contribution depends on the pattern of its o alone: bit j of a
+    pattern is the o of condition j."""
+    n, d = z.shape
+    bits = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1
+    out = np.zeros((n, 1 << d, d))
+    for t, w in _points(d):
+        unmet = np.maximum(z * (1 - t), 1e-300)  # a ratio of 0 must not divide
+        met = unmet + t
+        product = np.full((n, 1), w)
+        for j in range(d):
+            product = np.concatenate([product * unmet[:, j:j + 1], product * met[:, j:j + 1]], axis=1)
+        out += product[..., None] * np.where(bits, 1 / met[:, None], 1 / unmet[:, None])
+    return out * (bits - z[:, None]) * value[:, None, None]
+
+
+def _by_row(o: np.ndarray, value: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """As ``_by_pattern``, for the conditions that rows meet (rows x paths x
+    d): for paths with more patterns than there are rows."""
+    total = np.zeros(o.shape)
+    for t, w in _points(o.shape[2]):
+        terms = z * (1 - t) + o * t
+        before, after = np.ones_like(terms), np.ones_like(terms)
+        np.cumprod(terms[..., :-1], axis=-1, out=before[..., 1:])
+        after[..., :-1] = np.cumprod(terms[..., :0:-1], axis=-1)[..., ::-1]
+        total += w * before * after
+    return total * (o - z) * value[:, None]
+
+
+CELLS = 1 << 19  # of rows or patterns x paths x conditions held at once
+
+
+def _path_block(x: np.ndarray, block: tuple, n_features: int) -> np.ndarray:
+    """Contributions (rows x features) of paths of one length to rows."""
+    value, feature, low, high, z = block
+    d = feature.shape[1]
+    if 1 << d <= len(x):
+        code = np.zeros((len(x), len(value)), np.int64)
+        for j in range(d):
+            cells = x[:, feature[:, j]]
+            code |= ((cells > low[:, j]) & (cells <= high[:, j])).astype(np.int64) << j
+        found = _by_pattern(value, z)[np.arange(len(value)), code]
+    else:
+        cells = x[:, feature]
+        found = _by_row(((cells > low) & (cells <= high)).astype(float), value, z)
+    at = (np.arange(len(x)) * n_features)[:, None, None] + feature
+    return np.bincount(at.ravel(), found.ravel(), len(x) * n_features).reshape(len(x), n_features)
+
+
+def explain_paths(x: np.ndarray, packed: list[tuple[bytes, int]], n_features: int) -> tuple[np.ndarray, float]:
+    """Contributions (rows x features) and expected value, summed over trees."""
+    phi, base = np.zeros((len(x), n_features)), 0.0
+    for raw, n in packed:
+        for d, block in _unpack(raw, n).items():
+            base += float((block[0] * block[4].prod(axis=1)).sum())
+            paths = max(1, CELLS // (max(d, 1) * len(x)))
+            for a in range(0, len(block[0]) if d else 0, paths):
+                phi += _path_block(x, tuple(c[a:a + paths] for c in block), n_features)
+    return phi, base
+
+
+TREE_GROUPS = 32
+ROWS_PER_TASK = 4096
 
 
 def shap_values(nodes: DataFrame, rows: DataFrame, cols: list[str], row_key: str, n_trees: int,
@@ -125,29 +174,26 @@ def shap_values(nodes: DataFrame, rows: DataFrame, cols: list[str], row_key: str
 
     ``sample`` explains only that many rows, those of smallest key hash. A
     row is copied once per group of trees, so that few rows and many trees
-    still fill a cluster."""
+    still fill a cluster; the number of tasks follows the number of rows."""
     if sample is not None:
         rows = hash_sample(rows, sample, [row_key])
-    trees = [t.drop(columns="tree_id") for _, t in nodes.toPandas().groupby("tree_id")]  # bounded by the forest
-    forest = nodes.sparkSession.sparkContext.broadcast(trees)
+    # packed paths: at most trees x 2^depth paths of depth conditions
+    packed = [(bytes(r["packed"]), r["paths"]) for r in tree_paths(nodes).orderBy("tree_id").collect()]
+    forest = nodes.sparkSession.sparkContext.broadcast(packed)
     names = list(cols)
     key_type = dict(rows.dtypes)[row_key]
+    parts = max(1, -(-rows.count() // ROWS_PER_TASK))
 
     def explain(batches):
         for pdf in batches:
             for g, part in pdf.groupby("_group"):
-                X = part[names].to_numpy(dtype=float)
-                phi, base = np.zeros((len(part), len(names))), 0.0
-                for tree in forest.value[g::tree_groups]:
-                    p, b = _explain_tree(tree, X, len(names))
-                    phi += p
-                    base += b
+                phi, base = explain_paths(part[names].to_numpy(dtype=float), forest.value[g::tree_groups], len(names))
                 out = pd.DataFrame(phi / n_trees, columns=names)
                 out["__base__"] = base / n_trees
                 out[row_key] = part[row_key].to_numpy()
                 yield out.melt(id_vars=[row_key], var_name="feature", value_name="shap")[[row_key, "feature", "shap"]]
     spread = (rows.select(row_key, *names).withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(tree_groups - 1))))
-              .repartition("_group", F.pmod(F.xxhash64(row_key), F.lit(64))))
+              .repartition(parts * tree_groups, "_group", F.pmod(F.xxhash64(row_key), F.lit(parts))))
     per = spread.mapInPandas(explain, f"{row_key} {key_type}, feature string, shap double")
     return per.groupBy(row_key, "feature").agg(F.sum("shap").alias("shap"))
 

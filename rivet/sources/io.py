@@ -121,12 +121,18 @@ def promote(spark: SparkSession, runs_path: str, name: str, metric: str, stage:
     return best
 
 
-def load_model(spark: SparkSession, runs_path: str, name: str, stage: str):
-    """The newest version of ``name`` in ``stage``, loaded from its artifact."""
-    from pyspark.ml.util import DefaultParamsReader
+def staged(spark: SparkSession, runs_path: str, name: str, stage: str) -> Row:
+    """The newest version of ``name`` in ``stage``."""
     runs = read_runs(spark, runs_path)
     row = None if runs is None else (runs.filter((F.col("name") == name) & (F.col("stage") == stage))
                                      .orderBy(F.col("version").desc()).first())
     if row is None:
         raise LookupError(f"no run of {name!r} in stage {stage!r}")
-    return DefaultParamsReader.loadParamsInstance(row["path"], spark)
+    return row
+
+
+def load_model(spark: SparkSession, runs_path: str, name: str, stage: str):
+    """The MLlib model of the newest version of ``name`` in ``stage``, loaded
+    from its artifact."""
+    from pyspark.ml.util import DefaultParamsReader
+    return DefaultParamsReader.loadParamsInstance(staged(spark, runs_path, name, stage)["path"], spark)
