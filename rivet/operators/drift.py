@@ -3,13 +3,16 @@
 Two-sample Kolmogorov-Smirnov per column: values are aggregated to
 distinct values with per-side counts (a hot value becomes one row), the
 two ECDFs come from grouped prefix sums, and D = max |F1 - F2| is one
-aggregate. The p-value is the Kolmogorov limit series
-p = 2 sum_k (-1)^(k-1) exp(-2 k^2 lambda^2), lambda = sqrt(n m / (n + m)) D,
-clamped to [0, 1]; the small-sample exact distribution is not reproduced.
+aggregate. The p-value of samples up to ``exact_rows`` rows is exact, by a
+recurrence over the lattice paths of the two samples; above, it is the
+Kolmogorov limit series p = 2 sum_k (-1)^(k-1) exp(-2 k^2 lambda^2),
+lambda = sqrt(n m / (n + m)) D, clamped to [0, 1].
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,39 @@ from rivet.session import materialize
 
 KS_TERMS = 100
 KS_SMALL = 0.2
+EXACT_ROWS = 10_000  # the larger sample's rows up to which p is exact
+
+
+def exact_p(n: int, m: int, d: float) -> float:
+    """P(D >= d) of two samples of ``n`` and ``m`` rows from one continuous
+    distribution.
+
+    All orders of the rows are equally likely lattice paths from (0, 0) to
+    (n, m); D is reached where |i / n - j / m| >= d. v(i, j), the share of
+    paths to (i, j) that have met such a place, is 1 there and else the mean
+    of v(i - 1, j) and v(i, j - 1) weighted by i and j; it is carried from
+    diagonal to diagonal, O((n + m) min(n, m)) sums of positive numbers."""
+    if n > m:
+        n, m = m, n
+    reach = round(d * n * m)
+    v, low = np.array([1.0 if reach <= 0 else 0.0]), 0  # of the places on the diagonal, from i = low
+    for s in range(1, n + m + 1):
+        first, last = max(0, s - m), min(n, s)
+        i = np.arange(first, last + 1)
+        before = np.zeros(last - first + 3)  # v of the last diagonal at i = first - 1 .. last + 1
+        a = low - (first - 1)
+        before[a:a + len(v)] = v[:len(before) - a]
+        v = (before[:-2] * i + before[1:-1] * (s - i)) / s
+        v[np.abs(i * m - (s - i) * n) >= reach] = 1.0
+        low = first
+    return float(v[0])
+
+
+def _exact_p_column(n: Column, m: Column, d: Column) -> Column:
+    @F.pandas_udf("double")
+    def p(n: pd.Series, m: pd.Series, d: pd.Series) -> pd.Series:  # one row per column
+        return pd.Series([exact_p(int(a), int(b), float(c)) if c == c else float("nan") for a, b, c in zip(n, m, d, strict=True)])
+    return p(n, m, d)
 
 
 def kolmogorov_p(lam: Column) -> Column:
@@ -31,7 +67,7 @@ def kolmogorov_p(lam: Column) -> Column:
     return F.when(lam < KS_SMALL, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * s)))
 
 
-def _ks_from_counts(per: DataFrame, alpha: float) -> DataFrame:
+def _ks_from_counts(per: DataFrame, alpha: float, exact_rows: int) -> DataFrame:
     """KS rows from per-value counts (column, v, c1, c2, s1, s2).
 
     Both ECDFs of all columns are one grouped prefix sum over the distinct
@@ -44,7 +80,12 @@ def _ks_from_counts(per: DataFrame, alpha: float) -> DataFrame:
         F.first("n1").alias("n1"), F.first("n2").alias("n2"),
         F.sum("s1").alias("t1"), F.sum("s2").alias("t2"))
     lam = F.sqrt(F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))) * F.col("d")
-    p = kolmogorov_p(lam)
+    limit, small = kolmogorov_p(lam), F.greatest("n1", "n2") <= exact_rows
+    if exact_rows:  # rows above the bound never reach the recurrence
+        d = materialize(d.withColumn("limit_p", limit), "ks-statistics")
+        d = d.filter(small).withColumn("p", _exact_p_column(F.col("n1"), F.col("n2"), F.col("d"))).unionByName(
+            d.filter(~small).withColumn("p", F.col("limit_p")))
+    p = F.col("p") if exact_rows else limit
     return d.select("column",
                     F.bround("d", 4).alias("ks_statistic"),
                     F.bround(p, 4).alias("p_value"),
@@ -67,22 +108,25 @@ def value_counts(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataFram
                                            F.sum(F.when(F.col("_s") == 2, F.col("v"))).alias("s2"))
 
 
-def ks_column(ref: DataFrame, cur: DataFrame, c: str, alpha: float = K.KS_ALPHA) -> DataFrame:
+def ks_column(ref: DataFrame, cur: DataFrame, c: str, alpha: float = K.KS_ALPHA, exact_rows: int = EXACT_ROWS) -> DataFrame:
     """One row: column, ks_statistic, p_value, drifted, reference_mean,
     current_mean (statistics rounded half-even 4/4/3; drift on unrounded p)."""
-    return data_drift(ref, cur, [c], alpha)
+    return data_drift(ref, cur, [c], alpha, exact_rows)
 
 
-def data_drift(ref: DataFrame, cur: DataFrame, columns: list[str], alpha: float = K.KS_ALPHA) -> DataFrame:
+def data_drift(ref: DataFrame, cur: DataFrame, columns: list[str], alpha: float = K.KS_ALPHA,
+               exact_rows: int = EXACT_ROWS) -> DataFrame:
     """KS report for every column (D13). The samples are read once; the
     per-value table is written once and every column's ECDF comes from one
-    grouped prefix sum over it."""
-    return _ks_from_counts(materialize(value_counts(ref, cur, columns), "ks-values"), alpha)
+    grouped prefix sum over it. p is exact for columns whose larger sample
+    has at most ``exact_rows`` rows; 0 takes the limit series for all."""
+    return _ks_from_counts(materialize(value_counts(ref, cur, columns), "ks-values"), alpha, exact_rows)
 
 
-def prediction_drift(ref: DataFrame, cur: DataFrame, score: str, alpha: float = K.KS_ALPHA) -> DataFrame:
+def prediction_drift(ref: DataFrame, cur: DataFrame, score: str, alpha: float = K.KS_ALPHA,
+                     exact_rows: int = EXACT_ROWS) -> DataFrame:
     """KS on two score samples plus mean risk per side."""
-    r = ks_column(ref, cur, score, alpha)
+    r = ks_column(ref, cur, score, alpha, exact_rows)
     return r.select("ks_statistic", "p_value", "drifted",
                     F.col("reference_mean").alias("reference_mean_risk"),
                     F.col("current_mean").alias("current_mean_risk"))
@@ -107,8 +151,8 @@ def period_summary(ref: DataFrame, cur: DataFrame, ts: str) -> DataFrame:
 
 
 def monitoring_job(sample: DataFrame, order: list[str], columns: list[str],
-                   share: float = K.DRIFT_REFERENCE_SHARE):
+                   share: float = K.DRIFT_REFERENCE_SHARE, exact_rows: int = EXACT_ROWS):
     """Ordered 70/30 split (E8), KS report (D13) and roll-up."""
     ref, cur, _ = ordered_split(sample, order, share)
-    report = data_drift(ref, cur, columns)
+    report = data_drift(ref, cur, columns, exact_rows=exact_rows)
     return ref, cur, report, drift_rollup(report)

@@ -12,16 +12,17 @@ Here a global order is Spark's own range-partitioned sort, written once:
 * ``global_row_number`` adds the number of rows in earlier tasks.
 * ``prefix_sums`` adds the sums of earlier tasks to a running sum inside the
   task; one row per task (and group) crosses tasks.
-* ``ordered_split`` finds the row at the cut by its number, over the key
-  columns only; the split itself is then a plain filter on the input.
+* ``ordered_split`` finds the row at the cut by selection, a few scans of the
+  key columns; the split itself is then a plain filter on the input.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rivet.session import materialize
 
@@ -81,14 +82,69 @@ def _equal_and_before(c: str, value, dtype: str) -> tuple[Column, Column]:
     return F.col(c).eqNullSafe(lit), F.coalesce(F.col(c) < lit, F.lit(False))
 
 
-def before_cut(df: DataFrame, order: list[str], k: int) -> Column:
-    """Predicate of the first ``k`` rows under ascending ``order``, nulls
-    last. ``order`` must be a unique composite key; 0 <= k < rows."""
+SAMPLE = 20_000  # keys that one round of the selection looks at
+FEW = 50_000  # rows that are sorted to end the selection
+
+
+def row_at(df: DataFrame, order: list[str], k: int, n: int, few: int = FEW, sample: int = SAMPLE) -> Row | None:
+    """Key at position ``k`` (0-based) of ``n`` rows under ascending
+    ``order``, nulls last, dates and timestamps as epoch microseconds.
+
+    Selection without a sort of the table: a round takes a hashed sample of
+    the keys inside the bracket, picks the two sample keys that enclose the
+    position with some room, counts the rows before each, and narrows the
+    bracket; once it holds ``few`` rows, those are sorted."""
+    types = dict(df.dtypes)
+
+    def exact(c: str) -> Column:
+        moment = types[c] == "date" or types[c].startswith("timestamp")
+        return F.unix_micros(F.col(c).cast("timestamp")) if moment else F.col(c)
+    # structs compare field by field; the null flags put nulls last
+    keys = df.select(F.struct(*[x for i, c in enumerate(order) for x in (
+        F.col(c).isNull().alias(f"null_{i}"), exact(c).alias(c))]).alias("key"))
+    kind = keys.schema["key"].dataType
+    bounds = T.StructType([T.StructField("low", kind), T.StructField("high", kind)])
+    low = high = None
+    below, size, tries, room = 0, n, 0, 4.0
+
+    def inside(low, high) -> DataFrame:
+        if low is None and high is None:
+            return keys
+        edge = df.sparkSession.createDataFrame([(low, high)], bounds)
+        held = keys.crossJoin(F.broadcast(edge))  # one row
+        if low is not None:
+            held = held.filter("key >= low")
+        return (held if high is None else held.filter("key <= high")).select("key")
+    while size > few and (low is None or low != high):
+        tries += 1
+        share = min(1.0, sample / size)
+        drawn = F.pmod(F.xxhash64("key", F.lit(tries)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+        seen = [r[0] for r in inside(low, high).filter(drawn).orderBy("key").collect()]  # about ``sample`` keys
+        if share == 1.0:  # the whole bracket
+            return seen[k - below]
+        if not seen:
+            continue
+        q = (k - below) / size
+        at, spread = q * len(seen), room * (len(seen) * q * (1 - q)) ** 0.5 + 2
+        a = seen[int(at - spread)] if at - spread >= 0 else low
+        b = seen[int(at + spread)] if at + spread < len(seen) else high
+        edge = df.sparkSession.createDataFrame([(a, b)], bounds)
+        before, upto = inside(low, high).crossJoin(F.broadcast(edge)).agg(
+            F.count_if(F.col("key") < F.col("low")), F.count_if(F.col("key") <= F.col("high"))).first()
+        before, upto = before if a is not None else 0, upto if b is not None else size
+        if before <= k - below < upto:
+            low, high, below, size, room = a, b, below + before, upto - before, 4.0
+        else:  # the sample misled: look again, with more room
+            room *= 2
+    row = inside(low, high).orderBy("key").offset(k - below).limit(1).first()
+    return None if row is None else row["key"]
+
+
+def before_cut(df: DataFrame, order: list[str], k: int, n: int) -> Column:
+    """Predicate of the first ``k`` of ``n`` rows under ascending ``order``,
+    nulls last. ``order`` must be a unique composite key; 0 <= k < n."""
     types = dict(df.dtypes)
-    exact = [F.unix_micros(F.col(c).cast("timestamp")).alias(c)
-             if types[c] == "date" or types[c].startswith("timestamp") else F.col(c) for c in order]
-    ranked = global_row_number(df.select(*order), [F.col(c).asc_nulls_last() for c in order])
-    row = ranked.filter(F.col("row_number") == k + 1).select(*exact).first()
+    row = row_at(df, order, k, n)
     if row is None:
         raise ValueError(f"no row at position {k} under {order}")
     pred = F.lit(False)
@@ -104,5 +160,5 @@ def ordered_split(df: DataFrame, order: list[str], share: float) -> tuple[DataFr
     row, with or without null keys, is on exactly one of them."""
     n = df.count()
     k = int(n * share)
-    pred = before_cut(df, order, k) if k < n else F.lit(True)
+    pred = before_cut(df, order, k, n) if k < n else F.lit(True)
     return df.filter(pred), df.filter(~pred), n

@@ -318,7 +318,16 @@ def q_temporal_split(spark, sf):
 def q_data_drift(spark, sf):
     """Two-sample KS per column with p-value and means."""
     ref, cur, _ = _drift_split(spark, sf)
-    return DR.data_drift(ref, cur, td.DRIFT_COLUMNS)
+    return DR.data_drift(ref, cur, td.DRIFT_COLUMNS, exact_rows=0)
+
+
+@query("drift_exact")
+def q_drift_exact(spark, sf):
+    """D13 on small samples: supplier balances of the first 70 % of keys
+    against the rest, p from the lattice paths."""
+    s = td.table(spark, sf, "supplier").select("s_suppkey", "s_acctbal", F.abs("s_acctbal").alias("size"))
+    ref, cur, _ = ordered_split(s, ["s_suppkey"], 0.7)
+    return DR.data_drift(ref, cur, ["s_acctbal", "size"], exact_rows=10_000)
 
 
 @query("prediction_drift")
@@ -326,14 +335,14 @@ def q_prediction_drift(spark, sf):
     """KS on scores of the first 70 % of events vs the rest."""
     s = _scored(spark, sf)
     ref, cur, _ = ordered_split(s, ["ts", "event_id"], 0.7)
-    return DR.prediction_drift(ref, cur, "score")
+    return DR.prediction_drift(ref, cur, "score", exact_rows=0)
 
 
 @query("drift_rollup")
 def q_drift_rollup(spark, sf):
     """Drifted columns of all and the advice."""
     ref, cur, _ = _drift_split(spark, sf)
-    return DR.drift_rollup(DR.data_drift(ref, cur, td.DRIFT_COLUMNS))
+    return DR.drift_rollup(DR.data_drift(ref, cur, td.DRIFT_COLUMNS, exact_rows=0))
 
 
 @query("period_summary")
@@ -346,12 +355,13 @@ def q_period_summary(spark, sf):
 @query("monitoring_job")
 def q_monitoring_job(spark, sf):
     """Split + KS report + roll-up in one table."""
-    _, _, report, roll = DR.monitoring_job(td.drift_sample(spark, sf), td.DRIFT_ORDER, td.DRIFT_COLUMNS)
+    _, _, report, roll = DR.monitoring_job(td.drift_sample(spark, sf), td.DRIFT_ORDER, td.DRIFT_COLUMNS, exact_rows=0)
     return report.crossJoin(roll.select("n_drifted", "n_columns"))
 
 
 # --- recommendations (K13) ----------------------------------------------------------
 from rivet.operators import recommend as RC  # noqa: E402
+from rivet.operators import vector_index as VI  # noqa: E402
 
 
 def _long(spark, sf):
@@ -455,6 +465,31 @@ def q_vector_top_k(spark, sf):
     return out.withColumn("score", r6("score"))
 
 
+VECTOR_LISTS, VECTOR_PROBES = 16, 8
+
+
+@query("vector_index_recall")
+def q_vector_index_recall(spark, sf):
+    """J9 by inverted lists: top-10 of the vectors whose id is divisible by
+    100 among all, against the exact top-10."""
+    v = td.embedding_vectors(spark, sf)
+    centres = VI.fit_centroids(v, "vec_id", lists=VECTOR_LISTS)
+    asked = v.filter(F.col("vec_id") % 100 == 0).withColumnRenamed("vec_id", "query_id")
+    found = VI.search(asked, VI.build_index(v, centres, "vec_id"), centres, 10, VECTOR_PROBES, "query_id")
+    exact = RC.vector_top_k(asked, v, 10, "query_id", "vec_id").withColumnRenamed("vec_id", "item")
+    return VI.recall(found, exact, "query_id").select("queries", (F.col("recall") >= 0.9).alias("recall_at_least_90_percent"))
+
+
+@query("vector_index_all_lists")
+def q_vector_index_all_lists(spark, sf):
+    """J9 by inverted lists with every list probed: the exact top-5."""
+    v = td.embedding_vectors(spark, sf)
+    centres = VI.fit_centroids(v, "vec_id", lists=VECTOR_LISTS)
+    asked = v.filter(F.col("vec_id") % 100 == 0).withColumnRenamed("vec_id", "query_id")
+    found = VI.search(asked, VI.build_index(v, centres, "vec_id", cell_rows=64), centres, 5, VECTOR_LISTS, "query_id")
+    return found.select("query_id", "rank", "item", r6("score").alias("score"))
+
+
 @query("recommendation_job")
 def q_recommendation_job(spark, sf):
     """Top-5 actions per mode beside its top-2 similar modes."""
@@ -690,13 +725,48 @@ def q_csv_roundtrip(spark, sf):
     return back.withColumn("timestamp", IO.parse_timestamp("timestamp"))
 
 
+@query("csv_bad_rows")
+def q_csv_bad_rows(spark, sf):
+    """A1: a CSV with broken lines (a column too few, a word for a number):
+    rows that parse, and the other lines as they are; none is lost."""
+    r = td.readings(spark, sf)
+    short = F.concat_ws(",", "asset_id", "reading_id")
+    word = F.concat_ws(",", "asset_id", F.concat(F.lit("r"), F.col("reading_id").cast("string")), "operating_mode")
+    line = F.when(F.col("reading_id") % 97 == 0, short).when(F.col("reading_id") % 89 == 0, word).otherwise(
+        F.concat_ws(",", "asset_id", "reading_id", "operating_mode"))
+    path = IO.scratch_path(spark, "readings-broken")
+    r.select(line.alias("value")).write.text(path)
+    good, bad = IO.read_csv_checked(spark, path, "asset_id bigint, reading_id bigint, operating_mode string", header=False)
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+
+
 @query("json_limits")
 def q_json_limits(spark, sf):
-    """A3 + A4: per-field limits written as JSON and read back with a schema."""
-    path = IO.scratch_path(spark, "limits-json")
-    IO.write_json(_limits(spark, sf), path)
-    return IO.read_json_lines(spark, path, "field_id string, pipeline_capacity_bpd double, "
-                                           "compressor_capacity_bpd double")
+    """A3 + A4: per-field limits written as JSON lines, then as one
+    pretty-printed JSON document per field, and read back with a schema."""
+    lines, objects = IO.scratch_path(spark, "limits-json"), IO.scratch_path(spark, "limits-objects")
+    schema = "field_id string, pipeline_capacity_bpd double, compressor_capacity_bpd double"
+    IO.write_json(_limits(spark, sf), lines)
+    IO.write_json_objects(IO.read_json_lines(spark, lines, schema), objects, "field_id")
+    return IO.read_json_object(spark, objects, schema).drop("document")
+
+
+@query("work_orders_sorted")
+def q_work_orders_sorted(spark, sf):
+    """F2 + K15: work orders written in order of date, each with its place in the files."""
+    path = IO.scratch_path(spark, "work-orders")
+    IO.write_sorted(q_work_orders(spark, sf).select("work_order_id", "work_order_date"), path, ["work_order_date", "work_order_id"])
+    return IO.read_in_file_order(spark, path)
+
+
+@query("snapshot_newest_file")
+def q_snapshot_newest_file(spark, sf):
+    """A5 + A6: of two runs the one written last is read back, though its name sorts first."""
+    cur = q_risk_scoring(spark, sf)
+    path = IO.scratch_path(spark, "risk-snapshots")
+    IO.write_snapshot(cur.withColumn("failure_risk_score", F.col("failure_risk_score") * 0.5), path, "20240102_000000")
+    IO.write_snapshot(cur, path, "20240101_000000")
+    return IO.newest_snapshot(spark, path)
 
 
 @query("snapshot_latest")

@@ -1,10 +1,12 @@
 """Isolation forest as a Spark job.
 
-Fit: a pool of about ``POOL`` rows is kept by a seeded hash (no ``rand()``,
-so a retried task keeps the same rows). Every tree draws its own
-``max_samples`` rows from the pool, those with the smallest hash of (row,
-tree), independently of the other trees; a hash bound set well above that
-number keeps all other (row, tree) pairs out of the shuffle.
+Fit: every tree draws its own ``max_samples`` rows from the whole table by
+seeded hashes (no ``rand()``, so a retried task draws the same rows). A row is
+a candidate of a tree with a probability set for somewhat more candidates than
+the tree needs; one hash gives the number of trees that a row is drawn for, by
+the binomial distribution, and a second one which trees. So almost all rows
+cost one hash, and only candidates are shuffled. Of its candidates a tree keeps
+those of smallest hash.
 ``groupBy(tree).applyInPandas`` grows the tree (random feature, uniform split
 between min and max, depth limit ceil(log2(max_samples))). The node table, at
 most ``n_trees * (2 * max_samples - 1)`` rows, is written once.
@@ -30,7 +32,6 @@ from rivet.session import materialize
 NODE_SCHEMA = ("tree_id int, node_id int, feature int, threshold double, "
                "left_child int, right_child int, size int")
 EULER_GAMMA = 0.5772156649015329
-POOL = 8192  # rows that the trees' samples are drawn from, at least where there are as many
 
 
 def avg_path(n):
@@ -69,6 +70,30 @@ def _grow(X: np.ndarray, rng: np.random.Generator, max_depth: int):
     return nodes
 
 
+def _draws_at_most(n_trees: int, p: float) -> list[float]:
+    """Probability that a row is drawn for at most 0, 1, ... trees."""
+    logs = [math.lgamma(n_trees + 1) - math.lgamma(k + 1) - math.lgamma(n_trees - k + 1)
+            + k * math.log(p) + (n_trees - k) * math.log1p(-p) for k in range(n_trees)]
+    return np.minimum(np.cumsum(np.exp(logs)), 1.0).tolist()
+
+
+def candidates(df: DataFrame, key: list[str], keep: list[str], n: int, m: int, n_trees: int, seed: int) -> DataFrame:
+    """(tree_id, _o, columns to keep): the rows drawn for each tree, about
+    2m + 64 of the ``n`` rows each, and their order in the tree."""
+    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
+    wanted = (2 * m + 64) / n
+    rows = df
+    if wanted < 1.0:
+        bounds = _draws_at_most(n_trees, wanted)
+        u = seeded_hash(*key, seed=seed) / F.lit(float(1 << 60))
+        more = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= u))
+        rows = df.withColumn("_n", F.when(u < bounds[0], 0).otherwise(more)).filter("_n > 0")
+        by_hash = F.array_sort(F.transform(trees, lambda t: F.struct(F.xxhash64(*key, t, F.lit(seed + 2)).alias("h"), t.alias("t"))))
+        trees = F.transform(F.slice(by_hash, 1, F.col("_n")), lambda x: x["t"])
+    return (rows.select(*key, *keep, trees.alias("_t")).withColumn("tree_id", F.explode("_t"))
+            .select("tree_id", seeded_hash(*key, "tree_id", seed=seed + 1).alias("_o"), *keep))
+
+
 def fit(df: DataFrame, cols: list[str], key: list[str], n_trees: int = 200, max_samples: int = 256,
         seed: int = 42) -> DataFrame:
     """Node table of the forest (one row per node)."""
@@ -76,20 +101,15 @@ def fit(df: DataFrame, cols: list[str], key: list[str], n_trees: int = 200, max_
     m = min(max_samples, n)
     if m == 0:
         raise ValueError("an isolation forest needs at least one row")
-    whole = 1 << 60  # range of seeded_hash
-    in_pool = seeded_hash(*key, seed=seed) < F.lit(min(whole - 1, whole * 2 * POOL // n))
-    pool = df.filter(in_pool).select(*key, *[F.col(c).cast("double").alias(c) for c in cols])
-    size = min(n, 2 * POOL)
-    draw = seeded_hash(*key, "tree_id", seed=seed + 1)
-    cand = (pool.withColumn("tree_id", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-            .withColumn("_o", draw).filter(F.col("_o") < F.lit(min(whole - 1, whole * (2 * m + 64) // size)))
-            .select("tree_id", "_o", *cols))
+    renamed = [f"_x{i}" for i in range(len(cols))]
+    rows = df.select(*key, *[F.col(c).cast("double").alias(x) for c, x in zip(cols, renamed, strict=True)])
+    cand = candidates(rows, key, renamed, n, m, n_trees, seed)
     max_depth = int(math.ceil(math.log2(max(m, 2))))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree_id"].iloc[0])
         pdf = pdf.sort_values("_o", kind="mergesort").head(m)
-        X = pdf[cols].to_numpy(dtype=float)
+        X = pdf[renamed].to_numpy(dtype=float)
         rng = np.random.default_rng(seed * 100003 + t)
         nodes = _grow(X, rng, max_depth)
         a = np.asarray(nodes, dtype=float)

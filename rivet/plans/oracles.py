@@ -366,6 +366,21 @@ SELECT round_even(d, 4) AS ks_statistic, round_even(p, 4) AS p_value, p < 0.05 A
        round_even(m1, 3) AS reference_mean_risk, round_even(m2, 3) AS current_mean_risk
 FROM pv JOIN mu ON pv.col = mu.col"""
 
+ORACLES["drift_exact"] = f"""WITH RECURSIVE o AS (SELECT s_acctbal, abs(s_acctbal) AS size,
+       CASE WHEN row_number() OVER (ORDER BY s_suppkey) <= floor(0.7 * count(*) OVER ()) THEN 1 ELSE 2 END AS side FROM supplier),
+lg AS (UNPIVOT o ON s_acctbal, size INTO NAME col VALUE v),{_ks_sql("lg")},
+lat AS (SELECT col, 0::BIGINT AS s, 0::BIGINT AS i, CASE WHEN round(d * n1 * n2) <= 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS v FROM d
+        UNION ALL
+        SELECT col, s, i, CASE WHEN abs(i * n2 - (s - i) * n1) >= round(d * n1 * n2) THEN 1.0::DOUBLE ELSE v END
+        FROM (SELECT lat.col, lat.s + 1 AS s, lat.i + step AS i, d.d, n1, n2,
+                     sum(lat.v * CASE step WHEN 1 THEN lat.i + 1 ELSE lat.s + 1 - lat.i END / (lat.s + 1)) AS v
+              FROM lat JOIN d ON d.col = lat.col, (VALUES (0), (1)) t(step)
+              WHERE lat.i + step <= n1 AND lat.s + 1 - lat.i - step <= n2
+              GROUP BY ALL))
+SELECT d.col AS "column", round_even(d, 4) AS ks_statistic, round_even(v, 4) AS p_value, v < 0.05 AS drifted,
+       round_even(m1, 3) AS reference_mean, round_even(m2, 3) AS current_mean
+FROM d JOIN mu ON d.col = mu.col JOIN lat ON lat.col = d.col AND lat.s = n1 + n2"""
+
 _DRIFT_REPORT = f"""{SPLIT},
 w AS (SELECT CASE WHEN period = 'reference' THEN 1 ELSE 2 END AS side,
              l_quantity, l_extendedprice, l_discount, l_tax FROM sp),
@@ -529,6 +544,17 @@ SELECT label, CAST(row_number() OVER (PARTITION BY label ORDER BY score DESC, ve
        vec_id, (round(score * (1.0 + 1e-12), 6) + 0.0) AS score
 FROM sc QUALIFY rank <= 5"""
 
+ORACLES["vector_index_all_lists"] = """
+WITH v AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS pos FROM embeddings),
+n AS (SELECT vec_id, sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) AS n FROM v GROUP BY 1),
+dot AS (SELECT q.vec_id AS query_id, v.vec_id AS item, sum(CAST(q.x AS DOUBLE) * CAST(v.x AS DOUBLE)) AS d
+        FROM v q JOIN v ON q.pos = v.pos WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+sc AS (SELECT query_id, item, CASE WHEN a.n > 0 AND b.n > 0 THEN d / (a.n * b.n) ELSE 0.0 END AS score
+       FROM dot JOIN n a ON a.vec_id = query_id JOIN n b ON b.vec_id = item)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, item) AS INTEGER) AS rank,
+       item, (round(score * (1.0 + 1e-12), 6) + 0.0) AS score
+FROM sc QUALIFY rank <= 5"""
+
 ORACLES["recommendation_job"] = f"""WITH {LONG},{TOP},{SIM},{_sim_top(2)}
 SELECT top.failure_mode, top.rank, top.action, top.association_strength, simk.similar_mode, simk.similarity
 FROM top LEFT JOIN simk ON simk.failure_mode = top.failure_mode AND simk.rank = top.rank"""
@@ -758,6 +784,17 @@ FROM part GROUP BY 1"""
 
 ORACLES["snapshot_latest"] = ORACLES["risk_scoring"]
 
+ORACLES["snapshot_newest_file"] = ORACLES["risk_scoring"]
+
+ORACLES["work_orders_sorted"] = f"""SELECT work_order_id, work_order_date,
+       row_number() OVER (ORDER BY work_order_date, work_order_id) AS place FROM ({ORACLES["work_orders"]})"""
+
+ORACLES["csv_bad_rows"] = f"""WITH {READINGS},
+c AS (SELECT *, CASE WHEN reading_id % 97 = 0 THEN asset_id || ',' || reading_id
+                     WHEN reading_id % 89 = 0 THEN asset_id || ',r' || reading_id || ',' || operating_mode END AS line FROM r)
+SELECT CASE WHEN line IS NULL THEN asset_id END AS asset_id, CASE WHEN line IS NULL THEN reading_id END AS reading_id,
+       CASE WHEN line IS NULL THEN operating_mode END AS operating_mode, line FROM c"""
+
 
 ORACLES["validation_quarantine"] = f"""{_VIOL},
 bad AS (SELECT DISTINCT reading_id FROM v)

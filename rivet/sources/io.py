@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rivet.session import ensure_checkpoint_dir
+from rivet.session import ensure_checkpoint_dir, materialize
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
@@ -32,6 +32,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> Data
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: str, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows that parse, lines that don't) of a CSV (A1): no line is lost. A
+    line with a missing or surplus column or a value of another type is
+    returned as it is, in column ``line``."""
+    rows = spark.read.schema(f"{schema}, line string").options(
+        header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="line").csv(path)
+    rows = materialize(rows, "csv-rows")  # parsed once, with all columns
+    return rows.filter("line is null").drop("line"), rows.filter("line is not null").select("line")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV sink, overwrite, header, no index (A2)."""
     df.write.mode("overwrite").option("header", True).csv(path)
@@ -47,6 +57,13 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str)
     return spark.read.schema(schema).json(path)
 
 
+def write_json_objects(df: DataFrame, path: str, key: str) -> None:
+    """One pretty-printed JSON document per value of ``key``, which must be
+    unique, each in a folder of its own."""
+    whole = F.to_json(F.struct(*df.columns), {"pretty": "true"})
+    df.select(F.col(key).alias("document"), whole.alias("value")).write.mode("overwrite").partitionBy("document").text(path)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """JSON lines sink; nested structs and arrays are kept (A4)."""
     df.write.mode("overwrite").json(path)
@@ -66,6 +83,32 @@ def write_snapshot(df: DataFrame, path: str, run_ts: str) -> None:
     df.withColumn("run_ts", F.lit(run_ts)).write.mode("append").partitionBy("run_ts").parquet(path)
 
 
+def newest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The run whose files were written last (A6), whatever its name: the
+    greatest file time, read from the files' metadata without their columns."""
+    files = spark.read.parquet(path).select("run_ts", F.col("_metadata.file_modification_time").alias("at"))
+    newest = files.agg(F.max(F.struct("at", "run_ts")).alias("m")).first()["m"]
+    if newest is None:
+        raise LookupError(f"no run under {path}")
+    return spark.read.parquet(path).filter(F.col("run_ts") == F.lit(newest["run_ts"])).drop("run_ts")
+
+
+def write_sorted(df: DataFrame, path: str, order: list[str]) -> None:
+    """Parquet sink in order (F2): each file is sorted and the files follow
+    each other by name; a range-partitioned sort, not one task."""
+    df.orderBy(*order).write.mode("overwrite").parquet(path)
+
+
+def read_in_file_order(spark: SparkSession, path: str, out: str = "place") -> DataFrame:
+    """Rows with their 1-based place in the written order."""
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))  # one row per file
+    offsets = counts.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (rows.join(F.broadcast(offsets), "_file").withColumn(out, F.col("_before") + F.col("_row") + 1)
+            .drop("_file", "_row", "_before"))
+
+
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The newest run (A6): the greatest ``run_ts`` folder name, listed from
     the path's file system without reading data, then a literal filter that
