@@ -29,8 +29,13 @@ DIRECT = (K.METHOD_DIRECT, K.CONFIDENCE_DIRECT)
 def shared(long: DataFrame) -> DataFrame:
     """Write the distinct (mode, action, cnt) table for operators that read it
     several times, so the raw action log is scanned and aggregated once. Its
-    size is bounded by distinct pairs, not by the log."""
-    return materialize(long, "cooccurrence")
+    size is bounded by distinct pairs, not by the log. A table that was
+    written here is passed on as it is, so a job writes it once."""
+    if getattr(long, "_rivet_shared", False):
+        return long
+    out = materialize(long, "cooccurrence")
+    out._rivet_shared = True
+    return out
 
 
 NO_DATA = (K.METHOD_NO_DATA, K.CONFIDENCE_NONE)

@@ -934,6 +934,35 @@ def q_als_recommendations(spark, sf):
     return _r6all(RC.precision_at_k(top, long, 5))
 
 
+from rivet.plans import two_tower as TT  # noqa: E402
+
+
+@query("two_tower_pairs")
+def q_two_tower_pairs(spark, sf):
+    """J6 + J7: what the embeddings learn from, positives and hashed negatives."""
+    return TT.training_pairs(_long(spark, sf)).groupBy("failure_mode", "label").agg(
+        F.count("*").alias("pairs"), F.min("action").alias("first_action"), F.max("action").alias("last_action"))
+
+
+@query("two_tower_recommendations")
+def q_two_tower_recommendations(spark, sf):
+    """J6 + J9: embeddings from sampled negatives, cosine top-5 actions per mode."""
+    modes, actions = TT.two_tower_embeddings(_long(spark, sf))
+    return RC.vector_top_k(modes, actions, 5, "failure_mode", "action").withColumn("score", r6("score"))
+
+
+@query("two_tower_precision")
+def q_two_tower_precision(spark, sf):
+    """J6 + D15: Precision@5 of the embeddings beside that of random actions,
+    the share of (mode, action) cells that are positives."""
+    long = _long(spark, sf)
+    modes, actions = TT.two_tower_embeddings(long)
+    p = RC.precision_at_k(RC.vector_top_k(modes, actions, 5, "failure_mode", "action"), long, 5)
+    chance = long.agg((F.count_distinct("failure_mode", "action") / F.count_distinct("failure_mode")
+                       / F.count_distinct("action")).alias("by_chance"))
+    return _r6all(p.crossJoin(F.broadcast(chance)))  # one row each
+
+
 # --- isolation forest (J4, K16) ----------------------------------------------------------
 from rivet.plans import iforest as IF  # noqa: E402
 

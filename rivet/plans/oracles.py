@@ -524,6 +524,12 @@ SELECT mi.failure_mode, ai.action
 FROM dr JOIN mi ON mi.i = dr.m JOIN ai ON ai.i = dr.a
 WHERE NOT EXISTS (SELECT 1 FROM pos WHERE pos.failure_mode = mi.failure_mode AND pos.action = ai.action)"""
 
+ORACLES["two_tower_pairs"] = f"""WITH {LONG},
+pairs AS (SELECT DISTINCT failure_mode, action, 1 AS label FROM lg
+          UNION ALL SELECT failure_mode, action, 0 FROM ({ORACLES["negative_pairs"]}))
+SELECT failure_mode, label, count(*) AS pairs, min(action) AS first_action, max(action) AS last_action
+FROM pairs GROUP BY 1, 2"""
+
 ORACLES["precision_at_k"] = f"""WITH {LONG},{TOP},
 act AS (SELECT DISTINCT failure_mode, action FROM lg),
 hits AS (SELECT t.failure_mode, count(*) AS hits FROM top t JOIN act a USING (failure_mode, action) GROUP BY 1),
