@@ -20,8 +20,9 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -34,7 +35,8 @@ BLOCKS = frozenset("""address article aside blockquote body button caption cente
 fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu
 nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg".split())
+RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+NOT_TEXT = frozenset("noscript template svg".split())
 #: an element that starts closes an open one of these kinds, up to the limit given
 CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}),
           "tr": ("tr caption colgroup", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}),
@@ -45,12 +47,13 @@ CLOSES = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("d
 P_CLOSERS = BLOCKS - {"html", "head", "body", "title", "button", "caption", "td", "th", "tr", "tbody", "thead", "tfoot",
                       "option", "optgroup", "legend", "select"}
 
-TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"""
-    r"""|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S)
+_OTHER = r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"""
+TOKEN = re.compile(_OTHER + r"""|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+|[^>]*)>""", re.S)
+TAIL = re.compile(_OTHER + "|(?!)()()", re.S)  # behind the last >, where no start tag ends
 NAMES = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?""")
 MAY_HIDE = re.compile("hidden|none", re.I)
+MAY_LACK_TEXT = re.compile("</(?:noscript|template|svg)", re.I)
 NOT_SHOWN = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 WORD = re.compile("[a-z]+")
 
@@ -77,28 +80,93 @@ def hides(given: str) -> bool:
     return False
 
 
+def tokens(page: str) -> Iterator[tuple[int, re.Match | None]]:
+    """(place of the text in front, tag or comment) in page order, and None
+    with the text that is left. The content of raw-text elements is skipped;
+    a slash ends such a start tag at once inside ``svg``, or where no end tag
+    follows."""
+    at, last, svg = 0, page.rfind(">") + 1, 0
+    missing: set[str] = set()  # raw-text elements without a further end tag
+    while at < len(page):
+        m = TOKEN.search(page, at, last) if at < last else None
+        if m is None or m.end() == last and not m[1] and not m[2]:  # a comment may go on behind the last >
+            m = TAIL.search(page, m.start() if m else at)
+        if m is None:
+            break
+        yield at, m
+        at = m.end()
+        tag, empty = (m[1] or m[2] or "").lower(), (m[3] or "").endswith("/")
+        if tag == "svg":
+            svg = max(svg - 1, 0) if m[1] else svg + (not empty)
+        elif m[2] and tag in RAW and not (empty and svg):
+            end = None if tag in missing else re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            else:
+                missing.add(tag)
+                at = at if empty else len(page)
+    if at < len(page):
+        yield at, None
+
+
+def without_text(page: str) -> dict[int, int]:
+    """Start -> end of the elements of ``NOT_TEXT`` that have an end tag, each
+    end tag going with the last open start tag of its kind. A start tag that
+    is never closed hides nothing."""
+    open_: dict[str, list[int]] = defaultdict(list)
+    ends = {}
+    if MAY_LACK_TEXT.search(page):
+        for _, m in tokens(page):
+            tag = (m[1] or m[2] or "").lower() if m else ""
+            if tag not in NOT_TEXT:
+                continue
+            if m[1] and open_[tag]:
+                ends[open_[tag].pop()] = m.end()
+            elif m[2] and not (tag == "svg" and (m[3] or "").endswith("/")):
+                open_[tag].append(m.start())
+    return ends
+
+
 def parse(page: str) -> list[Node]:
     """Nodes in page order, parents first; inline markup dissolves into text.
 
     Unclosed and misnested elements, hidden ones too, end where the standard
     ends them: a block start ends an open paragraph, an end tag ends what is
     open inside it, and an end tag without a start is ignored. Raw-text
-    elements, comments and hidden elements have no text.
+    elements, comments, hidden elements and closed ``svg``, ``noscript`` and
+    ``template`` have no text. The time is linear in the page: the open
+    elements of each tag, and the open blocks, are kept by their places.
     """
     nodes = [Node(-1, "root")]
     open_: list[tuple[str, int, bool]] = [("root", 0, False)]  # (tag, node, hidden); inline ones have their block's node
-    links = concealed = 0  # open links and hidden elements
-    at, block = 0, None  # block: the text block being filled
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements of a tag
+    blocks: list[int] = [0]  # places of the open blocks
+    links = concealed = skipped = 0  # open links, open hidden elements, end of the last element without text
+    block = None  # the text block being filled
+    ends = without_text(page)
 
     def end(n: int) -> None:
         nonlocal links, concealed, block
         while len(open_) > n:
             tag, _, hidden = open_.pop()
+            places[tag].pop()
             links -= tag == "a"
             concealed -= hidden
             if tag in BLOCKS:
+                blocks.pop()
                 block = None
 
+    def start(tag: str, node: int, hidden: bool) -> None:
+        nonlocal links
+        places[tag].append(len(open_))
+        if tag in BLOCKS:
+            blocks.append(len(open_))
+        links += tag == "a"
+        open_.append((tag, node, hidden))
+
+    def innermost(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
     def add(text: str) -> None:
         nonlocal block
         if not text or concealed:
@@ -111,50 +179,42 @@ def parse(page: str) -> list[Node]:
         if links:
             block.linked += len(text)
 
-    while at < len(page):
-        m = TOKEN.search(page, at)
-        add(page[at:m.start() if m else len(page)])
+    for at, m in tokens(page):
+        add(page[max(at, skipped):m.start() if m else len(page)])
         if not m:
             break
-        at = m.end()
+        if m.start() < skipped:
+            continue
         if m[1]:
             tag = m[1].lower()
             if tag == "br":
                 add(" ")
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i][0] == tag:
-                    end(i)
-                    break
-                if tag not in BLOCKS and tag != "object" and open_[i][0] in BLOCKS:
-                    break  # an inline end tag does not reach out of its block
+            i = innermost((tag,))
+            # an inline end tag does not reach out of its block
+            if i and (tag in BLOCKS or tag == "object" or i > blocks[-1]):
+                end(i)
             continue
         if not m[2]:
             continue
         tag, given = m[2].lower(), m[3] or ""
+        if tag in NOT_TEXT:
+            skipped = ends.get(m.start(), skipped)
+            continue
         hidden = tag not in VOID and not given.endswith("/") and hides(given)
         if tag in RAW:
-            at = _end_of(page, at, tag)
             if tag in BLOCKS or hidden:
                 block = None
             continue
-        if tag in P_CLOSERS:
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i][0] == "p":
-                    end(i)
-                    break
-                if open_[i][0] in BLOCKS:
-                    break
+        if tag in P_CLOSERS and open_[blocks[-1]][0] == "p":
+            end(blocks[-1])
         if tag in CLOSES:
             kinds, limit = CLOSES[tag]
-            outer = len(open_)  # an option is closed with its group
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i][0] in kinds.split():
-                    outer = i
-                    if tag != "optgroup":
-                        break
-                if open_[i][0] in limit:
-                    break
-            end(outer)
+            outer = innermost(limit)
+            if tag == "optgroup":  # an option is closed with its group
+                inside = [p[i] for k in kinds.split() if (i := bisect_right(p := places[k], outer)) < len(p)]
+                end(min(inside, default=len(open_)))
+            elif (i := innermost(kinds.split())) > outer:
+                end(i)
         if tag in VOID:
             if tag in BLOCKS:
                 block = None
@@ -162,28 +222,17 @@ def parse(page: str) -> list[Node]:
                 add(" ")
             continue
         concealed += hidden
-        if concealed:
-            if tag in BLOCKS or hidden:
-                block = None
-            links += tag == "a"
-            open_.append((tag, open_[-1][1], hidden))
-        elif tag in BLOCKS:
+        if tag in BLOCKS or hidden:
             block = None
+        if tag in BLOCKS and not concealed:
             names = tuple(sorted({w for n in NAMES.findall(given) for w in WORD.findall(n.lower())}))
             nodes.append(Node(open_[-1][1], tag, names))
-            open_.append((tag, len(nodes) - 1, False))
+            start(tag, len(nodes) - 1, False)
         else:
-            links += tag == "a"
-            open_.append((tag, open_[-1][1], False))
+            start(tag, open_[-1][1], hidden)
     return nodes
 
 
-def _end_of(page: str, at: int, tag: str) -> int:
-    """The place after the end tag of a raw element whose content starts at ``at``."""
-    m = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-    return m.end() if m else len(page)
-
-
 def block_text(node: Node) -> str:
     """Character references decoded, white space as one space, trimmed."""
     return " ".join(html.unescape("".join(node.text)).split())

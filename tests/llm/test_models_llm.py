@@ -174,3 +174,78 @@ def test_html_very_deep_and_long():
     assert isinstance(main_text(deep, model), str)
     long = "<article>" + "".join(f"<p>para number {i} with words</p>" for i in range(5000)) + "</article>"
     assert main_text(long, model).count("\n\n") == 4999
+
+
+def test_html_svg_noscript_and_template_end_where_they_end():
+    article = "<article><p>One <b>short</b> line of text.</p></article>"
+    for front in ('<svg class="i"/>', "<noscript>", "<template>", "<svg>", "<svg><title/><path d='M0'/></svg>",
+                  "<noscript><img src=x></noscript>", "<div><noscript><img src=x></div>", "<title/>",
+                  "<svg><text>drawn</text></svg>", "<template><template>in</template>out</template>",
+                  "<noscript><p>never closed</noscript><svg viewBox='0 0 1 1'/>"):
+        text = [block_text(n) for n in parse(front + article) if not n.tag]
+        assert text == ["One short line of text."], front
+    page = "<noscript>" + article + "<noscript>off</noscript><template>t</template>"
+    assert [block_text(n) for n in parse(page) if not n.tag] == ["One short line of text."]
+    # an element without text does not part the block around it
+    assert texts_of("<p>a <svg><p>x</p></svg> b<noscript><div>y</div></noscript> c</p>") == ["a b c"]
+
+
+def test_html_open_inline_elements_take_linear_time():
+    import time
+
+    n = 100_000
+    pages = {"<b>" * n + "</i>" * n + "<p>end</p>": 1, "<font><b>" * n + "<p>x</p>" * n: n, "<p>x</p>" + "<b " * n: 2,
+             "<dl>" + "<dd>x<i>" * n: n, "<noscript>" * n + "</noscript>" * n + "x": 1, "<svg>" * n + "x": 1}
+    for page, texts in pages.items():
+        began = time.process_time()
+        assert sum(not node.tag for node in parse(page)) == texts
+        assert time.process_time() - began < 30, page[:20]
+
+
+# Page styles that the templates do not have: (html, main text by hand)
+STYLES = {
+    "table layout": (
+        """<html><body bgcolor=white><table width=100%><tr><td colspan=2 class=masthead><a href=/>The Valley Herald</a></td></tr>
+        <tr><td class=leftnav><a href=/n>News</a><br><a href=/s>Sports</a><br><a href=/w>Weather</a></td><td class=story>
+        <h2>River level falls after a dry spring</h2><p>The river fell to its lowest level in a decade this week, the water board said on
+        Tuesday, and farmers along the lower valley were asked to irrigate at night only.<p>Rain is expected by the weekend, but
+        forecasters do not think that it will be enough to refill the two reservoirs above the town.</td></tr>
+        <tr><td colspan=2 class=footer>Copyright 2003 The Valley Herald. All rights reserved.</td></tr></table></body></html>""",
+        ["River level falls after a dry spring",
+         "The river fell to its lowest level in a decade this week, the water board said on Tuesday, and farmers along the lower "
+         "valley were asked to irrigate at night only.",
+         "Rain is expected by the weekend, but forecasters do not think that it will be enough to refill the two reservoirs above "
+         "the town."]),
+    "utility classes": (
+        """<!doctype html><html><body class="antialiased"><div class="flex items-center" role="banner"><svg class="w-4"/><a href="/">Acme</a>
+        <nav class="flex gap-2"><a href="/p">Pricing</a><a href="/d">Docs</a></nav></div><main class="mx-auto max-w-2xl">
+        <article class="prose"><h1 class="text-3xl">How we cut build times in half</h1><p class="mt-4">Our builds used to take forty minutes on
+        a good day, and nobody on the team could say where all of that time was going.</p><h2>Measure first</h2><p class="mt-4">We wrapped every
+        step in a timer, and <a href="/t">found</a> that most of the time went into copying the same files over and over.</p>
+        <aside class="rounded"><p>Try Acme free for thirty days.</p></aside></article></main><footer class="border-t"><p>&copy; Acme Inc</p>
+        </footer></body></html>""",
+        ["How we cut build times in half",
+         "Our builds used to take forty minutes on a good day, and nobody on the team could say where all of that time was going.",
+         "Measure first",
+         "We wrapped every step in a timer, and found that most of the time went into copying the same files over and over."]),
+    "bare blog": (
+        """<html><head><title>my notes</title></head><body><div id="header"><a href="/">my notes</a></div><div id="post">
+        <h1>Baking bread without a scale</h1><div class="body"><p>You do not need a scale to bake good bread; a cup and some patience will
+        do, and after a few loaves your hands will know the dough.</p><blockquote>Bread is slow, and that is the point.</blockquote>
+        <ol><li>Mix flour, water and salt in a large bowl.</li><li>Let it rest overnight in a cool place.</li></ol></div></div>
+        <div id="comments"><h3>2 comments</h3><p>Great recipe, it worked for me at the first attempt and my family loved it!</p></div>
+        <div id="footer">powered by hand</div></body></html>""",
+        ["Baking bread without a scale",
+         "You do not need a scale to bake good bread; a cup and some patience will do, and after a few loaves your hands will know "
+         "the dough.", "Bread is slow, and that is the point.", "Mix flour, water and salt in a large bowl.",
+         "Let it rest overnight in a cool place."]),
+}
+
+
+def test_html_styles_outside_the_templates():
+    """No sentence of the article is lost; of the rest, little is kept."""
+    model = train(labelled_pages())
+    for style, (page, want) in STYLES.items():
+        got = main_text(page, model).split("\n\n")
+        assert [t for t in got if t in want] == want, (style, got)
+        assert len(got) <= len(want) + 1, (style, got)
