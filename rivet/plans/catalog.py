@@ -902,14 +902,15 @@ def _rul_runs(spark, sf):
         flat, cols = MD.flatten_sequences(seq, len(td.TESTDATA_SENSORS), TD_SEQ_LEN)
         flat = materialize(flat, "rul-sequences")
         train, test = PR.split_rows(flat, PR.asset_split(flat, rule="floor1"))
-        models, metrics = MD.compare_regressors(train, test, cols, "target")
+        models, metrics = MD.compare_regressors(train, test, cols, "target", n_sensors=len(td.TESTDATA_SENSORS))
         MD.register(spark, path, "remaining-life", models, metrics, "rmse", maximize=False)
     return path
 
 
 @query("rul_model_comparison")
 def q_rul_model_comparison(spark, sf):
-    """J5 + D11: tree regressors on flattened 20-step sequences, asset split."""
+    """J5 + D11: two tree regressors and a sequence model (random kernels and
+    ridge) on 20-step sequences, asset split."""
     return _r6all(_run_metrics(spark, _rul_runs(spark, sf), ("rmse", "mae", "mape")).drop("version"))
 
 
@@ -917,7 +918,7 @@ def q_rul_model_comparison(spark, sf):
 def q_rul_model_scoring(spark, sf):
     """K10 with the regressor of least RMSE, loaded by name and stage: the
     latest sequence of every asset, predicted hours and urgency rank."""
-    model = IO.load_model(spark, _rul_runs(spark, sf), "remaining-life", "Staging")
+    model = MD.load_regressor(spark, _rul_runs(spark, sf), "remaining-life", "Staging")
     seq = FT.latest_sequences(td.readings(spark, sf), td.TESTDATA_SENSORS, length=TD_SEQ_LEN)
     flat, cols = MD.flatten_sequences(seq, len(td.TESTDATA_SENSORS), TD_SEQ_LEN)
     pred = model.transform(MD.assemble(flat, cols)).select(

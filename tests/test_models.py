@@ -66,35 +66,40 @@ def _labelled(spark, n=400):
                                  "id long, label int, a double, b double")
 
 
-def test_compare_register_promote_and_load(spark):
+def test_log_promote_and_load_classifiers(spark):
+    from rivet.operators import metrics as M
     from rivet.plans import models as MD
     from rivet.sources import io as IO
     df = _labelled(spark)
     train, test = df.filter("id < 300"), df.filter("id >= 300")
     specs = [MD.ModelSpec("stump", "rf", {"numTrees": 1, "maxDepth": 1, "seed": 1}),
              MD.ModelSpec("forest", "rf", {"numTrees": 10, "maxDepth": 6, "seed": 1}),
-             MD.ModelSpec("boosted", "gbt", {"maxIter": 5, "maxDepth": 3, "seed": 1}, "pos_ratio")]
-    models, metrics = MD.compare_classifiers(train, test, ["a", "b"], "label", specs)
-    got = {r["model"]: r for r in metrics.collect()}
-    assert list(models) == ["stump", "forest", "boosted"] and set(got) == set(models)
-    from rivet.operators import metrics as M
-    for name, m in models.items():  # the grouped pass agrees with one model at a time
-        one = M.binary_metrics(MD.positive_probability(m, test, ["a", "b"]), "label", "pred", "score").first()
-        for c in ("precision", "recall", "f1", "roc_auc"):
-            assert abs(one[c] - got[name][c]) < 1e-12
+             MD.ModelSpec("boosted", "boosted", {"rounds": 5, "depth": 3, "rate": 0.3}, "pos_ratio")]
     runs = scratch_path(spark, "runs")
     assert IO.read_runs(spark, runs) is None
-    MD.register(spark, runs, "risk", models, metrics, "f1", maximize=True)
+    MD.log_classifiers(spark, runs, "risk", specs, train, test, ["a", "b"], "label", "id")
+    logged = {r["version"]: r for r in IO.read_runs(spark, runs).collect()}
+    assert [logged[v]["params"]["model"] for v in (1, 2, 3)] == [s.name for s in specs]
+    models = {}
+    for r in logged.values():  # the grouped pass agrees with one model at a time, loaded from its artifact
+        models[r["params"]["model"]] = m = MD.load_classifier(spark, r["path"], r["params"]["kind"])
+        scored = MD.positive_probability(m, test, ["a", "b"])
+        one = M.binary_metrics(scored, "label", "pred", "score").first()
+        for c in ("precision", "recall", "f1", "roc_auc"):
+            assert abs(one[c] - r["metrics"][c]) < 1e-12
+        written = spark.read.parquet(r["params"]["scores"]).select("id", "label", "pred", "score")
+        assert sorted(map(tuple, written.collect())) == sorted(map(tuple, scored.select("id", "label", "pred", "score").collect()))
+    IO.promote(spark, runs, "risk", "f1")
     table = {r["version"]: r for r in IO.read_runs(spark, runs).collect()}
-    assert [table[v]["params"]["model"] for v in (1, 2, 3)] == list(models)
     staged = [r for r in table.values() if r["stage"] == "Staging"]
     assert len(staged) == 1 and staged[0]["metrics"]["f1"] == max(r["metrics"]["f1"] for r in table.values())
-    loaded = IO.load_model(spark, runs, "risk", "Staging")
+    run = IO.staged(spark, runs, "risk", "Staging")
+    loaded = MD.load_classifier(spark, run["path"], run["params"]["kind"])
     a, b = (sorted(map(tuple, MD.positive_probability(m, test, ["a", "b"]).select("id", "score").collect()))
-            for m in (loaded, models[staged[0]["params"]["model"]]))
+            for m in (loaded, models[run["params"]["model"]]))
     assert a == b
     try:
-        IO.load_model(spark, runs, "risk", "Production")
+        IO.staged(spark, runs, "risk", "Production")
         raise AssertionError("no run is in Production")
     except LookupError:
         pass
