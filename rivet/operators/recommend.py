@@ -6,8 +6,8 @@ is combined before the shuffle); everything else works on that distinct
 table. The matrix form is produced only for output.
 
 Cosine similarity between modes is the sparse product M M^T: a self-join
-of the distinct (mode, action) table on ``action``. The join multiplies
-distinct modes per action (a dimension size), never raw rows.
+of the distinct (mode, action) table on ``action``, never of raw rows. Its
+top k is found without all pairs of a hot action (``similarity``).
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from rivet import constants as K
 from rivet.functions.exprs import normalise_key
 from rivet.operators.rank import global_row_number
+from rivet.operators.similarity import HOT_MODES, cosines, nearest_candidates, pair_dots
 from rivet.operators.windows import top_k_per_group
 from rivet.session import materialize
 
@@ -79,30 +80,18 @@ def top_actions(long: DataFrame, k: int = 5) -> DataFrame:
     return t.select("failure_mode", "rank", "action", F.col("cnt").alias("association_strength"))
 
 
-def _norms(long: DataFrame) -> DataFrame:
-    return long.groupBy("failure_mode").agg(F.sqrt(F.sum(F.col("cnt") * F.col("cnt"))).alias("norm"))
-
-
 def mode_similarity(long: DataFrame) -> DataFrame:
     """Cosine similarity for every pair of modes sharing an action."""
-    a = long.select(F.col("failure_mode").alias("m1"), "action", F.col("cnt").alias("c1"))
-    b = long.select(F.col("failure_mode").alias("m2"), "action", F.col("cnt").alias("c2"))
-    dots = (a.join(b, "action").filter(F.col("m1") != F.col("m2"))
-             .groupBy("m1", "m2").agg(F.sum(F.col("c1") * F.col("c2")).alias("dot")))
-    n = _norms(long)
-    n1 = n.select(F.col("failure_mode").alias("m1"), F.col("norm").alias("n1"))
-    n2 = n.select(F.col("failure_mode").alias("m2"), F.col("norm").alias("n2"))
-    return (dots.join(n1, "m1").join(n2, "m2")
-                .select(F.col("m1").alias("failure_mode"), F.col("m2").alias("similar_mode"),
-                        (F.col("dot") / (F.col("n1") * F.col("n2"))).alias("similarity")))
-
-
-def similar_modes(long: DataFrame, k: int = 3) -> DataFrame:
+    return cosines(pair_dots(long), long)
+
+
+def similar_modes(long: DataFrame, k: int = 3, hot: int = HOT_MODES) -> DataFrame:
     """Top-k most similar other modes, similarity rounded half-even to 3
     digits; modes with no shared action count as 0 and fill the list in
-    name order (J8, C12, G3)."""
+    name order (J8, C12, G3). An action of more than ``hot`` modes does not
+    bring all its modes together (``similarity.nearest_candidates``)."""
     long = shared(long)
-    sims = mode_similarity(long)
+    sims = materialize(nearest_candidates(long, k, hot), "similar-candidates")
     modes = long.select("failure_mode").distinct()
     # zero-similarity candidates: the first 2k+1 modes by name suffice for any
     # mode (it can skip itself and at most k-1 positive neighbours)
