@@ -5,15 +5,19 @@ its weight, and rate = target / size. Every document is emitted floor(rate)
 times, plus one hash-seeded Bernoulli copy with probability equal to the
 fraction.
 
-The Bernoulli draws of one stratum, about ``split_rows`` documents of one
-source, share a seeded offset: with documents in order of size, the i-th gets
-its copy when floor(f * (i + 1) + offset) steps over floor(f * i + offset).
-Each document's probability is exactly f, while long and short documents are
-drawn in proportion, so a source's words come near its target.
+A document's copy is drawn by a number hashed from the seed and its id, and
+comes with a probability of exactly the fraction. The draws of one stratum,
+about ``split_rows`` documents of one source, offset each other: documents
+are decided from the longest to the shortest, and what a decision takes above
+or below its probability, in words, is given back by the probabilities of the
+documents after it, as far as these stay between 0 and 1. The mean of those
+changes is 0, so every document keeps the fraction as its probability, while
+a source's words come near its target even where one text holds many of them.
 
 Plan. One scan of the texts writes (id, source, size, row key). One aggregate gives
 source sizes and counts. A source is split into strata by hash, so no window
-holds a hot source. Only sums and the offsets of the sources' ranks, one row
+holds a hot source, and strata into blocks of at most ``BLOCK_ROWS`` rows, which
+are decided as one array without texts. Only sums and the offsets of the sources' ranks, one row
 per task, are gathered.
 """
 
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 from rivet.llm.text import n_words, one_of_each, row_key, whole, written
 
 SPLIT_ROWS = 512
+BLOCK_ROWS = 2048  # of one stratum that offset each other
 
 
 def _hex(text: Column, digits: int) -> Column:
@@ -67,6 +72,25 @@ def source_targets(totals: DataFrame, weights: tuple[int, ...], cap: float) -> D
     return sources.select("source", "source_size", "weight", target.alias("target"))
 
 
+def _draws(docs: Column, fraction: Column, words: Column) -> Column:
+    """Array of 0 or 1 for an array of (size, u), u even between 0 and 1.
+
+    ``p`` is the probability of all documents not yet decided. A document of
+    s words, with ``rest`` words after it, moves it by -a (1 - p) if taken and
+    by a p if not, with a = s / rest or the largest step that keeps p between
+    0 and 1."""
+    def decide(state: Column, doc: Column) -> Column:
+        p, rest = state["p"], state["rest"] - doc["size"]
+        hit = doc["u"] < p
+        step = F.when((p <= 0.0) | (p >= 1.0) | (rest <= 0), F.lit(0.0)).otherwise(
+            F.least(doc["size"] / rest, p / (1.0 - p), (1.0 - p) / p))
+        moved = F.when(hit, p - step * (1.0 - p)).otherwise(p + step * p)
+        return F.struct(F.least(F.lit(1.0), F.greatest(F.lit(0.0), moved)).alias("p"), rest.alias("rest"),
+                        F.concat(state["taken"], F.array(hit.cast("int"))).alias("taken"))
+    start = F.struct(fraction.alias("p"), words.alias("rest"), F.array().cast("array<int>").alias("taken"))
+    return F.aggregate(docs, start, decide, lambda state: state["taken"])
+
+
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", weights: tuple[int, ...] = (5, 2, 1),
                 cap: int = 3, seed: int = 0, split_rows: int = SPLIT_ROWS) -> DataFrame:
@@ -88,21 +112,27 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .join(targets, F.col("s").eqNullSafe(targets["source"]))
             .select("s", "splits", "source_size", "target"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"), F.lit("null")))
+    # null ids are told apart by their rows
+    key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("id").cast("string"),
+                                                        F.concat(F.lit("null:"), F.hex("row_key"))))
     rows = (sized.join(plan, sized["source"].eqNullSafe(plan["s"]))
             .select("id", "source", "size", "row_key", "source_size", "target", rate.alias("rate"),
                     F.md5(key.cast("binary")).alias("draw"),
                     (_hex(key, 7) % F.col("splits")).alias("split")))
     place = F.row_number().over(Window.partitionBy("source", "split")
-                                .orderBy("size", "draw", "id", "row_key"))
-    offset = _hex(F.concat_ws(":", F.lit(str(seed)), F.coalesce("source", F.lit("null")),
-                              F.col("split").cast("string")), 13) / F.lit(float(1 << 52))
-    fraction = F.col("rate") - F.floor("rate")
-    rows = rows.withColumn("place", place).withColumn("offset", offset)
-    extra = F.floor(fraction * F.col("place") + F.col("offset")) - F.floor(
-        fraction * (F.col("place") - 1) + F.col("offset"))
-    return rows.select(F.col("id").alias(id_col), "source", "size", "source_size", "target",
-                       (F.floor("rate") + extra).cast("long").alias("copies"), "row_key")
+                                .orderBy(F.col("size").desc(), "draw", "id", "row_key"))
+    rows = rows.withColumn("place", place)
+    u = _hex(F.concat_ws(":", "draw", F.col("place").cast("string")), 13) / F.lit(float(1 << 52))
+    blocks = (rows.withColumn("block", F.floor((F.col("place") - 1) / BLOCK_ROWS)).withColumn("u", u)
+              .groupBy("source", "split", "block", "source_size", "target", "rate")
+              .agg(F.array_sort(F.collect_list(F.struct("place", "size", "u", "id", "row_key"))).alias("docs"),
+                   F.sum("size").alias("words")))
+    taken = _draws(F.col("docs"), F.col("rate") - F.floor("rate"), F.col("words"))
+    told = blocks.withColumn("doc", F.explode(F.arrays_zip("docs", taken.alias("taken"))))
+    return told.select(F.col("doc.docs.id").alias(id_col), "source", F.col("doc.docs.size").alias("size"),
+                       "source_size", "target",
+                       (F.floor("rate") + F.col("doc.taken")).cast("long").alias("copies"),
+                       F.col("doc.docs.row_key").alias("row_key"))
 
 
 def emit(docs: DataFrame, mix: DataFrame, text_col: str = "text") -> DataFrame:

@@ -49,13 +49,23 @@ x AS (SELECT c.*, t.source_size, t.target,
              ('0x' || substr(draw, 1, 7))::BIGINT % n.splits AS split
       FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
       JOIN n ON c.source IS NOT DISTINCT FROM n.source),
-p AS (SELECT *, row_number() OVER (PARTITION BY source, split ORDER BY size, draw, doc_id) AS place,
-             ('0x' || substr(md5('0:' || coalesce(source, 'null') || ':' || split), 1, 13))::BIGINT
-               / 4503599627370496.0::DOUBLE AS off FROM x)
-SELECT doc_id, size, source_size, target,
-       (size * (floor(rate) + floor((rate - floor(rate)) * place + off)
-                - floor((rate - floor(rate)) * (place - 1) + off)))::BIGINT AS taken
-FROM p
+o AS (SELECT *, row_number() OVER (PARTITION BY source, split ORDER BY size DESC, draw, doc_id) AS seat FROM x),
+p AS (SELECT *, (seat - 1) // 2048 AS block, (seat - 1) % 2048 AS place, rate - floor(rate) AS fraction,
+             ('0x' || substr(md5(draw || ':' || seat), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM o),
+q AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source, split, block ORDER BY place
+                 ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)::BIGINT AS rest FROM p),
+k AS (SELECT doc_id, source, split, block, place, size, u, rest, fraction AS pr FROM q WHERE place = 0
+      UNION ALL
+      SELECT doc_id, source, split, block, place, size, u, rest,
+             least(1.0::DOUBLE, greatest(0.0::DOUBLE, CASE WHEN hit THEN pr - step * (1.0::DOUBLE - pr) ELSE pr + step * pr END))
+      FROM (SELECT q.doc_id, q.source, q.split, q.block, q.place, q.size, q.u, q.rest, k.pr, k.u < k.pr AS hit,
+                   CASE WHEN k.pr <= 0 OR k.pr >= 1 OR k.rest <= 0 THEN 0.0::DOUBLE
+                        ELSE least(k.size / k.rest::DOUBLE, k.pr / (1.0::DOUBLE - k.pr), (1.0::DOUBLE - k.pr) / k.pr)
+                   END AS step
+            FROM k JOIN q ON k.source IS NOT DISTINCT FROM q.source AND k.split = q.split AND k.block = q.block
+                         AND q.place = k.place + 1))
+SELECT q.doc_id, q.size, q.source_size, q.target, (q.size * (floor(q.rate) + (k.u < k.pr)::INT))::BIGINT AS taken
+FROM q JOIN k ON k.source IS NOT DISTINCT FROM q.source AND k.split = q.split AND k.block = q.block AND k.place = q.place
 """
 
 OP9 = f"""

@@ -144,6 +144,20 @@ def test_mix_draws_are_fair(spark):
     assert abs(mean - (rate - math.floor(rate))) < 0.05
 
 
+def test_mix_offsets_a_long_text(spark):
+    """Sources with one text of most words meet their target to a short text, whether it is
+    drawn or not, and every text comes as often as its source's fraction says."""
+    rows = [(s * 100 + i, "w " * (300 if i == 0 else 10), f"s{s:03d}") for s in range(240) for i in range(41)]
+    out = mix_sources(documents(spark, rows, clash=False), weights=(3, 2, 1)).collect()
+    taken, hits = Counter(), Counter()
+    for r in out:
+        taken[r["source"], r["target"]] += r["copies"] * r["size"]
+        if r["target"] != r["source_size"]:  # a fraction of one half
+            hits[r["size"]] += r["copies"] - r["target"] // r["source_size"]
+    assert max(abs(words - target) for (_, target), words in taken.items()) <= 10
+    assert abs(hits[300] / 160 - 0.5) < 0.12 and abs(hits[10] / 6400 - 0.5) < 0.05
+
+
 def measured_by_hand(t):
     w = split_words(t)
     tri = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
