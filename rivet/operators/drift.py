@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rivet import constants as K
-from rivet.operators.rank import ordered_split, prefix_sums
+from rivet.operators.rank import prefix_sums, split_rule
 from rivet.session import materialize
 
 KS_TERMS = 100
@@ -94,20 +94,26 @@ def _ks_from_counts(per: DataFrame, alpha: float, exact_rows: int) -> DataFrame:
                     F.bround(F.col("t2") / F.col("n2"), 3).alias("current_mean"))
 
 
-def value_counts(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataFrame:
+def _long(df: DataFrame, columns: list[str], side: Column) -> DataFrame:
+    """(_s, column, v), nulls and NaN dropped per column."""
+    x = df.select(side.alias("_s"), *[F.col(c).cast("double").alias(c) for c in columns])
+    return x.unpivot("_s", columns, "column", "v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
+def _per_value(both: DataFrame) -> DataFrame:
     """(column, v, c1, c2, s1, s2): per-side counts and sums of every
-    distinct value of every column, in one pass over both samples (nulls
-    and NaN dropped per column). A hot value becomes one row."""
-    def long(df, side):
-        x = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "v")
-        return x.filter(F.col("v").isNotNull() & ~F.isnan("v")).withColumn("_s", F.lit(side))
-    both = long(ref, 1).unionByName(long(cur, 2))
+    distinct value of every column. A hot value becomes one row."""
     return both.groupBy("column", "v").agg(F.sum((F.col("_s") == 1).cast("long")).alias("c1"),
                                            F.sum((F.col("_s") == 2).cast("long")).alias("c2"),
                                            F.sum(F.when(F.col("_s") == 1, F.col("v"))).alias("s1"),
                                            F.sum(F.when(F.col("_s") == 2, F.col("v"))).alias("s2"))
 
 
+def value_counts(ref: DataFrame, cur: DataFrame, columns: list[str]) -> DataFrame:
+    """Per-value counts of two samples, in one pass over both."""
+    return _per_value(_long(ref, columns, F.lit(1)).unionByName(_long(cur, columns, F.lit(2))))
+
+
 def ks_column(ref: DataFrame, cur: DataFrame, c: str, alpha: float = K.KS_ALPHA, exact_rows: int = EXACT_ROWS) -> DataFrame:
     """One row: column, ks_statistic, p_value, drifted, reference_mean,
     current_mean (statistics rounded half-even 4/4/3; drift on unrounded p)."""
@@ -123,6 +129,18 @@ def data_drift(ref: DataFrame, cur: DataFrame, columns: list[str], alpha: float
     return _ks_from_counts(materialize(value_counts(ref, cur, columns), "ks-values"), alpha, exact_rows)
 
 
+def split_drift(sample: DataFrame, order: list[str], columns: list[str], share: float = K.DRIFT_REFERENCE_SHARE,
+                alpha: float = K.KS_ALPHA, exact_rows: int = EXACT_ROWS) -> DataFrame:
+    """KS report of the first ``share`` of ``sample`` under ``order`` against
+    the rest (E8, D13): the side is a column, so one scan counts both."""
+    return _split_report(sample, split_rule(sample, order, share)[0], columns, alpha, exact_rows)
+
+
+def _split_report(sample: DataFrame, first: Column, columns: list[str], alpha: float, exact_rows: int) -> DataFrame:
+    side = F.when(first, 1).otherwise(2)
+    return _ks_from_counts(materialize(_per_value(_long(sample, columns, side)), "ks-values"), alpha, exact_rows)
+
+
 def prediction_drift(ref: DataFrame, cur: DataFrame, score: str, alpha: float = K.KS_ALPHA,
                      exact_rows: int = EXACT_ROWS) -> DataFrame:
     """KS on two score samples plus mean risk per side."""
@@ -153,6 +171,6 @@ def period_summary(ref: DataFrame, cur: DataFrame, ts: str) -> DataFrame:
 def monitoring_job(sample: DataFrame, order: list[str], columns: list[str],
                    share: float = K.DRIFT_REFERENCE_SHARE, exact_rows: int = EXACT_ROWS):
     """Ordered 70/30 split (E8), KS report (D13) and roll-up."""
-    ref, cur, _ = ordered_split(sample, order, share)
-    report = data_drift(ref, cur, columns, exact_rows=exact_rows)
-    return ref, cur, report, drift_rollup(report)
+    first, _ = split_rule(sample, order, share)
+    report = _split_report(sample, first, columns, K.KS_ALPHA, exact_rows)
+    return sample.filter(first), sample.filter(~first), report, drift_rollup(report)

@@ -154,11 +154,16 @@ def before_cut(df: DataFrame, order: list[str], k: int, n: int) -> Column:
     return pred
 
 
+def split_rule(df: DataFrame, order: list[str], share: float) -> tuple[Column, int]:
+    """(predicate of the first ``int(n*share)`` rows under ``order``, n)."""
+    n = df.count()
+    k = int(n * share)
+    return (before_cut(df, order, k, n) if k < n else F.lit(True)), n
+
+
 def ordered_split(df: DataFrame, order: list[str], share: float) -> tuple[DataFrame, DataFrame, int]:
     """First ``int(n*share)`` rows under ``order`` vs the rest (E8); returns
     (reference, current, n). Both sides are filters on the input and every
     row, with or without null keys, is on exactly one of them."""
-    n = df.count()
-    k = int(n * share)
-    pred = before_cut(df, order, k, n) if k < n else F.lit(True)
+    pred, n = split_rule(df, order, share)
     return df.filter(pred), df.filter(~pred), n

@@ -53,14 +53,18 @@ def cooccurrence(actions: DataFrame, mode: str = "failure_mode", action: str = "
 def cooccurrence_matrix(long: DataFrame) -> DataFrame:
     """(failure_mode, counts): the mode x action matrix with zero cells, one
     row per mode, ``counts`` in the order of all actions (D2). A row is as
-    wide as the output it stands for; only the action names, a dimension,
-    are brought together."""
-    names = long.agg(F.array_sort(F.collect_set("action")).alias("_names"))
-    own = long.groupBy("failure_mode").agg(
-        F.map_from_entries(F.collect_list(F.struct("action", "cnt"))).alias("_own"))
-    return own.crossJoin(F.broadcast(names)).select(  # one row
-        "failure_mode", F.transform("_names", lambda a: F.coalesce(
-            F.try_element_at("_own", a), F.lit(0).cast("long"))).alias("counts"))
+    wide as the output it stands for; actions go by their place in the
+    order, and only their number is shared with all rows."""
+    places = global_row_number(long.select("action").filter(F.col("action").isNotNull()).distinct(),
+                               [F.col("action")], out="_at")
+    n = places.agg(F.count("*").cast("int").alias("_n"))
+    cell = F.when(F.col("_at").isNotNull(), F.struct(F.col("_at").cast("int"), "cnt"))
+    own = (long.join(places, "action", "left").groupBy("failure_mode")
+           .agg(F.map_from_entries(F.collect_list(cell)).alias("_own")))
+    every = F.slice(F.sequence(F.lit(0), F.col("_n")), F.lit(2), F.col("_n"))  # 1 .. n, none of none
+    return own.crossJoin(F.broadcast(n)).select(  # one row
+        "failure_mode", F.transform(every, lambda i: F.coalesce(
+            F.try_element_at("_own", i), F.lit(0).cast("long"))).alias("counts"))
 
 
 def distinct_counts(long: DataFrame) -> DataFrame:

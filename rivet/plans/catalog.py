@@ -317,8 +317,7 @@ def q_temporal_split(spark, sf):
 @query("data_drift")
 def q_data_drift(spark, sf):
     """Two-sample KS per column with p-value and means."""
-    ref, cur, _ = _drift_split(spark, sf)
-    return DR.data_drift(ref, cur, td.DRIFT_COLUMNS, exact_rows=0)
+    return DR.split_drift(td.drift_sample(spark, sf), td.DRIFT_ORDER, td.DRIFT_COLUMNS, exact_rows=0)
 
 
 @query("drift_exact")
@@ -326,8 +325,7 @@ def q_drift_exact(spark, sf):
     """D13 on small samples: supplier balances of the first 70 % of keys
     against the rest, p from the lattice paths."""
     s = td.table(spark, sf, "supplier").select("s_suppkey", "s_acctbal", F.abs("s_acctbal").alias("size"))
-    ref, cur, _ = ordered_split(s, ["s_suppkey"], 0.7)
-    return DR.data_drift(ref, cur, ["s_acctbal", "size"], exact_rows=10_000)
+    return DR.split_drift(s, ["s_suppkey"], ["s_acctbal", "size"], exact_rows=10_000)
 
 
 @query("prediction_drift")
@@ -341,8 +339,7 @@ def q_prediction_drift(spark, sf):
 @query("drift_rollup")
 def q_drift_rollup(spark, sf):
     """Drifted columns of all and the advice."""
-    ref, cur, _ = _drift_split(spark, sf)
-    return DR.drift_rollup(DR.data_drift(ref, cur, td.DRIFT_COLUMNS, exact_rows=0))
+    return DR.drift_rollup(DR.split_drift(td.drift_sample(spark, sf), td.DRIFT_ORDER, td.DRIFT_COLUMNS, exact_rows=0))
 
 
 @query("period_summary")
