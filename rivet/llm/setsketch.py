@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -273,6 +273,7 @@ def _prefix_pairs(nodes: DataFrame, percent: int) -> DataFrame:
     any common order. Rarest first, documents that have only a frequent
     passage in common do not meet, however many they are; and what follows
     the first common shingle must leave room for the overlap that is needed.
+    That room is part of the join: sets meet under (shingle, size class).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,14 +292,26 @@ def _prefix_pairs(nodes: DataFrame, percent: int) -> DataFrame:
               .filter((F.col("f") > 1) & (F.col("after") >= F.ceil(F.col("n") * percent / 100)))
               .join(nodes.select("cls", "root"), "cls"))
     prefix = written(prefix.select("cls", "root", "n", "after", "shingle"), "near-prefix")
-    other = prefix.select(F.col("cls").alias("c"), F.col("root").alias("r"), F.col("n").alias("m"),
-                          F.col("after").alias("rest"), "shingle")
+    # n >= m: the larger set asks for the sizes its place leaves room for, by classes of size; the smaller
+    # one is met only where its place leaves room for a set of its own size
+    step = math.log(100 / min(percent, 90))
+
+    def size_class(size: Column) -> Column:
+        return F.floor(F.log(size) / step)
+    low = F.ceil(F.col("n") * percent / 100)
+    high = F.least(F.col("n"), F.floor(((100 + percent) * F.col("after") - percent * F.col("n")) / F.lit(percent)))
+    asking = (prefix.filter(high >= low)
+              .withColumn("class", F.explode(F.sequence(size_class(low), size_class(high)))))
+    other = (prefix.filter((100 + percent) * F.col("after") >= 2 * percent * F.col("n"))
+             .select(F.col("cls").alias("c"), F.col("root").alias("r"), F.col("n").alias("m"),
+                     F.col("after").alias("rest"), "shingle", size_class(F.col("n")).alias("class")))
     sizes = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     # the first shingle that two sets share leaves room for the overlap that the threshold asks of their sizes
     room = (100 + percent) * F.least("after", "rest") >= percent * (F.col("n") + F.col("m"))
-    return (prefix.join(other, "shingle")
-            .filter((F.col("cls") < F.col("c")) & (F.col("root") != F.col("r")) & sizes & room)
-            .select(F.col("cls").alias("a"), F.col("c").alias("b")).distinct())
+    larger = (F.col("n") > F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("cls") < F.col("c")))
+    return (asking.join(other, ["shingle", "class"])
+            .filter(larger & (F.col("root") != F.col("r")) & sizes & room)
+            .select(F.least("cls", "c").alias("a"), F.greatest("cls", "c").alias("b")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
