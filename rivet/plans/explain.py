@@ -13,6 +13,8 @@ every row.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -89,14 +91,14 @@ def _unpack(packed: bytes, n: int) -> dict[int, tuple[np.ndarray, ...]]:
     return out
 
 
-def _points(d: int):
+def _points(d: int) -> tuple[np.ndarray, np.ndarray]:
     """Gauss points on (0, 1) that integrate polynomials of degree d - 1 exactly."""
     points, weights = np.polynomial.legendre.leggauss((d + 1) // 2)
-    return zip((points + 1) / 2, weights / 2, strict=True)
+    return (points + 1) / 2, weights / 2
 
 
 def _by_pattern(value: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """Contributions (paths x 2^d patterns x d) of paths of one length d.
+    """Contributions (paths x d x 2^d patterns) of paths of one length d.
 
     A path pays its value if the row meets all conditions; a condition on an
     unknown feature counts as met with its ratio z. The Shapley weight of a
@@ -104,25 +106,26 @@ def _by_pattern(value: np.ndarray, z: np.ndarray) -> np.ndarray:
     so the weighted sum over all sets is the integral of the product of
     z (1 - t) + o t over the others, o = 1 where the row meets the condition. So
     a row's contribution depends on the pattern of its o alone: bit j of a
-    pattern is the o of condition j."""
+    pattern is the o of condition j. With P the product over all conditions,
+    a met one gives (1 - z) P / (z (1 - t) + t) and an unmet one
+    - z P / (z (1 - t)) = - P / (1 - t), the same for all unmet ones."""
     n, d = z.shape
-    bits = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1
-    out = np.zeros((n, 1 << d, d))
-    for t, w in _points(d):
-        unmet = np.maximum(z * (1 - t), 1e-300)  # a ratio of 0 must not divide
-        met = unmet + t
-        product = np.full((n, 1), w)
-        for j in range(d):
-            product = np.concatenate([product * unmet[:, j:j + 1], product * met[:, j:j + 1]], axis=1)
-        out += product[..., None] * np.where(bits, 1 / met[:, None], 1 / unmet[:, None])
-    return out * (bits - z[:, None]) * value[:, None, None]
+    t, w = _points(d)
+    unmet = z[..., None] * (1 - t)
+    met = unmet + t
+    product = np.ones((n, len(t), 1))
+    for j in range(d):
+        product = np.concatenate([product * unmet[:, j, :, None], product * met[:, j, :, None]], axis=2)
+    paid = value[:, None, None] * w
+    bits = (np.arange(1 << d) >> np.arange(d)[:, None]) & 1
+    return np.where(bits, (paid * (1 - z[..., None]) / met) @ product, (-paid / (1 - t)) @ product)
 
 
 def _by_row(o: np.ndarray, value: np.ndarray, z: np.ndarray) -> np.ndarray:
     """As ``_by_pattern``, for the conditions that rows meet (rows x paths x
     d): for paths with more patterns than there are rows."""
     total = np.zeros(o.shape)
-    for t, w in _points(o.shape[2]):
+    for t, w in zip(*_points(o.shape[2]), strict=True):
         terms = z * (1 - t) + o * t
         before, after = np.ones_like(terms), np.ones_like(terms)
         np.cumprod(terms[..., :-1], axis=-1, out=before[..., 1:])
@@ -134,37 +137,85 @@ def _by_row(o: np.ndarray, value: np.ndarray, z: np.ndarray) -> np.ndarray:
 CELLS = 1 << 19  # of rows or patterns x paths x conditions held at once
 
 
-def _path_block(x: np.ndarray, block: tuple, n_features: int) -> np.ndarray:
-    """Contributions (rows x features) of paths of one length to rows."""
+def _edges(trees: list[dict[int, tuple[np.ndarray, ...]]], n_features: int) -> list[np.ndarray]:
+    """Each feature's different thresholds, ascending."""
+    ends = [(c[1].ravel(), e.ravel()) for blocks in trees for c in blocks.values() for e in c[2:4]]
+    feature, end = (np.concatenate(x) for x in zip(*ends, strict=True)) if ends else (np.empty(0, int), np.empty(0))
+    return [np.unique(end[(feature == f) & np.isfinite(end)]) for f in range(n_features)]
+
+
+def _places(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    """Number of a feature's thresholds below each value (features x rows), one
+    more than all for NaN: a condition is met where low < place <= high holds
+    for the thresholds' own numbers. One byte a value where that will do."""
+    most = max((len(e) for e in edges), default=0) + 1
+    out = np.empty(x.shape[::-1], next(t for t in (np.uint8, np.uint16, np.uint32) if most < np.iinfo(t).max))
+    for f, e in enumerate(edges):
+        out[f] = np.where(np.isnan(x[:, f]), len(e) + 1, np.searchsorted(e, x[:, f]))
+    return out
+
+
+def _add_patterns(phi: np.ndarray, places: np.ndarray, edges: list[np.ndarray], block: tuple) -> None:
+    """Adds to phi (features x rows) what paths of one length give: the rows'
+    patterns are numbers, each looked up in the path's table."""
     value, feature, low, high, z = block
-    d = feature.shape[1]
-    if 1 << d <= len(x):
-        code = np.zeros((len(x), len(value)), np.int64)
-        for j in range(d):
-            cells = x[:, feature[:, j]]
-            code |= ((cells > low[:, j]) & (cells <= high[:, j])).astype(np.int64) << j
-        found = _by_pattern(value, z)[np.arange(len(value)), code]
-    else:
+    d, kind = feature.shape[1], places.dtype
+    start, width = np.zeros(feature.shape, kind), np.zeros(feature.shape, kind)
+    for f in np.unique(feature):
+        here = feature == f
+        first = np.where(np.isinf(low[here]), 0, np.searchsorted(edges[f], low[here]) + 1)
+        last = np.where(np.isinf(high[here]), len(edges[f]), np.searchsorted(edges[f], high[here]))
+        start[here], width[here] = first, np.maximum(last - first + 1, 0)
+    n = places.shape[1]
+    small = np.uint16 if d <= 16 else np.uint32
+    gap, holds, bit, code = np.empty(n, kind), np.empty(n, bool), np.empty(n, small), np.empty(n, small)
+    at, found = np.empty(n, np.intp), np.empty(n)
+    paths = max(1, CELLS // (d << d))
+    for a in range(0, len(value), paths):
+        tables = _by_pattern(value[a:a + paths], z[a:a + paths])
+        for p, table in enumerate(tables, a):
+            code.fill(0)
+            for j, f in enumerate(feature[p]):
+                np.subtract(places[f], start[p, j], out=gap)  # places below the start wrap round
+                np.less(gap, width[p, j], out=holds)
+                np.multiply(holds, small(1 << j), out=bit)
+                np.bitwise_or(code, bit, out=code)
+            at[:] = code
+            for j, f in enumerate(feature[p]):
+                np.take(table[j], at, out=found, mode="clip")
+                phi[f] += found
+
+
+def _add_rows(phi: np.ndarray, x: np.ndarray, block: tuple) -> None:
+    """As ``_add_patterns``, for paths with more patterns than there are rows."""
+    d, n = block[1].shape[1], len(x)
+    paths = max(1, CELLS // (d * n))
+    for a in range(0, len(block[0]), paths):
+        value, feature, low, high, z = (c[a:a + paths] for c in block)
         cells = x[:, feature]
-        found = _by_row(((cells > low) & (cells <= high)).astype(float), value, z)
-    at = (np.arange(len(x)) * n_features)[:, None, None] + feature
-    return np.bincount(at.ravel(), found.ravel(), len(x) * n_features).reshape(len(x), n_features)
+        given = _by_row(((cells > low) & (cells <= high)).astype(float), value, z)
+        place = feature * n + np.arange(n)[:, None, None]
+        phi += np.bincount(place.ravel(), given.ravel(), phi.size).reshape(phi.shape)
 
 
 def explain_paths(x: np.ndarray, packed: list[tuple[bytes, int]], n_features: int) -> tuple[np.ndarray, float]:
     """Contributions (rows x features) and expected value, summed over trees."""
-    phi, base = np.zeros((len(x), n_features)), 0.0
-    for raw, n in packed:
-        for d, block in _unpack(raw, n).items():
+    trees = [_unpack(raw, n) for raw, n in packed]
+    edges = _edges(trees, n_features)
+    places = _places(x, edges)
+    phi, base = np.zeros((n_features, len(x))), 0.0
+    for blocks in trees:
+        for d, block in blocks.items():
             base += float((block[0] * block[4].prod(axis=1)).sum())
-            paths = max(1, CELLS // (max(d, 1) * len(x)))
-            for a in range(0, len(block[0]) if d else 0, paths):
-                phi += _path_block(x, tuple(c[a:a + paths] for c in block), n_features)
-    return phi, base
+            if d and 1 << d <= len(x):
+                _add_patterns(phi, places, edges, block)
+            elif d:
+                _add_rows(phi, x, block)
+    return phi.T, base
 
 
 TREE_GROUPS = 32
-ROWS_PER_TASK = 4096
+ROWS_PER_TASK = 16384
 
 
 def shap_values(nodes: DataFrame, rows: DataFrame, cols: list[str], row_key: str, n_trees: int,
@@ -172,9 +223,9 @@ def shap_values(nodes: DataFrame, rows: DataFrame, cols: list[str], row_key: str
     """Long table (row key, feature, shap) of every row, averaged over trees,
     plus a ``__base__`` pseudo-feature holding the forest's expected value.
 
-    ``sample`` explains only that many rows, those of smallest key hash. A
-    row is copied once per group of trees, so that few rows and many trees
-    still fill a cluster; the number of tasks follows the number of rows."""
+    ``sample`` explains only that many rows, those of smallest key hash. The
+    number of tasks follows the number of rows. Where that leaves cores idle, a
+    row is copied to a task for each of up to ``tree_groups`` groups of trees."""
     if sample is not None:
         rows = hash_sample(rows, sample, [row_key])
     # packed paths: at most trees x 2^depth paths of depth conditions
@@ -183,17 +234,28 @@ def shap_values(nodes: DataFrame, rows: DataFrame, cols: list[str], row_key: str
     names = list(cols)
     key_type = dict(rows.dtypes)[row_key]
     parts = max(1, -(-rows.count() // ROWS_PER_TASK))
-
-    def explain(batches):
+    groups = min(tree_groups, -(-2 * nodes.sparkSession.sparkContext.defaultParallelism // parts))
+
+    def told(frames: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g, part in pd.concat(frames).groupby("_group"):  # a task has one group
+            phi, base = explain_paths(part[names].to_numpy(dtype=float), forest.value[g::groups], len(names))
+            out = pd.DataFrame(phi / n_trees, columns=names)
+            out["__base__"] = base / n_trees
+            out[row_key] = part[row_key].to_numpy()
+            yield out.melt(id_vars=[row_key], var_name="feature", value_name="shap")[[row_key, "feature", "shap"]]
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = []  # a path's table serves all rows that are held, so batches are put together
         for pdf in batches:
-            for g, part in pdf.groupby("_group"):
-                phi, base = explain_paths(part[names].to_numpy(dtype=float), forest.value[g::tree_groups], len(names))
-                out = pd.DataFrame(phi / n_trees, columns=names)
-                out["__base__"] = base / n_trees
-                out[row_key] = part[row_key].to_numpy()
-                yield out.melt(id_vars=[row_key], var_name="feature", value_name="shap")[[row_key, "feature", "shap"]]
-    spread = (rows.select(row_key, *names).withColumn("_group", F.explode(F.sequence(F.lit(0), F.lit(tree_groups - 1))))
-              .repartition(parts * tree_groups, "_group", F.pmod(F.xxhash64(row_key), F.lit(parts))))
+            held.append(pdf)
+            if sum(map(len, held)) >= 2 * ROWS_PER_TASK:
+                yield from told(held)
+                held = []
+        if held:
+            yield from told(held)
+    spread = (rows.select(row_key, *names, F.pmod(F.xxhash64(row_key, *names), F.lit(parts)).alias("_part"),
+                          F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_group"))
+              .repartitionById(parts * groups, (F.col("_group") * parts + F.col("_part")).cast("int")).drop("_part"))
     per = spread.mapInPandas(explain, f"{row_key} {key_type}, feature string, shap double")
     return per.groupBy(row_key, "feature").agg(F.sum("shap").alias("shap"))
 

@@ -155,6 +155,49 @@ def test_path_table_shap_equals_shapley_values(spark, rows_used):
     assert max(abs(r["probability"][1] - r["s"]) for r in scored) < 1e-6
 
 
+def test_shap_tables_and_places(monkeypatch):
+    """Tables of patterns against the sums by row, at ends, for NaN and for a
+    ratio of 0; a path's table is made once for all rows of a call."""
+    inf, nan = np.inf, np.nan
+    paths = [(0.7, [(0, -inf, 1.0, 0.3), (1, 0.0, 2.0, 0.0), (2, -1.0, inf, 0.9)]), (0.2, [(1, 2.0, inf, 0.4)]), (0.5, []),
+             (0.9, [(0, 1.0, 1.0, 0.5), (2, -inf, -1.0, 0.25)])]  # an empty interval
+    packed = [(EX._pack(paths[:2]), 2), (EX._pack(paths[2:]), 2)]
+    x = np.array([[a, b, c] for a in (0.0, 1.0, 1.5, nan) for b in (0.0, 2.0, 2.5) for c in (-1.0, -0.5)])
+    made = []
+    table = EX._by_pattern
+    monkeypatch.setattr(EX, "_by_pattern", lambda *a: made.append(len(a[0])) or table(*a))
+    phi, base = EX.explain_paths(x, packed, 3)
+    assert sum(made) == 3
+    alone = np.vstack([EX.explain_paths(row[None], packed, 3)[0] for row in x])  # one row: by row
+    np.testing.assert_allclose(phi, alone, atol=1e-12)
+
+    def pays(row):
+        return sum(v for v, c in paths if all(low < row[f] <= high for f, low, high, _ in c))
+    np.testing.assert_allclose(base + phi.sum(axis=1), [pays(row) for row in x], atol=1e-12)
+
+
+def test_shap_of_repeated_and_null_keys(spark):
+    """Any number of tree groups gives the same sums for a key."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 2)).round(1)
+    rows = [(None if i % 50 == 0 else i // 2, float(v[0] + v[1] > 0), *map(float, v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "id long, label double, a double, b double").repartition(5)
+    model = RandomForestClassifier(numTrees=3, maxDepth=4, seed=2).fit(assemble(df, ["a", "b"]))
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    few, many = (EX.shap_values(EX.tree_nodes(spark, path), df, ["a", "b"], "id", 3, tree_groups=g)
+                 .orderBy("id", "feature").toPandas() for g in (1, 32))
+    pd.testing.assert_frame_equal(few, many, atol=1e-12)
+    assert len(few) == 3 * (df.select("id").distinct().count())
+    want = model.transform(assemble(df, ["a", "b"])).select("id", "probability").collect()
+    got = few.fillna({"id": -1}).groupby("id")["shap"].sum()
+    by_id = {}
+    for r in want:
+        k = -1 if r["id"] is None else r["id"]
+        by_id[k] = by_id.get(k, 0.0) + r["probability"][1]
+    assert all(abs(got[k] - v) < 1e-9 for k, v in by_id.items())
+
+
 def test_forest_draws_from_the_whole_table(spark):
     """Every row of a table far above the old pool can be drawn; trees get
     their rows, reruns agree."""
