@@ -121,33 +121,54 @@ def fit(df: DataFrame, cols: list[str], key: list[str], n_trees: int = 200, max_
     return materialize(cand.groupBy("tree_id").applyInPandas(build, NODE_SCHEMA), "forest")
 
 
+def _packed(nd: pd.DataFrame) -> tuple[list[tuple], float]:
+    """Per tree: steps of its longest path, and per node feature, threshold,
+    children (right, left) and path length if a row ends there. A leaf is its
+    own child, so rows that have ended need no mask. And c(samples per tree)."""
+    trees, samples = [], 2
+    for _, g in nd.groupby("tree_id", sort=True):
+        feature, threshold, left, right, size = (
+            g[c].to_numpy() for c in ("feature", "threshold", "left_child", "right_child", "size"))
+        samples = max(samples, int(size[0]))  # a tree's root counts its sample
+        own, leaf = np.arange(len(feature)), feature < 0
+        depth = np.zeros(len(feature))
+        for n in np.flatnonzero(~leaf):  # parents come before their children
+            depth[left[n]] = depth[right[n]] = depth[n] + 1
+        children = np.stack([np.where(leaf, own, right), np.where(leaf, own, left)], axis=1).ravel()
+        trees.append((int(depth.max()), np.where(leaf, 0, feature).astype(np.intp), threshold, children.astype(np.intp),
+                      depth + avg_path(size)))
+    return trees, float(avg_path([samples])[0])
+
+
+WALK_ROWS = 2048  # rows that walk together: their values stay in the cache
+
+
+def _path_lengths(x: np.ndarray, forest: list[tuple]) -> np.ndarray:
+    """Sum of each row's path lengths over the trees."""
+    total = np.zeros(len(x))
+    for a in range(0, len(x), WALK_ROWS):
+        part = np.ascontiguousarray(x[a:a + WALK_ROWS])
+        flat, first = part.ravel(), np.arange(len(part)) * part.shape[1]
+        for steps, feature, threshold, children, length in forest:
+            node = np.zeros(len(part), np.intp)
+            for _ in range(steps):
+                node = children.take(2 * node + (flat.take(first + feature.take(node)) < threshold.take(node)))
+            total[a:a + WALK_ROWS] += length.take(node)
+    return total
+
+
 def score(df: DataFrame, nodes: DataFrame, cols: list[str], keep: list[str],
           out: str = "anomaly_score") -> DataFrame:
     """Anomaly score per row; higher is more anomalous."""
     nd = nodes.orderBy("tree_id", "node_id").toPandas()  # bounded: n_trees * (2 * max_samples - 1) rows
     spark = df.sparkSession
-    trees = []
-    for _, g in nd.groupby("tree_id", sort=True):
-        trees.append(tuple(g[c].to_numpy() for c in ("feature", "threshold", "left_child", "right_child", "size")))
+    trees, c_norm = _packed(nd)
     bc = spark.sparkContext.broadcast(trees)
-    c_norm = float(avg_path([max(2, max(int(t[4][0]) for t in trees))])[0])  # a tree's root counts its sample
 
     def run(batches):
         forest = bc.value
         for pdf in batches:
-            X = pdf[cols].to_numpy(dtype=float)
-            total = np.zeros(len(pdf))
-            for feat, thr, lc, rc, size in forest:
-                node = np.zeros(len(pdf), dtype=np.int64)
-                depth = np.zeros(len(pdf))
-                active = feat[node] >= 0
-                while active.any():
-                    f = feat[node[active]]
-                    go_left = X[np.flatnonzero(active), f] < thr[node[active]]
-                    node[active] = np.where(go_left, lc[node[active]], rc[node[active]])
-                    depth[active] += 1
-                    active = feat[node] >= 0
-                total += depth + avg_path(size[node])
+            total = _path_lengths(pdf[cols].to_numpy(dtype=float), forest)
             res = pdf[keep].copy()
             res[out] = np.power(2.0, -(total / len(forest)) / c_norm)
             yield res

@@ -213,3 +213,25 @@ def test_forest_draws_from_the_whole_table(spark):
     assert drawn.exceptAll(again).isEmpty()
     small = IF.candidates(df.limit(300), ["id"], ["id", "x"], 300, 256, 5, 42)
     assert small.count() == 1500  # all rows are candidates where the trees need most of them
+
+
+def test_forest_walk_equals_node_by_node():
+    """Rows of several walks at once against one row and node at a time, NaN and a tree of one node included."""
+    rng = np.random.default_rng(6)
+    grown = [IF._grow(rng.normal(size=(n, 3)).round(1), rng, 5) for n in (40, 1, 64)]
+    nd = pd.concat([pd.DataFrame({"tree_id": t, **dict(zip(("feature", "threshold", "left_child", "right_child", "size"), zip(*g)))})
+                    for t, g in enumerate(grown)])
+    x = rng.normal(size=(IF.WALK_ROWS + 10, 3)).round(1)
+    x[3, 1] = np.nan
+
+    def length(row, tree):
+        node, depth = 0, 0.0
+        while tree[node][0] >= 0:
+            f, threshold, left, right, _ = tree[node]
+            node, depth = (left if row[f] < threshold else right), depth + 1
+        return depth + float(IF.avg_path([tree[node][4]])[0])
+    forest, c = IF._packed(nd)
+    assert c == IF.avg_path([64])[0]
+    got = IF._path_lengths(x, forest)
+    for i in [*range(50), len(x) - 1]:
+        assert abs(got[i] - sum(length(x[i], g) for g in grown)) < 1e-12
