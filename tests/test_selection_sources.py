@@ -86,6 +86,41 @@ def test_vector_index(spark):
     assert (VI.fit_centroids(df.repartition(7), "id", lists=12) == found).all()
 
 
+def test_vectors_in_groups_equal_pair_by_pair(spark, monkeypatch):
+    """Copies, zeros, NaN, nulls and vectors of another length, in groups of
+    any size, against one expression per pair; small cells meet together."""
+    rng = np.random.default_rng(4)
+    v = [(i, [float(x) for x in rng.normal(size=5).round(1)]) for i in range(60)]
+    v += [(100 + i, v[i % 3][1]) for i in range(40)] + [(200, [0.0] * 5), (201, None), (202, []), (203, [1.0, None, 2.0, 0.0, 1.0]),
+                                                       (204, [1.0, float("nan"), 0.0, 0.0, 0.0]), (205, [3.0, 1.0]), (None, v[0][1]),
+                                                       (206, [x * 1e-150 for x in v[0][1]]), (7, v[8][1])]
+    df = spark.createDataFrame(v, "id long, vector array<double>").repartition(3)
+    q = df.filter("id is null or id % 10 < 7").select(F.col("id").alias("q"), "vector")
+    size = "sqrt(aggregate({0}, 0D, (a, x) -> a + x * x))"
+    pairs = (q.withColumnRenamed("vector", "a").crossJoin(df.withColumnRenamed("vector", "b").withColumnRenamed("id", "item")).selectExpr(
+        "q", "item", f"case when {size.format('a')} > 0 and {size.format('b')} > 0 then aggregate(zip_with(a, b, (x, y) -> x * y), 0D, "
+        f"(s, x) -> s + x) / ({size.format('a')} * {size.format('b')}) else 0D end as score"))
+    pairs.createOrReplaceTempView("vector_pairs")
+    want = spark.sql("select * from (select *, row_number() over (partition by q order by score desc, item) as rank "
+                     "from vector_pairs) where rank <= 9").select("q", "rank", "item", "score")
+
+    def rows(found):
+        return sorted(map(repr, found.select("q", "rank", "item", "score").collect()))
+    from rivet.operators import recommend, vector_cells
+    for cells, pairs_at_once, block in ((4096, 1 << 20, 1 << 20), (7, 40, 300)):
+        monkeypatch.setattr(recommend, "CELL_ROWS", cells)
+        monkeypatch.setattr(vector_cells, "CELLS", pairs_at_once)
+        assert rows(vector_top_k(q, df, 9, "q", "id", block_bytes=block).withColumnRenamed("id", "item")) == rows(want)
+    known = df.filter("id < 200")
+    centres = VI.fit_centroids(known, "id", lists=4)
+    index, asked = VI.build_index(known, centres, "id", cell_rows=3), known.filter("id < 30").withColumnRenamed("id", "q")
+    meets, whole = [], VI.best_in_groups
+    monkeypatch.setattr(VI, "best_in_groups", lambda a, *r: meets.append(a.count()) or whole(a, *r))
+    found = VI.search(asked, index, centres, 9, 4, "q")
+    assert meets == [asked.count() * index.select("list").distinct().count()] and index.agg(F.max("cells")).first()[0] > 1
+    assert rows(found) == rows(vector_top_k(asked, known, 9, "q", "id").withColumnRenamed("id", "item"))
+
+
 def test_csv_lines_that_do_not_parse(spark, tmp_path):
     lines = ["a,b", "1,x", "2", "z,y", "3,x,more", ",", '4,"q"']
     (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
