@@ -100,6 +100,28 @@ def test_boosting_by_aggregates_grows_the_same_trees(spark):
     assert len(grown["leaf"]) != len(grown["level"])
 
 
+def test_boosting_sums_no_rows_at_full_depth():
+    """Values at full depth come from the parent's bins: one round less a tree."""
+    x, y, w = table(400, 7)
+    bins = B.binned(x, [sorted(set(c)) for c in x.T])
+    asked = []
+
+    class Rows(B.ArrayRows):
+        together = True
+
+        def histograms(self, tree, nodes):
+            asked.append({tree.depth[n] for n in nodes})
+            return super().histograms(tree, nodes)
+    grow = B.Growth(rounds=1, depth=3)
+    rows = Rows(bins, y, w, 0.0)
+    g, h = rows.g, rows.h
+    tree = B.grow_tree(rows, grow)
+    assert asked == [{0}, {1}, {2}]
+    assert 3 in tree.depth
+    for node, i in tree.places(bins).items():
+        assert abs(tree.value[node] + grow.rate * g[i].sum() / (h[i].sum() + grow.l2)) < 1e-12
+
+
 def test_boosting_edges(spark):
     rows = [(i, i % 2, 1.0, float("nan") if i % 5 == 0 else float(i % 7), 3.0, None) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, y int, w double, a double, b double, c double")
