@@ -1,11 +1,14 @@
 """Isolation forest and Tree SHAP properties."""
 
+import threading
+
 import numpy as np
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from rivet.plans import explain as EX
 from rivet.plans import iforest as IF
+from rivet.plans import models as MD
 from rivet.plans.models import assemble, positive_probability
 from rivet.sources.io import scratch_path
 
@@ -149,3 +152,49 @@ def test_newest_snapshot_and_json_object(spark):
                           ).coalesce(1).write.text(obj, lineSep="\n")
     got = IO.read_json_object(spark, obj, "pipeline_capacity_bpd double, compressor_capacity_bpd double").collect()
     assert [tuple(r) for r in got] == [(5.5, 4.0)]
+
+
+def test_forest_groups_leave_an_executor_room(spark, monkeypatch):
+    """Four tasks' sums of a group stay below a third of a 6 GB heap, and no
+    node id per row and tree is kept."""
+    seen = {}
+
+    class Forest:
+        def __init__(self, **params):
+            seen.update(params)
+
+        def fit(self, df):
+            return df.count()
+    monkeypatch.setattr(MD, "RandomForestClassifier", Forest)
+    df = spark.createDataFrame([(i % 2, float(i)) for i in range(6)], "y int, a double")
+    assert MD.fit_classifier(MD.CLASSIFIERS[0], df, ["a"], "y") == 6
+    assert 4 * seen["maxMemoryInMB"] <= 2048 and not seen["cacheNodeIds"]
+    assert seen["numTrees"] == 200 and seen["maxDepth"] == 12
+
+
+def test_regressors_are_fitted_side_by_side(spark, monkeypatch):
+    meet = threading.Barrier(3, timeout=20)
+
+    class Model:
+        def __init__(self, at):
+            self.at = at
+
+        def transform(self, df):
+            return df.withColumn("prediction", F.lit(self.at))
+
+    def learner(at):
+        class Learner:
+            def __init__(self, **params):
+                pass
+
+            def fit(self, df):
+                meet.wait()
+                return Model(at)
+        return Learner
+    monkeypatch.setattr(MD, "GBTRegressor", learner(1.0))
+    monkeypatch.setattr(MD, "RandomForestRegressor", learner(2.0))
+    monkeypatch.setattr(MD, "fit_sequences", lambda *a, **k: learner(3.0)().fit(None))
+    df = spark.createDataFrame([(float(i), 4.0) for i in range(6)], "a double, y double")
+    models, metrics = MD.compare_regressors(df, df, ["a"], "y")
+    assert list(models) == [s.name for s in MD.REGRESSORS]
+    assert [r["rmse"] for r in metrics.orderBy("ord").collect()] == [3.0, 2.0, 1.0]
