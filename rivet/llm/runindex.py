@@ -3,23 +3,27 @@
 A byte is removed when a string of ``length`` bytes covering it also starts in
 a document with a smaller id.
 
+The texts are written once, in blocks by a hash of the row; every later step
+reads its block there, and only what it is told of it travels.
+
 Finding what may repeat. Every window of ``length`` bytes has an anchor, the
 leftmost least hash among its 16-byte grams, so equal windows have equal
-anchors at equal places, and the same 17 bytes before or after them. A map
-packs the hashes of each block's anchors with those bytes into one small array
-per bucket; a bucket returns what two or more documents share. Only around
-shared anchors are the bytes looked at: a piece is the stretch of all
-consecutive windows that have one anchor.
-
-Deciding what repeats. Pieces meet by anchor. Equal pieces collapse to one
-with its smallest id before they meet, so a passage that a third of all
-documents hold is one row per task, not a group. Each bucket of pieces gets a
+anchors at equal places, and the same 17 bytes before or after them. A block
+sends each bucket the hashes of its anchors with those bytes, sorted and as
+gaps; the bucket returns one bit for each, whether another block has it too.
+Only around shared anchors are the bytes looked at: a piece is the stretch of
+all consecutive windows that have one anchor.
+
+Deciding what repeats. A block sends each of its different pieces once, with
+its smallest id there, to the group of the anchor, where equal pieces become
+one. Of the different pieces of one anchor, those of smaller ids get a
 run-length Burrows-Wheeler transform with a sample at every run's ends, and
-each piece is streamed through it from its end: matching statistics give, for
-every place, the length of the longest match and a row of the index. Where the
-match is ``length`` bytes or more, the row's repeat class tells the smallest
-id that has the window. Anchors with very many different pieces (the rim of a
-hot passage) are split by whole windows instead.
+those of larger ids are streamed through it from their ends: matching
+statistics give, for every place, the length of the longest match and a row
+of the index. Where the match is ``length`` bytes or more, the least id of the
+rows that share them tells whether a smaller id has the window. Anchors with
+very many different contexts (the rim of a hot passage) are split into whole
+windows, which meet by their hash instead.
 
 Exact copies of a whole document are settled by digest beforehand.
 """
@@ -27,23 +31,25 @@ Exact copies of a whole document are settled by digest beforehand.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rivet.llm.secrets import blocks
 from rivet.llm.setsketch import mix
-from rivet.llm.text import written
+from rivet.llm.text import written, written_by
 
 GRAM = 16
-BLOCK_BYTES = 2 << 20
-BUCKET_BYTES = 8 << 20  # of text for each anchor bucket
+CHUNK_BYTES = 256 << 10  # hashed at once
+BLOCK_BYTES = 4 << 20  # of text for each block
+BUCKET_BYTES = 32 << 20  # of text for each anchor bucket
+GROUP_BYTES = 16 << 20  # of text for each group of pieces
 INDEX_BYTES = 1 << 20  # of different pieces for each index
-HOT_PIECES = 2048  # different pieces of one anchor beyond which it is split by windows
+HOT_PIECES = 16384  # different contexts of one anchor beyond which it is split by windows
+LOCAL_PIECES = 8  # fewer of them in a block are not counted
 
 
 # ---- anchors -------------------------------------------------------------
@@ -52,161 +58,239 @@ def _grams(data: np.ndarray) -> np.ndarray:
     """Hash of every 16-byte gram."""
     eight = np.lib.stride_tricks.sliding_window_view(data, 8)
     x = np.ascontiguousarray(eight).view(np.uint64)[:, 0]
-    return mix(mix(x[:len(data) - GRAM + 1]) * np.uint64(31) + x[8:8 + len(data) - GRAM + 1])
+    return mix(x[:-8] * np.uint64(0x9E3779B97F4A7C15) + x[8:])
 
 
-def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor hash, first window, last window, left, right) of the runs of
-    windows of one anchor place, in order; together they cover all windows.
+def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """(row, anchor hash, first window, last window, left, right) of the runs
+    of windows of one anchor place, in order; together they cover all windows.
 
     ``left`` and ``right`` hash the anchor's gram with the bytes before and
     after it, so many that every window holds the one or the other whole; 0
     where the text ends before. Equal windows have one of them in common.
     """
-    n = len(text) - length + 1
-    if n <= 0:
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, np.uint64),) * 2)
-    h = _grams(np.frombuffer(text, np.uint8))
-    width = length - GRAM + 1
+    found = [_anchors_of(texts, a, b, length) for a, b in blocks(texts, CHUNK_BYTES) if any(texts[a:b])]
+    if not found:
+        return (np.zeros(0, np.int64), np.zeros(0, np.uint64), *(np.zeros(0, np.int64),) * 2, *(np.zeros(0, np.uint64),) * 2)
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _anchors_of(texts: list[bytes], a: int, b: int, length: int) -> tuple[np.ndarray, ...]:
+    """``anchors`` of some texts, hashed as one; no window crosses their ends."""
+    size = np.array([len(t) for t in texts[a:b]])
+    ends = np.cumsum(size)
+    data = b"".join(texts[a:b])
+    # padded, so that each place of the data begins a gram and a window
+    h = _grams(np.frombuffer(data + bytes(length + GRAM), np.uint8))
+    n, width = len(data), length - GRAM + 1
     least, step = h, 1
     while 2 * step <= width:
         least, step = np.minimum(least[:-step], least[step:]), 2 * step
     if step < width:
         rest = width - step
         least = np.minimum(least[:len(least) - rest], least[rest:])
+    least = least[:n]
     # a run ends where the least hash changes, or where its place leaves the window
     new = np.ones(n, bool)
     new[1:] = (least[1:] != least[:-1]) | (h[:n - 1] == least[:-1])
+    new[(ends - size)[size > 0]] = True
     first = np.flatnonzero(new)
+    last = np.append(first[1:], n) - 1
+    row = np.searchsorted(ends, first, side="right")
+    within = first <= ends[row] - length
+    first, last, row = first[within], last[within], row[within]
+    last = np.minimum(last, ends[row] - length)
     value = least[first]
-    place = first + (h[first[:, None] + np.arange(width)] == value[:, None]).argmax(axis=1)
+    place = np.empty(len(first), np.int64)
+    for s in range(0, len(first), 1 << 14):
+        some = slice(s, s + (1 << 14))
+        place[some] = first[some] + (h[first[some, None] + np.arange(width)] == value[some, None]).argmax(axis=1)
+    begin, end = (ends - size)[row], ends[row]
     reach = width // 2
     contexts = []
     for offsets in ([-o for o in range(reach, 0, -GRAM)], [*range(GRAM, reach, GRAM), reach]):
-        there = (place + offsets[0] >= 0) & (place + offsets[-1] < len(h))
+        there = (place + offsets[0] >= begin) & (place + offsets[-1] + GRAM <= end)
         context = value[there]
         for o in offsets:
             context = mix(context * np.uint64(31) + h[place[there] + o])
         contexts.append(np.zeros(len(value), np.uint64))
         contexts[-1][there] = context | np.uint64(1)
-    return value, first, np.append(first[1:], n) - 1, contexts[0], contexts[1]
+    return row + a, value, first - begin, last - begin, contexts[0], contexts[1]
+
+
+class Block:
+    """The rows of one block of documents in order of id and text, and the
+    anchors of those that are no copies. Made anew from the same rows it is
+    the same, so that other steps can name its rows and contexts by number."""
+
+    def __init__(self, table: pa.Table, copies: pa.Table):
+        gone = set(zip(copies.column("n").to_pylist(), copies.column("a").to_pylist(), strict=True))
+        rows = zip(*(table.column(c).to_pylist() for c in ("id", "text", "digest")), strict=True)
+        rows = sorted((i, t.encode("utf-8", "surrogatepass"), d) for i, t, d in rows)
+        self.ids = np.array([i for i, _, _ in rows], np.int64)
+        self.texts = [t for _, t, _ in rows]
+        self.copy = [(i, d) in gone for i, _, d in rows]
+
+    def find(self, length: int, buckets: int) -> None:
+        """Anchors, and their contexts as sorted distinct numbers: the bucket
+        of the anchor, then 32 bits of the context."""
+        texts = [b"" if c else t for t, c in zip(self.texts, self.copy, strict=True)]
+        self.row, self.value, self.first, self.last, left, right = anchors(texts, length)
+        bucket = self.value % np.uint64(buckets) << np.uint64(32)
+        both, n = np.concatenate((left, right)), len(self.value)
+        at = np.flatnonzero(both)
+        self.number, where = np.unique(np.concatenate((bucket, bucket))[at] | both[at] >> np.uint64(32), return_inverse=True)
+        self.number_of = np.full(2 * n, -1)
+        self.number_of[at] = where
+        self.pair = mix(left * np.uint64(31) + right)
+
+    def cuts(self) -> list[tuple[int, int, int]]:
+        """(bucket, from, to) of the contexts."""
+        bucket = (self.number >> np.uint64(32)).astype(np.int64)
+        cut = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)] if len(bucket) else [0]
+        return [(int(bucket[s]), s, e) for s, e in zip(cut[:-1], cut[1:], strict=True)]
+
+    def varied(self, least: int) -> tuple[np.ndarray, np.ndarray]:
+        """Anchors that have ``least`` or more different contexts here, and how many."""
+        value, where, count = np.unique(self.value, return_inverse=True, return_counts=True)
+        often = np.flatnonzero(count[where] >= least)
+        pairs = np.unique(np.stack((where[often].astype(np.uint64), self.pair[often])), axis=1)[0].astype(np.int64)
+        at, count = np.unique(pairs, return_counts=True)
+        return value[at[count >= least]], count[count >= least]
+
+    def shared(self, masks: dict[int, bytes]) -> np.ndarray:
+        """Places of the anchors with a context that another document has, in
+        another block (``masks`` by bucket) or in this one."""
+        known = np.zeros(len(self.number) + 1, bool)
+        for bucket, s, e in self.cuts():
+            known[s:e] = np.unpackbits(np.frombuffer(masks[bucket], np.uint8), count=e - s)
+        there = np.flatnonzero(self.number_of >= 0)
+        row, at = np.concatenate((self.row, self.row))[there], self.number_of[there]
+        low, high = np.full(len(known), len(self.texts)), np.full(len(known), -1)
+        np.minimum.at(low, at, row)
+        np.maximum.at(high, at, row)
+        known |= low < high
+        known[-1] = False
+        n = len(self.value)
+        return np.flatnonzero(known[self.number_of[:n]] | known[self.number_of[n:]])
+
+
+def _packed(value: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers as their gaps, byte by byte of equal weight."""
+    return np.diff(value, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
 
 
-def _contexts(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    both = np.unique(np.concatenate((left, right)))
-    return both[both > 0]
+def _unpacked(data: bytes) -> np.ndarray:
+    gaps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32)[:, 0]
+    return np.cumsum(gaps, dtype=np.uint32)
 
 
-def anchor_rows(docs: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Rows of two kinds from (id, part, text).
+SIDE = "blk long, kind int, n long, a binary, b binary, c binary, d binary"  # what a block is told; kinds:
+COPY, MASK, PLACES, ANSWER = range(4)
 
-    Of a document: block, place in the block, id, part, n_bytes, digest. Of a
-    block and bucket: block, bucket, how many anchors each document has in it
-    (16 bits each, escaped by repeating a document), their low 32 bits.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in blocks(texts, BLOCK_BYTES):
-                raw = [t.encode("utf-8", "surrogatepass") for t in texts[a:b]]
-                digests = [hashlib.sha256(t).digest() for t in raw]
-                ids = batch.column(0).slice(a, b - a)
-                parts = batch.column(1).slice(a, b - a)
-                block = hashlib.blake2b(repr((ids.to_pylist(), parts.to_pylist())).encode(), digest_size=16).digest()
-                found = [_contexts(*anchors(t, length)[3:]) for t in raw]
-                own = np.repeat(np.arange(b - a, dtype=np.uint32), [len(f) for f in found])
-                value = np.concatenate(found)
-                bucket = (value >> np.uint64(32)).astype(np.int64) % buckets
-                order = np.argsort(bucket, kind="stable")
-                own, value, bucket = own[order], value[order].astype(np.uint32), bucket[order]
-                cut = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)])) if len(bucket) else [0]
-                spans = list(zip(cut[:-1], cut[1:], strict=True))
-                n, m = b - a, len(spans)
-                gone = lambda k, kind: pa.nulls(k, kind)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([block] * (n + m), pa.binary()),
-                    pa.concat_arrays([pa.array(np.arange(n), pa.int32()), gone(m, pa.int32())]),
-                    pa.concat_arrays([ids.cast(pa.int64()), gone(m, pa.int64())]),
-                    pa.concat_arrays([parts, gone(m, pa.int64())]),
-                    pa.array([len(t) for t in raw] + [None] * m, pa.int64()),
-                    pa.array(digests + [None] * m, pa.binary()),
-                    pa.array([None] * n + [int(bucket[s]) for s, _ in spans], pa.int64()),
-                    pa.array([None] * n + [_packed(own[s:e]) for s, e in spans], pa.binary()),
-                    pa.array([None] * n + [value[s:e].tobytes() for s, e in spans], pa.binary())], names)
-    schema = ("block binary, place int, id long, part long, n_bytes long, digest binary, "
-              "bucket long, owners binary, anchors binary")
-    names = T.StructType.fromDDL(schema).fieldNames()
-    return docs.select("id", "part", "text").mapInArrow(run, schema)
-
-
-def _packed(own: np.ndarray) -> bytes:
-    """Ascending owners as the gaps between them, one byte each where they fit."""
-    gaps = np.diff(own, prepend=np.uint32(0))
-    return (b"\1" + gaps.astype(np.uint8).tobytes()) if gaps.max(initial=0) < 256 else b"\4" + gaps.tobytes()
 
+def _side(kind: int, **columns: list) -> pa.Table:
+    n = len(columns["blk"])
+    kinds = {"blk": pa.int64(), "n": pa.int64()}
+    return pa.table({c: pa.array([kind] * n, pa.int32()) if c == "kind" else pa.array(columns.get(c, [None] * n), kinds.get(c, pa.binary()))
+                     for c in ("blk", "kind", "n", "a", "b", "c", "d")})
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(data, np.uint8 if data[:1] == b"\1" else np.uint32, offset=1).astype(np.int64))
 
+def _of(side: pa.Table, kind: int) -> pa.Table:
+    return side.filter(pc.equal(side.column("kind"), kind))
 
-def shared_anchors(rows: DataFrame) -> DataFrame:
-    """(block, place, bucket, anchors): what documents share with others."""
-    def run(table: pa.Table) -> pa.Table:
-        own = [_unpacked(x) for x in table.column("owners").to_pylist()]
-        value = [np.frombuffer(x, np.uint32) for x in table.column("anchors").to_pylist()]
-        every = np.concatenate(value)
-        distinct, at, count = np.unique(every, return_inverse=True, return_counts=True)
-        common = count[at] > 1
-        blocks_, places, packs, start = [], [], [], 0
-        for block, o, v in zip(table.column("block").to_pylist(), own, value, strict=True):
-            keep = common[start:start + len(v)]
-            start += len(v)
-            o, v = o[keep], v[keep]
-            cut = np.concatenate(([0], np.flatnonzero(np.diff(o)) + 1, [len(o)])) if len(o) else [0]
-            for s, e in zip(cut[:-1], cut[1:], strict=True):
-                blocks_.append(block)
-                places.append(int(o[s]))
-                packs.append(v[s:e].tobytes())
-        bucket = table.column("bucket")[0].as_py()
-        return pa.table({"block": pa.array(blocks_, pa.binary()), "place": pa.array(places, pa.int32()),
-                         "bucket": pa.array([bucket] * len(places), pa.int64()), "anchors": pa.array(packs, pa.binary())})
-    return (rows.filter("bucket is not null").select("block", "bucket", "owners", "anchors")
-            .groupBy("bucket").applyInArrow(run, "block binary, place int, bucket long, anchors binary"))
+
+def _numbers(data: list[bytes], kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(data), kind)
+
+
+def shared_contexts(texts: DataFrame, copies: DataFrame, length: int, buckets: int) -> DataFrame:
+    """For each block and bucket, one bit for each context of the block in
+    order (whether another block has it too), and the bucket's hot anchors."""
+    hot_pieces = HOT_PIECES
+    least = min(LOCAL_PIECES, hot_pieces)
+
+    def contexts(table: pa.Table, side: pa.Table) -> pa.Table:
+        block = Block(table, side)
+        block.find(length, buckets)
+        cuts = block.cuts()
+        value, count = block.varied(least)
+        own = (value % np.uint64(buckets)).astype(np.int64)
+        return pa.table({
+            "bucket": pa.array([b for b, _, _ in cuts], pa.int64()),
+            "blk": pa.array([table.column("blk")[0].as_py()] * len(cuts), pa.int64()),
+            "contexts": pa.array([_packed(block.number[s:e].astype(np.uint32)) for _, s, e in cuts], pa.binary()),
+            "varied": pa.array([value[own == b].tobytes() for b, _, _ in cuts], pa.binary()),
+            "counts": pa.array([count[own == b].astype(np.int64).tobytes() for b, _, _ in cuts], pa.binary())})
+
+    def common(table: pa.Table) -> pa.Table:
+        own = [_unpacked(x) for x in table.column("contexts").to_pylist()]
+        every = np.sort(np.concatenate(own))
+        twice = np.unique(every[1:][every[1:] == every[:-1]])
+        value, at = np.unique(_numbers(table.column("varied").to_pylist(), np.uint64), return_inverse=True)
+        count = np.bincount(at, _numbers(table.column("counts").to_pylist(), np.int64), len(value))
+        hot = value[count > hot_pieces].tobytes()
+        masks = [np.packbits(twice[np.minimum(np.searchsorted(twice, v), len(twice) - 1)] == v if len(twice)
+                             else np.zeros(len(v), bool)).tobytes() for v in own]
+        return _side(MASK, blk=table.column("blk").to_pylist(), n=table.column("bucket").to_pylist(),
+                     a=masks, b=[hot] * len(own))
+    rows = texts.groupBy("blk").cogroup(copies.groupBy("blk")).applyInArrow(
+        contexts, "bucket long, blk long, contexts binary, varied binary, counts binary")
+    return rows.groupBy("bucket").applyInArrow(common, SIDE)
 
 
 # ---- pieces --------------------------------------------------------------
 
-def piece_rows(texts: DataFrame, length: int, buckets: int) -> DataFrame:
-    """(id, part, start, anchor, piece) around the shared anchors of (id, part, text, shared)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, parts = batch.column(0), batch.column(1)
-            texts = batch.column(2).to_pylist()
-            for a, b in blocks(texts, BLOCK_BYTES):
-                row, start, anchor, piece = [], [], [], []
-                shared = batch.column(3).slice(a, b - a).to_pylist()
-                for i in range(a, b):
-                    raw = texts[i].encode("utf-8", "surrogatepass")
-                    value, first, last, left, right = anchors(raw, length)
-                    # (bucket, low 32 bits) of a shared context as one number
-                    known = np.concatenate([np.frombuffer(x["anchors"], np.uint32).astype(np.uint64)
-                                            | np.uint64(x["bucket"] << 32) for x in shared[i - a]])
-                    hit = np.zeros(len(value), bool)
-                    for own in (left, right):
-                        number = (own & np.uint64(0xFFFFFFFF)) | ((own >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32))
-                        hit |= np.isin(number, known) & (own > 0)
-                    hit = np.flatnonzero(hit)
-                    row += [i] * len(hit)
-                    start += first[hit].tolist()
-                    anchor.append(value[hit].view(np.int64))
-                    piece += [raw[s:e + length] for s, e in zip(first[hit].tolist(), last[hit].tolist(), strict=True)]
-                take = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(take), parts.take(take), pa.array(start, pa.int64()),
-                     pa.array(np.concatenate(anchor), pa.int64()), pa.array(piece, pa.binary())],
-                    ["id", "part", "start", "anchor", "piece"])
-    return texts.select("id", "part", "text", "shared").mapInArrow(
-        run, "id long, part long, start long, anchor long, piece binary")
+def piece_rows(texts: DataFrame, side: DataFrame, length: int, buckets: int, groups: int) -> DataFrame:
+    """Rows of two kinds. Of a block and a group of anchors: grp, blk, number
+    of the first piece, and of the different pieces around shared anchors
+    their anchors, least ids, sizes and bytes. Of a block (grp below 0): where
+    its pieces lie (row, start, size, number of the piece and whether a
+    smaller id of the block has it)."""
+    def run(table: pa.Table, side: pa.Table) -> pa.Table:
+        block = Block(table, _of(side, COPY))
+        block.find(length, buckets)
+        told = _of(side, MASK)
+        hit = block.shared(dict(zip(told.column("n").to_pylist(), told.column("a").to_pylist(), strict=True)))
+        hot = set(_numbers(told.column("b").to_pylist(), np.uint64).tolist())
+        known: dict[bytes, int] = {}
+        key, least, rows, starts, sizes, numbers = [], [], [], [], [], []
+        for r, v, s, e in zip(*(c[hit].tolist() for c in (block.row, block.value, block.first, block.last)), strict=True):
+            parts = [(w, w + length) for w in range(s, e + 1)] if v in hot else [(s, e + length)]
+            for a, b in parts:
+                piece = block.texts[r][a:b]
+                k = known.setdefault(piece, len(known))
+                if k == len(key):
+                    key.append(int.from_bytes(hashlib.blake2b(piece, digest_size=8).digest()) if v in hot else v)
+                    least.append(r)
+                rows.append(r)
+                starts.append(a)
+                sizes.append(b - a)
+                numbers.append(k)
+        pieces, key = list(known), np.array(key, np.uint64)
+        ids, least = block.ids, np.array(least, np.int64)
+        group = (key % np.uint64(groups)).astype(np.int64)
+        order = np.argsort(group, kind="stable")
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        heads = np.flatnonzero(np.diff(group[order], prepend=-1)).tolist()
+        spans = list(zip(heads, [*heads[1:], len(order)], strict=True)) if heads else []
+        size = np.array([len(p) for p in pieces], np.int32)
+        rows, k = np.array(rows, np.int64), np.array(numbers, np.int64)
+        later = ids[rows] > ids[least[k]]
+        blk = table.column("blk")[0].as_py()
+        m = len(spans) + 1
+        return pa.table({
+            "grp": pa.array([int(group[order[s]]) for s, _ in spans] + [-1 - blk], pa.int64()),
+            "blk": pa.array([blk] * m, pa.int64()),
+            "base": pa.array([s for s, _ in spans] + [None], pa.int64()),
+            "a": pa.array([key[order[s:e]].tobytes() for s, e in spans] + [rows.astype(np.uint32).tobytes()], pa.binary()),
+            "b": pa.array([ids[least[order[s:e]]].tobytes() for s, e in spans] + [np.array(starts, np.uint32).tobytes()], pa.binary()),
+            "c": pa.array([size[order[s:e]].tobytes() for s, e in spans] + [np.array(sizes, np.uint32).tobytes()], pa.binary()),
+            "d": pa.array([b"".join([pieces[i] for i in order[s:e].tolist()]) for s, e in spans]
+                          + [(number[k] * 2 + later).astype(np.uint32).tobytes()], pa.binary())})
+    return texts.groupBy("blk").cogroup(side.groupBy("blk")).applyInArrow(
+        run, "grp long, blk long, base long, a binary, b binary, c binary, d binary")
 
 
 # ---- the index -----------------------------------------------------------
@@ -217,10 +301,11 @@ class RunIndex:
     Rows are the suffixes in order, each string ended by its own terminator.
     Kept are the runs of equal preceding bytes (head row, byte, rank of the
     byte before it) and, for each run, the text places of its first and last
-    row. ``classes`` cuts the rows into groups that share ``length`` bytes.
+    row. With ``ids`` of the strings, also the least id of each stretch of
+    rows that share ``length`` bytes.
     """
 
-    def __init__(self, strings: list[bytes], length: int):
+    def __init__(self, strings: list[bytes], length: int, ids: np.ndarray | None = None):
         self.length = length
         size = np.array([len(s) for s in strings])
         ends = np.cumsum(size + 1) - 1
@@ -257,7 +342,9 @@ class RunIndex:
         sa = np.empty(n, np.int64)
         sa[rank] = place
         rows = np.where(place + length <= stop, window, -1)[sa]
-        self.class_of_row = np.cumsum(np.append(True, rows[1:] != rows[:-1])) - 1
+        self.stretch = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        if ids is not None:
+            self.least = np.minimum.reduceat(np.repeat(ids, size + 1)[sa], self.stretch)
         before = np.where(sa > 0, self.text[sa - 1], 0)
         head = np.flatnonzero(np.append(True, before[1:] != before[:-1]))
         self.n, self.head, self.byte = n, head, before[head]
@@ -348,55 +435,115 @@ class RunIndex:
         """Place in ``order`` of the byte's first run that starts after the row."""
         return np.searchsorted(self.key, c * self.n + row, side="right")
 
+    def least_id(self, row: np.ndarray) -> np.ndarray:
+        """Least id of the strings that have the ``length`` bytes at these rows."""
+        return self.least[np.searchsorted(self.stretch, row, side="right") - 1]
 
-def window_owners(pieces: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each piece the smallest id, among all pieces, that has its window
-    at each place."""
-    index = RunIndex(pieces, length)
-    rows, lengths = index.matching_statistics(pieces)
-    size = np.array([len(p) for p in pieces])
-    long = np.flatnonzero(lengths >= length)
-    group = index.class_of_row[rows[long]]
-    none = np.iinfo(np.int64).max
-    least = np.full(index.class_of_row[-1] + 1, none)
-    np.minimum.at(least, group, np.repeat(ids, size)[long])
-    best = np.full(len(lengths), none)
-    best[long] = least[group]
-    cut = np.cumsum(size)
-    return [best[e - n:e - length + 1] for e, n in zip(cut.tolist(), size.tolist(), strict=True)]
+
+def earlier_windows(pieces: list[bytes], key: np.ndarray, ids: np.ndarray, length: int,
+                    index_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(piece, place) of the windows that a piece of the same key and a
+    smaller id has too, in order.
+
+    The pieces of one key that are not of its largest id are indexed, those
+    not of its smallest id are streamed; a match of ``length`` bytes finds the
+    smallest id. An index holds whole keys, of about ``index_bytes``; a window
+    that only a piece of another key in it has counts as well.
+    """
+    order = np.lexsort((ids, key))
+    head = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1])) if len(order) else np.zeros(0, np.int64)
+    tail = np.append(head[1:], len(order)) - 1
+    of = np.repeat(np.arange(len(head)), tail - head + 1)
+    low, high = ids[order[head]][of], ids[order[tail]][of]
+    use = np.flatnonzero(low < high)
+    order, of, low, high = order[use], of[use], low[use], high[use]
+    size = np.array([len(pieces[i]) for i in order.tolist()], np.int64)
+    begin = np.cumsum(size) - size
+    new = np.append(True, of[1:] != of[:-1])[:len(of)]
+    begin = np.maximum.accumulate(np.where(new, begin, 0))
+    cut = np.flatnonzero(np.diff(begin // index_bytes, prepend=-1)).tolist()
+    found = [(np.zeros(0, np.int64),) * 2]
+    for s, e in zip(cut, [*cut[1:], len(order)], strict=True) if cut else []:
+        some, own = order[s:e], ids[order[s:e]]
+        indexed, streamed = some[own < high[s:e]], some[own > low[s:e]]
+        index = RunIndex([pieces[i] for i in indexed.tolist()], length, ids[indexed])
+        texts = [pieces[i] for i in streamed.tolist()]
+        rows, lengths = index.matching_statistics(texts)
+        size = np.array([len(t) for t in texts])
+        hit = np.flatnonzero(lengths >= length)
+        piece = np.repeat(np.arange(len(texts)), size)[hit]
+        early = index.least_id(rows[hit]) < ids[streamed][piece]
+        hit, piece = hit[early], piece[early]
+        found.append((streamed[piece], hit - (np.cumsum(size) - size)[piece]))
+    piece, place = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.argsort(piece, kind="stable")
+    return piece[order], place[order]
 
 
 # ---- the operator --------------------------------------------------------
 
-def earlier_windows(pieces: DataFrame, length: int) -> DataFrame:
-    """(pid, first_id, early) from (anchor, piece, first_id, last_id).
+def _runs(count: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of ``count`` places each, joined."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin, count)
 
-    ``early`` holds the places of the piece's windows that a smaller id than
-    first_id has too. Pieces of one id only without such a place are left out.
-    """
-    pieces = written(pieces, "repeat-pieces")
-    total = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
-    hot = written(pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT_PIECES)
-                  .select("anchor"), "repeat-hot")
-    groups = max(1, -(-total // INDEX_BYTES))
+
+def answers(rows: DataFrame, length: int) -> DataFrame:
+    """What each block is told of its pieces: their places, the numbers of
+    those that a smaller id has whole, and (piece, place) of single windows."""
+    index_bytes = INDEX_BYTES
 
     def run(table: pa.Table) -> pa.Table:
-        ids = table.column("first_id").to_numpy()
-        owners = window_owners(table.column("piece").to_pylist(), ids, length)
-        early = [np.flatnonzero(o < i).tolist() for o, i in zip(owners, ids.tolist(), strict=True)]
-        return table.select(["piece", "first_id", "last_id"]).append_column("early", pa.array(early, pa.list_(pa.int32())))
-    cold = (pieces.join(hot, "anchor", "left_anti")
-            .select(F.pmod(F.xxhash64("anchor"), F.lit(groups)).alias("group"), "piece", "first_id", "last_id")
-            .groupBy("group").applyInArrow(run, "piece binary, first_id long, last_id long, early array<int>"))
-
-    windows = pieces.join(hot, "anchor", "left_semi").select(
-        "piece", "first_id", "last_id", F.explode(F.sequence(F.lit(0), F.octet_length("piece") - length)).alias("place"))
-    windows = windows.withColumn("window", F.substring("piece", F.col("place") + 1, F.lit(length)))
-    owners = windows.groupBy("window").agg(F.min("first_id").alias("owner"))
-    split = (windows.join(owners, "window").groupBy("piece", "first_id", "last_id")
-             .agg(F.collect_list(F.when(F.col("owner") < F.col("first_id"), F.col("place"))).alias("early")))
-    return cold.unionByName(split).filter((F.col("last_id") > F.col("first_id")) | (F.size("early") > 0)).select(
-        F.unhex(F.md5("piece")).alias("pid"), "first_id", "early")
+        blk = table.column("blk").to_pylist()
+        a, b, c, d = (table.column(x).to_pylist() for x in "abcd")
+        if table.column("grp")[0].as_py() < 0:
+            return _side(PLACES, blk=blk, a=a, b=b, c=c, d=d)
+        key, ids, size = _numbers(a, np.uint64), _numbers(b, np.int64), _numbers(c, np.int32)
+        known: dict[bytes, int] = {}
+        text, ends = b"".join(d), np.cumsum(size, dtype=np.int64)
+        at = np.array([known.setdefault(text[e - n:e], len(known)) for e, n in zip(ends.tolist(), size.tolist(), strict=True)], np.int64)
+        first = np.full(len(known), np.iinfo(np.int64).max)
+        np.minimum.at(first, at, ids)
+        own = np.zeros(len(known), np.uint64)
+        own[at] = key
+        piece, place = earlier_windows(list(known), own, first, length, index_bytes)
+        count = np.bincount(piece, minlength=len(known))
+        begin = np.cumsum(count) - count
+        whole, k, places = [], [], []
+        s = 0
+        for base, n in zip(table.column("base").to_pylist(), [len(x) // 4 for x in c], strict=True):
+            mine, later = at[s:s + n], ids[s:s + n] > first[at[s:s + n]]
+            whole.append((base + np.flatnonzero(later)).astype(np.uint32).tobytes())
+            some = np.flatnonzero(~later & (count[mine] > 0))
+            k.append(np.repeat(base + some, count[mine[some]]).astype(np.uint32).tobytes())
+            places.append(place[_runs(count[mine[some]], begin[mine[some]])].astype(np.uint32).tobytes())
+            s += n
+        return _side(ANSWER, blk=blk, a=whole, b=k, c=places)
+    return rows.groupBy("grp").applyInArrow(run, SIDE)
+
+
+def _removed(block: Block, side: pa.Table, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """(from, to) of the removed runs in the texts joined with one byte after
+    each, and where each text begins there."""
+    size = np.array([len(t) for t in block.texts])
+    offset = np.cumsum(size + 1) - size - 1
+    places, told = _of(side, PLACES), _of(side, ANSWER)
+    row, start, length_, number = (_numbers(places.column(c).to_pylist(), np.uint32).astype(np.int64) for c in "abcd")
+    whole, k, place = (_numbers(told.column(c).to_pylist(), np.uint32).astype(np.int64) for c in "abc")
+    number, later = number >> 1, number & 1 > 0
+    start = start + offset[row]
+    all_of = later | np.isin(number, whole)
+    order = np.argsort(k, kind="stable")
+    k, place = k[order], place[order]
+    low = np.searchsorted(k, number)
+    count = np.where(all_of, 0, np.searchsorted(k, number, side="right") - low)
+    single = np.repeat(start, count) + place[_runs(count, low)]
+    copies = np.flatnonzero(block.copy)
+    begin = np.concatenate((start[all_of], single, offset[copies]))
+    end = np.concatenate(((start + length_)[all_of], single + length, offset[copies] + size[copies]))
+    covered = np.cumsum(np.bincount(begin, minlength=size.sum() + len(size) + 1)
+                        - np.bincount(end, minlength=size.sum() + len(size) + 1)) > 0
+    edge = np.flatnonzero(np.diff(covered, prepend=False))
+    return edge.reshape(-1, 2), offset
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -412,68 +559,46 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names. An empty table gives an empty result.
     """
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    own = own.withColumn("part", F.xxhash64("text"))
-    placed = own.filter("id is not null")
-    total = placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, -(-total // BUCKET_BYTES))
-    rows = written(anchor_rows(placed, length, buckets), "repeat-anchors")
-
-    facts = rows.filter("place is not null").select("block", "place", "id", "part", "n_bytes", "digest")
-    copies = written(facts.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-                     .filter("first < last").select("digest", "first"), "repeat-copies")
-    facts = written(facts.join(copies, "digest", "left").withColumn(
-        "copy", F.coalesce((F.col("first") < F.col("id")) & (F.col("n_bytes") >= length), F.lit(False)))
-        .drop("first"), "repeat-facts")
-
-    shared = (shared_anchors(rows).join(facts.filter("not copy").select("block", "place", "id", "part"),
-                                        ["block", "place"])
-              .groupBy(F.col("id").alias("s_id"), F.col("part").alias("s_part"))
-              .agg(F.collect_set(F.struct("bucket", "anchors")).alias("shared")))
-    texts = written(placed.join(shared.hint("shuffle_hash"), (F.col("id") == F.col("s_id"))
-                                & (F.col("part") == F.col("s_part"))).select("id", "part", "text", "shared"),
-                    "repeat-texts")
-    pieces = piece_rows(texts, length, buckets)
-    early = written(earlier_windows(pieces.groupBy("anchor", "piece").agg(
-        F.min("id").alias("first_id"), F.max("id").alias("last_id")), length), "repeat-early")
-
-    found = (pieces.select("id", "part", "start", F.octet_length("piece").alias("n"),
-                           F.unhex(F.md5("piece")).alias("pid")).join(early, "pid")
-             .select(F.col("id").alias("f_id"), F.col("part").alias("f_part"),
-                     F.when(F.col("id") > F.col("first_id"),
-                            F.array(F.struct("start", (F.col("start") + F.col("n")).alias("end"))))
-                     .otherwise(F.transform("early", lambda o: F.struct(
-                         (F.col("start") + o).alias("start"), (F.col("start") + o + length).alias("end")))).alias("s"))
-             .filter(F.size("s") > 0).groupBy("f_id", "f_part").agg(F.flatten(F.collect_list("s")).alias("s")))
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans, digests = [], []
-            for text, s in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                raw, runs = text.encode("utf-8", "surrogatepass"), []
-                for a, b in sorted((x["start"], x["end"]) for x in s):
-                    if runs and a <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], b)
-                    else:
-                        runs.append([a, b])
-                ends = [0, *(b for _, b in runs)]
-                kept = b"".join(raw[e:a] for e, a in zip(ends, [*(a for a, _ in runs), len(raw)], strict=True))
-                spans.append([{"start": a, "end": b} for a, b in runs])
-                digests.append(hashlib.sha256(kept).hexdigest())
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(spans, kind),
-                                              pa.array(digests, pa.string())], ["c_id", "c_part", "removed", "sha"])
-    cuts = (texts.drop("shared").join(found, (F.col("id") == F.col("f_id")) & (F.col("part") == F.col("f_part")))
-            .select("id", "part", "text", "s")
-            .mapInArrow(cut, "c_id long, c_part long, removed array<struct<start:long,end:long>>, sha string")
-            .dropDuplicates(["c_id", "c_part"]))
-    out = facts.join(cuts, (F.col("id") == F.col("c_id")) & (F.col("part") == F.col("c_part")), "left")
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
-    nothing = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    out = out.select(
-        "id", "n_bytes", F.when(F.col("copy"), whole).otherwise(F.coalesce("removed", nothing)).alias("removed"),
-        F.when(F.col("copy"), F.sha2(F.lit(b""), 256)).otherwise(
-            F.coalesce("sha", F.lower(F.hex("digest")))).alias("kept_sha256"))
-    loose = own.filter("id is null").select("id", F.octet_length("text").cast("long").alias("n_bytes"),
-                                            nothing.alias("removed"),
-                                            F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+    own = own.withColumn("n_bytes", F.octet_length("text").cast("long"))
+    total = own.filter("id is not null").agg(F.sum("n_bytes")).first()[0] or 0
+    blocks_, buckets = max(1, -(-total // BLOCK_BYTES)), max(1, -(-total // BUCKET_BYTES))
+    groups = max(1, -(-total // GROUP_BYTES))
+    placed = own.filter("id is not null").withColumn("digest", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+    texts = written_by(placed.withColumn("blk", F.pmod(F.xxhash64("id", "digest"), F.lit(blocks_))),
+                       "repeat-texts", "blk", -(-blocks_ // 2))
+
+    long = texts.filter(F.col("n_bytes") >= length).select("blk", "id", "digest")
+    firsts = (long.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+              .filter("first < last").select("digest", "first"))
+    copies = written(long.join(firsts, "digest").filter(F.col("id") > F.col("first")).select(
+        "blk", F.lit(COPY).alias("kind"), F.col("id").alias("n"), F.col("digest").alias("a"),
+        *[F.lit(None).cast("binary").alias(c) for c in "bcd"]), "repeat-copies")
+
+    masks = shared_contexts(texts, copies, length, buckets)
+    told = answers(piece_rows(texts, copies.unionByName(masks), length, buckets, groups), length)
+
+    def cut(table: pa.Table, side: pa.Table) -> pa.Table:
+        block = Block(table, _of(side, COPY))
+        runs, offset = _removed(block, side, length)
+        row = np.searchsorted(offset, runs[:, 0], side="right") - 1
+        runs = (runs - offset[row][:, None]).tolist()
+        ends = np.cumsum(np.bincount(row, minlength=len(offset))).tolist()
+        spans, digests, s = [], [], 0
+        for text, e in zip(block.texts, ends, strict=True):
+            kept, last = hashlib.sha256(), 0
+            for a, b in runs[s:e]:
+                kept.update(text[last:a])
+                last = b
+            kept.update(text[last:])
+            spans.append([{"start": a, "end": b} for a, b in runs[s:e]])
+            digests.append(kept.hexdigest())
+            s = e
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        return pa.table({"id": pa.array(block.ids, pa.int64()), "n_bytes": pa.array([len(t) for t in block.texts], pa.int64()),
+                         "removed": pa.array(spans, kind), "kept_sha256": pa.array(digests, pa.string())})
+    out = texts.groupBy("blk").cogroup(copies.unionByName(told).groupBy("blk")).applyInArrow(
+        cut, "id long, n_bytes long, removed array<struct<start:long,end:long>>, kept_sha256 string")
+    loose = own.filter("id is null").select(
+        "id", "n_bytes", F.array().cast("array<struct<start:bigint,end:bigint>>").alias("removed"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
     return out.unionByName(loose).withColumnRenamed("id", id_col)

@@ -69,6 +69,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_by(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """``written``, in buckets by a column, so that later groups and joins on
+    it read the table without moving its rows again."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rivet-llm/{name}-{uuid.uuid4().hex}"
+    table = f"spark_catalog.default.{path.rsplit('/', 1)[1].replace('-', '_')}"
+    buckets = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
+    (df.repartition(buckets, column).write.bucketBy(buckets, column)
+     .option("path", path).option("compression", "zstd").saveAsTable(table))
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # from the catalog only: the files are at a path of our own
+    return out
+
+
 def row_key(docs: DataFrame, text_col: str = "text") -> Column:
     """128-bit digest of a whole row: the raw text and every other column,
     null told from empty. Rows with one key are equal in all columns."""

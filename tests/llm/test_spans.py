@@ -108,6 +108,58 @@ def test_matching_statistics_of_any_pattern():
     assert len(few.head) < 20 < few.n  # repetitive text: few runs
 
 
+def test_repeat_steps_read_texts_where_they_lie(spark):
+    """The texts are moved once, when they are written; later steps read their
+    buckets without an exchange."""
+    rng = random.Random(8)
+    passage = words(rng, 25)
+    out = runindex.repeated_spans(documents(spark, [(i, words(rng, 30) + passage) for i in range(40)]))
+    lines = out._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    scans = [i for i, x in enumerate(lines) if "FileScan parquet" in x and "Bucketed: true" in x and "text#" in x]
+    assert len(scans) >= 3  # anchors, pieces and cutting
+    for i in scans:
+        at = i
+        while "FlatMapCoGroupsInArrow" not in lines[at]:
+            assert "Exchange" not in lines[at]
+            at = next(j for j in range(at - 1, -1, -1) if depth[j] < depth[at])
+    assert not [t for t in spark.catalog.listTables("default") if t.name.startswith("repeat")]
+    assert out.count() == 40
+
+
+def test_anchors_of_texts_hashed_together(monkeypatch):
+    rng = random.Random(9)
+    texts = [b"", *(bytes(rng.choices(b"ab c", k=rng.choice([3, 16, 49, 50, 51, 80, 400]))) for _ in range(60)), b"a" * 300, b""]
+    alone = [runindex.anchors([t], 50) for t in texts]
+    for size in (1, 700, 1 << 20):
+        monkeypatch.setattr(runindex, "CHUNK_BYTES", size)
+        row, *rest = runindex.anchors(texts, 50)
+        assert row.tolist() == [i for i, x in enumerate(alone) for _ in x[0]]
+        for k, column in enumerate(rest, 1):
+            assert (column == np.concatenate([x[k] for x in alone])).all()
+        windows = Counter(row.tolist())
+        assert all(windows[i] > 0 for i, t in enumerate(texts) if len(t) >= 50)
+        first, last = rest[1], rest[2]
+        assert (last - first + 1).sum() == sum(max(0, len(t) - 49) for t in texts)
+
+
+@pytest.mark.parametrize("index_bytes", [1, 300, 1 << 20])
+def test_earlier_windows(index_bytes):
+    rng = random.Random(10)
+    pieces = list({bytes(rng.choices(b"ab", k=rng.randint(6, 14))) for _ in range(150)})
+    key = np.array([rng.randint(0, 12) for _ in pieces], np.uint64)
+    ids = np.array([rng.randint(-3, 30) for _ in pieces])
+
+    def by_hand(other):
+        return {(i, s) for i, p in enumerate(pieces) for s in range(len(p) - 5)
+                if any(ids[j] < ids[i] and p[s:s + 6] in q for j, q in enumerate(pieces) if other or key[j] == key[i])}
+    piece, place = runindex.earlier_windows(pieces, key, ids, 6, index_bytes)
+    got = list(zip(piece.tolist(), place.tolist(), strict=True))
+    assert got == sorted(set(got)) and by_hand(False) <= set(got) <= by_hand(True)
+    if index_bytes == 1:  # one key each
+        assert set(got) == by_hand(False)
+
+
 def shingle_set(t):
     w = (t or "").encode().lower().split()
     return frozenset(tuple(w[i:i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
