@@ -122,6 +122,50 @@ def test_boosting_sums_no_rows_at_full_depth():
         assert abs(tree.value[node] + grow.rate * g[i].sum() / (h[i].sum() + grow.l2)) < 1e-12
 
 
+def test_leaf_wise_growth_needs_a_round_a_depth():
+    """Nodes below nodes not taken yet are split ahead; the tree stays that of
+    one split at a time."""
+    x, y, w = table(2000, 9)
+    bins = B.binned(x, [sorted(set(c)) for c in x.T])
+    asked = []
+
+    class Rows(B.ArrayRows):
+        together = True
+
+        def histograms(self, tree, nodes):
+            asked.append(len(nodes))
+            return super().histograms(tree, nodes)
+    grow = B.Growth(rounds=1, depth=6, leaves=31, l2=0.0, min_hessian=1e-3, min_rows=5)
+    ahead, alone = (B.grow_tree(rows(bins, y, w, 0.0), grow) for rows in (Rows, B.ArrayRows))
+    assert len(asked) <= grow.depth + 1 and sum(asked) < 2 ** grow.depth
+    a, b = (B._node_rows([t], [list(range(256))] * 3) for t in (ahead, alone))
+    pd.testing.assert_frame_equal(a, b, rtol=1e-9)
+    assert (a["feature"] < 0).sum() == 31
+
+
+def test_kept_scores_equal_scores_from_the_start(monkeypatch):
+    """A block's scores go on from any tree this process knows, and from the
+    stored ones where it knows more or less; the rows kept are bounded."""
+    x, y, w = table(300, 11)
+    rows = B.ArrayRows(B.binned(x, [sorted(set(c)) for c in x.T]), y, w, 0.1)
+    trees = B.boost(rows, B.Growth(rounds=5, depth=3))
+    block = {"block": 4, "n": 300, "bins": rows.bins.tobytes(), "y": y.astype(float).tobytes(), "w": w.tobytes()}
+    raws = [np.full(300, 0.1)]
+    for t in trees:
+        raws.append(raws[-1] + t.scores(rows.bins))
+    np.testing.assert_array_equal(raws[-1], rows.raw)
+    monkeypatch.setattr(B, "_kept", type(B._kept)())
+    for done, upto in ((0, 1), (0, 4), (0, 4), (2, 5), (0, 2), (3, 3), (0, 5)):
+        bins, raw, g, h = B._scored("m", done, trees[done:upto], {**block, "raw": raws[done].tobytes()})
+        np.testing.assert_array_equal(raw, raws[upto])
+        np.testing.assert_array_equal(g, B._gradients(y, w, raws[upto])[0])
+        assert (bins == rows.bins).all()
+    monkeypatch.setattr(B, "KEPT_ROWS", 700)
+    for k in range(5):
+        B._scored("m", 0, trees, {**block, "block": k, "raw": raws[0].tobytes()})
+    assert [k[1] for k in B._kept] == [3, 4]
+
+
 def test_boosting_edges(spark):
     rows = [(i, i % 2, 1.0, float("nan") if i % 5 == 0 else float(i % 7), 3.0, None) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, y int, w double, a double, b double, c double")
