@@ -3,8 +3,10 @@
 Path-dependent Tree SHAP (Lundberg, Erion & Lee, 2018) with node covers taken
 from the forest's own weighted class counts. Each root-to-leaf path becomes one
 row: merged intervals and cover ratios per feature. A row's contributions are
-sums over paths, computed for a batch of rows against a block of paths of one
-length. The packed path table is broadcast (its size is bounded by the number
+sums over paths: a path's contributions depend on which of its conditions a
+row meets, so paths that follow each other in a tree and share most conditions
+are added up in one table over all that a row can meet of them, and a row looks
+its contributions up there. The packed path table is broadcast (its size is bounded by the number
 of trees and their depth) and the rows are distributed: a task explains its
 batches against one group of trees, and a final aggregate adds the groups up.
 Guard: base value + sum of contributions equals the class-1 probability of
@@ -13,6 +15,7 @@ every row.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,17 +81,11 @@ def tree_paths(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("tree_id").applyInPandas(pack, _PACKED)
 
 
-def _unpack(packed: bytes, n: int) -> dict[int, tuple[np.ndarray, ...]]:
-    """By path length: values (paths) and feature, low, high, ratio (paths x length)."""
+def _unpack(packed: bytes, n: int) -> list[tuple]:
+    """Paths in the order of the tree: value and feature, low, high, ratio of its conditions."""
     flat = np.frombuffer(packed)
     lengths, values, rest = flat[:n].astype(int), flat[n:2 * n], flat[2 * n:].reshape(-1, 4)
-    starts = np.cumsum(lengths) - lengths
-    out = {}
-    for d in np.unique(lengths).tolist():
-        mine = np.flatnonzero(lengths == d)
-        c = rest[starts[mine][:, None] + np.arange(d)] if d else np.zeros((len(mine), 0, 4))
-        out[d] = (values[mine], c[..., 0].astype(int), c[..., 1], c[..., 2], c[..., 3])
-    return out
+    return [(v, c[:, 0].astype(int), c[:, 1], c[:, 2], c[:, 3]) for v, c in zip(values, np.split(rest, np.cumsum(lengths)[:-1]))]
 
 
 def _points(d: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,12 +131,15 @@ def _by_row(o: np.ndarray, value: np.ndarray, z: np.ndarray) -> np.ndarray:
     return total * (o - z) * value[:, None]
 
 
-CELLS = 1 << 19  # of rows or patterns x paths x conditions held at once
+CELLS = 1 << 19  # of rows x paths x conditions held at once
+TABLE = 1 << 15  # entries a feature of a table of paths at most
+TABLES = 8       # held at once
+CHUNK = 1 << 15  # rows that are looked up at once
 
 
-def _edges(trees: list[dict[int, tuple[np.ndarray, ...]]], n_features: int) -> list[np.ndarray]:
+def _edges(trees: list[list[tuple]], n_features: int) -> list[np.ndarray]:
     """Each feature's different thresholds, ascending."""
-    ends = [(c[1].ravel(), e.ravel()) for blocks in trees for c in blocks.values() for e in c[2:4]]
+    ends = [(path[1], e) for paths in trees for path in paths for e in path[2:4]]
     feature, end = (np.concatenate(x) for x in zip(*ends, strict=True)) if ends else (np.empty(0, int), np.empty(0))
     return [np.unique(end[(feature == f) & np.isfinite(end)]) for f in range(n_features)]
 
@@ -155,39 +155,109 @@ def _places(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _add_patterns(phi: np.ndarray, places: np.ndarray, edges: list[np.ndarray], block: tuple) -> None:
-    """Adds to phi (features x rows) what paths of one length give: the rows'
-    patterns are numbers, each looked up in the path's table."""
-    value, feature, low, high, z = block
-    d, kind = feature.shape[1], places.dtype
-    start, width = np.zeros(feature.shape, kind), np.zeros(feature.shape, kind)
-    for f in np.unique(feature):
-        here = feature == f
-        first = np.where(np.isinf(low[here]), 0, np.searchsorted(edges[f], low[here]) + 1)
-        last = np.where(np.isinf(high[here]), len(edges[f]), np.searchsorted(edges[f], high[here]))
-        start[here], width[here] = first, np.maximum(last - first + 1, 0)
-    n = places.shape[1]
-    small = np.uint16 if d <= 16 else np.uint32
-    gap, holds, bit, code = np.empty(n, kind), np.empty(n, bool), np.empty(n, small), np.empty(n, small)
-    at, found = np.empty(n, np.intp), np.empty(n)
-    paths = max(1, CELLS // (d << d))
-    for a in range(0, len(value), paths):
-        tables = _by_pattern(value[a:a + paths], z[a:a + paths])
-        for p, table in enumerate(tables, a):
-            code.fill(0)
-            for j, f in enumerate(feature[p]):
-                np.subtract(places[f], start[p, j], out=gap)  # places below the start wrap round
-                np.less(gap, width[p, j], out=holds)
-                np.multiply(holds, small(1 << j), out=bit)
-                np.bitwise_or(code, bit, out=code)
-            at[:] = code
-            for j, f in enumerate(feature[p]):
-                np.take(table[j], at, out=found, mode="clip")
-                phi[f] += found
+def _spans(path: tuple, edges: list[np.ndarray]) -> dict[int, int]:
+    """The places that meet each condition of a path, as a number's bits."""
+    out = {}
+    for f, low, high in zip(*path[1:4]):
+        first = 0 if np.isinf(low) else int(np.searchsorted(edges[f], low)) + 1
+        last = len(edges[f]) if np.isinf(high) else int(np.searchsorted(edges[f], high))
+        out[int(f)] = (1 << max(last + 1, first)) - (1 << first)
+    return out
+
+
+def _groups(paths: list[tuple], spans: list[dict[int, int]], seen: list[int], most: int) -> Iterator[tuple[list[int], dict[int, list[int]]]]:
+    """Paths that follow each other, as long as their table has no more than
+    ``most`` entries a feature: numbers of paths and, by feature, the sets of
+    places that no path tells apart."""
+    held, parts, size = [], {}, 1
+    for p, _ in enumerate(paths):
+        new, more = {}, size
+        for f, span in spans[p].items():
+            old = parts.get(f, [seen[f]])
+            new[f] = [x for s in old for x in (s & span, s & ~span) if x]
+            more = more // len(old) * len(new[f])
+        if held and more > most:
+            yield held, parts
+            held, parts, size = [], {}, 1
+            new = {f: [x for x in (seen[f] & span, seen[f] & ~span) if x] for f, span in spans[p].items()}
+            more = int(np.prod([len(v) for v in new.values()], dtype=object))
+        held.append(p)
+        parts.update(new)
+        size = more
+    if held:
+        yield held, parts
+
+
+def _table(paths: list[tuple], spans: list[dict[int, int]], held: list[int], parts: dict[int, list[int]]) -> np.ndarray:
+    """Contributions (features of the group x entries) that the paths add up to."""
+    place = {f: i for i, f in enumerate(parts)}
+    table = np.zeros((len(parts), int(np.prod([len(v) for v in parts.values()]))))
+    by_length = {}
+    for p in held:
+        by_length.setdefault(len(paths[p][1]), []).append(p)
+    for same in by_length.values():
+        given = _by_pattern(np.array([paths[p][0] for p in same]), np.array([paths[p][4] for p in same]))
+        for p, one in zip(same, given, strict=True):
+            bit = {f: 1 << j for j, f in enumerate(spans[p])}
+            code = np.zeros(1, np.intp)
+            for f, sets in parts.items():
+                met = [bit[f] if f in bit and x & spans[p][f] else 0 for x in sets]
+                code = (code[:, None] + np.array(met)).ravel()
+            for j, f in enumerate(spans[p]):
+                table[place[f]] += one[j].take(code)
+    return table
+
+
+def _lookups(parts: dict[int, list[int]], kind: type) -> list[tuple]:
+    """How a row finds its entry: by feature, either the first place, number
+    of places and what to add there, or what to add for each place."""
+    out, stride = [], 1
+    for f, sets in reversed(parts.items()):
+        if len(sets) == 2:  # one of them is a span, as conditions are
+            at = next(i for i, x in enumerate(sets) if (y := x // (x & -x)) & (y + 1) == 0)
+            first = (sets[at] & -sets[at]).bit_length() - 1
+            out.append((f, kind(stride if at else 0), kind(0 if at else stride), first, sets[at].bit_length() - first, None))
+        elif len(sets) > 2:
+            add = np.zeros(max(x.bit_length() for x in sets), kind)
+            for i, x in enumerate(sets):
+                add[[k for k in range(x.bit_length()) if x >> k & 1]] = i * stride
+            out.append((f, kind(0), kind(0), 0, 0, add))
+        stride *= len(sets)
+    return out
+
+
+def _add_tables(phi: np.ndarray, places: np.ndarray, paths: list[tuple], edges: list[np.ndarray], seen: list[int]) -> None:
+    """Adds to phi (features x rows) what the paths of a tree give."""
+    spans, n = [_spans(path, edges) for path in paths], places.shape[1]
+    most = min(TABLE, max(n >> 4, 1 << max(len(p[1]) for p in paths)))  # a table pays where many rows use it
+    groups = _groups(paths, spans, seen, most)
+    gap, holds = np.empty(min(n, CHUNK), places.dtype), np.empty(min(n, CHUNK), bool)
+    at, found = np.empty(min(n, CHUNK), np.intp), np.empty(min(n, CHUNK))
+    while some := list(itertools.islice(groups, TABLES)):
+        tables = [_table(paths, spans, *g) for g in some]
+        kinds = [np.uint16 if t.shape[1] <= 1 << 16 else np.uint32 for t in tables]
+        looks = [_lookups(parts, kind) for (_, parts), kind in zip(some, kinds, strict=True)]
+        for a in range(0, n, CHUNK):
+            here = places[:, a:a + CHUNK]
+            m = here.shape[1]
+            for (_, parts), table, kind, look in zip(some, tables, kinds, looks, strict=True):
+                code, more = np.zeros(m, kind), np.empty(m, kind)
+                for f, inside, outside, first, width, add in look:
+                    if add is not None:
+                        add.take(here[f], out=more, mode="clip")
+                    else:
+                        np.subtract(here[f], here.dtype.type(first), out=gap[:m])  # places below the first wrap round
+                        (np.less if inside else np.greater_equal)(gap[:m], width, out=holds[:m])
+                        np.multiply(holds[:m], inside or outside, out=more)
+                    code += more
+                at[:m] = code
+                for f, row in zip(parts, table, strict=True):
+                    row.take(at[:m], out=found[:m], mode="clip")
+                    phi[f, a:a + m] += found[:m]
 
 
 def _add_rows(phi: np.ndarray, x: np.ndarray, block: tuple) -> None:
-    """As ``_add_patterns``, for paths with more patterns than there are rows."""
+    """As ``_add_tables``, for paths with more patterns than there are rows."""
     d, n = block[1].shape[1], len(x)
     paths = max(1, CELLS // (d * n))
     for a in range(0, len(block[0]), paths):
@@ -203,19 +273,20 @@ def explain_paths(x: np.ndarray, packed: list[tuple[bytes, int]], n_features: in
     trees = [_unpack(raw, n) for raw, n in packed]
     edges = _edges(trees, n_features)
     places = _places(x, edges)
+    seen = [sum(1 << int(p) for p in np.unique(row)) for row in places]
     phi, base = np.zeros((n_features, len(x))), 0.0
-    for blocks in trees:
-        for d, block in blocks.items():
-            base += float((block[0] * block[4].prod(axis=1)).sum())
-            if d and 1 << d <= len(x):
-                _add_patterns(phi, places, edges, block)
-            elif d:
-                _add_rows(phi, x, block)
+    for paths in trees:
+        base += sum(float(value * z.prod()) for value, _, _, _, z in paths)
+        if few := [p for p in paths if 0 < len(p[1]) and 1 << len(p[1]) <= len(x)]:
+            _add_tables(phi, places, few, edges, seen)
+        rest = [p for p in paths if 1 << len(p[1]) > len(x)]
+        for d in sorted({len(p[1]) for p in rest} - {0}):
+            _add_rows(phi, x, tuple(np.array(c) for c in zip(*(p for p in rest if len(p[1]) == d))))
     return phi.T, base
 
 
 TREE_GROUPS = 32
-ROWS_PER_TASK = 16384
+ROWS_PER_TASK = 1 << 18  # a table of paths costs as much as the lookups of some ten thousand rows
 
 
 def shap_values(nodes: DataFrame, rows: DataFrame, cols: list[str], row_key: str, n_trees: int,
@@ -232,20 +303,19 @@ def shap_values(nodes: DataFrame, rows: DataFrame, cols: list[str], row_key: str
     packed = [(bytes(r["packed"]), r["paths"]) for r in tree_paths(nodes).orderBy("tree_id").collect()]
     forest = nodes.sparkSession.sparkContext.broadcast(packed)
     names = list(cols)
-    key_type = dict(rows.dtypes)[row_key]
+    cores = nodes.sparkSession.sparkContext.defaultParallelism
     parts = max(1, -(-rows.count() // ROWS_PER_TASK))
-    groups = min(tree_groups, -(-2 * nodes.sparkSession.sparkContext.defaultParallelism // parts))
+    groups = min(tree_groups, -(-(2 if parts == 1 else 4) * cores // parts))  # several tasks a core, where rows are many
 
     def told(frames: list[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g, part in pd.concat(frames).groupby("_group"):  # a task has one group
             phi, base = explain_paths(part[names].to_numpy(dtype=float), forest.value[g::groups], len(names))
-            out = pd.DataFrame(phi / n_trees, columns=names)
-            out["__base__"] = base / n_trees
-            out[row_key] = part[row_key].to_numpy()
-            yield out.melt(id_vars=[row_key], var_name="feature", value_name="shap")[[row_key, "feature", "shap"]]
+            out = pd.DataFrame(np.column_stack([phi, np.full(len(phi), base)]) / n_trees, columns=wide)
+            out.insert(0, row_key, part[row_key].to_numpy())
+            yield out
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = []  # a path's table serves all rows that are held, so batches are put together
+        held = []  # a table serves all rows that are held, so batches are put together
         for pdf in batches:
             held.append(pdf)
             if sum(map(len, held)) >= 2 * ROWS_PER_TASK:
@@ -256,8 +326,14 @@ def shap_values(nodes: DataFrame, rows: DataFrame, cols: list[str], row_key: str
     spread = (rows.select(row_key, *names, F.pmod(F.xxhash64(row_key, *names), F.lit(parts)).alias("_part"),
                           F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_group"))
               .repartitionById(parts * groups, (F.col("_group") * parts + F.col("_part")).cast("int")).drop("_part"))
-    per = spread.mapInPandas(explain, f"{row_key} {key_type}, feature string, shap double")
-    return per.groupBy(row_key, "feature").agg(F.sum("shap").alias("shap"))
+    # a key and group of trees is one row up to the sum
+    wide = [f"_shap_{i}" for i in range(len(names) + 1)]
+    schema = rows.select(row_key).schema
+    for c in wide:
+        schema = schema.add(c, "double")
+    per = spread.mapInPandas(explain, schema).groupBy(row_key).agg(*[F.sum(c).alias(c) for c in wide])
+    each = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(c).alias("shap")) for f, c in zip([*names, "__base__"], wide, strict=True)])
+    return per.select(row_key, F.explode(each).alias("_e")).select(row_key, "_e.feature", "_e.shap")
 
 
 def global_importance(shap: DataFrame, top: int = 15) -> DataFrame:

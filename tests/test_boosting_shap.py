@@ -242,6 +242,64 @@ def test_shap_tables_and_places(monkeypatch):
     np.testing.assert_allclose(base + phi.sum(axis=1), [pays(row) for row in x], atol=1e-12)
 
 
+def _random_paths(rng, depth, n_features, low=-np.inf):
+    """Paths of a tree that cuts at random quarters, with random ratios."""
+    out = []
+
+    def grow(d, conditions):
+        if d == depth or rng.random() < 0.1:
+            out.append((rng.random(), [(f, *c) for f, c in conditions.items()]))
+            return
+        f, t = int(rng.integers(n_features)), rng.integers(-6, 7) / 4
+        low, high, ratio = conditions.get(f, (-np.inf, np.inf, 1.0))
+        share = rng.random()
+        grow(d + 1, {**conditions, f: (low, min(high, t), ratio * share)})
+        grow(d + 1, {**conditions, f: (max(low, t), high, ratio * (1 - share))})
+    grow(0, {})
+    return out
+
+
+@pytest.mark.parametrize("nan", [False, True])
+def test_shap_tables_of_several_paths(monkeypatch, nan):
+    """Paths that follow each other share a table of bounded size; rows get the
+    sums by row, at chunk ends, for places that no row has and for NaN."""
+    rng = np.random.default_rng(12)
+    trees = [_random_paths(rng, 7, 6) for _ in range(3)]
+    packed = [(EX._pack(p), len(p)) for p in trees]
+    x = (rng.normal(size=(700, 6)) * 4).round() / 4
+    x[:, 5] = 0.25  # one place only
+    if nan:
+        x[rng.random(x.shape) < 0.05] = np.nan
+    monkeypatch.setattr(EX, "TABLE", 256)
+    monkeypatch.setattr(EX, "TABLES", 3)
+    monkeypatch.setattr(EX, "CHUNK", 256)
+    tables, table = [], EX._table
+    monkeypatch.setattr(EX, "_table", lambda *a: tables.append(table(*a)) or tables[-1])
+    phi, base = EX.explain_paths(x, packed, 6)
+    assert max(t.shape[1] for t in tables) <= 256 and len(tables) < sum(map(len, trees)) / 2
+    alone = np.vstack([EX.explain_paths(row[None], packed, 6)[0] for row in x])  # one row: by row
+    np.testing.assert_allclose(phi, alone, atol=1e-12)
+
+
+def test_shap_moves_a_row_a_key_not_one_a_feature(spark, monkeypatch):
+    """Several parts and groups of trees: the same sums, and what is summed
+    per key is one row a group, whatever the number of features."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(900, 3)).round(1)
+    df = spark.createDataFrame([(i, float(v[0] > v[1]), *map(float, v)) for i, v in enumerate(x)], "id long, label double, a double, b double, c double")
+    model = RandomForestClassifier(numTrees=5, maxDepth=4, seed=2).fit(assemble(df, ["a", "b", "c"]))
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    nodes = EX.tree_nodes(spark, path)
+    one = EX.shap_values(nodes, df, ["a", "b", "c"], "id", 5).orderBy("id", "feature").toPandas()
+    monkeypatch.setattr(EX, "ROWS_PER_TASK", 300)
+    shap = EX.shap_values(nodes, df, ["a", "b", "c"], "id", 5)
+    pd.testing.assert_frame_equal(one, shap.orderBy("id", "feature").toPandas(), atol=1e-12)
+    plan = shap._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("Aggregate") < plan.index("MapInPandas")
+    assert shap.columns == ["id", "feature", "shap"] and shap.count() == 900 * 4
+
+
 def test_shap_of_repeated_and_null_keys(spark):
     """Any number of tree groups gives the same sums for a key."""
     rng = np.random.default_rng(8)
