@@ -213,10 +213,10 @@ def _lookups(parts: dict[int, list[int]], kind: type) -> list[tuple]:
     of places and what to add there, or what to add for each place."""
     out, stride = [], 1
     for f, sets in reversed(parts.items()):
-        if len(sets) == 2:  # one of them is a span, as conditions are
-            at = next(i for i, x in enumerate(sets) if (y := x // (x & -x)) & (y + 1) == 0)
-            first = (sets[at] & -sets[at]).bit_length() - 1
-            out.append((f, kind(stride if at else 0), kind(0 if at else stride), first, sets[at].bit_length() - first, None))
+        if len(sets) == 2:  # conditions are spans, so between the ends of one set there is no place of the other
+            ends = [((x & -x).bit_length() - 1, x.bit_length()) for x in sets]
+            at = next(i for i, (a, b) in enumerate(ends) if not sets[1 - i] >> a & (1 << b - a) - 1)
+            out.append((f, kind(stride if at else 0), kind(0 if at else stride), ends[at][0], ends[at][1] - ends[at][0], None))
         elif len(sets) > 2:
             add = np.zeros(max(x.bit_length() for x in sets), kind)
             for i, x in enumerate(sets):

@@ -268,6 +268,7 @@ def test_shap_tables_of_several_paths(monkeypatch, nan):
     packed = [(EX._pack(p), len(p)) for p in trees]
     x = (rng.normal(size=(700, 6)) * 4).round() / 4
     x[:, 5] = 0.25  # one place only
+    x[:, 4] = np.where(x[:, 4] < -0.5, -1.5, np.where(x[:, 4] < 0.5, 0.0, 1.5))  # places with gaps
     if nan:
         x[rng.random(x.shape) < 0.05] = np.nan
     monkeypatch.setattr(EX, "TABLE", 256)
